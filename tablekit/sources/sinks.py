@@ -74,19 +74,22 @@ def insert_or_ignore(target: DataFrame, batch: DataFrame, key: str,
     UNIQUE constraint allows).  New ids continue after the stored maximum,
     in ``order``.  Returns the rows to append.
     """
+    from tablekit.operators.aggs import key_dedup
+    from tablekit.operators.splits import group_rank
     k = F.col(key)
-    w = Window.partitionBy(key).orderBy(*order)
-    ranked = batch.withColumn("_rn", F.when(k.isNull(), F.lit(1)).otherwise(F.row_number().over(w)))
-    fresh = ranked.filter(F.col("_rn") == 1).drop("_rn")
+    # first row per key in ``order``: a grouped min (partial aggregation, so a
+    # key repeated in a third of the batch is reduced in every task)
+    firsts = key_dedup(batch.filter(k.isNotNull()), [key], order_by=order)
+    fresh = firsts.unionByName(batch.filter(k.isNull()))
     new = fresh.join(target.select(key).filter(k.isNotNull()), on=key, how="left_anti")
     if id_col is None:
         return new
-    base = target.agg(F.coalesce(F.max(id_col), F.lit(0)).alias("_base"))
-    # ids are a rank over the batch's new rows; only the new rows of one run
-    # are ranked, so this stays a small sort even when the table is large
-    ids = new.crossJoin(base).withColumn(
-        id_col, F.col("_base") + F.row_number().over(Window.orderBy(*order)))
-    return ids.drop("_base")
+    base = target.agg(F.coalesce(F.max(id_col), F.lit(0)).cast("long").alias("_base"))
+    # ids: base + exact rank of the new rows in ``order`` (range-partitioned
+    # rank, never a single-task window)
+    ranked = group_rank(new, order, name="_r")
+    return ranked.crossJoin(base).withColumn(id_col, F.col("_base") + F.col("_r")).drop(
+        "_base", "_r")
 
 
 def ensure_table(spark: SparkSession, name: str, schema: str, path: str) -> None:
