@@ -36,34 +36,60 @@ def seeded_uniform(seed: int | str, key: Column | str, salt: str = "") -> Column
 
 
 # ---------------------------------------------------------------- exact ranks
-def group_rank(df: DataFrame, order: list, group: list[str] | None = None,
-               name: str = "rank", partitions: int | None = None) -> DataFrame:
-    """1-based row number within ``group`` (or over all rows) by ``order``.
+def group_running_sum(df: DataFrame, order: list, value: Column | str | None = None,
+                      group: list[str] | None = None, name: str = "running",
+                      partitions: int | None = None) -> DataFrame:
+    """Running sum of ``value`` (default 1, i.e. the row number) within
+    ``group`` in ``order``, rows unbounded preceding to current row.
 
     ``order`` must be a total order (end it with a unique key) for the result
-    to be repeatable.  Steps: range shuffle on (group, order); the partition
-    id is fixed by a reliable checkpoint (so the two branches below see the
-    same layout even if tasks rerun); local row numbers per (partition,
-    group); offsets = running sum of the counts of earlier partitions.
+    to be repeatable.  Steps: range shuffle on (group, order), so one group
+    holding a third of all rows spans many tasks; the partition id is fixed by
+    a reliable checkpoint (both branches below then see the same layout even
+    if tasks rerun); local running sums per (partition, group); offsets = the
+    totals of the earlier partitions of the same group (a table of at most
+    partitions x groups rows).
     """
     group = group or []
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     okeys = _cols(order)
-    ranged = (df.repartitionByRange(n, *_cols(group), *okeys)
+    v = F.lit(1).cast("long") if value is None else (
+        F.col(value) if isinstance(value, str) else value)
+    ranged = (df.withColumn("_v", v)
+                .repartitionByRange(n, *_cols(group), *okeys)
                 .withColumn("_pid", F.spark_partition_id())
                 .checkpoint(eager=True))
-    wl = Window.partitionBy("_pid", *group).orderBy(*okeys)
-    local = ranged.withColumn("_lrn", F.row_number().over(wl))
-    counts = ranged.groupBy(*group, "_pid").agg(F.count(F.lit(1)).alias("_cnt"))
+    wl = (Window.partitionBy("_pid", *group).orderBy(*okeys)
+          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    local = ranged.withColumn("_lsum", F.sum("_v").over(wl))
+    totals = ranged.groupBy(*group, "_pid").agg(F.sum("_v").alias("_tot"))
     wo = (Window.partitionBy(*group).orderBy("_pid")
           .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = counts.select(*group, "_pid",
-                            F.coalesce(F.sum("_cnt").over(wo), F.lit(0)).alias("_off"))
+    offsets = totals.select(*group, "_pid",
+                            F.coalesce(F.sum("_tot").over(wo), F.lit(0)).alias("_off"))
     out = local.join(bounded_broadcast(offsets), on=[*group, "_pid"], how="inner")
-    return out.withColumn(name, (F.col("_off") + F.col("_lrn")).cast("long")).drop(
-        "_pid", "_lrn", "_off")
+    return out.withColumn(name, F.col("_off") + F.col("_lsum")).drop(
+        "_pid", "_lsum", "_off", "_v")
+
+
+def group_rank(df: DataFrame, order: list, group: list[str] | None = None,
+               name: str = "rank", partitions: int | None = None) -> DataFrame:
+    """1-based row number within ``group`` (or over all rows) by ``order``,
+    computed without a single-task window (see ``group_running_sum``)."""
+    return group_running_sum(df, order, None, group, name, partitions).withColumn(
+        name, F.col(name).cast("long"))
+
+
+def next_row(df: DataFrame, order: list, group: list[str], cols: list[str],
+             prefix: str = "next_") -> DataFrame:
+    """Columns of the next row in ``order`` within ``group`` (a skew-safe
+    ``lead``): rank the rows, then an equi join of rank r to rank r + 1."""
+    r = group_rank(df, order, group, name="_r")
+    nxt = r.select(*group, (F.col("_r") - 1).alias("_r"),
+                   *[F.col(c).alias(prefix + c) for c in cols])
+    return r.join(nxt, on=[*group, "_r"], how="left").drop("_r")
 
 
 def group_sizes(df: DataFrame, group: list[str], name: str = "n") -> DataFrame:
