@@ -30,8 +30,13 @@ def safe_ratio(num: Column | str, den: Column | str) -> Column:
 
 
 # ---------------------------------------------------------------- X3
-def round_digits(c: Column | str, digits: int = 4, half_even: bool = False) -> Column:
-    return (F.bround if half_even else F.round)(_c(c), digits)
+def round_digits(c: Column | str, digits: int = 4) -> Column:
+    """Round like pandas / numpy: scale by 10^digits, round half to even,
+    scale back.  Plain IEEE arithmetic, so every engine gives the same bits
+    (Spark's ``round`` goes through the JVM's decimal text of the double, whose
+    digits on ties depend on the JDK)."""
+    f = float(10 ** digits)
+    return F.bround(_c(c) * f, 0) / f
 
 
 # ---------------------------------------------------------------- X17
