@@ -1 +1,121 @@
-"""Registered queries (filled in below)."""
+"""Registered queries: links, entities and the crawl table (X10, X11, X19,
+Z5 with K7 K8 G18 F7, Z7 text batch)."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tablekit.functions.text import (ENTITY_PATTERN, ENTITY_RULES, _STRIP_BLOCKS, base64_text,
+                                     entities, extract_links, join_list, link_pattern,
+                                     url_to_file_name)
+from tablekit.operators.aggs import threshold_notify, value_counts
+from tablekit.operators.shape import fill_defaults, status_filter, validate_nonempty
+from tablekit.registry import query, table
+from tablekit.sources.sinks import insert_or_ignore
+
+_LINKS_SQL = f"""list_filter(list_transform(
+    regexp_extract_all(regexp_replace(html, '{_STRIP_BLOCKS}', '', 'g'), '{link_pattern("a", "href").replace("'", "''")}', 1),
+    lambda v: replace(regexp_replace(v, '^["'']|["'']$', '', 'g'), '&amp;', '&')),
+  lambda v: v <> '')"""
+
+
+@query("extract_links", sql=f"""
+SELECT page_id, array_to_string({_LINKS_SQL}, ',') AS links, len({_LINKS_SQL}) AS n_links FROM pages""")
+def q_extract_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X11 + X10: all non-empty href values of a tags in page order, joined
+    by commas (the driver's pages hold no img tags; img/src is unit-tested)."""
+    p = table(spark, sf_dir, "pages")
+    links = extract_links("html", "a", "href")
+    return p.select("page_id", join_list(links).alias("links"),
+                    F.size(links).cast("long").alias("n_links"))
+
+
+def _entity_counts_sql() -> str:
+    parts = [f"SELECT '{name}' AS label, CAST(sum(len(list_filter(regexp_extract_all(text, "
+             f"'{ENTITY_PATTERN}', {i + 1}), lambda v: v <> ''))) AS BIGINT) AS n FROM documents"
+             for i, (name, _) in enumerate(ENTITY_RULES)]
+    return "SELECT * FROM (" + " UNION ALL ".join(parts) + ") WHERE n > 0"
+
+
+@query("entities_to_struct", sql=_entity_counts_sql())
+def q_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Entities of every whole document as array<struct(text, label,
+    start, end)>, exploded and counted by label."""
+    d = table(spark, sf_dir, "documents")
+    e = d.select(F.explode(entities("text")).alias("e"))
+    return value_counts(e.select(F.col("e.label").alias("label")), "label")
+
+
+@query("entity_offsets")
+def q_entity_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X19 rows: (doc_id, text, label, start, end) per entity."""
+    d = table(spark, sf_dir, "documents")
+    return d.select("doc_id", F.explode(entities("text")).alias("e")).select("doc_id", "e.*")
+
+
+# ------------------------------------------------------------------ Z5 crawl
+def crawl_batch(pages: DataFrame) -> DataFrame:
+    """One crawl run over a URL list: page rows with derived path, image links
+    and status (plain http failed to fetch in the source's scenario)."""
+    ok = F.col("url").startswith("https")
+    return pages.select(
+        "page_id", "url",
+        F.when(ok, url_to_file_name("url", "/data/scraped")).otherwise(F.lit("")).alias("html_path"),
+        F.when(ok, join_list(extract_links("html", "a", "href"))).otherwise(F.lit("")).alias("images"),
+        F.when(ok, "success").otherwise("failed").alias("status"))
+
+
+@query("crawl_table", sql=f"""
+WITH b AS (
+  SELECT page_id, url,
+         CASE WHEN url LIKE 'https%' THEN '/data/scraped/' || replace(replace(replace(url, 'https://', ''),
+              'http://', ''), '/', '_') || '.html' ELSE '' END AS html_path,
+         CASE WHEN url LIKE 'https%' THEN array_to_string({_LINKS_SQL}, ',') ELSE '' END AS images,
+         CASE WHEN url LIKE 'https%' THEN 'success' ELSE 'failed' END AS status
+  FROM pages)
+SELECT row_number() OVER (ORDER BY page_id) AS id, url, html_path, images, status FROM b""")
+def q_crawl_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First run into an empty table: insert-or-ignore on the unique URL,
+    ids numbered in page order."""
+    batch = crawl_batch(table(spark, sf_dir, "pages"))
+    empty = batch.limit(0).select(F.lit(0).cast("long").alias("id"), "url")
+    return insert_or_ignore(empty, batch, "url", ["page_id"]).select(
+        "id", "url", "html_path", "images", "status")
+
+
+@query("threshold_notify", sql="""
+SELECT count(*) FILTER (WHERE url LIKE 'https%') AS count,
+       'Batch threshold reached! Total pages scraped: ' ||
+       CAST(count(*) FILTER (WHERE url LIKE 'https%') AS VARCHAR) AS notice
+FROM pages HAVING count(*) FILTER (WHERE url LIKE 'https%') >= 2""")
+def q_threshold_notify(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G18 + F7: one notice when the stored successes reach the limit (2)."""
+    return threshold_notify(crawl_batch(table(spark, sf_dir, "pages")), 2)
+
+
+@query("status_filter", sql="SELECT page_id, url FROM pages WHERE url LIKE 'https%'")
+def q_status_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """rows with status = 'success'."""
+    return status_filter(crawl_batch(table(spark, sf_dir, "pages"))).select("page_id", "url")
+
+
+# ------------------------------------------------------------------ Z7 text batch
+@query("text_batch", sql=r"""
+WITH r AS (SELECT conv_id, turn, role, regexp_extract(text, '\n([\s\S]*)$', 1) AS body,
+                  CASE WHEN role = 'user' THEN NULL ELSE role END AS target_lang FROM conversations)
+SELECT CASE WHEN regexp_replace(body, '\s', '', 'g') = '' THEN 'rejected' ELSE 'accepted' END AS outcome,
+       coalesce(target_lang, 'es') AS target_lang, count(*) AS n
+FROM r GROUP BY ALL""")
+def q_text_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests (turn bodies) get defaults, validation, and an outcome
+    count per (outcome, target language); accepted bodies are encoded."""
+    c = table(spark, sf_dir, "conversations").select(
+        "conv_id", "turn", "role", F.regexp_extract("text", r"\n([\s\S]*)$", 1).alias("body"),
+        F.when(F.col("role") != "user", F.col("role")).alias("target_lang"))
+    c = fill_defaults(c, {"target_lang": "es"})
+    valid, bad = validate_nonempty(c, "body", strict=True)
+    out = (valid.withColumn("outcome", F.lit("accepted")).withColumn("payload", base64_text("body"))
+                .unionByName(bad.withColumn("outcome", F.lit("rejected"))
+                                .withColumn("payload", F.lit(None).cast("string")), allowMissingColumns=True))
+    return value_counts(out, ["outcome", "target_lang"])
