@@ -82,6 +82,14 @@ def pca_whiten(train: DataFrame, col: str, k: int, apply_to: DataFrame | None =
 
 
 # ---------------------------------------------------------------- M4 / M5 / M6
+def training_frame(df: DataFrame) -> DataFrame:
+    """Cut the lineage before an iterative fit: a reliable checkpoint in the
+    session's shared checkpoint folder (survives lost executors)."""
+    from tablekit.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def feature_vector(df: DataFrame, cols: list[str], out: str = "features") -> DataFrame:
     return VectorAssembler(inputCols=cols, outputCol=out, handleInvalid="keep").transform(df)
 
@@ -93,13 +101,14 @@ def random_forest(num_trees: int = 50, seed: int = 42, label: str = "label",
 
 
 def balanced_svm(label: str = "label", features: str = "features", weight: str | None = None,
-                 reg: float = 0.01, max_iter: int = 50) -> OneVsRest:
+                 reg: float = 0.01, max_iter: int = 20, parallelism: int = 8) -> OneVsRest:
     """One-vs-rest linear SVM (Spark has no kernel SVM); class weights from
-    ``attach_class_weights`` go in ``weight``."""
+    ``attach_class_weights`` go in ``weight``; the per-class fits run
+    ``parallelism`` at a time."""
     svc = LinearSVC(regParam=reg, maxIter=max_iter)
     if weight:
         svc = svc.setWeightCol(weight)
-    ovr = OneVsRest(classifier=svc, labelCol=label, featuresCol=features)
+    ovr = OneVsRest(classifier=svc, labelCol=label, featuresCol=features, parallelism=parallelism)
     if weight:
         ovr = ovr.setWeightCol(weight)
     return ovr

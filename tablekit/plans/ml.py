@@ -1 +1,162 @@
-"""Registered queries (filled in below)."""
+"""Registered queries: table-level ML and the ML compositions (M2-M8, M12, Z2,
+Z3).  Model fits are seeded; their quality is reported, never asserted."""
+
+from __future__ import annotations
+
+from pyspark.ml.functions import array_to_vector
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tablekit.operators import evaluation as EV
+from tablekit.operators import mlops as M
+from tablekit.operators.aggs import attach_class_weights, error_rate_monitor
+from tablekit.operators.shape import align_features, drift_inject, drop_if_present
+from tablekit.operators.splits import exact_random_split, position_slice, stratified_split
+from tablekit.operators.aggs import min_class_size
+from tablekit.registry import query, scratch_dir_for, table
+from tablekit.sources.sinks import dataset_manifest, registry_row
+
+_SPLIT = """sp AS (SELECT vec_id, embedding, label,
+             row_number() OVER (ORDER BY md5('42|' || CAST(vec_id AS VARCHAR)), vec_id) AS r,
+             count(*) OVER () AS n FROM embeddings)"""
+
+
+@query("standardize", sql=f"""WITH {_SPLIT},
+tr AS (SELECT * FROM sp WHERE r > ceil(n * 0.2)),
+ex AS (SELECT unnest(generate_series(1, len(embedding))) AS pos,
+              CAST(unnest(embedding) AS DOUBLE) AS x FROM tr),
+st AS (SELECT pos, avg(x) AS m, CASE WHEN stddev_pop(x) = 0 THEN 1.0 ELSE stddev_pop(x) END AS sd
+       FROM ex GROUP BY pos),
+ms AS (SELECT list(m ORDER BY pos) AS means, list(sd ORDER BY pos) AS sds FROM st)
+SELECT vec_id, list_transform(range(len(embedding)),
+         lambda i: round((CAST(embedding[i + 1] AS DOUBLE) - means[i + 1]) / sds[i + 1], 4)) AS standardized
+FROM embeddings, ms""")
+def q_standardize(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M2: statistics fitted on the training rows (exact 80 %), population
+    sd, applied to all rows."""
+    e = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    train = exact_random_split(e, "vec_id", 0.2, 42).filter(F.col("split") == "train")
+    s = M.standardize(e, "embedding", fit_on=train, out="standardized")
+    return s.select("vec_id", F.transform("standardized", lambda x: F.round(x, 4)).alias("standardized"))
+
+
+@query("pca_whiten")
+def q_pca_whiten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M3: 8 whitened components (unit variance on the training rows)."""
+    e = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    return M.pca_whiten(e, "embedding", 8).select("vec_id", "label", "pca")
+
+
+def part_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sensor stand-in: target = p_size > 25; type = brand; order = key."""
+    p = table(spark, sf_dir, "part")
+    return p.select("p_partkey", "p_name", "p_brand", "p_type", "p_retailprice",
+                    (F.col("p_size") > 25).cast("int").alias("label"))
+
+
+def _forest(spark: SparkSession, sf_dir: str):
+    d = part_frame(spark, sf_dir)
+    sp = exact_random_split(d, "p_partkey", 0.2, 42)
+    train = sp.filter(F.col("split") == "train")
+    test = sp.filter(F.col("split") == "test")
+    pipe = M.indexed_pipeline(["p_brand", "p_type"], ["p_retailprice"], M.random_forest(50, 42))
+    return pipe.fit(train), train, test
+
+
+@query("random_forest")
+def q_random_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M4 + M8: 50 seeded trees; prediction and P(class 1) on the test rows."""
+    model, _, test = _forest(spark, sf_dir)
+    s = M.batch_score(model, test)
+    return s.select("p_partkey", "label", F.col("prediction").cast("int").alias("prediction"),
+                    F.round("p_positive", 6).alias("p_positive"))
+
+
+@query("model_store")
+def q_model_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M7: the fitted pipeline saved, loaded, and scoring the same rows."""
+    model, _, test = _forest(spark, sf_dir)
+    loaded = M.model_store(model, scratch_dir_for(spark, "forest_model"))
+    a = model.transform(test).select("p_partkey", F.col("prediction").alias("a"))
+    b = loaded.transform(test).select("p_partkey", F.col("prediction").alias("b"))
+    return a.join(b, "p_partkey").agg(F.count(F.lit(1)).alias("rows"),
+                                      F.count_if(F.col("a") != F.col("b")).alias("differences"))
+
+
+def _emb_train_test(spark: SparkSession, sf_dir: str):
+    e = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    sp = stratified_split(e, "label", "vec_id", 0.1, 0.2, 42)
+    train = sp.filter(F.col("split") == "train")
+    std = M.standardize(sp, "embedding", fit_on=train, out="std")
+    std = M.training_frame(std.withColumn("features", array_to_vector("std")))
+    return std.filter(F.col("split") == "train"), std.filter(F.col("split") == "test")
+
+
+@query("balanced_svm")
+def q_balanced_svm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M5 + G23: one-vs-rest linear SVM with balanced class weights."""
+    train, test = _emb_train_test(spark, sf_dir)
+    train = attach_class_weights(train, "label")
+    m = M.balanced_svm(weight="balanced_weight").fit(train)
+    return m.transform(test).select("vec_id", "label", F.col("prediction").cast("int").alias("prediction"))
+
+
+@query("mlp_classifier")
+def q_mlp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M6: multilayer perceptron 64-32-10 (sigmoid hidden layers)."""
+    train, test = _emb_train_test(spark, sf_dir)
+    m = M.mlp([64, 32, 10], seed=42, max_iter=50).fit(train)
+    return m.transform(test).select("vec_id", "label", F.col("prediction").cast("int").alias("prediction"))
+
+
+@query("grid_runs")
+def q_grid_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cross-validated fits over a parameter grid; one row per run."""
+    train, _ = _emb_train_test(spark, sf_dir)
+    from pyspark.ml.classification import RandomForestClassifier
+    rf = RandomForestClassifier(seed=42, labelCol="label", featuresCol="features")
+    _, runs = M.grid_runs(rf, {"numTrees": [5, 10], "maxDepth": [3, 5]}, train, folds=2)
+    return runs
+
+
+@query("identification_report")
+def q_identification_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Z3: class filter, stratified split, standardise, two models, per-model
+    class F1 and macro F1 on the test split (one grouped pass)."""
+    e = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    kept, _ = min_class_size(e, ["label"], 3)
+    sp = stratified_split(kept, "label", "vec_id", 0.1, 0.2, 42)
+    train = sp.filter(F.col("split") == "train")
+    std = M.training_frame(M.standardize(sp, "embedding", fit_on=train, out="std").withColumn(
+        "features", array_to_vector("std")))
+    tr = attach_class_weights(std.filter(F.col("split") == "train"), "label")
+    te = std.filter(F.col("split") == "test")
+    svm = M.balanced_svm(weight="balanced_weight").fit(tr)
+    mlp = M.mlp([64, 32, 10], seed=42, max_iter=50).fit(tr)
+    a = svm.transform(te).select("vec_id", "label", F.col("prediction").alias("svm"))
+    b = mlp.transform(te).select("vec_id", F.col("prediction").alias("mlp"))
+    both = a.join(b, "vec_id").withColumn("label", F.col("label").cast("double"))
+    return EV.per_model_results(both, "label", {"svm": "svm", "mlp": "mlp"})
+
+
+@query("maintenance_cycle")
+def q_maintenance_cycle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prepare (drop ids, encode, chronological slice, manifest), train
+    (exact split, forest, registry row), drift the next slice, align the
+    scoring frame to the model columns, score and monitor the error rate."""
+    d = drop_if_present(part_frame(spark, sf_dir), ["p_name", "UDI"])
+    manifest = dataset_manifest(d, "v1", "part", "tablekit", ["dropped p_name"])
+    model, train, test = _forest(spark, sf_dir)
+    acc = error_rate_monitor(M.batch_score(model, test), "prediction", "label")
+    reg = registry_row(spark, "forest", "v1", 0.0)
+    nxt = position_slice(d, ["p_partkey"], 1400, 1600)
+    drifted = drift_inject(nxt, key="p_partkey", shift={"p_retailprice": 1.0},
+                           scale={"p_retailprice": 1.01}, sd=0.05, seed=7, exclude=["label"])
+    aligned, _ = align_features(drifted, ["p_partkey", "p_brand", "p_type", "p_retailprice", "label"])
+    mon = error_rate_monitor(M.batch_score(model, aligned), "prediction", "label")
+    return (mon.select(F.lit("drifted").alias("slice"), "rows", F.round("error", 6).alias("error"),
+                       "retrain")
+               .unionByName(acc.select(F.lit("test").alias("slice"), "rows",
+                                       F.round("error", 6).alias("error"), "retrain"))
+               .crossJoin(manifest.select(F.col("rows").alias("dataset_rows")))
+               .crossJoin(reg.select("model")))
