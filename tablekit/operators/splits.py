@@ -38,9 +38,10 @@ def seeded_uniform(seed: int | str, key: Column | str, salt: str = "") -> Column
 # ---------------------------------------------------------------- exact ranks
 def group_running_sum(df: DataFrame, order: list, value: Column | str | None = None,
                       group: list[str] | None = None, name: str = "running",
-                      partitions: int | None = None) -> DataFrame:
-    """Running sum of ``value`` (default 1, i.e. the row number) within
-    ``group`` in ``order``, rows unbounded preceding to current row.
+                      partitions: int | None = None, agg: str = "sum") -> DataFrame:
+    """Running sum (or max, ``agg="max"``) of ``value`` (default 1, i.e. the
+    row number) within ``group`` in ``order``, rows unbounded preceding to
+    the current row.
 
     ``order`` must be a total order (end it with a unique key) for the result
     to be repeatable.  Steps: range shuffle on (group, order), so one group
@@ -63,15 +64,18 @@ def group_running_sum(df: DataFrame, order: list, value: Column | str | None = N
                 .checkpoint(eager=True))
     wl = (Window.partitionBy("_pid", *group).orderBy(*okeys)
           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = ranged.withColumn("_lsum", F.sum("_v").over(wl))
-    totals = ranged.groupBy(*group, "_pid").agg(F.sum("_v").alias("_tot"))
+    fn = F.sum if agg == "sum" else F.max
+    local = ranged.withColumn("_lsum", fn("_v").over(wl))
+    totals = ranged.groupBy(*group, "_pid").agg(fn("_v").alias("_tot"))
     wo = (Window.partitionBy(*group).orderBy("_pid")
           .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = totals.select(*group, "_pid",
-                            F.coalesce(F.sum("_tot").over(wo), F.lit(0)).alias("_off"))
+    offsets = totals.select(*group, "_pid", fn("_tot").over(wo).alias("_off"))
     out = local.join(bounded_broadcast(offsets), on=[*group, "_pid"], how="inner")
-    return out.withColumn(name, F.col("_off") + F.col("_lsum")).drop(
-        "_pid", "_lsum", "_off", "_v")
+    if agg == "sum":
+        combined = F.coalesce(F.col("_off"), F.lit(0)) + F.col("_lsum")
+    else:
+        combined = F.greatest(F.col("_off"), F.col("_lsum"))  # greatest skips NULL
+    return out.withColumn(name, combined).drop("_pid", "_lsum", "_off", "_v")
 
 
 def group_rank(df: DataFrame, order: list, group: list[str] | None = None,
