@@ -71,7 +71,10 @@ def sliding_eval(samples: DataFrame, series: list[str], ts: str, step_s: int, ra
     both = s.unionByName(grid, allowMissingColumns=True)
     frame = Window.partitionBy(*part_keys).orderBy("_us").rangeBetween(-W + 1, 0)
     cols = [fn(frame).alias(name) for name, fn in aggs.items()]
-    out = both.select(*series, "_us", "_kind", *cols).filter(F.col("_kind") == 1)
+    # samples in the frame; a grid time whose frame is empty has no value
+    cols.append(F.count_if(F.col("_kind") == 0).over(frame).alias("_ns"))
+    out = (both.select(*series, "_us", "_kind", *cols)
+               .filter((F.col("_kind") == 1) & (F.col("_ns") > 0)))
     return out.select(*series, from_epoch_us(F.col("_us")).alias("t"), F.col("_us").alias("_t_us"),
                       *aggs.keys())
 
