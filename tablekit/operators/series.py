@@ -230,3 +230,48 @@ def latest_value(df: DataFrame, series: list[str], ts: str, value: str) -> DataF
     nn = df.filter(F.col(value).isNotNull())
     return nn.groupBy(*series).agg(F.max_by(value, ts).alias(f"last_{value}"),
                                    F.max(ts).alias(f"last_{ts}"))
+
+
+# ---------------------------------------------------------------- R7 (batch form)
+# Routing timers (seconds).
+GROUP_WAIT_S = 30
+GROUP_WAIT_CRITICAL_S = 10
+REPEAT_INTERVAL_S = 3600
+
+
+def notify_schedule(alerts: DataFrame, group: list[str], start: str = "firing_at",
+                    end: str = "resolved_at", key: str = "instance",
+                    severity: str = "severity") -> DataFrame:
+    """Notices of alert groups: overlapping firing intervals of a group merge
+    into an episode; the first notice goes out ``group_wait`` after the
+    episode starts (10 s when critical, else 30 s), repeats every hour while
+    it lasts, and a resolved notice ends it.
+
+    Episodes are gaps and islands on intervals: an interval opens a new
+    episode when it starts after every earlier interval of the group has
+    ended (exclusive running max of ends), and the episode number is a
+    running count of openings, both range-partitioned, so a group holding
+    most alerts is still spread over many tasks.
+    """
+    a = alerts.select(*group, key, F.col(start).alias("_s"), F.col(end).alias("_e"))
+    a = a.withColumn("_s_us", epoch_us("_s")).withColumn("_e_us", epoch_us("_e"))
+    order = ["_s_us", "_e_us", key]
+    m = group_running_sum(a, order, "_e_us", group, name="_prev_end", agg="max", inclusive=False)
+    m = m.withColumn("_open", F.when(F.col("_prev_end").isNull() | (F.col("_s_us") > F.col("_prev_end")),
+                                     1).otherwise(0))
+    ep = group_running_sum(m, order, "_open", group, name="_episode")
+    episodes = ep.groupBy(*group, "_episode").agg(F.min("_s_us").alias("_from"),
+                                                 F.max("_e_us").alias("_to"))
+    wait = F.when(F.col(severity) == "critical", F.lit(GROUP_WAIT_CRITICAL_S)).otherwise(
+        F.lit(GROUP_WAIT_S)) * 1_000_000
+    first = F.col("_from") + wait
+    n_rep = F.greatest(F.lit(0), F.ceil((F.col("_to") - first) / (REPEAT_INTERVAL_S * 1_000_000)) - 1)
+    fire = (episodes.filter(first < F.col("_to"))
+                    .select(*group, "_episode", F.explode(F.sequence(F.lit(0).cast("long"), n_rep.cast("long")))
+                            .alias("_k"), first.alias("_first"))
+                    .select(*group, "_episode", F.lit("firing").alias("status"),
+                            (F.col("_first") + F.col("_k") * REPEAT_INTERVAL_S * 1_000_000).alias("_at")))
+    resolved = episodes.select(*group, "_episode", F.lit("resolved").alias("status"),
+                               F.col("_to").alias("_at"))
+    return fire.unionByName(resolved).select(*group, F.col("_episode").alias("episode"), "status",
+                                             from_epoch_us(F.col("_at")).alias("at"))

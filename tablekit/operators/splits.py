@@ -38,10 +38,12 @@ def seeded_uniform(seed: int | str, key: Column | str, salt: str = "") -> Column
 # ---------------------------------------------------------------- exact ranks
 def group_running_sum(df: DataFrame, order: list, value: Column | str | None = None,
                       group: list[str] | None = None, name: str = "running",
-                      partitions: int | None = None, agg: str = "sum") -> DataFrame:
+                      partitions: int | None = None, agg: str = "sum",
+                      inclusive: bool = True) -> DataFrame:
     """Running sum (or max, ``agg="max"``) of ``value`` (default 1, i.e. the
     row number) within ``group`` in ``order``, rows unbounded preceding to
-    the current row.
+    the current row (``inclusive=False``: up to the previous row; NULL for
+    the first row of a group).
 
     ``order`` must be a total order (end it with a unique key) for the result
     to be repeatable.  Steps: range shuffle on (group, order), so one group
@@ -63,7 +65,7 @@ def group_running_sum(df: DataFrame, order: list, value: Column | str | None = N
                 .withColumn("_pid", F.spark_partition_id())
                 .checkpoint(eager=True))
     wl = (Window.partitionBy("_pid", *group).orderBy(*okeys)
-          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+          .rowsBetween(Window.unboundedPreceding, Window.currentRow if inclusive else -1))
     fn = F.sum if agg == "sum" else F.max
     local = ranged.withColumn("_lsum", fn("_v").over(wl))
     totals = ranged.groupBy(*group, "_pid").agg(fn("_v").alias("_tot"))
@@ -71,7 +73,10 @@ def group_running_sum(df: DataFrame, order: list, value: Column | str | None = N
           .rowsBetween(Window.unboundedPreceding, -1))
     offsets = totals.select(*group, "_pid", fn("_tot").over(wo).alias("_off"))
     out = local.join(bounded_broadcast(offsets), on=[*group, "_pid"], how="inner")
-    if agg == "sum":
+    if agg == "sum" and not inclusive:
+        combined = F.when(F.col("_off").isNull() & F.col("_lsum").isNull(), F.lit(None)).otherwise(
+            F.coalesce(F.col("_off"), F.lit(0)) + F.coalesce(F.col("_lsum"), F.lit(0)))
+    elif agg == "sum":
         combined = F.coalesce(F.col("_off"), F.lit(0)) + F.col("_lsum")
     else:
         combined = F.greatest(F.col("_off"), F.col("_lsum"))  # greatest skips NULL

@@ -82,15 +82,17 @@ def q_avg_by_instance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return avg_by(r, ["user_id", "t"], "rate").withColumn("rate", F.round("rate", 8))
 
 
-def _grid_sql(series: str, src: str, cols: str) -> str:
-    """Frames (t - range, t] on the hourly grid for samples in ``src``."""
+def _grid_sql(series: str, src: str, cols: str, sfx: str = "") -> str:
+    """Frames (t - range, t] on the hourly grid for samples in ``src``; CTEs
+    g{sfx} (grid) and f{sfx} (frames)."""
+    keys = [c.strip() for c in series.split(",")]
     return f"""
-g AS (SELECT {series}, unnest(generate_series(CAST(ceil(lo / {S_US}) AS BIGINT),
+g{sfx} AS (SELECT {series}, unnest(generate_series(CAST(ceil(lo / {S_US}) AS BIGINT),
               CAST(floor((hi + {W_US} - 1) / {S_US}) AS BIGINT))) * {S_US} AS t
       FROM (SELECT {series}, min(us) AS lo, max(us) AS hi FROM {src} GROUP BY ALL)),
-f AS (SELECT {", ".join("g." + c.strip() for c in series.split(","))}, g.t, {cols}
-      FROM g JOIN {src} x ON {" AND ".join(f"x.{c.strip()} = g.{c.strip()}" for c in series.split(","))}
-                   AND x.us > g.t - {W_US} AND x.us <= g.t
+f{sfx} AS (SELECT {", ".join("gg." + c for c in keys)}, gg.t, {cols}
+      FROM g{sfx} gg JOIN {src} x ON {" AND ".join(f"x.{c} = gg.{c}" for c in keys)}
+                   AND x.us > gg.t - {W_US} AND x.us <= gg.t
       GROUP BY ALL)"""
 
 
@@ -137,18 +139,21 @@ def share_alerts(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return TS.alert_intervals(cond, ["user_id"], STEP_S, FOR_S, name)
 
 
-def _alerts_sql(name: str) -> str:
+def _alerts_sql(name: str, sfx: str = "") -> str:
+    """CTE chain ending in a{sfx}: intervals of one share alert."""
     etype, limit = ALERT_DEFS[name]
+    hits = f"count(*) AS n, count(*) FILTER (WHERE x.event_type = '{etype}') AS hits"
     return f"""
-e AS (SELECT user_id, epoch_us(ts) AS us, event_type FROM events),
-{_grid_sql("user_id", "e", f"count(*) AS n, count(*) FILTER (WHERE x.event_type = '{etype}') AS hits")},
-c AS (SELECT user_id, t FROM f WHERE hits / n > {limit}),
-i AS (SELECT user_id, t, t // {S_US} - row_number() OVER (PARTITION BY user_id ORDER BY t) AS isl FROM c),
-isl AS (SELECT user_id, min(t) AS s, max(t) AS e FROM i GROUP BY user_id, isl),
-a AS (SELECT user_id, '{name}' AS alertname, make_timestamp(s) AS pending_at,
+e{sfx} AS (SELECT user_id, epoch_us(ts) AS us, event_type FROM events),
+{_grid_sql("user_id", "e" + sfx, hits, sfx)},
+c{sfx} AS (SELECT user_id, t FROM f{sfx} WHERE hits / n > {limit}),
+i{sfx} AS (SELECT user_id, t, t // {S_US} - row_number() OVER (PARTITION BY user_id ORDER BY t) AS isl
+          FROM c{sfx}),
+isl{sfx} AS (SELECT user_id, min(t) AS s, max(t) AS e FROM i{sfx} GROUP BY user_id, isl),
+a{sfx} AS (SELECT user_id, '{name}' AS alertname, make_timestamp(s) AS pending_at,
              make_timestamp(s + {FOR_S * 1_000_000}) AS firing_at,
              make_timestamp(e + {S_US}) AS resolved_at
-      FROM isl WHERE e - s >= {FOR_S * 1_000_000})"""
+      FROM isl{sfx} WHERE e - s >= {FOR_S * 1_000_000})"""
 
 
 @query("alert_intervals", sql=f"WITH {_alerts_sql('HighErrorRate')} SELECT * FROM a")
@@ -157,16 +162,10 @@ def q_alert_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return share_alerts(spark, sf_dir, "HighErrorRate")
 
 
-@query("inhibit_anti_join", sql=f"""WITH {_alerts_sql('SlowInference')},
-tgt AS (SELECT * FROM a),
-{_alerts_sql('HighErrorRate').replace('e AS (', 'e2 AS (').replace('FROM e ', 'FROM e2 ')
-    .replace(' e x ', ' e2 x ').replace('g AS (', 'g2 AS (').replace('FROM g ', 'FROM g2 ')
-    .replace('JOIN g ', 'JOIN g2 ').replace('g.', 'g2.').replace('f AS (', 'f2 AS (')
-    .replace('FROM f ', 'FROM f2 ').replace('c AS (', 'c2 AS (').replace('FROM c)', 'FROM c2)')
-    .replace('i AS (', 'i2 AS (').replace('FROM i ', 'FROM i2 ').replace('isl AS (', 'isl2 AS (')
-    .replace('FROM isl ', 'FROM isl2 ').replace('a AS (', 'src AS (')}
-SELECT * FROM tgt t WHERE NOT EXISTS (
-  SELECT 1 FROM src s WHERE s.user_id = t.user_id
+@query("inhibit_anti_join", sql=f"""WITH {_alerts_sql('SlowInference', '_t')},
+{_alerts_sql('HighErrorRate', '_s')}
+SELECT * FROM a_t t WHERE NOT EXISTS (
+  SELECT 1 FROM a_s s WHERE s.user_id = t.user_id
     AND t.firing_at < s.resolved_at AND t.resolved_at > s.firing_at)""")
 def q_inhibit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SlowInference stand-in alerts suppressed while the error alert
@@ -302,3 +301,35 @@ def q_vector_arith(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = vector_arith(long, ["user_id", "day"], "metric", "value", "errors", "total",
                      lambda a, b: (F.lit(1.0) - (b - a) / b) * 100)
     return v.withColumn("value", F.round("value", 6))
+
+
+@query("stream_notify", sql=f"""WITH {_alerts_sql('HighErrorRate', '_h')},
+{_alerts_sql('SlowInference', '_w')},
+al AS (SELECT x.*, r.severity FROM (SELECT * FROM a_h UNION ALL SELECT * FROM a_w) x
+       JOIN {_RULES_SQL} USING (alertname)),
+o AS (SELECT alertname, severity, epoch_us(firing_at) AS s, epoch_us(resolved_at) AS e,
+             max(epoch_us(resolved_at)) OVER (PARTITION BY alertname, severity
+                 ORDER BY epoch_us(firing_at), epoch_us(resolved_at), user_id
+                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev_end,
+             user_id FROM al),
+p AS (SELECT *, sum(CASE WHEN prev_end IS NULL OR s > prev_end THEN 1 ELSE 0 END)
+                  OVER (PARTITION BY alertname, severity ORDER BY s, e, user_id
+                        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS episode FROM o),
+ep AS (SELECT alertname, severity, episode, min(s) AS f, max(e) AS t,
+              min(s) + CASE WHEN severity = 'critical' THEN 10 ELSE 30 END * 1000000 AS first
+       FROM p GROUP BY alertname, severity, episode)
+SELECT alertname, severity, episode, 'firing' AS status, make_timestamp(first + k * 3600000000) AS at
+FROM (SELECT *, unnest(generate_series(0, CAST(greatest(0, ceil((t - first) / 3600000000.0) - 1) AS BIGINT))) AS k
+      FROM ep WHERE first < t)
+UNION ALL
+SELECT alertname, severity, episode, 'resolved', make_timestamp(t) FROM ep""")
+def q_stream_notify(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R7 (batch form): grouped notices per (alertname, severity): first
+    after group_wait, hourly repeats while the episode lasts, resolved."""
+    rules = spark.createDataFrame(ALERT_RULES, "alertname string, severity string, summary string, "
+                                               "description string").select("alertname", "severity")
+    alerts = (share_alerts(spark, sf_dir, "HighErrorRate")
+              .unionByName(share_alerts(spark, sf_dir, "SlowInference"))
+              .join(F.broadcast(rules), "alertname"))
+    n = TS.notify_schedule(alerts, ["alertname", "severity"], key="user_id")
+    return n.select("alertname", "severity", "episode", "status", "at")

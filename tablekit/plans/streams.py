@@ -276,3 +276,35 @@ def q_stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
                                          F.col("prediction").cast("int").alias("prediction"))
     ST.run_available_now(scored, dirs["checkpoint"], "append", path=dirs["sink"])
     return ST.read_sink(spark, dirs["sink"])
+
+
+ALERTS = T.StructType([T.StructField("user_id", T.LongType()), T.StructField("kind", T.StringType()),
+                       T.StructField("pending_at", T.TimestampNTZType()),
+                       T.StructField("firing_at", T.TimestampNTZType()),
+                       T.StructField("resolved_at", T.TimestampNTZType())])
+
+
+@query("stream_inhibit", sql=f"""WITH {SER._alerts_sql('SlowInference', '_t')},
+{SER._alerts_sql('HighErrorRate', '_s')}
+SELECT * FROM a_t t WHERE NOT EXISTS (
+  SELECT 1 FROM a_s s WHERE s.user_id = t.user_id
+    AND t.firing_at < s.resolved_at AND t.resolved_at > s.firing_at)""")
+def q_stream_inhibit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J4 on live alerts (state per instance), equal to the batch J4."""
+    cols = ["user_id", "pending_at", "firing_at", "resolved_at"]
+    tgt = SER.share_alerts(spark, sf_dir, "SlowInference").select(*cols).withColumn("kind", F.lit("target"))
+    src = SER.share_alerts(spark, sf_dir, "HighErrorRate").select(*cols).withColumn("kind", F.lit("source"))
+    dirs = ST.stream_dirs(spark, "inhibit")
+    ST.stage_files(tgt.unionByName(src).select(*ALERTS.names), dirs["source"], 4, "firing_at")
+
+    def build(s):
+        return ST.stream_inhibit(s.withColumn("firing_at", F.coalesce("firing_at", "pending_at"))
+                                 .withColumn("resolved_at", F.coalesce("resolved_at", "firing_at"))
+                                 .withColumn("pending_at", F.coalesce("pending_at", "firing_at"))
+                                 .withColumn("kind", F.coalesce("kind", F.lit("source"))), "user_id")
+    ST.replay(spark, build, dirs, ALERTS, "append", "pending_at", "user_id")
+    out = ST.read_sink(spark, dirs["sink"]).filter(F.col("instance") >= 0)
+    return out.select(F.col("instance").alias("user_id"), F.lit("SlowInference").alias("alertname"),
+                      from_epoch_us(F.col("pending_us")).alias("pending_at"),
+                      from_epoch_us(F.col("firing_us")).alias("firing_at"),
+                      from_epoch_us(F.col("resolved_us")).alias("resolved_at"))

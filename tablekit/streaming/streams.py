@@ -267,3 +267,59 @@ def threshold_notify_sink(notice_path: str, limit: int, once: bool = True):
         reached.withColumn("batch", F.lit(batch_id)).write.mode("overwrite").parquet(
             f"{notice_path}/_batch={batch_id}")
     return write
+
+
+# ---------------------------------------------------------------- R8
+INHIBIT_OUT = T.StructType([
+    T.StructField("instance", T.LongType()), T.StructField("pending_us", T.LongType()),
+    T.StructField("firing_us", T.LongType()), T.StructField("resolved_us", T.LongType())])
+_IV = T.StructType([T.StructField("s", T.LongType()), T.StructField("e", T.LongType()),
+                    T.StructField("p", T.LongType())])
+INHIBIT_STATE = T.StructType([T.StructField("sources", T.ArrayType(_IV)),
+                              T.StructField("targets", T.ArrayType(_IV))])
+
+
+def inhibit_fn():
+    """Per instance: the source intervals still able to overlap something,
+    and the target intervals not yet decided.  A target is decided once the
+    watermark passes its end (every source starting before it has arrived);
+    it is emitted when no source overlaps it (s.start < t.end and s.end >
+    t.start).  Sources that can no longer overlap are pruned."""
+    def fn(key, pdfs, state: GroupState):
+        inst = int(key[0])
+        src, tgt = ([tuple(x) for x in state.get[0]], [tuple(x) for x in state.get[1]]) \
+            if state.exists else ([], [])
+        if not state.hasTimedOut:
+            for p in pdfs:
+                for kind, s, e, pend in zip(p["kind"], p["s_us"], p["e_us"], p["p_us"]):
+                    (src if kind == "source" else tgt).append((int(s), int(e), int(pend)))
+        wm = state.getCurrentWatermarkMs() * 1000
+        out, keep = [], []
+        for t in tgt:
+            if t[1] <= wm:
+                if not any(s[0] < t[1] and s[1] > t[0] for s in src):
+                    out.append((inst, t[2], t[0], t[1]))
+            else:
+                keep.append(t)
+        horizon = min([wm] + [t[0] for t in keep])
+        src = [s for s in src if s[1] > horizon]
+        if keep or src:
+            state.update((src, keep))
+            if keep:
+                state.setTimeoutTimestamp(min(t[1] for t in keep) // 1000)
+        elif state.exists:
+            state.remove()
+        yield pd.DataFrame(out, columns=["instance", "pending_us", "firing_us", "resolved_us"])
+    return fn
+
+
+def stream_inhibit(alerts: DataFrame, instance: str, watermark: str = "0 seconds") -> DataFrame:
+    """Targets suppressed while an overlapping source alert fires on the
+    same instance, on a stream of (instance, kind, pending_at, firing_at,
+    resolved_at) rows (kind 'source' or 'target'); event time = firing_at."""
+    a = (alerts.withColumn("_et", event_time("firing_at"))
+               .withColumn("s_us", epoch_us("firing_at")).withColumn("e_us", epoch_us("resolved_at"))
+               .withColumn("p_us", epoch_us("pending_at"))
+               .withColumnRenamed(instance, "instance").withWatermark("_et", watermark))
+    return a.groupBy("instance").applyInPandasWithState(
+        inhibit_fn(), INHIBIT_OUT, INHIBIT_STATE, "append", GroupStateTimeout.EventTimeTimeout)
