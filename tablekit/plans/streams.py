@@ -118,8 +118,9 @@ def _quantile_post(w: DataFrame) -> DataFrame:
                     .alias("q95"))
 
 
-_Q_AGGS = ([F.count_if(F.col("value") / 10 <= float(b)).alias(f"c{i}")
-            for i, b in enumerate(LATENCY_BUCKETS)] + [F.count(F.lit(1)).alias("cinf")])
+def _q_aggs():
+    return ([F.count_if(F.col("value") / 10 <= float(b)).alias(f"c{i}")
+             for i, b in enumerate(LATENCY_BUCKETS)] + [F.count(F.lit(1)).alias("cinf")])
 
 
 @query("stream_quantile", sql=f"""WITH {_SLIDE_SQL},
@@ -131,7 +132,7 @@ SELECT event_type, make_timestamp(e - 21600000000) AS window_start, make_timesta
 FROM c""")
 def q_stream_quantile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """p95 latency from bucket counts inside each sliding window."""
-    return _windowed(spark, sf_dir, "quantile", "6 hours", "1 hour", _Q_AGGS, _quantile_post)
+    return _windowed(spark, sf_dir, "quantile", "6 hours", "1 hour", _q_aggs(), _quantile_post)
 
 
 @query("stream_recording", sql=f"""WITH {_SLIDE_SQL},
@@ -148,7 +149,7 @@ def q_stream_recording(spark: SparkSession, sf_dir: str) -> DataFrame:
         q = _quantile_post(w)
         return q.select(F.lit("job:captioning_inference_latency:p95").alias("name"), "event_type",
                         F.col("window_end").alias("t"), F.col("q95").alias("value"))
-    return _windowed(spark, sf_dir, "recording", "6 hours", "1 hour", _Q_AGGS, post)
+    return _windowed(spark, sf_dir, "recording", "6 hours", "1 hour", _q_aggs(), post)
 
 
 COND = T.StructType([T.StructField("user_id", T.LongType()), T.StructField("t", T.TimestampNTZType())])
