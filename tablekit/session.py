@@ -43,19 +43,21 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A folder under the cluster's shared checkpoint folder.
 
     The cluster names its shared folder in ``spark.checkpoint.dir``; it is
-    read from the session.  Only when it is unset (local tests) a private
-    temporary folder is created and registered as the checkpoint folder.
+    read from the session.  Only when neither the setting nor the context's
+    checkpoint folder exists (local tests) a private temporary folder is made
+    and registered with ``setCheckpointDir`` (a core setting cannot be
+    changed through ``spark.conf`` at run time).
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not base:
-        base = tempfile.mkdtemp(prefix="tablekit-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", base)
-        spark.sparkContext.setCheckpointDir(base)
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="tablekit-ckpt-"))
+        base = sc.getCheckpointDir()
     return "/".join([base.rstrip("/"), *parts]) if parts else base
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Make ``DataFrame.checkpoint()`` usable, using the session's folder."""
+    """Make ``DataFrame.checkpoint()`` usable, in the session's folder."""
     base = shared_dir(spark)
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:

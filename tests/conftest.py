@@ -22,9 +22,9 @@ def spark():
          .config("spark.sql.chunkBase64String.enabled", "false")
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
-    if not s.conf.get("spark.checkpoint.dir", None):
+    if not s.conf.get("spark.checkpoint.dir", None) and s.sparkContext.getCheckpointDir() is None:
         # tests only: a private folder when the session names none
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tablekit-test-ckpt-"))
+        s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tablekit-test-ckpt-"))
     yield s
 
 
