@@ -150,7 +150,8 @@ def q_word_count_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "documents").select("lang", word_count("text").alias("w"))
     return d.groupBy("lang").agg(F.count(F.lit(1)).alias("docs"),
                                  F.sum("w").cast("long").alias("words"),
-                                 F.min("w").alias("min_words"), F.max("w").alias("max_words"))
+                                 F.min("w").cast("long").alias("min_words"),
+                                 F.max("w").cast("long").alias("max_words"))
 
 
 def _hist_sql(bounds: list[float]) -> str:

@@ -206,8 +206,8 @@ WITH x AS (
   SELECT event_type, event_id, ts + to_microseconds(CAST(round(value * 1000000) AS BIGINT)), -1, 0
   FROM events)
 SELECT event_type, event_id, at_time, delta,
-       sum(delta) OVER (PARTITION BY event_type ORDER BY at_time, o, event_id
-                        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS in_flight
+       CAST(sum(delta) OVER (PARTITION BY event_type ORDER BY at_time, o, event_id
+                        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS in_flight
 FROM x""")
 def q_inflight_gauge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Requests in flight per event type; a request lasts ``value``
@@ -312,9 +312,9 @@ o AS (SELECT alertname, severity, epoch_us(firing_at) AS s, epoch_us(resolved_at
                  ORDER BY epoch_us(firing_at), epoch_us(resolved_at), user_id
                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev_end,
              user_id FROM al),
-p AS (SELECT *, sum(CASE WHEN prev_end IS NULL OR s > prev_end THEN 1 ELSE 0 END)
+p AS (SELECT *, CAST(sum(CASE WHEN prev_end IS NULL OR s > prev_end THEN 1 ELSE 0 END)
                   OVER (PARTITION BY alertname, severity ORDER BY s, e, user_id
-                        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS episode FROM o),
+                        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS episode FROM o),
 ep AS (SELECT alertname, severity, episode, min(s) AS f, max(e) AS t,
               min(s) + CASE WHEN severity = 'critical' THEN 10 ELSE 30 END * 1000000 AS first
        FROM p GROUP BY alertname, severity, episode)

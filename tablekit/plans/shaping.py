@@ -113,7 +113,7 @@ def q_page_content(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir_for(spark, "page_content")
     K.sink_parquet(K.page_content(table(spark, sf_dir, "pages")), path)
     back = spark.read.parquet(path)
-    return back.select("html_path", F.length("html").alias("html_chars"))
+    return back.select("html_path", F.length("html").cast("long").alias("html_chars"))
 
 
 # ------------------------------------------------------------------ projections
@@ -208,7 +208,7 @@ def q_coerce_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("error_as_value", sql=r"""
-SELECT event_id, TRY_CAST(regexp_extract(props, '"k":\s*([0-9]+)', 1) AS INTEGER) AS value,
+SELECT event_id, TRY_CAST(regexp_extract(props, '"k":\s*([0-9]+)', 1) AS DOUBLE) AS value,
        CASE WHEN event_type = 'error' THEN 'failed' ELSE 'success' END AS status,
        CASE WHEN event_type = 'error' THEN 'cannot parse: ' || props END AS error
 FROM (SELECT event_id, event_type,
@@ -222,7 +222,7 @@ def q_error_as_value(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_id", F.when(F.col("event_type") == "error",
                            F.replace("props", F.lit('"k": '), F.lit('"k": x')))
         .otherwise(F.col("props")).alias("props"))
-    v = F.regexp_extract("props", r'"k":\s*([0-9]+)', 1).try_cast("int")
+    v = F.regexp_extract("props", r'"k":\s*([0-9]+)', 1).try_cast("double")
     failed = F.regexp_extract("props", r'"k":\s*([0-9]+)', 1) == ""
     return ev.select("event_id", v.alias("value"),
                      F.when(failed, "failed").otherwise("success").alias("status"),

@@ -114,7 +114,7 @@ def run_trip_job(spark: SparkSession, sf_dir: str, out: str) -> dict:
 _TRIPS_SQL = """
 WITH t AS (
   SELECT l_orderkey, l_partkey, l_suppkey, CAST(l_linenumber AS BIGINT) AS l_linenumber,
-         l_quantity - 1 AS distance, NULLIF(l_linenumber, 7) AS passengers,
+         l_quantity - 1 AS distance, NULLIF(CAST(l_linenumber AS BIGINT), 7) AS passengers,
          l_shipdate AS dropoff, l_suppkey AS zone, l_extendedprice AS fare
   FROM lineitem),
 raw AS (SELECT * FROM t UNION ALL SELECT * FROM t),
