@@ -333,3 +333,45 @@ def q_stream_notify(spark: SparkSession, sf_dir: str) -> DataFrame:
               .join(F.broadcast(rules), "alertname"))
     n = TS.notify_schedule(alerts, ["alertname", "severity"], key="user_id")
     return n.select("alertname", "severity", "episode", "status", "at")
+
+
+@query("observability", sql=f"""WITH {_alerts_sql('HighErrorRate', '_h')},
+{_alerts_sql('SlowInference', '_w')},
+kept AS (SELECT * FROM a_w t WHERE NOT EXISTS (
+  SELECT 1 FROM a_h s WHERE s.user_id = t.user_id
+    AND t.firing_at < s.resolved_at AND t.resolved_at > s.firing_at)),
+al AS (SELECT x.*, r.severity FROM (SELECT * FROM a_h UNION ALL SELECT * FROM kept) x
+       JOIN {_RULES_SQL} USING (alertname)),
+o AS (SELECT alertname, severity, epoch_us(firing_at) AS s, epoch_us(resolved_at) AS e,
+             max(epoch_us(resolved_at)) OVER (PARTITION BY alertname, severity
+                 ORDER BY epoch_us(firing_at), epoch_us(resolved_at), user_id
+                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev_end,
+             user_id FROM al),
+p AS (SELECT *, CAST(sum(CASE WHEN prev_end IS NULL OR s > prev_end THEN 1 ELSE 0 END)
+                  OVER (PARTITION BY alertname, severity ORDER BY s, e, user_id
+                        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS episode FROM o),
+ep AS (SELECT alertname, severity, episode, min(s) AS f, max(e) AS t,
+              min(s) + CASE WHEN severity = 'critical' THEN 10 ELSE 30 END * 1000000 AS first
+       FROM p GROUP BY alertname, severity, episode),
+n AS (
+  SELECT alertname, severity, episode, 'firing' AS status, first + k * 3600000000 AS at_us
+  FROM (SELECT *, unnest(generate_series(0, CAST(greatest(0, ceil((t - first) / 3600000000.0) - 1) AS BIGINT))) AS k
+        FROM ep WHERE first < t)
+  UNION ALL SELECT alertname, severity, episode, 'resolved', t FROM ep)
+SELECT '[' || upper(status) || '] ' || alertname AS subject, severity, episode, status,
+       make_timestamp(at_us) AS at
+FROM n""")
+def q_observability(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Share alerts per instance (sliding 6 h frames, gaps and islands),
+    the warning alert inhibited while the critical one fires on the same
+    instance, rule severity attached, grouped notices with subjects."""
+    from tablekit.functions.text import status_subject
+    rules = spark.createDataFrame(ALERT_RULES, "alertname string, severity string, summary string, "
+                                               "description string")
+    crit = share_alerts(spark, sf_dir, "HighErrorRate")
+    warn = inhibit(share_alerts(spark, sf_dir, "SlowInference"), crit, ["user_id"],
+                   start="firing_at", end="resolved_at")
+    alerts = alert_enrich(crit.unionByName(warn), rules)
+    n = TS.notify_schedule(alerts, ["alertname", "severity"], key="user_id")
+    return n.select(status_subject("status", "alertname").alias("subject"), "severity", "episode",
+                    "status", "at")
