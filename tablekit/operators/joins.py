@@ -89,11 +89,11 @@ def inhibit(targets: DataFrame, sources: DataFrame, equal: list[str],
     A target overlaps some source iff the largest ``s.end`` among sources
     with ``s.start < t.end`` is above ``t.start``.  Sources and targets are put
     in one stream per label set, ordered by (source start | target end), and a
-    running max of source ends answers every target: one sort per label set,
-    no pair of rows is ever formed, so a label set holding most intervals costs
-    O(n log n) rather than n x m.
+    running max of source ends answers every target: no pair of rows is ever
+    formed, and the running max is range-partitioned, so a label set holding
+    most intervals is sorted across many tasks (O(n log n), not n x m).
     """
-    from pyspark.sql import Window
+    from tablekit.operators.splits import group_running_sum
     tcols = targets.columns
     t = targets.select(*[F.col(k) for k in equal],
                        F.col(end).alias("_k"), F.lit(0).alias("_kind"),
@@ -105,9 +105,8 @@ def inhibit(targets: DataFrame, sources: DataFrame, equal: list[str],
                        F.lit(None).cast(t.schema["_row"].dataType).alias("_row"))
     # at equal key a target sorts first: a source starting exactly at t.end
     # does not overlap
-    w = (Window.partitionBy(*equal).orderBy("_k", "_kind")
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    both = t.unionByName(s).withColumn("_max_end", F.max("_s_end").over(w))
+    both = group_running_sum(t.unionByName(s), ["_k", "_kind"], "_s_end", equal,
+                             name="_max_end", agg="max")
     kept = both.filter((F.col("_kind") == 0) & ~F.coalesce(
         F.col("_max_end") > F.col("_row").getField(start), F.lit(False)))
     return kept.select("_row.*")

@@ -229,11 +229,11 @@ def first_wins_sink(table_path: str, key: str, order: list[str]):
 
     def write(df: DataFrame, batch_id: int) -> None:
         spark = df.sparkSession
-        try:
-            stored = spark.read.parquet(table_path)
+        try:  # only the key and id columns of the stored table are read
+            stored = spark.read.parquet(table_path).select("id", key, "_batch")
+            stored = stored.filter(F.col("_batch") != batch_id).drop("_batch")
         except Exception:  # noqa: BLE001 - first batch: empty table
             stored = df.limit(0).select(F.lit(0).cast("long").alias("id"), key)
-        stored = stored.filter(~F.col("_batch").isin(batch_id)) if "_batch" in stored.columns else stored
         new = insert_or_ignore(stored.select("id", key), df, key, order)
         new.write.mode("overwrite").parquet(f"{table_path}/_batch={batch_id}")
     return write
