@@ -1,22 +1,28 @@
 """Ranks, splits, sampling and orderings.
 
-Exact ranks never go through a single task: ``group_rank`` range-partitions
-the rows on (group, order), so one group holding a third of all rows is
-spread over many tasks, numbers rows locally, and adds the row counts of the
-earlier partitions of the same group (a table of at most partitions x groups
-rows).  Randomness is an md5 of (seed, key): the same in any partition layout
+Exact ranks never go through a single task: ``group_rank`` cuts every group
+into value buckets of its order key (quantile bounds per group), so one group
+holding a third of all rows is spread over many tasks, numbers rows locally,
+and adds the row counts of the earlier buckets of the same group (a table of
+at most buckets x groups rows).  Randomness is an md5 of (seed, key): the same in any partition layout
 and in any engine that has md5.
 """
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablekit.operators.joins import bounded_broadcast
 from tablekit.session import ensure_checkpoint_dir
 
 
+_EPOCH = _dt.datetime(1970, 1, 1)
+
+
 def _cols(xs):
     return [F.col(x) if isinstance(x, str) else x for x in xs]
 
@@ -36,24 +42,88 @@ def seeded_uniform(seed: int | str, key: Column | str, salt: str = "") -> Column
 
 
 # ---------------------------------------------------------------- exact ranks
+def _order_proxy(df: DataFrame, c: str) -> Column | None:
+    """A double that never decreases when ``c`` increases (ascending order),
+    or None when the type has no such cheap proxy."""
+    t = df.schema[c].dataType
+    x = F.col(c)
+    if isinstance(t, (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
+                      T.DoubleType, T.DecimalType)):
+        return x.cast("double")
+    if isinstance(t, T.BooleanType):
+        return x.cast("int").cast("double")
+    if isinstance(t, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+        return F.timestamp_diff("MICROSECOND", F.lit(_EPOCH).cast("timestamp_ntz"),
+                                x.cast("timestamp_ntz")).cast("double")
+    if isinstance(t, T.StringType):
+        # first 7 bytes, zero-padded, read as a number: byte order = string order
+        return F.conv(F.rpad(F.hex(F.substring(x, 1, 7)), 14, "0"), 16, 10).cast("double")
+    return None
+
+
+def _combine(agg: str, inclusive: bool) -> Column:
+    if agg == "sum" and not inclusive:
+        return F.when(F.col("_off").isNull() & F.col("_lsum").isNull(), F.lit(None)).otherwise(
+            F.coalesce(F.col("_off"), F.lit(0)) + F.coalesce(F.col("_lsum"), F.lit(0)))
+    if agg == "sum":
+        return F.coalesce(F.col("_off"), F.lit(0)) + F.col("_lsum")
+    return F.greatest(F.col("_off"), F.col("_lsum"))  # greatest skips NULL
+
+
 def group_running_sum(df: DataFrame, order: list, value: Column | str | None = None,
                       group: list[str] | None = None, name: str = "running",
                       partitions: int | None = None, agg: str = "sum",
                       inclusive: bool = True) -> DataFrame:
     """Running sum (or max, ``agg="max"``) of ``value`` (default 1, i.e. the
-    row number) within ``group`` in ``order``, rows unbounded preceding to
-    the current row (``inclusive=False``: up to the previous row; NULL for
-    the first row of a group).
+    row number) within ``group`` in ascending ``order``, rows unbounded
+    preceding to the current row (``inclusive=False``: up to the previous
+    row; NULL for the first row of a group).
 
     ``order`` must be a total order (end it with a unique key) for the result
-    to be repeatable.  Steps: range shuffle on (group, order), so one group
-    holding a third of all rows spans many tasks; the partition id is fixed by
-    a reliable checkpoint (both branches below then see the same layout even
-    if tasks rerun); local running sums per (partition, group); offsets = the
-    totals of the earlier partitions of the same group (a table of at most
-    partitions x groups rows).
+    to be repeatable.  A group is cut into value buckets of its first order
+    column: approximate quantile bounds per group (a table of groups x
+    buckets values, checkpointed once so every branch sees the same bounds)
+    give each row a bucket that only depends on its own value.  One exchange on
+    (group, bucket) then carries the local running sums; the bucket totals
+    (read from the same exchange) give each bucket the sum of the earlier
+    buckets of its group.  A group holding a third of all rows is spread over
+    all buckets; no single task sees it whole and no driver collect happens.
     """
     group = group or []
+    first = order[0] if order else None
+    proxy = _order_proxy(df, first) if isinstance(first, str) and first in df.columns else None
+    if proxy is None:
+        return _group_running_sum_ranged(df, order, value, group, name, partitions, agg, inclusive)
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    okeys = _cols(order)
+    v = F.lit(1).cast("long") if value is None else (
+        F.col(value) if isinstance(value, str) else value)
+    x = df.withColumn("_v", v).withColumn("_px", proxy)
+    qs = [i / n for i in range(1, n)]
+    bounds = (x.groupBy(*group).agg(F.percentile_approx("_px", qs, 1000).alias("_bounds"))
+               .checkpoint(eager=True))
+    xb = (x.join(bounded_broadcast(bounds), on=group, how="left") if group
+          else x.crossJoin(bounded_broadcast(bounds)))
+    xb = xb.withColumn("_bk", F.coalesce(F.size(F.filter("_bounds", lambda b: b < F.col("_px"))),
+                                         F.lit(0))).drop("_bounds", "_px")
+    fn = F.sum if agg == "sum" else F.max
+    wl = (Window.partitionBy(*group, "_bk").orderBy(*okeys)
+          .rowsBetween(Window.unboundedPreceding, Window.currentRow if inclusive else -1))
+    local = xb.withColumn("_lsum", fn("_v").over(wl))
+    totals = local.groupBy(*group, "_bk").agg(fn("_v").alias("_tot"))
+    wo = Window.partitionBy(*group).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*group, "_bk", fn("_tot").over(wo).alias("_off"))
+    out = local.join(bounded_broadcast(offsets), on=[*group, "_bk"], how="inner")
+    return out.withColumn(name, _combine(agg, inclusive)).drop("_bk", "_lsum", "_off", "_v")
+
+
+def _group_running_sum_ranged(df: DataFrame, order: list, value, group: list[str], name: str,
+                              partitions: int | None, agg: str, inclusive: bool) -> DataFrame:
+    """Fallback for orders without a numeric proxy (descending columns,
+    expressions): range shuffle on (group, order), partition ids fixed by a
+    reliable checkpoint, local running sums, offsets of earlier partitions."""
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -73,14 +143,7 @@ def group_running_sum(df: DataFrame, order: list, value: Column | str | None = N
           .rowsBetween(Window.unboundedPreceding, -1))
     offsets = totals.select(*group, "_pid", fn("_tot").over(wo).alias("_off"))
     out = local.join(bounded_broadcast(offsets), on=[*group, "_pid"], how="inner")
-    if agg == "sum" and not inclusive:
-        combined = F.when(F.col("_off").isNull() & F.col("_lsum").isNull(), F.lit(None)).otherwise(
-            F.coalesce(F.col("_off"), F.lit(0)) + F.coalesce(F.col("_lsum"), F.lit(0)))
-    elif agg == "sum":
-        combined = F.coalesce(F.col("_off"), F.lit(0)) + F.col("_lsum")
-    else:
-        combined = F.greatest(F.col("_off"), F.col("_lsum"))  # greatest skips NULL
-    return out.withColumn(name, combined).drop("_pid", "_lsum", "_off", "_v")
+    return out.withColumn(name, _combine(agg, inclusive)).drop("_pid", "_lsum", "_off", "_v")
 
 
 def group_rank(df: DataFrame, order: list, group: list[str] | None = None,
