@@ -73,7 +73,7 @@ def _combine(agg: str, inclusive: bool) -> Column:
 def group_running_sum(df: DataFrame, order: list, value: Column | str | None = None,
                       group: list[str] | None = None, name: str = "running",
                       partitions: int | None = None, agg: str = "sum",
-                      inclusive: bool = True) -> DataFrame:
+                      inclusive: bool = True, materialize: bool = True) -> DataFrame:
     """Running sum (or max, ``agg="max"``) of ``value`` (default 1, i.e. the
     row number) within ``group`` in ascending ``order``, rows unbounded
     preceding to the current row (``inclusive=False``: up to the previous
@@ -88,6 +88,11 @@ def group_running_sum(df: DataFrame, order: list, value: Column | str | None = N
     (read from the same exchange) give each bucket the sum of the earlier
     buckets of its group.  A group holding a third of all rows is spread over
     all buckets; no single task sees it whole and no driver collect happens.
+
+    ``materialize`` (default) writes the input once as a reliable checkpoint
+    in the shared checkpoint folder, so the bounds, the running sums and the
+    totals read it instead of re-running a deep lineage three times; pass
+    False when the input is a plain table scan (re-reading it is cheaper).
     """
     group = group or []
     first = order[0] if order else None
@@ -101,13 +106,21 @@ def group_running_sum(df: DataFrame, order: list, value: Column | str | None = N
     v = F.lit(1).cast("long") if value is None else (
         F.col(value) if isinstance(value, str) else value)
     x = df.withColumn("_v", v).withColumn("_px", proxy)
+    if materialize:
+        x = x.checkpoint(eager=True)
     qs = [i / n for i in range(1, n)]
     bounds = (x.groupBy(*group).agg(F.percentile_approx("_px", qs, 1000).alias("_bounds"))
                .checkpoint(eager=True))
     xb = (x.join(bounded_broadcast(bounds), on=group, how="left") if group
           else x.crossJoin(bounded_broadcast(bounds)))
-    xb = xb.withColumn("_bk", F.coalesce(F.size(F.filter("_bounds", lambda b: b < F.col("_px"))),
-                                         F.lit(0))).drop("_bounds", "_px")
+    # bucket = number of bounds below the value: plain comparisons (code
+    # generated), not a per-row lambda
+    below = [F.coalesce((F.col("_bounds")[i] < F.col("_px")).cast("int"), F.lit(0))
+             for i in range(len(qs))]
+    bucket = below[0]
+    for b in below[1:]:
+        bucket = bucket + b
+    xb = xb.withColumn("_bk", bucket).drop("_bounds", "_px")
     fn = F.sum if agg == "sum" else F.max
     wl = (Window.partitionBy(*group, "_bk").orderBy(*okeys)
           .rowsBetween(Window.unboundedPreceding, Window.currentRow if inclusive else -1))
@@ -115,7 +128,11 @@ def group_running_sum(df: DataFrame, order: list, value: Column | str | None = N
     totals = local.groupBy(*group, "_bk").agg(fn("_v").alias("_tot"))
     wo = Window.partitionBy(*group).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*group, "_bk", fn("_tot").over(wo).alias("_off"))
-    out = local.join(bounded_broadcast(offsets), on=[*group, "_bk"], how="inner")
+    # no size probe here (it would be a job re-running the input): the big
+    # side is already hash-partitioned and sorted on (group, bucket), so a
+    # sort-merge join only moves the small offsets table, and AQE turns it
+    # into a broadcast from the measured size when that is smaller
+    out = local.join(offsets, on=[*group, "_bk"], how="inner")
     return out.withColumn(name, _combine(agg, inclusive)).drop("_bk", "_lsum", "_off", "_v")
 
 
@@ -147,11 +164,12 @@ def _group_running_sum_ranged(df: DataFrame, order: list, value, group: list[str
 
 
 def group_rank(df: DataFrame, order: list, group: list[str] | None = None,
-               name: str = "rank", partitions: int | None = None) -> DataFrame:
+               name: str = "rank", partitions: int | None = None,
+               materialize: bool = True) -> DataFrame:
     """1-based row number within ``group`` (or over all rows) by ``order``,
     computed without a single-task window (see ``group_running_sum``)."""
-    return group_running_sum(df, order, None, group, name, partitions).withColumn(
-        name, F.col(name).cast("long"))
+    return group_running_sum(df, order, None, group, name, partitions,
+                             materialize=materialize).withColumn(name, F.col(name).cast("long"))
 
 
 def next_row(df: DataFrame, order: list, group: list[str], cols: list[str],

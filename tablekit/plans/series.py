@@ -39,7 +39,7 @@ ALERT_DEFS = {"HighErrorRate": ("error", 0.3), "SlowInference": ("purchase", 0.3
 def counter_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events").withColumn("day", F.to_date("ts"))
     r = group_rank(ev.select("user_id", "event_type", "day", "ts", "event_id"), ["ts", "event_id"],
-                   group=["user_id", "event_type", "day"], name="value")
+                   group=["user_id", "event_type", "day"], name="value", materialize=False)
     return r.select("user_id", "event_type", "ts", F.col("value").cast("double").alias("value"))
 
 
