@@ -106,9 +106,12 @@ def main():
     ap.add_argument("keys", nargs="*")
     ap.add_argument("--sf", default="/root/testdata/sf0.01")
     args = ap.parse_args()
-    from tablekit.session import build_session
     import __spark_entry__ as E
-    spark = build_session("local[8]", 8)
+    from pyspark.sql import SparkSession
+    # a plain session, like the driver's: no settings of our own
+    spark = (SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8")
+             .config("spark.ui.enabled", "false").getOrCreate())
+    spark.sparkContext.setLogLevel("ERROR")
     qs, sqls = E.queries(), E.oracle_sql()
     keys = args.keys or sorted(qs)
     con = duck(args.sf)
