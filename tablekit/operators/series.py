@@ -21,6 +21,12 @@ from pyspark.sql import functions as F
 from tablekit.operators.splits import group_rank, group_running_sum
 
 EPOCH_NTZ = dt.datetime(1970, 1, 1)
+
+
+def ntz_literal(t: dt.datetime) -> Column:
+    """A zone-free timestamp literal built from text, so neither the Python
+    process's zone nor the session zone moves it."""
+    return F.lit(t.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
 DAY_US = 86_400 * 1_000_000
 
 
@@ -28,12 +34,12 @@ def epoch_us(ts: Column | str) -> Column:
     """Microseconds since 1970-01-01 of a zone-free or zoned timestamp, with
     no round trip through the session zone."""
     t = F.col(ts) if isinstance(ts, str) else ts
-    return F.timestamp_diff("MICROSECOND", F.lit(EPOCH_NTZ).cast("timestamp_ntz"),
+    return F.timestamp_diff("MICROSECOND", ntz_literal(EPOCH_NTZ),
                             t.cast("timestamp_ntz"))
 
 
 def from_epoch_us(us: Column) -> Column:
-    return F.timestamp_add("MICROSECOND", us, F.lit(EPOCH_NTZ).cast("timestamp_ntz"))
+    return F.timestamp_add("MICROSECOND", us, ntz_literal(EPOCH_NTZ))
 
 
 # ---------------------------------------------------------------- sliding core

@@ -53,7 +53,7 @@ def _order_proxy(df: DataFrame, c: str) -> Column | None:
     if isinstance(t, T.BooleanType):
         return x.cast("int").cast("double")
     if isinstance(t, (T.TimestampType, T.TimestampNTZType, T.DateType)):
-        return F.timestamp_diff("MICROSECOND", F.lit(_EPOCH).cast("timestamp_ntz"),
+        return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"),
                                 x.cast("timestamp_ntz")).cast("double")
     if isinstance(t, T.StringType):
         # first 7 bytes, zero-padded, read as a number: byte order = string order

@@ -331,7 +331,8 @@ def q_time_range_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F8: the last hour before a stated reference time."""
     import datetime as dt
     ev = table(spark, sf_dir, "events")
-    ref = F.lit(dt.datetime(2024, 1, 15, 12, 0, 0)).cast("timestamp_ntz")
+    from tablekit.operators.series import ntz_literal
+    ref = ntz_literal(dt.datetime(2024, 1, 15, 12, 0, 0))
     return S.time_range_filter(ev, "ts", ref, 3600).select("event_id", "ts", "user_id", "event_type")
 
 
