@@ -87,12 +87,15 @@ def sliding_eval(samples: DataFrame, series: list[str], ts: str, step_s: int, ra
 
 # ---------------------------------------------------------------- W6
 def counter_rate(samples: DataFrame, series: list[str], ts: str = "ts", value: str = "value",
-                 range_s: int = 300, step_s: int = 15) -> DataFrame:
+                 range_s: int = 300, step_s: int = 15, extrapolate: bool = False) -> DataFrame:
     """Per-second increase of a counter over (t - range, t] on the step grid.
 
     Increase = sum of the deltas between consecutive samples inside the
     frame; a drop is a counter reset and counts the new value; at least two
-    samples are needed.  (No edge extrapolation.)
+    samples are needed.  ``extrapolate`` stretches the increase to the edges
+    of the range like the usual monitoring rule: a gap to an edge counts in
+    full when shorter than 1.1 average sample intervals, else as half an
+    interval, and the start never reaches below the counter's zero.
     """
     def prep(df, part):
         prev = F.lag(value).over(part)
@@ -100,12 +103,28 @@ def counter_rate(samples: DataFrame, series: list[str], ts: str = "ts", value: s
              .otherwise(F.col(value) - prev)
         return df.withColumn("_delta", d.cast("double"))
 
+    is_s = F.col("_kind") == 0
     aggs = {"_n": lambda w: F.count("_delta").over(w),
             "_sum": lambda w: F.sum("_delta").over(w),
-            "_first": lambda w: F.first("_delta", ignorenulls=True).over(w)}
+            "_first": lambda w: F.first("_delta", ignorenulls=True).over(w),
+            "_t0": lambda w: F.min(F.when(is_s, F.col("_us"))).over(w),
+            "_t1": lambda w: F.max(F.when(is_s, F.col("_us"))).over(w),
+            "_v0": lambda w: F.first(F.when(is_s, F.col(value)), ignorenulls=True).over(w)}
     r = sliding_eval(samples, series, ts, step_s, range_s, aggs, prep=prep)
-    return (r.filter(F.col("_n") >= 2)
-             .select(*series, "t", ((F.col("_sum") - F.col("_first")) / range_s).alias("rate")))
+    r = r.filter(F.col("_n") >= 2).withColumn("_inc", F.col("_sum") - F.col("_first"))
+    if not extrapolate:
+        return r.select(*series, "t", (F.col("_inc") / range_s).alias("rate"))
+    sampled = (F.col("_t1") - F.col("_t0")) / 1e6
+    avg = sampled / (F.col("_n") - 1)
+    to_start = (F.col("_t0") - (F.col("_t_us") - range_s * 1_000_000)) / 1e6
+    to_end = (F.col("_t_us") - F.col("_t1")) / 1e6
+    to_start = F.when(to_start >= avg * 1.1, avg / 2).otherwise(to_start)
+    to_zero = sampled * (F.col("_v0") / F.col("_inc"))
+    to_start = F.when((F.col("_inc") > 0) & (F.col("_v0") >= 0) & (to_zero < to_start), to_zero) \
+                .otherwise(to_start)
+    to_end = F.when(to_end >= avg * 1.1, avg / 2).otherwise(to_end)
+    factor = F.try_divide(sampled + to_start + to_end, sampled)
+    return r.select(*series, "t", (F.col("_inc") * factor / range_s).alias("rate"))
 
 
 # ---------------------------------------------------------------- W7

@@ -154,6 +154,22 @@ def test_counter_rate_handles_reset(spark):
     assert math.isclose(got2[t0 + dt.timedelta(seconds=300)], 8 / 600)
 
 
+def test_counter_rate_extrapolation(spark):
+    t0 = dt.datetime(2024, 1, 1)
+    pts = [(60, 10.0), (120, 20.0), (180, 30.0), (240, 40.0)]
+    df = spark.createDataFrame([("s", t0 + dt.timedelta(seconds=s), v) for s, v in pts],
+                               "series string, ts timestamp_ntz, value double")
+    r = TS.counter_rate(df, ["series"], "ts", "value", range_s=300, step_s=300, extrapolate=True)
+    got = {row["t"]: row["rate"] for row in r.collect()}
+    # increase 30 over 180 s sampled; 60 s to each edge (< 1.1 x 60 s), zero
+    # point 60 s before the first sample: stretched to 300 s -> 10 per minute
+    assert math.isclose(got[t0 + dt.timedelta(seconds=300)], 10 / 60)
+    # far from the end (gap 360 s >= 1.1 x 60 s): only half an interval added
+    r2 = TS.counter_rate(df, ["series"], "ts", "value", range_s=600, step_s=600, extrapolate=True)
+    got2 = {row["t"]: row["rate"] for row in r2.collect()}
+    assert math.isclose(got2[t0 + dt.timedelta(seconds=600)], 30 * (180 + 60 + 30) / 180 / 600)
+
+
 def test_sliding_eval_matches_brute_force_across_bucket_edges(spark):
     rnd = random.Random(1)
     t0 = dt.datetime(2024, 1, 1)
