@@ -110,7 +110,8 @@ def main():
     from pyspark.sql import SparkSession
     # a plain session, like the driver's: no settings of our own
     spark = (SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8")
-             .config("spark.ui.enabled", "false").getOrCreate())
+             .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
+             .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     qs, sqls = E.queries(), E.oracle_sql()
     keys = args.keys or sorted(qs)
