@@ -106,10 +106,11 @@ def counter_rate(samples: DataFrame, series: list[str], ts: str = "ts", value: s
     is_s = F.col("_kind") == 0
     aggs = {"_n": lambda w: F.count("_delta").over(w),
             "_sum": lambda w: F.sum("_delta").over(w),
-            "_first": lambda w: F.first("_delta", ignorenulls=True).over(w),
-            "_t0": lambda w: F.min(F.when(is_s, F.col("_us"))).over(w),
-            "_t1": lambda w: F.max(F.when(is_s, F.col("_us"))).over(w),
-            "_v0": lambda w: F.first(F.when(is_s, F.col(value)), ignorenulls=True).over(w)}
+            "_first": lambda w: F.first("_delta", ignorenulls=True).over(w)}
+    if extrapolate:  # edges of the sampled span and the first value
+        aggs.update({"_t0": lambda w: F.min(F.when(is_s, F.col("_us"))).over(w),
+                     "_t1": lambda w: F.max(F.when(is_s, F.col("_us"))).over(w),
+                     "_v0": lambda w: F.first(F.when(is_s, F.col(value)), ignorenulls=True).over(w)})
     r = sliding_eval(samples, series, ts, step_s, range_s, aggs, prep=prep)
     r = r.filter(F.col("_n") >= 2).withColumn("_inc", F.col("_sum") - F.col("_first"))
     if not extrapolate:

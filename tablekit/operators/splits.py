@@ -80,10 +80,12 @@ def group_running_sum(df: DataFrame, order: list, value: Column | str | None = N
     row; NULL for the first row of a group).
 
     ``order`` must be a total order (end it with a unique key) for the result
-    to be repeatable.  A group is cut into value buckets of its first order
-    column: approximate quantile bounds per group (a table of groups x
-    buckets values, checkpointed once so every branch sees the same bounds)
-    give each row a bucket that only depends on its own value.  One exchange on
+    to be repeatable.  Rows are cut into value buckets of the first order
+    column: approximate quantile bounds of that column (one row of
+    buckets - 1 values, checkpointed once so every branch sees the same
+    bounds, broadcast with a proven size) give each row a bucket that only
+    depends on its own value.  A group holding a third of all rows also
+    shapes a third of the quantiles, so it spans many buckets.  One exchange on
     (group, bucket) then carries the local running sums; the bucket totals
     (read from the same exchange) give each bucket the sum of the earlier
     buckets of its group.  A group holding a third of all rows is spread over
@@ -109,10 +111,8 @@ def group_running_sum(df: DataFrame, order: list, value: Column | str | None = N
     if materialize:
         x = x.checkpoint(eager=True)
     qs = [i / n for i in range(1, n)]
-    bounds = (x.groupBy(*group).agg(F.percentile_approx("_px", qs, 1000).alias("_bounds"))
-               .checkpoint(eager=True))
-    xb = (x.join(bounded_broadcast(bounds), on=group, how="left") if group
-          else x.crossJoin(bounded_broadcast(bounds)))
+    bounds = x.agg(F.percentile_approx("_px", qs, 10000).alias("_bounds")).checkpoint(eager=True)
+    xb = x.crossJoin(F.broadcast(bounds))  # one row of n - 1 doubles
     # bucket = number of bounds below the value: plain comparisons (code
     # generated), not a per-row lambda
     below = [F.coalesce((F.col("_bounds")[i] < F.col("_px")).cast("int"), F.lit(0))
