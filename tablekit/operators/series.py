@@ -85,6 +85,38 @@ def sliding_eval(samples: DataFrame, series: list[str], ts: str, step_s: int, ra
                       *aggs.keys())
 
 
+def sliding_totals(samples: DataFrame, series: list[str], ts: str, step_s: int, range_s: int,
+                   sums: dict) -> DataFrame:
+    """Sums over (t - range, t] on the step grid, for additive measures only
+    (counts, sums, conditional counts).
+
+    ``sums``: name -> Column over the sample columns, summed per frame.
+    When the range is a whole number of steps, the frame of grid time kS is
+    exactly the step cells k - n + 1 .. k (cell c holds (c - 1)S < us <= cS).
+    So each sample goes to the n grid times that see it and one grouped sum
+    finishes the job: no window and no sort, a map-side partial sum per task,
+    and a hot series spreads over all its grid keys.  Otherwise it falls back
+    to ``sliding_eval``.  Output as ``sliding_eval``: series..., t, _t_us,
+    sums (only grid times whose frame holds a sample).
+    """
+    if range_s % step_s:
+        vals = samples.withColumns({f"_v_{n}": c for n, c in sums.items()})
+        aggs = {n: (lambda col: lambda w: F.sum(col).over(w))(f"_v_{n}") for n in sums}
+        return sliding_eval(vals, series, ts, step_s, range_s, aggs)
+    S = step_s * 1_000_000
+    n = range_s // step_s
+    us = epoch_us(ts)
+    rem = F.pmod(us, F.lit(S))
+    cell = (us - rem) / F.lit(S) + F.when(rem != 0, 1).otherwise(0)
+    s = samples.select(*series, cell.cast("long").alias("_c"),
+                       *[c.alias(name) for name, c in sums.items()])
+    grid = s.select(*series, F.explode(F.sequence(F.col("_c"), F.col("_c") + (n - 1))).alias("_k"),
+                    *sums.keys())
+    out = grid.groupBy(*series, "_k").agg(*[F.sum(name).alias(name) for name in sums])
+    t_us = F.col("_k") * F.lit(S)
+    return out.select(*series, from_epoch_us(t_us).alias("t"), t_us.alias("_t_us"), *sums.keys())
+
+
 # ---------------------------------------------------------------- W6
 def counter_rate(samples: DataFrame, series: list[str], ts: str = "ts", value: str = "value",
                  range_s: int = 300, step_s: int = 15, extrapolate: bool = False) -> DataFrame:

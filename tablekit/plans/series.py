@@ -132,9 +132,9 @@ def q_histogram_quantile(spark: SparkSession, sf_dir: str) -> DataFrame:
 def share_alerts(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     etype, limit = ALERT_DEFS[name]
     ev = table(spark, sf_dir, "events").select("user_id", "ts", "event_type")
-    aggs = {"n": lambda w: F.count("event_type").over(w),
-            "hits": lambda w: F.count_if(F.col("event_type") == etype).over(w)}
-    g = TS.sliding_eval(ev, ["user_id"], "ts", STEP_S, RANGE_S, aggs)
+    sums = {"n": F.when(F.col("event_type").isNotNull(), 1).otherwise(0).cast("long"),
+            "hits": F.when(F.col("event_type") == etype, 1).otherwise(0).cast("long")}
+    g = TS.sliding_totals(ev, ["user_id"], "ts", STEP_S, RANGE_S, sums)
     cond = g.filter((F.col("n") >= 1) & (F.col("hits") / F.col("n") > limit))
     return TS.alert_intervals(cond, ["user_id"], STEP_S, FOR_S, name)
 

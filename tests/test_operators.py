@@ -188,6 +188,30 @@ def test_sliding_eval_matches_brute_force_across_bucket_edges(spark):
     assert got == exp
 
 
+@pytest.mark.parametrize("range_s", [7200, 5400])  # whole steps (cells) and the fallback
+def test_sliding_totals_matches_brute_force(spark, range_s):
+    rnd = random.Random(2)
+    t0 = dt.datetime(2024, 1, 1)
+    # samples exactly on grid times test the open left edge of the frame
+    data = [("a" if rnd.random() < 0.7 else "b",
+             t0 + dt.timedelta(seconds=rnd.choice([rnd.randrange(0, 2 * 86400), 3600 * rnd.randrange(48)])),
+             rnd.random() < 0.4)
+            for _ in range(400)]
+    df = spark.createDataFrame(data, "s string, ts timestamp_ntz, hit boolean")
+    sums = {"n": F.lit(1).cast("long"), "hits": F.when(F.col("hit"), 1).otherwise(0).cast("long")}
+    out = TS.sliding_totals(df, ["s"], "ts", 3600, range_s, sums)
+    got = {(r["s"], r["t"]): (r["n"], r["hits"]) for r in out.collect()}
+    exp = {}
+    for s, ts, hit in data:
+        k = math.floor((ts - t0).total_seconds() / 3600)
+        for j in range(0, 4):
+            t = t0 + dt.timedelta(hours=k + j)
+            if t - dt.timedelta(seconds=range_s) < ts <= t:
+                n, h = exp.get((s, t), (0, 0))
+                exp[(s, t)] = (n + 1, h + int(hit))
+    assert got == exp
+
+
 # ------------------------------------------------------------------ trap 14 / 16 / 18
 def test_group_rank_layout_free_and_skew_spread(spark):
     hot = [(0, i) for i in range(3000)] + [(g, i) for g in range(1, 4) for i in range(10)]
