@@ -193,6 +193,17 @@ def position_slice(df: DataFrame, order: list, start: int, stop: int) -> DataFra
     return r.filter((F.col("_pos") > start) & (F.col("_pos") <= stop)).drop("_pos")
 
 
+def fraction_slice(df: DataFrame, order: list, lo: float, hi: float) -> DataFrame:
+    """Rows at positions [floor(lo * n), floor(hi * n)) of the table in
+    ``order``: the positional slice stated as shares, so it grows with the
+    table (rows 7000-8000 of 10,000 are the shares 0.7-0.8)."""
+    r = group_rank(df, order, name="_pos")
+    n = df.agg(F.count(F.lit(1)).alias("_n"))
+    j = r.crossJoin(F.broadcast(n))  # one-row side
+    return j.filter((F.col("_pos") > F.floor(F.col("_n") * lo))
+                    & (F.col("_pos") <= F.floor(F.col("_n") * hi))).drop("_pos", "_n")
+
+
 def first_n(df: DataFrame, order: list, n: int) -> DataFrame:
     """First ``n`` rows in ``order``: Catalyst's top-k (each task keeps n)."""
     return df.orderBy(*_cols(order)).limit(n)

@@ -11,7 +11,7 @@ from tablekit.operators import evaluation as EV
 from tablekit.operators import mlops as M
 from tablekit.operators.aggs import attach_class_weights, error_rate_monitor
 from tablekit.operators.shape import align_features, drift_inject, drop_if_present
-from tablekit.operators.splits import exact_random_split, position_slice, stratified_split
+from tablekit.operators.splits import exact_random_split, fraction_slice, stratified_split
 from tablekit.operators.aggs import min_class_size
 from tablekit.registry import query, scratch_dir_for, table
 from tablekit.sources.sinks import dataset_manifest, registry_row
@@ -149,7 +149,7 @@ def q_maintenance_cycle(spark: SparkSession, sf_dir: str) -> DataFrame:
     model, train, test = _forest(spark, sf_dir)
     acc = error_rate_monitor(M.batch_score(model, test), "prediction", "label")
     reg = registry_row(spark, "forest", "v1", 0.0)
-    nxt = position_slice(d, ["p_partkey"], 1400, 1600)
+    nxt = fraction_slice(d, ["p_partkey"], 0.7, 0.8)  # the next 10 % after training
     drifted = drift_inject(nxt, key="p_partkey", shift={"p_retailprice": 1.0},
                            scale={"p_retailprice": 1.01}, sd=0.05, seed=7, exclude=["label"])
     aligned, _ = align_features(drifted, ["p_partkey", "p_brand", "p_type", "p_retailprice", "label"])

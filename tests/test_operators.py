@@ -400,3 +400,11 @@ def test_threshold_rule_and_band(spark):
     df = spark.createDataFrame([(69.9,), (70.0,), (85.0,), (None,)], "v double")
     got = [r[0] for r in df.select(threshold_band("v", [(0, "green"), (70, "yellow"), (85, "red")])).collect()]
     assert got == ["green", "yellow", "red", None]
+
+
+def test_fraction_slice_is_the_positional_band(spark):
+    df = spark.createDataFrame([(i,) for i in range(1000)], "k int").repartition(5)
+    got = sorted(r["k"] for r in SP.fraction_slice(df, ["k"], 0.7, 0.8).collect())
+    assert got == list(range(700, 800))
+    got = sorted(r["k"] for r in SP.fraction_slice(df.filter("k < 15"), ["k"], 0.7, 0.8).collect())
+    assert got == [10, 11]  # positions floor(10.5) .. floor(12) of 15 rows
