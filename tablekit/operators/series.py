@@ -86,7 +86,7 @@ def sliding_eval(samples: DataFrame, series: list[str], ts: str, step_s: int, ra
 
 
 def sliding_totals(samples: DataFrame, series: list[str], ts: str, step_s: int, range_s: int,
-                   sums: dict) -> DataFrame:
+                   sums: dict, max_fanout: int = 64) -> DataFrame:
     """Sums over (t - range, t] on the step grid, for additive measures only
     (counts, sums, conditional counts).
 
@@ -96,10 +96,13 @@ def sliding_totals(samples: DataFrame, series: list[str], ts: str, step_s: int,
     So each sample goes to the n grid times that see it and one grouped sum
     finishes the job: no window and no sort, a map-side partial sum per task,
     and a hot series spreads over all its grid keys.  Otherwise it falls back
-    to ``sliding_eval``.  Output as ``sliding_eval``: series..., t, _t_us,
-    sums (only grid times whose frame holds a sample).
+    to ``sliding_eval``, as it does when a sample would reach more than
+    ``max_fanout`` grid times (a long range on a short step), where copying
+    every sample that often costs more than one windowed sort.  Output as
+    ``sliding_eval``: series..., t, _t_us, sums (only grid times whose frame
+    holds a sample).
     """
-    if range_s % step_s:
+    if range_s % step_s or range_s // step_s > max_fanout:
         vals = samples.withColumns({f"_v_{n}": c for n, c in sums.items()})
         aggs = {n: (lambda col: lambda w: F.sum(col).over(w))(f"_v_{n}") for n in sums}
         return sliding_eval(vals, series, ts, step_s, range_s, aggs)

@@ -188,8 +188,8 @@ def test_sliding_eval_matches_brute_force_across_bucket_edges(spark):
     assert got == exp
 
 
-@pytest.mark.parametrize("range_s", [7200, 5400])  # whole steps (cells) and the fallback
-def test_sliding_totals_matches_brute_force(spark, range_s):
+@pytest.mark.parametrize("range_s,fanout", [(7200, 64), (5400, 64), (7200, 1)])  # cells, fallbacks
+def test_sliding_totals_matches_brute_force(spark, range_s, fanout):
     rnd = random.Random(2)
     t0 = dt.datetime(2024, 1, 1)
     # samples exactly on grid times test the open left edge of the frame
@@ -199,7 +199,7 @@ def test_sliding_totals_matches_brute_force(spark, range_s):
             for _ in range(400)]
     df = spark.createDataFrame(data, "s string, ts timestamp_ntz, hit boolean")
     sums = {"n": F.lit(1).cast("long"), "hits": F.when(F.col("hit"), 1).otherwise(0).cast("long")}
-    out = TS.sliding_totals(df, ["s"], "ts", 3600, range_s, sums)
+    out = TS.sliding_totals(df, ["s"], "ts", 3600, range_s, sums, max_fanout=fanout)
     got = {(r["s"], r["t"]): (r["n"], r["hits"]) for r in out.collect()}
     exp = {}
     for s, ts, hit in data:
