@@ -408,3 +408,25 @@ def test_fraction_slice_is_the_positional_band(spark):
     assert got == list(range(700, 800))
     got = sorted(r["k"] for r in SP.fraction_slice(df.filter("k < 15"), ["k"], 0.7, 0.8).collect())
     assert got == [10, 11]  # positions floor(10.5) .. floor(12) of 15 rows
+
+
+def test_islands_match_brute_force(spark):
+    rnd = random.Random(5)
+    S = 3600 * 1_000_000
+    pts = sorted({("hot" if rnd.random() < 0.6 else f"s{rnd.randrange(4)}", rnd.randrange(300))
+                  for _ in range(700)})
+    df = spark.createDataFrame([(s, k * S) for s, k in pts], "s string, t long")
+    exp = []
+    for s in sorted({s for s, _ in pts}):
+        ks = sorted(k for x, k in pts if x == s)
+        run = [ks[0]]
+        for k in ks[1:] + [None]:
+            if k is not None and k == run[-1] + 1:
+                run.append(k)
+                continue
+            exp.append((s, run[0] * S, run[-1] * S, len(run)))
+            if k is not None:
+                run = [k]
+    for layout in (1, 6):
+        got = rows(TS.islands(df.repartition(layout), ["s"], "t", 3600), "s", "start_us", "end_us", "points")
+        assert got == sorted(exp)
