@@ -112,6 +112,15 @@ def group_running_sum(df: DataFrame, order: list, value: Column | str | None = N
         x = x.checkpoint(eager=True)
     qs = [i / n for i in range(1, n)]
     bounds = x.agg(F.percentile_approx("_px", qs, 10000).alias("_bounds")).checkpoint(eager=True)
+    if len(order) > 1:
+        # equal neighbouring bounds: one value of the first column holds at
+        # least 1 / n of all rows and would fill one bucket (one task).  The
+        # range-partitioned path splits such ties by the later order columns.
+        # Reads one row of n - 1 doubles.
+        b = bounds.first()["_bounds"] or []
+        if any(lo == hi for lo, hi in zip(b, b[1:])):
+            return _group_running_sum_ranged(x.drop("_v", "_px"), order, value, group, name,
+                                             partitions, agg, inclusive)
     xb = x.crossJoin(F.broadcast(bounds))  # one row of n - 1 doubles
     # bucket = number of bounds below the value: plain comparisons (code
     # generated), not a per-row lambda

@@ -430,3 +430,20 @@ def test_islands_match_brute_force(spark):
     for layout in (1, 6):
         got = rows(TS.islands(df.repartition(layout), ["s"], "t", 3600), "s", "start_us", "end_us", "points")
         assert got == sorted(exp)
+
+
+def test_running_sum_splits_a_hot_first_order_value(spark):
+    # 70 % of the rows share one day: the bounds repeat, the ranged path runs
+    data = [(0 if i % 10 < 7 else i % 50, i, i % 3) for i in range(3000)]
+    df = spark.createDataFrame(data, "day int, id int, v int")
+    r = SP.group_running_sum(df.repartition(4), ["day", "id"], "v", name="run", partitions=16)
+    exp, acc = {}, 0
+    for day, i, v in sorted(data):
+        acc += v
+        exp[i] = acc
+    assert {row["id"]: row["run"] for row in r.collect()} == exp
+    g = SP.group_rank(df, ["day", "id"], group=["v"], name="r", partitions=16)
+    for v in range(3):
+        ids = [i for _, i in sorted((d, i) for d, i, w in data if w == v)]
+        got = {row["id"]: row["r"] for row in g.filter(F.col("v") == v).collect()}
+        assert [got[i] for i in ids] == list(range(1, len(ids) + 1))
