@@ -189,10 +189,10 @@ def sliding_histogram_quantile(samples: DataFrame, series: list[str], ts: str, v
     """Quantiles of ``value`` over (t - range, t] from bucket counts: each
     sample increments the cumulative buckets value <= le; the rates share the
     same 1/range factor, so quantiles come from the counts directly."""
-    aggs = {f"_c{i}": (lambda w, b=b: F.count_if(F.col(value) <= F.lit(float(b))).over(w))
+    sums = {f"_c{i}": F.when(F.col(value) <= F.lit(float(b)), 1).otherwise(0).cast("long")
             for i, b in enumerate(bounds)}
-    aggs["_cinf"] = lambda w: F.count(value).over(w)
-    r = sliding_eval(samples, series, ts, step_s, range_s, aggs)
+    sums["_cinf"] = F.when(F.col(value).isNotNull(), 1).otherwise(0).cast("long")
+    r = sliding_totals(samples, series, ts, step_s, range_s, sums)
     cum = [F.col(f"_c{i}") for i in range(len(bounds))]
     qcols = [histogram_quantile_expr(q, bounds, cum, F.col("_cinf")).alias(f"q{int(q * 100):02d}")
              for q in qs]

@@ -160,11 +160,11 @@ def q_stream_alert_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pending / firing / resolved per instance with event-time timers
     over the stream of true-condition grid samples; equals the batch W9."""
     etype, limit = SER.ALERT_DEFS["HighErrorRate"]
-    from tablekit.operators.series import sliding_eval
+    from tablekit.operators.series import sliding_totals
     ev = table(spark, sf_dir, "events").select("user_id", "ts", "event_type")
-    g = sliding_eval(ev, ["user_id"], "ts", SER.STEP_S, SER.RANGE_S,
-                     {"n": lambda w: F.count("event_type").over(w),
-                      "hits": lambda w: F.count_if(F.col("event_type") == etype).over(w)})
+    g = sliding_totals(ev, ["user_id"], "ts", SER.STEP_S, SER.RANGE_S,
+                       {"n": F.when(F.col("event_type").isNotNull(), 1).otherwise(0).cast("long"),
+                        "hits": F.when(F.col("event_type") == etype, 1).otherwise(0).cast("long")})
     cond = g.filter((F.col("n") >= 1) & (F.col("hits") / F.col("n") > limit)).select("user_id", "t")
     dirs = ST.stream_dirs(spark, "alert_state")
     ST.stage_files(cond, dirs["source"], 4, "t")
