@@ -25,6 +25,18 @@ def q_position_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return SP.position_slice(o, ["o_orderdate", "o_orderkey"], 7000, 8000)
 
 
+@query("fraction_slice", sql="""
+SELECT o_orderkey, o_orderdate FROM (
+  SELECT o_orderkey, o_orderdate, row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS r,
+         count(*) OVER () AS n FROM orders)
+WHERE r > floor(n * 0.7) AND r <= floor(n * 0.8)""")
+def q_fraction_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W1 in shares: the 70-80 % band in date order, the same band as rows
+    7000-8000 of 10,000, growing with the table."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    return SP.fraction_slice(o, ["o_orderdate", "o_orderkey"], 0.7, 0.8)
+
+
 @query("label_encode", sql="""
 SELECT p_partkey, p_brand, CAST(dense_rank() OVER (ORDER BY p_brand) - 1 AS INTEGER) AS p_brand_code
 FROM part""")
