@@ -115,7 +115,6 @@ rep AS (
 cov AS (
   SELECT doc_id, count(DISTINCT i + k) AS n
   FROM rep, (VALUES (0), (1), (2)) AS t(k) GROUP BY doc_id),
-stop AS (SELECT string_split('{stop}', ' ') AS words),
 m AS (
   SELECT w.doc_id, len(words) AS n_words,
     length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')) AS word_chars,
@@ -125,8 +124,7 @@ m AS (
     coalesce(cov.n, 0) AS n_repeat_words,
     len(list_filter(lines, lambda x: length(x) < 25)) AS n_short,
     len(list_filter(words, lambda x: regexp_matches(x, '\p{L}'))) AS n_letter,
-    len(list_filter(words, lambda x: list_contains((SELECT words FROM stop),
-      regexp_replace(lower(x), '[.,;:!?]', '', 'g')))) AS n_stop
+    len(list_filter(words, lambda x: list_contains(string_split('{stop}', ' '), x))) AS n_stop
   FROM w LEFT JOIN cov USING (doc_id)),
 b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m)
 SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars,
@@ -137,7 +135,7 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars,
     AND n_symbols / n_words <= 0.1
     AND n_bangs / n_words <= 0.1
     AND n_stop / n_words >= 0.03
-    AND n_dup_lines / n_lines <= 0.3
+    AND n_dup_lines / n_lines <= 0.5
     AND n_short / n_lines <= 0.9
     AND n_letter / n_words >= 0.7 AS kept
 FROM b
@@ -214,5 +212,6 @@ FROM d LEFT JOIN kept USING (doc_id)
 
 def oracles() -> dict[str, str]:
     from .quality import STOP_WORDS
-    return {"op4_quality": OP4_SQL.replace("{stop}", " ".join(STOP_WORDS)),
+    return {"op4_quality": OP4_SQL.replace("{stop}", " ".join(
+        [*STOP_WORDS, *(w.capitalize() for w in STOP_WORDS)])),
             "op6_decontamination": OP6_SQL, "op8_chat": OP8_SQL, "op9_substring": OP9_SQL}
