@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablekit.session import ensure_checkpoint_dir
+from tablekit.session import ensure_checkpoint_dir, scratch_path
 
 #: Stands for a null doc_id where ids are ordered: after every real id.
 LAST_ID = (1 << 63) - 1
@@ -17,6 +17,14 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Like ``cut``, as a compressed table in the shared folder: smaller for
+    wide rows, and later reads take only the columns they need."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def bucket_of(doc_id: str, n: int):
     """crc32 of the id as text, modulo n (null ids: remainder of "")."""
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit(""))) % n

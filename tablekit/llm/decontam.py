@@ -21,36 +21,29 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut, texts
-from .words import (BitSet, WordHashes, alnum_words, bit_columns, collect_bits,
-                    sequence_hashes, signed)
+from .words import BitSet, RangeHasher, bit_columns, blocks, collect_bits, signed
 
 SHINGLE = 5
 BITS_LOG2 = 24
 
 
-def _tokens(h: np.ndarray, k: int) -> np.ndarray:
-    """Token hashes; the length takes part, so short items' tokens differ."""
-    return sequence_hashes(h, k) ^ np.uint64(k * 0x9E3779B97F4A7C15 & (2**64 - 1))
-
-
 def item_windows(benchmark: DataFrame, size: int = 10, id_col: str = "item_id",
                  text_col: str = "text") -> DataFrame:
     """(item_id, words, k, offset, token): one row per window and token."""
     def run(batches):
-        hashes = WordHashes()
         for b in batches:
-            rows = []
-            for item, t in zip(b.column("item_id").to_pylist(), b.column("text").to_pylist()):
-                words = alnum_words(t)
-                if not words:
-                    continue
-                length = min(size, len(words))
-                k = min(SHINGLE, length)
-                tokens = signed(_tokens(hashes.of(words), k)).tolist()
-                plain = [w.decode("utf-8", "replace") for w in words]
-                for s in range(len(words) - length + 1):
-                    window = plain[s:s + length]
-                    rows += [(item, window, k, o, tokens[s + o]) for o in range(length - k + 1)]
+            rows, items = [], b.column("item_id").to_pylist()
+            for block in blocks(b.column("text").to_pylist(), alnum=True):
+                for i, lo, hi in zip(block.rows, block.lo, block.hi):
+                    if lo == hi:
+                        continue
+                    length = min(size, hi - lo)
+                    k = min(SHINGLE, length)
+                    tokens = signed(RangeHasher(block.h[lo:hi]).every(k)).tolist()
+                    plain = block.words(lo, hi)
+                    for s in range(len(plain) - length + 1):
+                        window = plain[s:s + length]
+                        rows += [(items[i], window, k, o, tokens[s + o]) for o in range(length - k + 1)]
             for i in range(0, len(rows), 20_000):
                 cols = list(zip(*rows[i:i + 20_000]))
                 yield pa.RecordBatch.from_arrays(
@@ -76,40 +69,40 @@ def _scan(docs: DataFrame, bits: BitSet, ks: list[int], size: int, counts_only:
     shared = docs.sparkSession.sparkContext.broadcast(bits.words)
 
     def run(batches):
-        hashes = WordHashes()
         known = BitSet(shared.value)
         for b in batches:
-            tokens, rows = [], []
-            for d, th, t in zip(b.column("d").to_numpy(), b.column("th").to_numpy(),
-                                b.column("text").to_pylist()):
-                words = alnum_words(t)
-                h = hashes.of(words)
-                if not counts_only:
-                    rows.append((d, th, None, len(words), 0, 0, None))
+            d, th = b.column("d").to_numpy(), b.column("th").to_numpy()
+            for block in blocks(b.column("text").to_pylist(), alnum=True):
+                hasher = RangeHasher(block.h)
+                n = block.hi - block.lo
+                of = np.repeat(np.arange(len(n)), n)
+                tokens, rows = [], []
                 for k in ks:
-                    g = _tokens(h, k)
-                    at = np.flatnonzero(known.has(g)) if len(g) else ()
-                    if len(at) == 0:
-                        continue
+                    g = hasher.every(k)
+                    at = np.flatnonzero(known.has(g)) if len(g) else np.empty(0, np.int64)
+                    # a token lies within one text
+                    at = at[of[at] == of[at + (k - 1)]]
                     if counts_only:
                         tokens.append(g[at])
-                    else:
-                        for p, x in zip(at.tolist(), signed(g[at]).tolist()):
-                            left = min(p, size - k)
-                            around = words[p - left:p + size]
-                            rows.append((d, th, x, len(words), p, left,
-                                         [w.decode("utf-8", "replace") for w in around]))
-            if counts_only and tokens:
-                v, n = np.unique(np.concatenate(tokens), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(signed(v)), pa.array(n)], ["token", "n"])
-            for i in range(0, len(rows), 20_000):
-                c = list(zip(*rows[i:i + 20_000]))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c[0], pa.int64()), pa.array(c[1], pa.int64()),
-                     pa.array(c[2], pa.int64()), pa.array(c[3], pa.int64()),
-                     pa.array(c[4], pa.int32()), pa.array(c[5], pa.int32()),
-                     pa.array(c[6], pa.list_(pa.string()))],
-                    ["d", "th", "token", "n_words", "p", "left", "around"])
+                        continue
+                    for p, i, x in zip(at.tolist(), of[at].tolist(), signed(g[at]).tolist()):
+                        lo, hi, row = int(block.lo[i]), int(block.hi[i]), block.rows[i]
+                        left = min(p - lo, size - k)
+                        rows.append((d[row], th[row], x, hi - lo, p - lo, left,
+                                     block.words(p - left, min(hi, p + size))))
+                if counts_only:
+                    v, c = np.unique(np.concatenate(tokens), return_counts=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(signed(v)), pa.array(c)], ["token", "n"])
+                    continue
+                rows += [(d[r], th[r], None, int(m), 0, 0, None) for r, m in zip(block.rows, n)]
+                for i in range(0, len(rows), 20_000):
+                    c = list(zip(*rows[i:i + 20_000]))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(c[0], pa.int64()), pa.array(c[1], pa.int64()),
+                         pa.array(c[2], pa.int64()), pa.array(c[3], pa.int64()),
+                         pa.array(c[4], pa.int32()), pa.array(c[5], pa.int32()),
+                         pa.array(c[6], pa.list_(pa.string()))],
+                        ["d", "th", "token", "n_words", "p", "left", "around"])
 
     src = docs.select("d", "th", "text")
     if counts_only:

@@ -26,42 +26,55 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, texts
-from .words import (BitSet, WordHashes, bit_columns, collect_bits, range_hashes,
-                    sequence_hashes, signed, space_words)
+from .common import cut, texts, written
+from .words import (BitSet, RangeHasher, bit_columns, blocks, collect_bits, signed,
+                    space_words)
 
 SEED = 5
 BITS_LOG2 = 25
-
-
-def winnow(h: np.ndarray, min_words: int, seed: int = SEED):
-    """(positions, first window, number of windows) of the anchors of one
-    word-hash array; every window start belongs to exactly one anchor."""
-    n = len(h) - min_words + 1
-    if n <= 0:
-        none = np.empty(0, np.int64)
-        return none, none, none
-    g = sequence_hashes(h, seed)
-    w = min_words - seed + 1
-    low, at = g[:n].copy(), np.zeros(n, np.int64)
-    for j in range(1, w):
-        other = g[j:j + n]
-        less = other <= low
-        low = np.where(less, other, low)
-        at[less] = j
-    at += np.arange(n)
-    new = np.flatnonzero(np.diff(at, prepend=-1))
-    return at[new], new, np.diff(new, append=n)
-
-
-def _anchors(words: list[bytes], hashes: WordHashes, min_words: int):
-    h = hashes.of(words)
-    at, first, count = winnow(h, min_words)
-    a = sequence_hashes(h, SEED)[at] if len(at) else np.empty(0, np.uint64)
-    # the extension: all words of all windows of the anchor, and where it lies
-    c = range_hashes(h, first, count + (min_words - 1))
-    c = c ^ ((at - first).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-    return h, a, c, first, count
+#: Words winnowed at a time.
+_PIECE = 1 << 20
+_PLACE = np.uint64((1 << 24) - 1)
+
+
+def winnow(g: np.ndarray, n: int, w: int) -> np.ndarray:
+    """For each of n places, where the smallest of the w seed hashes from
+    there lies.  The upper 40 bits order, the rightmost of equal ones wins."""
+    place = np.arange(len(g), dtype=np.uint64)
+    key = (g & ~_PLACE) | (_PLACE - place)
+    low, span = key, 1
+    while span < w:
+        step = min(span, w - span)
+        low = np.minimum(low[:len(low) - step], low[step:])
+        span += step
+    return (_PLACE - (low[:n] & _PLACE)).astype(np.int64)
+
+
+def anchors(texts_, min_words: int):
+    """Per block of texts (row, anchor, extension, first window, windows,
+    hasher, first window in the hasher), many texts at a time."""
+    for block in blocks(texts_):
+        n = len(block.h)
+        # whether a window starts at each word: pieces overlap by a window
+        left = np.repeat(block.hi, block.hi - block.lo) - np.arange(n)
+        of = np.repeat(np.arange(len(block.rows)), block.hi - block.lo)
+        for a in range(0, n, _PIECE):
+            h = block.h[a:a + _PIECE + min_words - 1]
+            at = np.flatnonzero(left[a:a + _PIECE] >= min_words)
+            if not len(at):
+                continue
+            hasher = RangeHasher(h)
+            seeds = hasher.every(SEED)
+            low = winnow(seeds, len(h) - min_words + 1, min_words - SEED + 1)[at]
+            new = np.flatnonzero(np.diff(low, prepend=-1))
+            count = np.diff(new, append=len(low))
+            first = at[new]
+            # the extension: all words of all windows of the anchor, its place
+            c = hasher.of(first, first + count + (min_words - 1))
+            c ^= (low[new] - first).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+            text = of[a + first]
+            yield (block.rows[text], seeds[low[new]], c, a + first - block.lo[text], count,
+                   hasher, first)
 
 
 def repeated_runs(docs: DataFrame, min_words: int = 13, id_col: str = "doc_id",
@@ -73,19 +86,11 @@ def repeated_runs(docs: DataFrame, min_words: int = 13, id_col: str = "doc_id",
     src = texts(docs, id_col, text_col).drop("doc_id")
 
     def seeds(batches):
-        hashes = WordHashes()
         for b in batches:
-            aa, cc, dd = [], [], []
-            ids = b.column("d").to_numpy()
-            for d, t in zip(ids, b.column("text").to_pylist()):
-                _, a, c, _, _ = _anchors(space_words(t), hashes, min_words)
-                aa.append(a)
-                cc.append(c)
-                dd.append(np.full(len(a), d, np.int64))
-            if aa:
+            d = b.column("d").to_numpy()
+            for row, a, c, *_ in anchors(b.column("text").to_pylist(), min_words):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(signed(np.concatenate(aa))), pa.array(signed(np.concatenate(cc))),
-                     pa.array(np.concatenate(dd))], ["a", "c", "d"])
+                    [pa.array(signed(a)), pa.array(signed(c)), pa.array(d[row])], ["a", "c", "d"])
 
     met = (src.select("d", "text").mapInArrow(seeds, "a long, c long, d long")
            .groupBy("a").agg(F.min("c").alias("c0"), F.max("c").alias("c1"),
@@ -102,48 +107,40 @@ def repeated_runs(docs: DataFrame, min_words: int = 13, id_col: str = "doc_id",
     filters = sc.broadcast((shared.words, split.words))
 
     def extend(batches):
-        hashes = WordHashes()
         is_shared, is_split = map(BitSet, filters.value)
         for b in batches:
-            rows = {k: [] for k in ("a", "c", "d", "th", "s", "n")}
-            wins = []
-            for d, th, t in zip(b.column("d").to_numpy(), b.column("th").to_numpy(),
-                                b.column("text").to_pylist()):
-                h, a, c, first, count = _anchors(space_words(t), hashes, min_words)
-                ok = is_shared.has(a) if len(a) else np.empty(0, bool)
-                if not ok.any():
+            d, th = b.column("d").to_numpy(), b.column("th").to_numpy()
+            for row, a, c, s, n, hasher, first in anchors(b.column("text").to_pylist(), min_words):
+                ok = np.flatnonzero(is_shared.has(a))
+                if not len(ok):
                     continue
-                a, c, first, count = a[ok], c[ok], first[ok], count[ok]
-                rows["a"].append(signed(a))
-                rows["c"].append(signed(c))
-                rows["d"].append(np.full(len(a), d, np.int64))
-                rows["th"].append(np.full(len(a), th, np.int64))
-                rows["s"].append(first.astype(np.int32))
-                rows["n"].append(count.astype(np.int32))
-                differ = is_split.has(a)
-                if differ.any():
-                    w = signed(sequence_hashes(h, min_words))
-                    wins += [w[s:s + n] if x else None
-                             for s, n, x in zip(first, count, differ)]
-                else:
-                    wins += [None] * len(a)
-            if wins:
-                cols = [pa.array(np.concatenate(v)) for v in rows.values()]
+                a, row = a[ok], row[ok]
+                # the windows one by one where extensions differ
+                k = np.where(is_split.has(a), n[ok], 0)
+                at = np.repeat(first[ok] - (np.cumsum(k) - k), k) + np.arange(k.sum())
+                w = pa.ListArray.from_arrays(
+                    pa.array(np.concatenate([[0], np.cumsum(k)]).astype(np.int32)),
+                    pa.array(signed(hasher.of(at, at + min_words))))
                 yield pa.RecordBatch.from_arrays(
-                    [*cols, pa.array(wins, pa.list_(pa.int64()))], [*rows, "w"])
-
-    found = cut(src.mapInArrow(
-        extend, "a long, c long, d long, th long, s int, n int, w array<long>"))
-    first = cut(found.groupBy("a", "c").agg(F.min("d").alias("d0"))
-                .select(F.col("a").alias("ca"), F.col("c").alias("cc"), "d0"))
+                    [pa.array(signed(a)), pa.array(signed(c[ok])), pa.array(d[row]), pa.array(th[row]),
+                     pa.array(s[ok].astype(np.int32)), pa.array(n[ok].astype(np.int32)), w],
+                    ["a", "c", "d", "th", "s", "n", "w"])
+
+    found = written(src.mapInArrow(
+        extend, "a long, c long, d long, th long, s int, n int, w array<long>"), "substring-seeds")
+    first = written(found.groupBy("a", "c").agg(F.min("d").alias("d0"), F.max("d").alias("d1"))
+                    .select(F.col("a").alias("ca"), F.col("c").alias("cc"), "d0", "d1"),
+                    "substring-classes")
     on = (F.col("a") == F.col("ca")) & (F.col("c") == F.col("cc"))
-    whole = (found.select("a", "c", "d", "th", "s", "n").join(first, on)
+    whole = (found.select("a", "c", "d", "th", "s", "n").join(first.filter("d0 < d1"), on)
              .filter(F.col("d") > F.col("d0"))
              .select("d", "th", "s", (F.col("s") + F.col("n") + (min_words - 1)).alias("e")))
     # first documents of classes that share a seed: window by window
-    edge = cut(found.filter("w is not null").join(first, on).filter(F.col("d") == F.col("d0"))
-               .select("a", "d", "th", "s", F.posexplode("w").alias("k", "w"))
-               .select("a", "w", "d", "th", (F.col("s") + F.col("k")).alias("s")))
+    edge = written(found.filter(F.size("w") > 0).select("a", "c", "d", "th", "s", "w")
+                   .join(first, on).filter(F.col("d") == F.col("d0"))
+                   .select("a", "d", "th", "s", F.posexplode("w").alias("k", "w"))
+                   .select("a", "w", "d", "th", (F.col("s") + F.col("k")).alias("s")),
+                   "substring-windows")
     low = cut(edge.groupBy("a", "w").agg(F.min("d").alias("d0"), F.max("d").alias("d1"))
               .filter("d0 < d1").select(F.col("a").alias("ca"), F.col("w").alias("cw"), "d0"))
     partly = (edge.join(low, (F.col("a") == F.col("ca")) & (F.col("w") == F.col("cw")))

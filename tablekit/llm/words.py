@@ -17,7 +17,6 @@ _ALNUM = bytes(
     else b + 32 if 0x41 <= b <= 0x5A else 0x20
     for b in range(256))
 
-_MIX = np.uint64(0x9E3779B97F4A7C15)
 _MUL = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -35,22 +34,78 @@ def alnum_words(text: str | None) -> list[bytes]:
     return utf8(text).translate(_ALNUM).split() if text else []
 
 
-class WordHashes(dict):
-    """word -> 64-bit hash, computed once per worker; emptied when full so
-    that a worker's memory has a bound whatever the vocabulary."""
+_IS_SPACE = np.zeros(256, bool)
+_IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+#: A random 64-bit number for every byte (fixed seed).
+_BYTE = np.random.default_rng(20240229).integers(1, 1 << 64, 256, dtype=np.uint64)
+#: Bytes hashed at a time; words above LONG bytes are hashed on their own.
+_SLICE = 1 << 20
+_LONG = 1 << 16
 
-    def __init__(self, seed: int = 0, room: int = 1_000_000):
-        super().__init__()
-        self.seed, self.room = seed, room
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.room:
-            self.clear()
-        h = self[word] = xxhash.xxh64_intdigest(word, self.seed)
-        return h
+def locate(buf: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Byte ranges of the words between ASCII white space."""
+    space = np.ones(len(buf) + 2, bool)
+    space[1:-1] = _IS_SPACE[np.frombuffer(buf, np.uint8)]
+    return (np.flatnonzero(space[:-1] & ~space[1:]),
+            np.flatnonzero(~space[:-1] & space[1:]))
 
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+
+def hash_words(buf: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the words at these byte ranges, in slices of bounded
+    size: polynomials over the bytes from one running sum a slice."""
+    out = np.empty(len(starts), np.uint64)
+    long = np.flatnonzero(ends - starts > _LONG)
+    i = 0
+    while i < len(starts):
+        j = max(i + 1, int(np.searchsorted(ends, starts[i] + _SLICE)))
+        if j == i + 1 and ends[i] - starts[i] > _LONG:
+            i = j
+            continue
+        low = int(starts[i])
+        part = RangeHasher(_BYTE[np.frombuffer(buf, np.uint8, int(ends[j - 1]) - low, low)])
+        out[i:j] = part.of(starts[i:j] - low, ends[i:j] - low)
+        i = j
+    for k in long:
+        out[k] = xxhash.xxh64_intdigest(buf[starts[k]:ends[k]])
+    return out
+
+
+class Block:
+    """Texts hashed together: ``rows[i]``'s words are ``lo[i]:hi[i]`` of the
+    block's byte ranges and hashes."""
+
+    def __init__(self, rows: list[int], parts: list[bytes]):
+        self.rows = np.array(rows)
+        self.buf = b" ".join(parts)
+        self.starts, self.ends = locate(self.buf)
+        self.h = hash_words(self.buf, self.starts, self.ends)
+        stop = np.cumsum([len(p) + 1 for p in parts])
+        self.hi = np.searchsorted(self.starts, stop)
+        self.lo = np.concatenate([[0], self.hi[:-1]])
+
+    def words(self, a: int, b: int) -> list[str]:
+        return [self.buf[s:e].decode("utf-8", "replace")
+                for s, e in zip(self.starts[a:b], self.ends[a:b])]
+
+
+def blocks(texts, alnum: bool = False, size: int = 1 << 21):
+    """Blocks of about ``size`` bytes over a list of texts (nulls: no words);
+    a longer text is a block of its own.  ``alnum``: words of ``alnum_words``
+    instead of ``space_words``."""
+    rows, parts, total = [], [], 0
+    for i, t in enumerate(texts):
+        raw = utf8(t) if t else b""
+        if alnum:
+            raw = raw.translate(_ALNUM)
+        if rows and total + len(raw) > size:
+            yield Block(rows, parts)
+            rows, parts, total = [], [], 0
+        rows.append(i)
+        parts.append(raw)
+        total += len(raw)
+    if rows:
+        yield Block(rows, parts)
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -60,31 +115,43 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-def sequence_hashes(h: np.ndarray, k: int) -> np.ndarray:
-    """Hash of every run of k consecutive words (``len(h) - k + 1`` values)."""
-    n = len(h) - k + 1
-    if n <= 0:
-        return np.empty(0, np.uint64)
-    out = h[:n].copy()
-    for j in range(1, k):
-        out = out * _MIX + h[j:j + n]
-    return mix(out)
+_POWERS: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+_BASE = 0x9E3779B97F4A7C15
+_INVERSE = pow(_BASE, -1, 1 << 64)
 
 
-def range_hashes(h: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """Hash of the word runs ``[start, start + length)``.
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """base**i and base**-i modulo 2**64 for i < n."""
+    if len(_POWERS[0]) < n:
+        n = max(n, 1 << 16)
+        for k, b in enumerate((_BASE, _INVERSE)):
+            x = np.full(n, b, np.uint64)
+            x[0] = 1
+            _POWERS[k] = np.multiply.accumulate(x)
+    return _POWERS[0], _POWERS[1]
 
-    Runs of one length are hashed together, so the work is one vectorised
-    pass per distinct length."""
-    out = np.empty(len(starts), np.uint64)
-    for n in np.unique(lengths):
-        at = np.flatnonzero(lengths == n)
-        s = starts[at]
-        acc = np.full(len(at), np.uint64(int(n)), np.uint64)
-        for j in range(int(n)):
-            acc = acc * _MIX + h[s + j]
-        out[at] = mix(acc)
-    return out
+
+class RangeHasher:
+    """Hashes of any word runs of an array of word hashes from one running
+    sum: the run's polynomial, shifted to its start."""
+
+    def __init__(self, h: np.ndarray):
+        up, self.down = _powers(len(h) + 1)
+        self.n = len(h)
+        self.total = np.zeros(len(h) + 1, np.uint64)
+        np.cumsum(h * up[:len(h)], out=self.total[1:])
+
+    def of(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        return mix((self.total[ends] - self.total[starts]) * self.down[starts]
+                   + (ends - starts).astype(np.uint64) * _MUL)
+
+    def every(self, k: int) -> np.ndarray:
+        """Every run of k consecutive words."""
+        n = self.n - k + 1
+        if n <= 0:
+            return np.empty(0, np.uint64)
+        return mix((self.total[k:] - self.total[:n]) * self.down[:n]
+                   + np.uint64(k * int(_MUL) & (1 << 64) - 1))
 
 
 def signed(h: np.ndarray) -> np.ndarray:
