@@ -5,16 +5,18 @@ SEED-word runs the one with the smallest hash (rightmost on ties) is an
 anchor.  Equal runs of ``min_words`` words choose the same anchor wherever
 they occur, so documents that share such a run meet at one.
 
-Seed: anchors are grouped; only those of two documents or more are seeds
-(a fixed-size bit set carries them to the second pass, which drops the rest
-before anything is shuffled; false positives are settled by exact joins).
+Seed: anchors are grouped; only those of two documents or more are seeds.
 Extend: a seed is extended left and right over all the windows that chose it.
 Occurrences whose whole extension is equal form a class, and every document of
-a class but its first is covered by the extension: no pairs are formed.
-Only the first documents of classes that share a seed but differ further out
-are compared window by window.  Adjacent covered runs merge into maximal
-repeats.  A run counts as repeated if it also occurs in a document with a
-smaller id.
+a class but its first, the head, is covered by the extension: no pairs are
+formed.  Only heads that share a seed but differ further out are compared
+window by window.  Adjacent covered runs merge into maximal repeats.  A run
+counts as repeated if it also occurs in a document with a smaller id.
+
+Bit sets of a fixed size carry seeds and heads back to the document scans, so
+that little is shuffled.  They only let rows through: a row that is not among
+the heads is surely covered, and whatever passes by chance is settled by the
+exact joins.
 """
 
 from __future__ import annotations
@@ -26,8 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, texts, written
-from .words import (BitSet, RangeHasher, bit_columns, blocks, collect_bits, signed,
+from .common import texts, written
+from .words import (BitSet, RangeHasher, bit_columns, blocks, collect_bits, mix, signed,
                     space_words)
 
 SEED = 5
@@ -77,6 +79,32 @@ def anchors(texts_, min_words: int):
                    hasher, first)
 
 
+def _head_hash(a: np.ndarray, c: np.ndarray, d: np.ndarray) -> np.ndarray:
+    return mix(mix(a ^ mix(c)) + d.view(np.uint64) * np.uint64(0xBF58476D1CE4E5B9))
+
+
+def _bits_of(h: np.ndarray) -> pa.RecordBatch:
+    """(word, bit) rows of hashes, one per 64-bit word of the bit set."""
+    at = np.unique(h & np.uint64((1 << BITS_LOG2) - 1))
+    word, first = np.unique(at >> np.uint64(6), return_index=True)
+    bit = np.bitwise_or.reduceat(np.uint64(1) << (at & np.uint64(63)), first) if len(at) else at
+    return pa.RecordBatch.from_arrays([pa.array(signed(word)), pa.array(signed(bit))], ["word", "bit"])
+
+
+def _gather(rows: DataFrame, columns: str, hashes) -> np.ndarray:
+    """A bit set of ``hashes(batch)`` over all rows: every task sends each
+    64-bit word at most once a batch."""
+    def run(batches):
+        for b in batches:
+            yield _bits_of(hashes({n: b.column(n).to_numpy() for n in columns.split()}))
+    got = rows.select(*columns.split()).mapInArrow(run, "word long, bit long")
+    return collect_bits(got.groupBy("word").agg(F.bit_or("bit").alias("b")), ["b"], BITS_LOG2)[0].words
+
+
+def _u(x: np.ndarray) -> np.ndarray:
+    return x.view(np.uint64)
+
+
 def repeated_runs(docs: DataFrame, min_words: int = 13, id_col: str = "doc_id",
                   text_col: str = "text") -> DataFrame:
     """(d, th, runs): for each document with repeated runs, the covered word
@@ -84,71 +112,101 @@ def repeated_runs(docs: DataFrame, min_words: int = 13, id_col: str = "doc_id",
     if min_words < SEED:
         raise ValueError(f"min_words must be at least {SEED}")
     src = texts(docs, id_col, text_col).drop("doc_id")
+    share = docs.sparkSession.sparkContext.broadcast
 
+    # 1. seeds: anchors of two documents (40 bits of the hash: a filter only)
     def seeds(batches):
+        for b in batches:
+            d = b.column("d").to_numpy()
+            for row, a, *_ in anchors(b.column("text").to_pylist(), min_words):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(signed(a & np.uint64((1 << 40) - 1))), pa.array(d[row])], ["a", "d"])
+    met = (src.select("d", "text").mapInArrow(seeds, "a long, d long")
+           .groupBy("a").agg(F.min("d").alias("d0"), F.max("d").alias("d1")).filter("d0 < d1"))
+    word, bit = bit_columns("a", BITS_LOG2)
+    shared = share(collect_bits(met.select(word, bit).groupBy("word").agg(F.bit_or("bit").alias("b")),
+                                ["b"], BITS_LOG2)[0].words)
+
+    # 2. classes of equal extensions, each with its first document (its head)
+    def extended(batches):
+        seen = BitSet(shared.value)
         for b in batches:
             d = b.column("d").to_numpy()
             for row, a, c, *_ in anchors(b.column("text").to_pylist(), min_words):
+                ok = seen.has(a)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(signed(a)), pa.array(signed(c)), pa.array(d[row])], ["a", "c", "d"])
+                    [pa.array(signed(a[ok])), pa.array(signed(c[ok])), pa.array(d[row[ok]])], ["a", "c", "d"])
+    first = written(src.select("d", "text").mapInArrow(extended, "a long, c long, d long")
+                    .groupBy("a", "c").agg(F.min("d").alias("d0"))
+                    .select(F.col("a").alias("ca"), F.col("c").alias("cc"), "d0"), "substring-classes")
+    split = share(_gather(first.groupBy("ca").agg(F.count(F.lit(1)).alias("k")).filter("k > 1"), "ca",
+                          lambda x: _u(x["ca"])))
+    heads = share(_gather(first, "ca cc d0", lambda x: _head_hash(_u(x["ca"]), _u(x["cc"]), x["d0"])))
 
-    met = (src.select("d", "text").mapInArrow(seeds, "a long, c long, d long")
-           .groupBy("a").agg(F.min("c").alias("c0"), F.max("c").alias("c1"),
-                             F.min("d").alias("d0"), F.max("d").alias("d1"))
-           .filter("d0 < d1"))
-    word, bit = bit_columns("a", BITS_LOG2)
-    shared, split = collect_bits(
-        met.select(word, bit, (F.col("c0") != F.col("c1")).alias("many"))
-        .groupBy("word").agg(F.bit_or("bit").alias("shared"),
-                             F.bit_or(F.when(F.col("many"), F.col("bit")).otherwise(F.lit(0)))
-                             .alias("split")),
-        ["shared", "split"], BITS_LOG2)
-    sc = docs.sparkSession.sparkContext
-    filters = sc.broadcast((shared.words, split.words))
-
-    def extend(batches):
-        is_shared, is_split = map(BitSet, filters.value)
+    # 3. what is surely no head is covered whole, runs merged on the spot;
+    # possible heads go on, with their windows where a seed has many classes
+    kinds = "a long, c long, d long, th long, s int, e int, w array<long>"
+
+    def settle(batches):
+        seen, many, is_head = BitSet(shared.value), BitSet(split.value), BitSet(heads.value)
         for b in batches:
             d, th = b.column("d").to_numpy(), b.column("th").to_numpy()
-            for row, a, c, s, n, hasher, first in anchors(b.column("text").to_pylist(), min_words):
-                ok = np.flatnonzero(is_shared.has(a))
+            for row, a, c, s, n, hasher, place in anchors(b.column("text").to_pylist(), min_words):
+                ok = np.flatnonzero(seen.has(a))
                 if not len(ok):
                     continue
-                a, row = a[ok], row[ok]
-                # the windows one by one where extensions differ
-                k = np.where(is_split.has(a), n[ok], 0)
-                at = np.repeat(first[ok] - (np.cumsum(k) - k), k) + np.arange(k.sum())
-                w = pa.ListArray.from_arrays(
-                    pa.array(np.concatenate([[0], np.cumsum(k)]).astype(np.int32)),
-                    pa.array(signed(hasher.of(at, at + min_words))))
+                a, c, row, s, place, n = a[ok], c[ok], row[ok], s[ok], place[ok], n[ok]
+                e = s + n + (min_words - 1)
+                head = is_head.has(_head_hash(a, c, d[row]))
+                r, rs, re_ = row[~head], s[~head], e[~head]
+                new = np.flatnonzero(np.concatenate(
+                    [[True], (r[1:] != r[:-1]) | (rs[1:] > re_[:-1])])) if len(r) else np.empty(0, np.int64)
+                last = np.concatenate([new[1:] - 1, [len(r) - 1]]) if len(r) else new
+                k = np.where(head & many.has(a), n, 0)
+                at = np.repeat(place - (np.cumsum(k) - k), k) + np.arange(k.sum())
+                w = signed(hasher.of(at, at + min_words))
+                k = k[head]
+                m, h = len(new), int(head.sum())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(signed(a)), pa.array(signed(c[ok])), pa.array(d[row]), pa.array(th[row]),
-                     pa.array(s[ok].astype(np.int32)), pa.array(n[ok].astype(np.int32)), w],
-                    ["a", "c", "d", "th", "s", "n", "w"])
-
-    found = written(src.mapInArrow(
-        extend, "a long, c long, d long, th long, s int, n int, w array<long>"), "substring-seeds")
-    first = written(found.groupBy("a", "c").agg(F.min("d").alias("d0"), F.max("d").alias("d1"))
-                    .select(F.col("a").alias("ca"), F.col("c").alias("cc"), "d0", "d1"),
-                    "substring-classes")
-    on = (F.col("a") == F.col("ca")) & (F.col("c") == F.col("cc"))
-    whole = (found.select("a", "c", "d", "th", "s", "n").join(first.filter("d0 < d1"), on)
-             .filter(F.col("d") > F.col("d0"))
-             .select("d", "th", "s", (F.col("s") + F.col("n") + (min_words - 1)).alias("e")))
-    # first documents of classes that share a seed: window by window
-    edge = written(found.filter(F.size("w") > 0).select("a", "c", "d", "th", "s", "w")
-                   .join(first, on).filter(F.col("d") == F.col("d0"))
-                   .select("a", "d", "th", "s", F.posexplode("w").alias("k", "w"))
-                   .select("a", "w", "d", "th", (F.col("s") + F.col("k")).alias("s")),
-                   "substring-windows")
-    low = cut(edge.groupBy("a", "w").agg(F.min("d").alias("d0"), F.max("d").alias("d1"))
-              .filter("d0 < d1").select(F.col("a").alias("ca"), F.col("w").alias("cw"), "d0"))
-    partly = (edge.join(low, (F.col("a") == F.col("ca")) & (F.col("w") == F.col("cw")))
+                    [pa.concat_arrays([pa.nulls(m, pa.int64()), pa.array(signed(a[head]))]),
+                     pa.concat_arrays([pa.nulls(m, pa.int64()), pa.array(signed(c[head]))]),
+                     pa.array(np.concatenate([d[r[new]], d[row[head]]])),
+                     pa.array(np.concatenate([th[r[new]], th[row[head]]])),
+                     pa.array(np.concatenate([rs[new], s[head]]).astype(np.int32)),
+                     pa.array(np.concatenate([re_[last], e[head]]).astype(np.int32)),
+                     pa.ListArray.from_arrays(
+                         pa.array(np.concatenate([np.zeros(m + 1), np.cumsum(k)]).astype(np.int32)),
+                         pa.array(w))],
+                    ["a", "c", "d", "th", "s", "e", "w"])
+                assert len(w) == k.sum() and h == len(k)
+    found = written(src.mapInArrow(settle, kinds), "substring-seeds")
+    sure = found.filter("a is null").select("d", "th", "s", "e")
+    maybe = found.filter("a is not null")
+    whole = (maybe.select("a", "c", "d", "th", "s", "e")
+             .join(first, (F.col("a") == F.col("ca")) & (F.col("c") == F.col("cc")))
+             .filter(F.col("d") > F.col("d0")).select("d", "th", "s", "e"))
+
+    # 4. heads that share a seed but differ further out: window by window
+    windows = (maybe.filter(F.size("w") > 0)
+               .select("a", "d", "th", "s", F.posexplode("w").alias("k", "w"))
+               .select("a", "w", "d", "th", (F.col("s") + F.col("k")).alias("s")))
+    low = written(windows.groupBy("a", "w").agg(F.min("d").alias("d0"), F.max("d").alias("d1"))
+                  .filter("d0 < d1").select(F.col("a").alias("ca"), F.col("w").alias("cw"), "d0"),
+                  "substring-windows")
+    repeated = share(_gather(low, "cw", lambda x: _u(x["cw"])))
+
+    def likely(batches):
+        seen = BitSet(repeated.value)
+        for b in batches:
+            yield b.filter(pa.array(seen.has(_u(b.column("w").to_numpy()))))
+    partly = (windows.mapInArrow(likely, "a long, w long, d long, th long, s int")
+              .join(low, (F.col("a") == F.col("ca")) & (F.col("w") == F.col("cw")))
               .filter(F.col("d") > F.col("d0"))
               .select("d", "th", "s", (F.col("s") + min_words).alias("e")))
     # a document's own runs only: bounded by its length
-    return (whole.unionByName(partly)
-            .groupBy("d", "th").agg(F.collect_set(F.struct("s", "e")).alias("runs")))
+    return written(sure.unionByName(whole).unionByName(partly)
+                   .groupBy("d", "th").agg(F.collect_set(F.struct("s", "e")).alias("runs")),
+                   "substring-runs")
 
 
 def merged(runs) -> list[tuple[int, int]]:
@@ -201,9 +259,24 @@ def substring_dedup(docs: DataFrame, min_words: int = 13, id_col: str = "doc_id"
                  pa.array(cols["kept"], pa.string()), pa.array(cols["kept_sha256"], pa.string())],
                 ["doc_id", "d", "th", *cols])
 
+    # only documents that may have runs travel to the join; the set of their
+    # text hashes has a fixed size, and the join settles the rest
+    touched = docs.sparkSession.sparkContext.broadcast(
+        _gather(runs, "th", lambda x: _u(x["th"])))
+
+    def some(batches, want):
+        seen = BitSet(touched.value)
+        for b in batches:
+            hit = seen.has(_u(b.column("th").to_numpy()))
+            yield b.filter(pa.array(hit if want else ~hit))
+    out = (f"doc_id {kind}, d long, th long, n_words long, n_removed long, "
+           "spans array<struct<s:int,e:int>>, kept string, kept_sha256 string")
+    columns = f"doc_id {kind}, d long, th long, text string"
     got = runs.select(F.col("d").alias("rd"), F.col("th").alias("rth"), "runs")
-    return (src.join(got, (F.col("d") == F.col("rd")) & (F.col("th") == F.col("rth")), "left")
-            .select("doc_id", "d", "th", "text", "runs")
-            .mapInArrow(apply, f"doc_id {kind}, d long, th long, n_words long, n_removed long, "
-                               "spans array<struct<s:int,e:int>>, kept string, "
-                               "kept_sha256 string"))
+    cut_rows = (src.mapInArrow(lambda it: some(it, True), columns)
+                .join(got, (F.col("d") == F.col("rd")) & (F.col("th") == F.col("rth")), "left")
+                .select("doc_id", "d", "th", "text", "runs").mapInArrow(apply, out))
+    whole_rows = (src.mapInArrow(lambda it: some(it, False), columns)
+                  .withColumn("runs", F.lit(None).cast("array<struct<s:int,e:int>>"))
+                  .mapInArrow(apply, out))
+    return cut_rows.unionByName(whole_rows)
