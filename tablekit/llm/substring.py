@@ -33,7 +33,11 @@ from .words import (BitSet, RangeHasher, bit_columns, blocks, collect_bits, mix,
                     space_words)
 
 SEED = 5
-BITS_LOG2 = 25
+#: Bits (log2) of the sets that travel back to the scans: seeds and heads, and
+#: the smaller ones.  More bits let less through by chance; raise them with the
+#: executors' memory (30 are 128 MB).
+BITS_LOG2 = 24
+FEW_LOG2 = 22
 #: Words winnowed at a time.
 _PIECE = 1 << 20
 _PLACE = np.uint64((1 << 24) - 1)
@@ -83,22 +87,22 @@ def _head_hash(a: np.ndarray, c: np.ndarray, d: np.ndarray) -> np.ndarray:
     return mix(mix(a ^ mix(c)) + d.view(np.uint64) * np.uint64(0xBF58476D1CE4E5B9))
 
 
-def _bits_of(h: np.ndarray) -> pa.RecordBatch:
+def _bits_of(h: np.ndarray, log2: int) -> pa.RecordBatch:
     """(word, bit) rows of hashes, one per 64-bit word of the bit set."""
-    at = np.unique(h & np.uint64((1 << BITS_LOG2) - 1))
+    at = np.unique(h & np.uint64((1 << log2) - 1))
     word, first = np.unique(at >> np.uint64(6), return_index=True)
     bit = np.bitwise_or.reduceat(np.uint64(1) << (at & np.uint64(63)), first) if len(at) else at
     return pa.RecordBatch.from_arrays([pa.array(signed(word)), pa.array(signed(bit))], ["word", "bit"])
 
 
-def _gather(rows: DataFrame, columns: str, hashes) -> np.ndarray:
+def _gather(rows: DataFrame, columns: str, hashes, log2: int = FEW_LOG2) -> np.ndarray:
     """A bit set of ``hashes(batch)`` over all rows: every task sends each
     64-bit word at most once a batch."""
     def run(batches):
         for b in batches:
-            yield _bits_of(hashes({n: b.column(n).to_numpy() for n in columns.split()}))
+            yield _bits_of(hashes({n: b.column(n).to_numpy() for n in columns.split()}), log2)
     got = rows.select(*columns.split()).mapInArrow(run, "word long, bit long")
-    return collect_bits(got.groupBy("word").agg(F.bit_or("bit").alias("b")), ["b"], BITS_LOG2)[0].words
+    return collect_bits(got.groupBy("word").agg(F.bit_or("bit").alias("b")), ["b"], log2)[0].words
 
 
 def _u(x: np.ndarray) -> np.ndarray:
@@ -141,7 +145,7 @@ def repeated_runs(docs: DataFrame, min_words: int = 13, id_col: str = "doc_id",
                     .select(F.col("a").alias("ca"), F.col("c").alias("cc"), "d0"), "substring-classes")
     split = share(_gather(first.groupBy("ca").agg(F.count(F.lit(1)).alias("k")).filter("k > 1"), "ca",
                           lambda x: _u(x["ca"])))
-    heads = share(_gather(first, "ca cc d0", lambda x: _head_hash(_u(x["ca"]), _u(x["cc"]), x["d0"])))
+    heads = share(_gather(first, "ca cc d0", lambda x: _head_hash(_u(x["ca"]), _u(x["cc"]), x["d0"]), BITS_LOG2))
 
     # 3. what is surely no head is covered whole, runs merged on the spot;
     # possible heads go on, with their windows where a seed has many classes
