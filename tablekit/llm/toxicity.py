@@ -26,8 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
-from .words import alnum_words, utf8
+from .common import written
+from .words import BitSet, alnum_words, bit_columns, collect_bits, utf8
 
 PREFIXES = (3, 4, 5, 6)
 PRIOR = 2.0
@@ -37,6 +37,7 @@ SIGNIFICANT = 12.0
 #: Bounds of what the driver takes: model nodes, rows for the logistic curve.
 MAX_NODES = 200_000
 CALIBRATION_ROWS = 50_000
+LABEL_BITS_LOG2 = 22
 
 
 def tokens(text: str | None) -> list[bytes]:
@@ -298,9 +299,27 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id"
 def labelled(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
              label_col: str = "toxic", text_col: str = "text") -> DataFrame:
     """(doc_id, text, y): documents joined with their label (null labels and
-    ids aside; a document with several labels is toxic if one says so)."""
-    y = (labels.filter(F.col(f"`{label_col}`").isNotNull())
+    ids aside; a document with several labels is toxic if one says so).
+
+    Texts without a label mostly stay where they are: a set of label ids of
+    fixed size filters them before the join, which settles the rest.  The
+    result is written once, since fitting reads it several times."""
+    y = (labels.filter(F.col(f"`{label_col}`").isNotNull() & F.col(f"`{id_col}`").isNotNull())
          .groupBy(F.col(f"`{id_col}`").alias("lid"))
          .agg(F.max(F.col(f"`{label_col}`").cast("int")).alias("y")))
-    return (docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
-            .join(y, F.col("doc_id") == F.col("lid")).select("doc_id", "text", "y"))
+    word, bit = bit_columns("h", LABEL_BITS_LOG2)
+    known = collect_bits(y.select(F.xxhash64(F.col("lid").cast("string")).alias("h")).select(word, bit)
+                         .groupBy("word").agg(F.bit_or("bit").alias("b")), ["b"], LABEL_BITS_LOG2)[0]
+    shared = docs.sparkSession.sparkContext.broadcast(known.words)
+    src = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"),
+                      F.xxhash64(F.col(f"`{id_col}`").cast("string")).alias("h"))
+    kind = src.schema["doc_id"].dataType.simpleString()
+
+    def likely(batches):
+        seen = BitSet(shared.value)
+        for b in batches:
+            ok = seen.has(b.column("h").to_numpy().view(np.uint64))
+            yield b.filter(pa.array(ok)).select(["doc_id", "text"])
+    rows = src.mapInArrow(likely, f"doc_id {kind}, text string")
+    return written(rows.join(y, F.col("doc_id") == F.col("lid")).select("doc_id", "text", "y"),
+                   "toxicity-labelled")
