@@ -81,7 +81,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     pieces = piece_model()
     rows = decode(encode(docs, pieces), pieces)
     return rows.select("doc_id", F.size("ids").cast("long").alias("n_ids"), "ids",
-                       (F.col("decoded") == F.translate(F.coalesce("text", F.lit("")), "▁", " "))
+                       (F.col("decoded") == F.replace(F.coalesce("text", F.lit("")), F.lit("▁"), F.lit(" ")))
                        .alias("round_trip"))
 
 

@@ -35,7 +35,7 @@ def piece_model(path: str | None = None) -> Pieces:
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    train = labelled(docs, table(spark, sf_dir, "labels")).filter(bucket_of("doc_id", 5) != 0)
+    train = labelled(docs.filter(bucket_of("doc_id", 5) != 0), table(spark, sf_dir, "labels"))
     return (score_toxicity(docs, fit_toxicity(train))
             .select("doc_id", (bucket_of("doc_id", 5) == 0).alias("held_out"), "score", "predicted"))
 
@@ -50,7 +50,7 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = piece_model()
     rows = decode(encode(table(spark, sf_dir, "documents"), pieces), pieces)
     return rows.select("doc_id", F.size("ids").cast("long").alias("n_ids"), "ids",
-                       F.coalesce(F.col("decoded") == F.translate(F.coalesce("text", F.lit("")), "▁", " "),
+                       F.coalesce(F.col("decoded") == F.replace(F.coalesce("text", F.lit("")), F.lit("▁"), F.lit(" ")),
                                   F.lit(False)).alias("round_trip"))
 
 

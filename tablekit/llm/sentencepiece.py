@@ -65,9 +65,10 @@ class Pieces:
         self._pair: dict[tuple[str, str], bool] = {}
         self._self: dict[str, bool] = {}
         self._words: dict[str, tuple[int, ...]] = {}
+        self._pool = None
 
     def __getstate__(self):
-        return self.__dict__ | {"_pair": {}, "_self": {}, "_words": {}}
+        return self.__dict__ | {"_pair": {}, "_self": {}, "_words": {}, "_pool": None}
 
     @staticmethod
     def load(model_file: str) -> "Pieces":
@@ -88,16 +89,19 @@ class Pieces:
     # -------------------------------------------------- short strings
     def merge(self, s: str) -> list[str]:
         """Merge neighbours, best score first, leftmost on ties."""
-        parts, rank = list(s), self.rank
-        while len(parts) > 1:
-            best, at = None, -1
-            for i in range(len(parts) - 1):
-                r = rank.get(parts[i] + parts[i + 1])
-                if r is not None and (best is None or r < best):
-                    best, at = r, i
-            if best is None:
+        parts, rank, none = list(s), self.rank.get, float("inf")
+        left = [rank(a + b, none) for a, b in zip(parts, parts[1:])]
+        while left:
+            best = min(left)
+            if best == none:
                 break
-            parts[at:at + 2] = [parts[at] + parts[at + 1]]
+            i = left.index(best)
+            parts[i] += parts.pop(i + 1)
+            left.pop(i)
+            if i < len(left):
+                left[i] = rank(parts[i] + parts[i + 1], none)
+            if i:
+                left[i - 1] = rank(parts[i - 1] + parts[i], none)
         return parts
 
     def stands(self, u: str) -> bool:
@@ -128,7 +132,7 @@ class Pieces:
     def word_ids(self, w: str) -> tuple[int, ...]:
         got = self._words.get(w)
         if got is None:
-            if len(self._words) > 500_000:
+            if len(self._words) > 1_000_000:
                 self._words.clear()
             parts = self.merge(w) if len(w) <= _LONG_WORD else self.trace(w)
             got = tuple(chain.from_iterable(map(self.piece_ids, parts)))
@@ -274,28 +278,27 @@ class Pieces:
         return ids
 
     def decode(self, ids) -> str:
-        """Pieces to text; invalid byte runs become U+FFFD as in the library."""
-        out, raw = [], bytearray()
-        for i in ids:
-            b = self.byte_of.get(i)
-            if b is not None:
-                raw.append(b)
-                continue
-            if raw:
-                out.append(_bytes_text(bytes(raw)))
-                raw.clear()
-            out.append(self.pieces[i])
-        if raw:
-            out.append(_bytes_text(bytes(raw)))
-        text = "".join(out).replace(SPACE, " ")
-        return text[1:] if text.startswith(" ") else text
-
-
-def _bytes_text(raw: bytes) -> str:
-    try:
-        return raw.decode("utf-8")
-    except UnicodeDecodeError:
-        return raw.decode("utf-8", "replace")
+        """Pieces to text; invalid byte runs become U+FFFD."""
+        return self.decode_many(np.asarray(ids, np.int64), np.array([0, len(ids)]))[0]
+
+    def decode_many(self, flat: np.ndarray, offsets: np.ndarray) -> list[str]:
+        """Texts of many id lists (``flat[offsets[i]:offsets[i + 1]]``): the
+        pieces' bytes are gathered from one pool."""
+        if self._pool is None:
+            raw = [bytes([self.byte_of[i]]) if i in self.byte_of
+                   else p.replace(SPACE, " ").encode("utf-8") for i, p in enumerate(self.pieces)]
+            size = np.array([len(x) for x in raw])
+            self._pool = (np.frombuffer(b"".join(raw), np.uint8), np.cumsum(size) - size, size)
+        pool, start, size = self._pool
+        n = size[flat]
+        end = np.concatenate([[0], np.cumsum(n)])
+        out = pool[np.repeat(start[flat] - end[:-1], n) + np.arange(end[-1])].tobytes()
+        cut = end[offsets].tolist()
+        texts_ = []
+        for a, b in zip(cut[:-1], cut[1:]):
+            raw = out[a + 1:b] if out[a:a + 1] == b" " and a < b else out[a:b]
+            texts_.append(raw.decode("utf-8", "replace"))
+        return texts_
 
 
 def compose(a: dict, b: dict) -> dict:
@@ -483,9 +486,12 @@ def decode(rows: DataFrame, pieces: Pieces, ids_col: str = "ids") -> DataFrame:
     def run(batches):
         pc = vocab.value
         for b in batches:
-            for at in range(0, b.num_rows, 256):
-                part = b.slice(at, 256)
-                text = [None if i is None else pc.decode(i) for i in part.column(ids_col).to_pylist()]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(text, pa.string())],
-                                                 [*names, "decoded"])
+            for at in range(0, b.num_rows, 512):
+                part = b.slice(at, 512)
+                ids = part.column(ids_col)
+                flat = ids.flatten().to_numpy(zero_copy_only=False)
+                n = np.array(ids.value_lengths().fill_null(0).to_numpy(zero_copy_only=False), np.int64)
+                text = pc.decode_many(flat, np.concatenate([[0], np.cumsum(n)]))
+                text = pa.array(text, pa.string(), mask=ids.is_null().to_numpy(zero_copy_only=False))
+                yield pa.RecordBatch.from_arrays([*part.columns, text], [*names, "decoded"])
     return rows.select(*[f"`{c}`" for c in names]).mapInArrow(run, schema + ", decoded string")
