@@ -25,6 +25,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def slices(batch, rows: int = 512):
+    """Parts of a record batch, so that a task's Python objects stay few."""
+    for at in range(0, batch.num_rows, rows):
+        yield batch.slice(at, rows)
+
+
 def bucket_of(doc_id: str, n: int):
     """crc32 of the id as text, modulo n (null ids: remainder of "")."""
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit(""))) % n

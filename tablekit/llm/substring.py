@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import texts, written
+from .common import slices, texts, written
 from .words import (BitSet, RangeHasher, bit_columns, blocks, collect_bits, mix, signed,
                     space_words)
 
@@ -239,48 +239,54 @@ def substring_dedup(docs: DataFrame, min_words: int = 13, id_col: str = "doc_id"
     src = texts(docs, id_col, text_col)
     kind = src.schema["doc_id"].dataType.simpleString()
 
-    def apply(batches):
+    def cut_out(b, runs_of):
+        cols = {k: [] for k in ("n_words", "n_removed", "spans", "kept", "kept_sha256")}
+        for t, r in zip(b.column("text").to_pylist(), runs_of):
+            words = space_words(t)
+            spans = merged(r)
+            at, keep = 0, []
+            for s, e in spans:
+                keep += words[at:s]
+                at = e
+            keep += words[at:]
+            kept = b" ".join(keep)
+            cols["n_words"].append(len(words))
+            cols["n_removed"].append(len(words) - len(keep))
+            cols["spans"].append([{"s": s, "e": e} for s, e in spans])
+            cols["kept"].append(kept.decode("utf-8", "replace"))
+            cols["kept_sha256"].append(hashlib.sha256(kept).hexdigest())
+        return pa.RecordBatch.from_arrays(
+            [b.column("doc_id"), b.column("d"), b.column("th"),
+             pa.array(cols["n_words"], pa.int64()), pa.array(cols["n_removed"], pa.int64()),
+             pa.array(cols["spans"], pa.list_(pa.struct([("s", pa.int32()), ("e", pa.int32())]))),
+             pa.array(cols["kept"], pa.string()), pa.array(cols["kept_sha256"], pa.string())],
+            ["doc_id", "d", "th", *cols])
+
+    def with_runs(batches):
         for b in batches:
-            cols = {k: [] for k in ("n_words", "n_removed", "spans", "kept", "kept_sha256")}
-            for t, r in zip(b.column("text").to_pylist(), b.column("runs").to_pylist()):
-                words = space_words(t)
-                spans = merged(r)
-                at, keep = 0, []
-                for s, e in spans:
-                    keep += words[at:s]
-                    at = e
-                keep += words[at:]
-                kept = b" ".join(keep)
-                cols["n_words"].append(len(words))
-                cols["n_removed"].append(len(words) - len(keep))
-                cols["spans"].append([{"s": s, "e": e} for s, e in spans])
-                cols["kept"].append(kept.decode("utf-8", "replace"))
-                cols["kept_sha256"].append(hashlib.sha256(kept).hexdigest())
-            yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), b.column("d"), b.column("th"),
-                 pa.array(cols["n_words"], pa.int64()), pa.array(cols["n_removed"], pa.int64()),
-                 pa.array(cols["spans"], pa.list_(pa.struct([("s", pa.int32()), ("e", pa.int32())]))),
-                 pa.array(cols["kept"], pa.string()), pa.array(cols["kept_sha256"], pa.string())],
-                ["doc_id", "d", "th", *cols])
+            for part in slices(b):
+                yield cut_out(part, part.column("runs").to_pylist())
 
     # only documents that may have runs travel to the join; the set of their
     # text hashes has a fixed size, and the join settles the rest
     touched = docs.sparkSession.sparkContext.broadcast(
         _gather(runs, "th", lambda x: _u(x["th"])))
 
-    def some(batches, want):
+    def maybe(batches):
         seen = BitSet(touched.value)
         for b in batches:
-            hit = seen.has(_u(b.column("th").to_numpy()))
-            yield b.filter(pa.array(hit if want else ~hit))
+            yield b.filter(pa.array(seen.has(_u(b.column("th").to_numpy()))))
+
+    def untouched(batches):
+        seen = BitSet(touched.value)
+        for b in batches:
+            rest = b.filter(pa.array(~seen.has(_u(b.column("th").to_numpy()))))
+            for part in slices(rest):
+                yield cut_out(part, [None] * part.num_rows)
     out = (f"doc_id {kind}, d long, th long, n_words long, n_removed long, "
            "spans array<struct<s:int,e:int>>, kept string, kept_sha256 string")
-    columns = f"doc_id {kind}, d long, th long, text string"
     got = runs.select(F.col("d").alias("rd"), F.col("th").alias("rth"), "runs")
-    cut_rows = (src.mapInArrow(lambda it: some(it, True), columns)
+    cut_rows = (src.mapInArrow(maybe, f"doc_id {kind}, d long, th long, text string")
                 .join(got, (F.col("d") == F.col("rd")) & (F.col("th") == F.col("rth")), "left")
-                .select("doc_id", "d", "th", "text", "runs").mapInArrow(apply, out))
-    whole_rows = (src.mapInArrow(lambda it: some(it, False), columns)
-                  .withColumn("runs", F.lit(None).cast("array<struct<s:int,e:int>>"))
-                  .mapInArrow(apply, out))
-    return cut_rows.unionByName(whole_rows)
+                .select("doc_id", "d", "th", "text", "runs").mapInArrow(with_runs, out))
+    return cut_rows.unionByName(src.mapInArrow(untouched, out))
