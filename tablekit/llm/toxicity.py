@@ -321,5 +321,6 @@ def labelled(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
             ok = seen.has(b.column("h").to_numpy().view(np.uint64))
             yield b.filter(pa.array(ok)).select(["doc_id", "text"])
     rows = src.mapInArrow(likely, f"doc_id {kind}, text string")
-    return written(rows.join(y, F.col("doc_id") == F.col("lid")).select("doc_id", "text", "y"),
+    # a sort-merge join at every size: texts are dealt out evenly for the fit
+    return written(rows.join(y.hint("merge"), F.col("doc_id") == F.col("lid")).select("doc_id", "text", "y"),
                    "toxicity-labelled")
