@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tablekit.llm.common import LAST_ID, texts
 from tablekit.llm.decontam import decontaminate
 from tablekit.llm.queries import piece_model
-from tablekit.llm.sentencepiece import decode, encode
+from tablekit.llm.sentencepiece import encode
 from tablekit.llm.simhash import simhash_groups
 from tablekit.llm.substring import substring_dedup
 from tablekit.llm.toxicity import fit_toxicity, labelled, score_toxicity
@@ -78,11 +78,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, n_ids, ids, round_trip): the encoded corpus, checked by
     decoding it again."""
-    pieces = piece_model()
-    rows = decode(encode(docs, pieces), pieces)
-    return rows.select("doc_id", F.size("ids").cast("long").alias("n_ids"), "ids",
-                       (F.col("decoded") == F.replace(F.coalesce("text", F.lit("")), F.lit("▁"), F.lit(" ")))
-                       .alias("round_trip"))
+    return encode(docs, piece_model()).select(
+        "doc_id", F.size("ids").cast("long").alias("n_ids"), "ids", "round_trip")
 
 
 STAGES = [

@@ -33,13 +33,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import texts
+from .common import slices, texts
 
 SPACE = "▁"
 #: Code points after which a document is giant, and of one chunk of it.
 CHUNK = 32_768
 _LONG_WORD = 48
-_FLUSH = 2_000_000
 
 State = tuple[int, str]
 
@@ -132,7 +131,7 @@ class Pieces:
     def word_ids(self, w: str) -> tuple[int, ...]:
         got = self._words.get(w)
         if got is None:
-            if len(self._words) > 1_000_000:
+            if len(self._words) > 600_000:
                 self._words.clear()
             parts = self.merge(w) if len(w) <= _LONG_WORD else self.trace(w)
             got = tuple(chain.from_iterable(map(self.piece_ids, parts)))
@@ -343,6 +342,13 @@ def _lists(per_row: list[list[int]]) -> pa.ListArray:
         pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32)), pa.array(flat))
 
 
+def _round_trips(pieces: Pieces, ids: pa.ListArray, rows: list[str | None]) -> pa.Array:
+    n = np.array(ids.value_lengths().to_numpy(zero_copy_only=False), np.int64)
+    back = pieces.decode_many(ids.flatten().to_numpy(zero_copy_only=False),
+                              np.concatenate([[0], np.cumsum(n)]))
+    return pa.array([a == (t or "").replace(SPACE, " ") for a, t in zip(back, rows)], pa.bool_())
+
+
 def _matrix(m: dict) -> str:
     return json.dumps(m | {"mask": [format(x, "x") for x in m["mask"]]})
 
@@ -354,9 +360,11 @@ def _unmatrix(s: str) -> dict:
 
 def encode(docs: DataFrame, pieces: Pieces, id_col: str = "doc_id", text_col: str = "text",
            chunk: int = CHUNK) -> DataFrame:
-    """One row per input row: (doc_id, text, ids).
+    """One row per input row: (doc_id, ids, round_trip).
 
-    Null and empty texts have no ids.  Texts of up to ``chunk`` code points
+    ``round_trip``: the ids decode to the text again (a text's own U+2581
+    becomes a space, as in the library; null counts as empty).  Null and empty
+    texts have no ids.  Texts of up to ``chunk`` code points
     are encoded where they are; longer ones are dealt out chunk by chunk.
     Repeated rows are encoded alike; other columns are left behind.
     """
@@ -368,18 +376,20 @@ def encode(docs: DataFrame, pieces: Pieces, id_col: str = "doc_id", text_col: st
     def short(batches):
         pc = vocab.value
         for b in batches:
-            done, size, at = [], 0, 0
-            rows = b.column("text").to_pylist()
-            for i, t in enumerate(rows):
-                ids = pc.encode_closed(pc.marked(t)) if t else []
-                done.append(ids)
-                size += len(ids)
-                if size > _FLUSH or i == len(rows) - 1:
-                    part = b.slice(at, i + 1 - at)
-                    yield pa.RecordBatch.from_arrays(
-                        [part.column("doc_id"), part.column("text"), _lists(done)],
-                        ["doc_id", "text", "ids"])
-                    done, size, at = [], 0, i + 1
+            for part in slices(b):
+                rows = part.column("text").to_pylist()
+                ids = _lists([pc.encode_closed(pc.marked(t)) if t else [] for t in rows])
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), ids, _round_trips(pc, ids, rows)], names)
+
+    def checked(batches):
+        pc = vocab.value
+        for b in batches:
+            for part in slices(b, 16):
+                ids = part.column("ids")
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), ids, _round_trips(pc, ids, part.column("text").to_pylist())],
+                    names)
 
     def split(batches):
         pc = vocab.value
@@ -444,8 +454,8 @@ def encode(docs: DataFrame, pieces: Pieces, id_col: str = "doc_id", text_col: st
                 [b.column("d"), b.column("th"), b.column("k"), _lists(ids)], ["d", "th", "k", "ids"])
 
     giant = F.coalesce(F.length("text"), F.lit(0)) >= chunk
-    small = src.filter(~giant).select("doc_id", "text").mapInArrow(
-        short, f"doc_id {kind}, text string, ids array<int>")
+    names, out = ["doc_id", "ids", "round_trip"], f"doc_id {kind}, ids array<int>, round_trip boolean"
+    small = src.filter(~giant).select("doc_id", "text").mapInArrow(short, out)
     big = src.filter(giant)
     parts = (big.select("d", "th", "text").dropDuplicates(["d", "th"]).mapInArrow(
         split, "d long, th long, k int, run int, ol boolean, opr boolean, a int, e int, s string")
@@ -467,7 +477,7 @@ def encode(docs: DataFrame, pieces: Pieces, id_col: str = "doc_id", text_col: st
               .select(F.col("d").alias("xd"), F.col("th").alias("xth"),
                       F.flatten(F.col("parts.ids")).alias("ids")))
     large = (big.join(joined, (F.col("d") == F.col("xd")) & (F.col("th") == F.col("xth")))
-             .select("doc_id", "text", "ids"))
+             .select("doc_id", "text", "ids").mapInArrow(checked, out))
     return small.unionByName(large)
 
 
@@ -486,8 +496,7 @@ def decode(rows: DataFrame, pieces: Pieces, ids_col: str = "ids") -> DataFrame:
     def run(batches):
         pc = vocab.value
         for b in batches:
-            for at in range(0, b.num_rows, 512):
-                part = b.slice(at, 512)
+            for part in slices(b):
                 ids = part.column(ids_col)
                 flat = ids.flatten().to_numpy(zero_copy_only=False)
                 n = np.array(ids.value_lengths().fill_null(0).to_numpy(zero_copy_only=False), np.int64)
