@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut, texts
-from .words import BitSet, RangeHasher, bit_columns, blocks, collect_bits, signed
+from .words import BitSet, RangeHasher, bit_set, blocks, signed
 
 SHINGLE = 5
 BITS_LOG2 = 24
@@ -57,9 +57,7 @@ def item_windows(benchmark: DataFrame, size: int = 10, id_col: str = "item_id",
 
 
 def _token_bits(tokens: DataFrame) -> BitSet:
-    word, bit = bit_columns("token", BITS_LOG2)
-    return collect_bits(tokens.select(word, bit).groupBy("word").agg(F.bit_or("bit").alias("b")),
-                        ["b"], BITS_LOG2)[0]
+    return BitSet(bit_set(tokens, ["token"], lambda t: t.view(np.uint64), BITS_LOG2))
 
 
 def _scan(docs: DataFrame, bits: BitSet, ks: list[int], size: int, counts_only: bool) -> DataFrame:

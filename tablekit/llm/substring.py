@@ -29,15 +29,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import slices, texts, written
-from .words import (BitSet, RangeHasher, bit_columns, blocks, collect_bits, mix, signed,
-                    space_words)
+from .words import BitSet, RangeHasher, bit_set, blocks, mix, signed, space_words
 
 SEED = 5
 #: Bits (log2) of the sets that travel back to the scans: seeds and heads, and
 #: the smaller ones.  More bits let less through by chance; raise them with the
 #: executors' memory (30 are 128 MB).
-BITS_LOG2 = 24
-FEW_LOG2 = 22
+BITS_LOG2 = 26
+FEW_LOG2 = 24
 #: Words winnowed at a time.
 _PIECE = 1 << 20
 _PLACE = np.uint64((1 << 24) - 1)
@@ -87,24 +86,6 @@ def _head_hash(a: np.ndarray, c: np.ndarray, d: np.ndarray) -> np.ndarray:
     return mix(mix(a ^ mix(c)) + d.view(np.uint64) * np.uint64(0xBF58476D1CE4E5B9))
 
 
-def _bits_of(h: np.ndarray, log2: int) -> pa.RecordBatch:
-    """(word, bit) rows of hashes, one per 64-bit word of the bit set."""
-    at = np.unique(h & np.uint64((1 << log2) - 1))
-    word, first = np.unique(at >> np.uint64(6), return_index=True)
-    bit = np.bitwise_or.reduceat(np.uint64(1) << (at & np.uint64(63)), first) if len(at) else at
-    return pa.RecordBatch.from_arrays([pa.array(signed(word)), pa.array(signed(bit))], ["word", "bit"])
-
-
-def _gather(rows: DataFrame, columns: str, hashes, log2: int = FEW_LOG2) -> np.ndarray:
-    """A bit set of ``hashes(batch)`` over all rows: every task sends each
-    64-bit word at most once a batch."""
-    def run(batches):
-        for b in batches:
-            yield _bits_of(hashes({n: b.column(n).to_numpy() for n in columns.split()}), log2)
-    got = rows.select(*columns.split()).mapInArrow(run, "word long, bit long")
-    return collect_bits(got.groupBy("word").agg(F.bit_or("bit").alias("b")), ["b"], log2)[0].words
-
-
 def _u(x: np.ndarray) -> np.ndarray:
     return x.view(np.uint64)
 
@@ -127,9 +108,7 @@ def repeated_runs(docs: DataFrame, min_words: int = 13, id_col: str = "doc_id",
                     [pa.array(signed(a & np.uint64((1 << 40) - 1))), pa.array(d[row])], ["a", "d"])
     met = (src.select("d", "text").mapInArrow(seeds, "a long, d long")
            .groupBy("a").agg(F.min("d").alias("d0"), F.max("d").alias("d1")).filter("d0 < d1"))
-    word, bit = bit_columns("a", BITS_LOG2)
-    shared = share(collect_bits(met.select(word, bit).groupBy("word").agg(F.bit_or("bit").alias("b")),
-                                ["b"], BITS_LOG2)[0].words)
+    shared = share(bit_set(met, ["a"], _u, BITS_LOG2))
 
     # 2. classes of equal extensions, each with its first document (its head)
     def extended(batches):
@@ -143,9 +122,10 @@ def repeated_runs(docs: DataFrame, min_words: int = 13, id_col: str = "doc_id",
     first = written(src.select("d", "text").mapInArrow(extended, "a long, c long, d long")
                     .groupBy("a", "c").agg(F.min("d").alias("d0"))
                     .select(F.col("a").alias("ca"), F.col("c").alias("cc"), "d0"), "substring-classes")
-    split = share(_gather(first.groupBy("ca").agg(F.count(F.lit(1)).alias("k")).filter("k > 1"), "ca",
-                          lambda x: _u(x["ca"])))
-    heads = share(_gather(first, "ca cc d0", lambda x: _head_hash(_u(x["ca"]), _u(x["cc"]), x["d0"]), BITS_LOG2))
+    split = share(bit_set(first.groupBy("ca").agg(F.count(F.lit(1)).alias("k")).filter("k > 1"),
+                          ["ca"], _u, FEW_LOG2))
+    heads = share(bit_set(first, ["ca", "cc", "d0"],
+                          lambda a, c, d: _head_hash(_u(a), _u(c), d), BITS_LOG2))
 
     # 3. what is surely no head is covered whole, runs merged on the spot;
     # possible heads go on, with their windows where a seed has many classes
@@ -197,7 +177,7 @@ def repeated_runs(docs: DataFrame, min_words: int = 13, id_col: str = "doc_id",
     low = written(windows.groupBy("a", "w").agg(F.min("d").alias("d0"), F.max("d").alias("d1"))
                   .filter("d0 < d1").select(F.col("a").alias("ca"), F.col("w").alias("cw"), "d0"),
                   "substring-windows")
-    repeated = share(_gather(low, "cw", lambda x: _u(x["cw"])))
+    repeated = share(bit_set(low, ["cw"], _u, FEW_LOG2))
 
     def likely(batches):
         seen = BitSet(repeated.value)
@@ -270,7 +250,7 @@ def substring_dedup(docs: DataFrame, min_words: int = 13, id_col: str = "doc_id"
     # only documents that may have runs travel to the join; the set of their
     # text hashes has a fixed size, and the join settles the rest
     touched = docs.sparkSession.sparkContext.broadcast(
-        _gather(runs, "th", lambda x: _u(x["th"])))
+        bit_set(runs, ["th"], _u, FEW_LOG2))
 
     def maybe(batches):
         seen = BitSet(touched.value)

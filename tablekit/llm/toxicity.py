@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import written
-from .words import BitSet, alnum_words, bit_columns, collect_bits, utf8
+from .words import BitSet, alnum_words, bit_set, utf8
 
 PREFIXES = (3, 4, 5, 6)
 PRIOR = 2.0
@@ -307,10 +307,9 @@ def labelled(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     y = (labels.filter(F.col(f"`{label_col}`").isNotNull() & F.col(f"`{id_col}`").isNotNull())
          .groupBy(F.col(f"`{id_col}`").alias("lid"))
          .agg(F.max(F.col(f"`{label_col}`").cast("int")).alias("y")))
-    word, bit = bit_columns("h", LABEL_BITS_LOG2)
-    known = collect_bits(y.select(F.xxhash64(F.col("lid").cast("string")).alias("h")).select(word, bit)
-                         .groupBy("word").agg(F.bit_or("bit").alias("b")), ["b"], LABEL_BITS_LOG2)[0]
-    shared = docs.sparkSession.sparkContext.broadcast(known.words)
+    known = bit_set(y.select(F.xxhash64(F.col("lid").cast("string")).alias("h")), ["h"],
+                    lambda h: h.view(np.uint64), LABEL_BITS_LOG2)
+    shared = docs.sparkSession.sparkContext.broadcast(known)
     src = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"),
                       F.xxhash64(F.col(f"`{id_col}`").cast("string")).alias("h"))
     kind = src.schema["doc_id"].dataType.simpleString()

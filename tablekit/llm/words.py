@@ -174,22 +174,45 @@ class BitSet:
                 >> (bit & np.uint64(63))) & np.uint64(1) != 0
 
 
-def bit_columns(hash_col: str, bits_log2: int):
-    """(index of the 64-bit word, its bit) of a signed hash column, as the
-    Spark-side half of ``BitSet``."""
-    from pyspark.sql import functions as F
-    low = F.col(hash_col).bitwiseAND(F.lit((1 << bits_log2) - 1))
-    return (F.shiftrightunsigned(low, 6).alias("word"),
-            F.expr(f"shiftleft(1L, cast(`{hash_col}` & 63L as int))").alias("bit"))
-
-
-def collect_bits(rows, columns: list[str], bits_log2: int) -> list[BitSet]:
-    """Gather ``(word, <columns>)`` rows, at most one per 64-bit word, into
-    bit sets: the driver gets ``2**bits_log2 / 64`` rows at most."""
-    pdf = rows.toPandas()
-    out = []
-    for c in columns:
-        words = np.zeros((1 << bits_log2) // 64, np.int64)
-        words[pdf["word"].to_numpy(np.int64)] = pdf[c].to_numpy(np.int64)
-        out.append(BitSet(words.view(np.uint64)))
-    return out
+#: Bits of a block of a bit set, as one row that the driver takes (64 KB).
+_BLOCK_LOG2 = 19
+
+
+def bit_set(rows, columns: list[str], hashes, log2: int) -> np.ndarray:
+    """The words of a ``BitSet`` of ``2**log2`` bits over all rows.
+
+    ``hashes`` gets the columns as arrays and returns unsigned hashes.  Tasks
+    send distinct bit places, each block of the set is put together in one
+    place, and the driver takes the finished blocks: ``2**log2 / 8`` bytes,
+    whatever the input."""
+    import pyarrow as pa
+    inner = min(log2, _BLOCK_LOG2)
+
+    def places(batches):
+        for b in batches:
+            h = hashes(*(b.column(c).to_numpy() for c in columns))
+            at = np.unique(h & np.uint64((1 << log2) - 1)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array((at >> inner).astype(np.int32)),
+                 pa.array((at & ((1 << inner) - 1)).astype(np.int32))], ["block", "at"])
+
+    def blocks_(batches):
+        sets: dict[int, np.ndarray] = {}
+        for b in batches:
+            block, at = b.column("block").to_numpy(), b.column("at").to_numpy()
+            for k in np.unique(block).tolist():
+                sets.setdefault(k, np.zeros(1 << inner, bool))[at[block == k]] = True
+        if sets:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(sets), pa.int32()),
+                 pa.array([np.packbits(x, bitorder="little").tobytes() for x in sets.values()], pa.binary())],
+                ["block", "bits"])
+
+    n = min(1 << (log2 - inner), int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    got = (rows.select(*columns).mapInArrow(places, "block int, at int").repartition(n, "block")
+           .mapInArrow(blocks_, "block int, bits binary").collect())
+    out = np.zeros((1 << log2) // 8, np.uint8)
+    size = (1 << inner) // 8
+    for r in got:
+        out[r["block"] * size:(r["block"] + 1) * size] = np.frombuffer(r["bits"], np.uint8)
+    return out.view("<u8")
