@@ -37,7 +37,7 @@ def item_windows(benchmark: DataFrame, size: int = 10, id_col: str = "item_id",
                 for i, lo, hi in zip(block.rows, block.lo, block.hi):
                     if lo == hi:
                         continue
-                    length = min(size, hi - lo)
+                    length = int(min(size, hi - lo))
                     k = min(SHINGLE, length)
                     tokens = signed(RangeHasher(block.h[lo:hi]).every(k)).tolist()
                     plain = block.words(lo, hi)

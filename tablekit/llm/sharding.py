@@ -51,13 +51,17 @@ def initial_map(shards: int, slots: int = SLOTS) -> np.ndarray:
 
 
 def rebalance(slot_shard: np.ndarray, load: np.ndarray, shards: int) -> np.ndarray:
-    """Edit the map until no single move or swap of slots between the fullest
-    and another shard narrows their difference.  Shards may be added (they
-    start empty)."""
+    """Edit the map until no single move or swap of slots between a full and
+    one of the emptiest shards narrows their difference.  A shard that one
+    huge slot fills is left alone and the others go on.  Shards may be added
+    (they start empty)."""
     out = slot_shard.copy()
     total = np.bincount(out, weights=load, minlength=shards)
+    stuck = np.zeros(len(total), bool)
     for _ in range(20 * len(out)):
-        top = int(total.argmax())
+        if stuck.all():
+            break
+        top = int(np.where(stuck, -1, total).argmax())
         mine = np.flatnonzero((out == top) & (load > 0))
         best = None  # (remaining gap, slot, slot back, other shard)
         for other in np.argsort(total, kind="stable")[:4].tolist():
@@ -80,7 +84,8 @@ def rebalance(slot_shard: np.ndarray, load: np.ndarray, shards: int) -> np.ndarr
                     pick = int(order[j[i]])
                     best = (left[i] - gap, int(mine[i]), None if pick == 0 else int(theirs[pick - 1]), other)
         if best is None:
-            break
+            stuck[top] = True
+            continue
         _, x, y, other = best
         out[x] = other
         total[top] -= load[x]

@@ -151,7 +151,7 @@ class RangeHasher:
         if n <= 0:
             return np.empty(0, np.uint64)
         return mix((self.total[k:] - self.total[:n]) * self.down[:n]
-                   + np.uint64(k * int(_MUL) & (1 << 64) - 1))
+                   + np.uint64(int(k) * int(_MUL) & (1 << 64) - 1))
 
 
 def signed(h: np.ndarray) -> np.ndarray:
