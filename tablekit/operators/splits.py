@@ -122,13 +122,13 @@ def group_running_sum(df: DataFrame, order: list, value: Column | str | None = N
             return _group_running_sum_ranged(x.drop("_v", "_px"), order, value, group, name,
                                              partitions, agg, inclusive)
     xb = x.crossJoin(F.broadcast(bounds))  # one row of n - 1 doubles
-    # bucket = number of bounds below the value: plain comparisons (code
-    # generated), not a per-row lambda
-    below = [F.coalesce((F.col("_bounds")[i] < F.col("_px")).cast("int"), F.lit(0))
-             for i in range(len(qs))]
-    bucket = below[0]
-    for b in below[1:]:
-        bucket = bucket + b
+    # bucket = number of bounds below the value, by bisection in steps of
+    # powers of two: one expression whose depth does not grow with n
+    steps = [1 << i for i in range(max(1, n).bit_length() - 1, -1, -1)]
+    bucket = F.aggregate(
+        F.array(*[F.lit(s) for s in steps]), F.lit(0),
+        lambda at, step: F.when(F.get("_bounds", at + step - 1) < F.col("_px"), at + step)
+        .otherwise(at))
     xb = xb.withColumn("_bk", bucket).drop("_bounds", "_px")
     fn = F.sum if agg == "sum" else F.max
     wl = (Window.partitionBy(*group, "_bk").orderBy(*okeys)

@@ -447,3 +447,15 @@ def test_running_sum_splits_a_hot_first_order_value(spark):
         ids = [i for _, i in sorted((d, i) for d, i, w in data if w == v)]
         got = {row["id"]: row["r"] for row in g.filter(F.col("v") == v).collect()}
         assert [got[i] for i in ids] == list(range(1, len(ids) + 1))
+
+
+@pytest.mark.parametrize("partitions", [1, 8, 500, 4000])
+def test_rank_at_any_partition_count(spark, partitions):
+    from tablekit.operators.splits import group_rank
+    df = spark.range(3000).select(F.col("id"), (F.col("id") * 7919 % 3000).alias("v"),
+                                  F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 11).alias("g"))
+    got = group_rank(df, ["v", "id"], ["g"], partitions=partitions).collect()
+    want: dict = {}
+    for r in sorted(got, key=lambda r: (r["g"], r["v"], r["id"])):
+        want[r["g"]] = want.get(r["g"], 0) + 1
+        assert r["rank"] == want[r["g"]]
