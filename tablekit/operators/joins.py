@@ -30,16 +30,31 @@ def _width(t: T.DataType) -> int:
 
 
 def row_width(schema: T.StructType) -> int:
-    """Rough bytes per row (strings counted at 64 bytes, collections at 256)."""
+    """Bytes per row besides the contents of strings and collections."""
     return _width(schema) + 16
 
 
+def _content_bytes(schema: T.StructType) -> Column:
+    """Bytes that the strings, binaries and collections of a row hold."""
+    total = F.lit(0).cast("long")
+    for f in schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            total = total + F.coalesce(F.octet_length(c), F.lit(0))
+        elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            # the text form of most values is no shorter; 8 bytes a character
+            total = total + 8 * F.coalesce(F.octet_length(c.cast("string")), F.lit(0))
+    return total
+
+
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
                    max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
-    """True when ``df`` provably has at most ``max_rows`` rows and an estimated
-    size of at most ``max_bytes``.  The probe stops after max_rows + 1 rows."""
-    n = df.limit(max_rows + 1).count()
-    return n <= max_rows and n * row_width(df.schema) <= max_bytes
+    """True when ``df`` has at most ``max_rows`` rows and ``max_bytes`` bytes,
+    string and collection contents measured.  The probe stops after
+    max_rows + 1 rows."""
+    r = (df.limit(max_rows + 1).select(_content_bytes(df.schema).alias("_b"))
+         .agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("_b"), F.lit(0)).alias("b")).first())
+    return r["n"] <= max_rows and r["n"] * row_width(df.schema) + r["b"] <= max_bytes
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,

@@ -26,11 +26,11 @@ S_US = STEP_S * 1_000_000
 
 # Alert rule metadata (name, severity, summary, description).
 ALERT_RULES = [
-    ("AppDown", "critical", "Captioning app is down", "App has been unreachable for 30s."),
-    ("HighErrorRate", "critical", "High error rate detected",
-     "More than 0.05 errors/sec over last 5 minutes."),
-    ("SlowInference", "warning", "Inference latency too high",
-     "P95 latency has exceeded 10s for 2 minutes."),
+    ("AppDown", "critical", "no events", "A user sent nothing for a whole interval."),
+    ("HighErrorRate", "critical", "many error events",
+     "Error events are over 30 percent of the events of a user within 6 hours."),
+    ("SlowInference", "warning", "many purchase events",
+     "Purchase events are over 30 percent of the events of a user within 6 hours."),
 ]
 # stand-in conditions: share of one event type among a user's events over 6 h
 ALERT_DEFS = {"HighErrorRate": ("error", 0.3), "SlowInference": ("purchase", 0.3)}

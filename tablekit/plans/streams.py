@@ -79,10 +79,12 @@ def _windowed(spark, sf_dir, name, size, slide, aggs, post=None):
         w = ST.stream_windows(src, "ts", ["event_type"], size, slide, "1 hour", aggs)
         return post(w) if post else w
     ST.replay(spark, build, dirs, EVENTS, "append", "ts", "user_id")
-    # the late sentinel (no event type) must reach the watermark, so its own
-    # window is dropped only here: a filter inside the stream would be pushed
-    # below the watermark and remove the sentinel before it moves it
-    return ST.read_sink(spark, dirs["sink"]).filter(F.col("event_type").isNotNull())
+    # the late sentinel must reach the watermark, so its own windows are
+    # dropped only here, by their time (rows without an event type are real):
+    # a filter inside the stream would be pushed below the watermark
+    out = ST.read_sink(spark, dirs["sink"])
+    end = "window_end" if "window_end" in out.columns else "t"
+    return out.filter(from_epoch_us(F.lit(ST.SENTINEL_US)) > F.col(end))
 
 
 @query("stream_tumbling", sql="""
@@ -172,7 +174,7 @@ def q_stream_alert_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     def build(src):
         return ST.stream_alert_state(src, "user_id", "t", SER.STEP_S, SER.FOR_S)
     ST.replay(spark, build, dirs, COND, "append", "t", "user_id")
-    out = ST.read_sink(spark, dirs["sink"]).filter(F.col("instance") >= 0)
+    out = ST.read_sink(spark, dirs["sink"]).filter(F.col("pending_us") < ST.SENTINEL_US)
     return out.select(F.col("instance").alias("user_id"), F.lit("HighErrorRate").alias("alertname"),
                       from_epoch_us(F.col("pending_us")).alias("pending_at"),
                       from_epoch_us(F.col("firing_us")).alias("firing_at"),
@@ -304,7 +306,7 @@ def q_stream_inhibit(spark: SparkSession, sf_dir: str) -> DataFrame:
                                  .withColumn("pending_at", F.coalesce("pending_at", "firing_at"))
                                  .withColumn("kind", F.coalesce("kind", F.lit("source"))), "user_id")
     ST.replay(spark, build, dirs, ALERTS, "append", "pending_at", "user_id")
-    out = ST.read_sink(spark, dirs["sink"]).filter(F.col("instance") >= 0)
+    out = ST.read_sink(spark, dirs["sink"]).filter(F.col("pending_us") < ST.SENTINEL_US)
     return out.select(F.col("instance").alias("user_id"), F.lit("SlowInference").alias("alertname"),
                       from_epoch_us(F.col("pending_us")).alias("pending_at"),
                       from_epoch_us(F.col("firing_us")).alias("firing_at"),

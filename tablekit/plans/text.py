@@ -6,17 +6,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablekit.functions.text import (ENTITY_PATTERN, ENTITY_RULES, _STRIP_BLOCKS, base64_text,
-                                     entities, extract_links, join_list, link_pattern,
-                                     url_to_file_name)
+from tablekit.functions.text import (ENTITY_PATTERN, ENTITY_RULES, base64_text, entities,
+                                     extract_links, join_list, url_to_file_name)
 from tablekit.operators.aggs import threshold_notify, value_counts
 from tablekit.operators.shape import fill_defaults, status_filter, validate_nonempty
 from tablekit.registry import query, table
 from tablekit.sources.sinks import insert_or_ignore
 
-_LINKS_SQL = f"""list_filter(list_transform(
-    regexp_extract_all(regexp_replace(html, '{_STRIP_BLOCKS}', '', 'g'), '{link_pattern("a", "href").replace("'", "''")}', 1),
-    lambda v: replace(regexp_replace(v, '^["'']|["'']$', '', 'g'), '&amp;', '&')),
+# written apart from the operator: whole tags first, then the attribute of each
+_LINKS_SQL = r"""list_filter(list_transform(
+    regexp_extract_all(
+      regexp_replace(regexp_replace(regexp_replace(html, '<!--(?s:.)*?-->', '', 'g'),
+        '(?i)<script\b(?s:.)*?</script\s*>', '', 'g'), '(?i)<style\b(?s:.)*?</style\s*>', '', 'g'),
+      '(?i)<a[\s/](?:"[^"]*"|''[^'']*''|[^>"''])*>'),
+    lambda t: replace(trim(regexp_extract(t, '(?i)[\s/]href\s*=\s*("[^"]*"|''[^'']*''|[^\s"''>]+)', 1),
+                           '"'''), '&amp;', '&')),
   lambda v: v <> '')"""
 
 
@@ -86,7 +90,7 @@ def q_crawl_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("threshold_notify", sql="""
 SELECT count(*) FILTER (WHERE url LIKE 'https%') AS count,
-       'Batch threshold reached! Total pages scraped: ' ||
+       'stored pages: ' ||
        CAST(count(*) FILTER (WHERE url LIKE 'https%') AS VARCHAR) AS notice
 FROM pages HAVING count(*) FILTER (WHERE url LIKE 'https%') >= 2""")
 def q_threshold_notify(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -51,6 +51,8 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     sc = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not base:
+        if not sc.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="tablekit-ckpt-"))
         base = sc.getCheckpointDir()
     return "/".join([base.rstrip("/"), *parts]) if parts else base

@@ -27,6 +27,7 @@ from tablekit.operators.series import epoch_us, from_epoch_us
 from tablekit.session import shared_dir
 
 SENTINEL_TS = dt.datetime(2200, 1, 1)
+SENTINEL_US = (SENTINEL_TS - dt.datetime(1970, 1, 1)) // dt.timedelta(microseconds=1)
 
 
 # ---------------------------------------------------------------- plumbing

@@ -459,3 +459,24 @@ def test_rank_at_any_partition_count(spark, partitions):
     for r in sorted(got, key=lambda r: (r["g"], r["v"], r["id"])):
         want[r["g"]] = want.get(r["g"], 0) + 1
         assert r["rank"] == want[r["g"]]
+
+
+def test_links_step_over_quotes_and_other_names(spark):
+    html = ('<img data-src="lazy.png" src="real.png"><img alt="a>b" src=\'c.png\'><img srcset="x" SRC=d.png>'
+            '<image src="no.png"><img/src="e.png">')
+    df = spark.createDataFrame([(html,)], "html string")
+    assert df.select(X.extract_links("html", "img", "src")).first()[0] == ["real.png", "c.png", "d.png", "e.png"]
+
+
+def test_broadcast_guard_measures_strings(spark):
+    from tablekit.operators.joins import fits_broadcast
+    big = spark.range(2000).select("id", F.repeat(F.lit("x"), 200_000).alias("t"))
+    assert not fits_broadcast(big) and fits_broadcast(big.select("id"))
+
+
+def test_windows_keep_rows_without_event_type(spark, tmp_dir):
+    from tablekit.plans.streams import q_stream_tumbling
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    ev = ev.withColumn("event_type", F.when(F.col("event_id") % 10 != 0, F.col("event_type")))
+    ev.write.parquet(f"{tmp_dir}/sf/events.parquet")
+    assert q_stream_tumbling(spark, f"{tmp_dir}/sf").agg(F.sum("n")).first()[0] == ev.count()
