@@ -28,16 +28,19 @@ ex AS (SELECT unnest(generate_series(1, len(embedding))) AS pos,
 st AS (SELECT pos, avg(x) AS m, CASE WHEN stddev_pop(x) = 0 THEN 1.0 ELSE stddev_pop(x) END AS sd
        FROM ex GROUP BY pos),
 ms AS (SELECT list(m ORDER BY pos) AS means, list(sd ORDER BY pos) AS sds FROM st)
-SELECT vec_id, list_transform(range(len(embedding)),
-         lambda i: round((CAST(embedding[i + 1] AS DOUBLE) - means[i + 1]) / sds[i + 1], 4)) AS standardized
-FROM embeddings, ms""")
+SELECT vec_id, pos - 1 AS pos, (x - means[pos]) / sds[pos] AS value
+FROM (SELECT vec_id, unnest(generate_series(1, len(embedding))) AS pos,
+             CAST(unnest(embedding) AS DOUBLE) AS x FROM embeddings), ms""")
 def q_standardize(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M2: statistics fitted on the training rows (exact 80 %), population
     sd, applied to all rows."""
     e = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     train = exact_random_split(e, "vec_id", 0.2, 42).filter(F.col("split") == "train")
     s = M.standardize(e, "embedding", fit_on=train, out="standardized")
-    return s.select("vec_id", F.transform("standardized", lambda x: F.round(x, 4)).alias("standardized"))
+    # one row per value: doubles that differ in the last bits, as sums in
+    # another order do, stay comparable
+    return s.select("vec_id", F.posexplode("standardized").alias("pos", "value")).select(
+        "vec_id", F.col("pos").cast("long").alias("pos"), "value")
 
 
 @query("pca_whiten")
