@@ -39,6 +39,9 @@ SPACE = "▁"
 #: Code points after which a document is giant, and of one chunk of it.
 CHUNK = 32_768
 _LONG_WORD = 48
+#: Ids decoded at a time; words that a worker remembers, twice at most.
+_GATHER = 200_000
+_ROOM = 150_000
 
 State = tuple[int, str]
 
@@ -64,10 +67,11 @@ class Pieces:
         self._pair: dict[tuple[str, str], bool] = {}
         self._self: dict[str, bool] = {}
         self._words: dict[str, tuple[int, ...]] = {}
+        self._older: dict[str, tuple[int, ...]] = {}
         self._pool = None
 
     def __getstate__(self):
-        return self.__dict__ | {"_pair": {}, "_self": {}, "_words": {}, "_pool": None}
+        return self.__dict__ | {"_pair": {}, "_self": {}, "_words": {}, "_older": {}, "_pool": None}
 
     @staticmethod
     def load(model_file: str) -> "Pieces":
@@ -130,13 +134,17 @@ class Pieces:
 
     def word_ids(self, w: str) -> tuple[int, ...]:
         got = self._words.get(w)
+        if got is not None:
+            return got
+        if len(self._words) >= _ROOM:
+            # words in use move over from the older half, the others go
+            self._older, self._words = self._words, {}
+        got = self._older.get(w)
         if got is None:
-            if len(self._words) > 600_000:
-                self._words.clear()
             parts = self.merge(w) if len(w) <= _LONG_WORD else self.trace(w)
             got = tuple(chain.from_iterable(map(self.piece_ids, parts)))
-            if len(w) <= 4 * _LONG_WORD:
-                self._words[w] = got
+        if len(w) <= 4 * _LONG_WORD:
+            self._words[w] = got
         return got
 
     # -------------------------------------------------- lattice
@@ -291,7 +299,12 @@ class Pieces:
         pool, start, size = self._pool
         n = size[flat]
         end = np.concatenate([[0], np.cumsum(n)])
-        out = pool[np.repeat(start[flat] - end[:-1], n) + np.arange(end[-1])].tobytes()
+        parts = []
+        for a in range(0, len(flat), _GATHER):
+            ids, m = flat[a:a + _GATHER], n[a:a + _GATHER]
+            at = np.cumsum(m)
+            parts.append(pool[np.repeat(start[ids] - (at - m), m) + np.arange(at[-1])].tobytes())
+        out = b"".join(parts)
         cut = end[offsets].tolist()
         texts_ = []
         for a, b in zip(cut[:-1], cut[1:]):
@@ -376,7 +389,7 @@ def encode(docs: DataFrame, pieces: Pieces, id_col: str = "doc_id", text_col: st
     def short(batches):
         pc = vocab.value
         for b in batches:
-            for part in slices(b):
+            for part in slices(b, 128):
                 rows = part.column("text").to_pylist()
                 ids = _lists([pc.encode_closed(pc.marked(t)) if t else [] for t in rows])
                 yield pa.RecordBatch.from_arrays(
