@@ -41,7 +41,7 @@ CHUNK = 32_768
 _LONG_WORD = 48
 #: Ids decoded at a time; words that a worker remembers, twice at most.
 _GATHER = 200_000
-_ROOM = 150_000
+_ROOM = 250_000
 
 State = tuple[int, str]
 
