@@ -36,6 +36,14 @@ def argmax(a: Column | str) -> Column:
 
 
 # ---------------------------------------------------------------- X13
+def class_logits(a: Column | str, classes: int) -> Column:
+    """``classes`` scores from a whole array: class j sums the values at
+    positions j, j + classes, j + 2 classes, ... (0 where it has none)."""
+    a = _c(a)
+    return F.transform(F.sequence(F.lit(0), F.lit(classes - 1)), lambda j: array_sum(
+        F.filter(a, lambda x, i: i % classes == j)))
+
+
 def softmax(a: Column | str) -> Column:
     """exp(x - max) / sum(exp(x - max))."""
     a = _c(a)
@@ -77,10 +85,11 @@ def denormalize_clip(a: Column | str) -> Column:
 
 # ---------------------------------------------------------------- X15
 def reshape_array(a: Column | str, rows: int, cols: int) -> Column:
-    """Flat array of rows*cols to an array of ``rows`` arrays of ``cols``."""
+    """Flat array of rows*cols to an array of ``rows`` arrays of ``cols``;
+    NULL when the length differs, so no value is cut or made up."""
     a = _c(a)
-    return F.transform(F.sequence(F.lit(0), F.lit(rows - 1)),
-                       lambda i: F.slice(a, i * cols + 1, cols))
+    return F.when(~bad_shape(a, rows * cols), F.transform(
+        F.sequence(F.lit(0), F.lit(rows - 1)), lambda i: F.slice(a, i * cols + 1, cols)))
 
 
 def bad_shape(a: Column | str, size: int) -> Column:

@@ -30,19 +30,22 @@ def per_class(cm: DataFrame, classes: DataFrame | None = None,
     the labels seen in truth or prediction (U3).
     """
     by = by or []
-    sup = cm.groupBy(*by, F.col("truth").alias("label")).agg(F.sum("n").alias("support"))
-    prd = cm.groupBy(*by, F.col("pred").alias("label")).agg(F.sum("n").alias("predicted"))
-    tp = (cm.filter(F.col("truth") == F.col("pred"))
-            .groupBy(*by, F.col("truth").alias("label")).agg(F.sum("n").alias("tp")))
-    if classes is None:
-        universe = sup.select(*by, "label").union(prd.select(*by, "label")).distinct()
-    elif by:
-        universe = cm.select(*by).distinct().crossJoin(classes.select("label"))
-    else:
+    no = F.lit(0).cast("long")
+
+    def counts(label, support, predicted, tp):
+        return F.struct(F.col(label).alias("label"), support.alias("support"),
+                        predicted.alias("predicted"), tp.alias("tp"))
+    hit = F.when(F.col("truth") == F.col("pred"), F.col("n")).otherwise(no)
+    # each matrix cell counts once for its truth and once for its prediction
+    j = (cm.select(*by, F.inline(F.array(counts("truth", F.col("n"), no, hit),
+                                         counts("pred", no, F.col("n"), no))))
+           .groupBy(*by, "label")
+           .agg(*[F.sum(c).alias(c) for c in ("support", "predicted", "tp")]))
+    if classes is not None:
         universe = classes.select("label")
-    j = (universe.join(sup, [*by, "label"], "left").join(prd, [*by, "label"], "left")
-                 .join(tp, [*by, "label"], "left")
-                 .fillna(0, ["support", "predicted", "tp"]))
+        if by:
+            universe = cm.select(*by).distinct().crossJoin(universe)
+        j = universe.join(j, [*by, "label"], "left").fillna(0, ["support", "predicted", "tp"])
     z = F.lit(0.0)
     return j.select(
         *by, "label", "tp", "support", "predicted",
@@ -63,11 +66,9 @@ def classification_report(cm: DataFrame, by: list[str] | None = None) -> DataFra
     """Class rows plus 'accuracy', 'macro avg' and 'weighted avg' rows:
     (by..., row, precision, recall, f1, support)."""
     by = by or []
-    pc = per_class(cm, by=by)
-    rows = pc.select(*by, F.col("label").cast("string").alias("row"), "precision", "recall",
-                     "f1", F.col("support").cast("long").alias("support"))
-    tot = pc.groupBy(*by).agg(
-        F.sum("tp").alias("_tp"), F.sum("support").alias("_n"),
+    # class rows and their totals in one pass over the class table
+    g = per_class(cm, by=by).groupingSets([[*by, "label"], by], *by, "label").agg(
+        F.grouping("label").alias("_total"), F.sum("tp").alias("_tp"), F.sum("support").alias("_n"),
         F.avg("precision").alias("_mp"), F.avg("recall").alias("_mr"), F.avg("f1").alias("_mf"),
         F.sum(F.col("precision") * F.col("support")).alias("_wp"),
         F.sum(F.col("recall") * F.col("support")).alias("_wr"),
@@ -76,16 +77,17 @@ def classification_report(cm: DataFrame, by: list[str] | None = None) -> DataFra
     n = F.col("_n").cast("long")
 
     def row(name, p, r, f):
-        return F.struct(F.lit(name).alias("row"), p.cast("double").alias("precision"),
+        name = F.lit(name) if isinstance(name, str) else name
+        return F.struct(name.alias("row"), p.cast("double").alias("precision"),
                         r.cast("double").alias("recall"), f.cast("double").alias("f1"),
                         n.alias("support"))
     none = F.lit(None)
-    summary = tot.select(*by, F.inline(F.array(
+    return g.select(*by, F.inline(F.when(F.col("_total") == 0, F.array(
+        row(F.col("label").cast("string"), F.col("_mp"), F.col("_mr"), F.col("_mf")))).otherwise(F.array(
         row("accuracy", none, none, acc),
         row("macro avg", F.col("_mp"), F.col("_mr"), F.col("_mf")),
         row("weighted avg", F.try_divide(F.col("_wp"), F.col("_n")),
-            F.try_divide(F.col("_wr"), F.col("_n")), F.try_divide(F.col("_wf"), F.col("_n"))))))
-    return rows.unionByName(summary)
+            F.try_divide(F.col("_wr"), F.col("_n")), F.try_divide(F.col("_wf"), F.col("_n")))))))
 
 
 def per_model_results(df: DataFrame, truth: str, preds: dict[str, str],

@@ -26,6 +26,13 @@ def label_universe(df: DataFrame, truth: str, pred: str, name: str = "label") ->
 
 def strict_diff(a: DataFrame, b: DataFrame, side: str = "side") -> DataFrame:
     """Rows of ``a`` not in ``b`` and of ``b`` not in ``a`` (multiset
-    difference, so duplicates count), tagged with their side."""
-    return (a.exceptAll(b).select(F.lit("only_a").alias(side), "*")
-             .unionByName(b.exceptAll(a).select(F.lit("only_b").alias(side), "*")))
+    difference, so duplicates count), tagged with their side.
+
+    One signed count per distinct row: each side is read once and copies are
+    pre-summed before the one shuffle."""
+    cols = a.columns
+    both = a.withColumn("_n", F.lit(1)).unionByName(b.select(*cols).withColumn("_n", F.lit(-1)))
+    net = both.groupBy(*[F.col(f"`{c}`") for c in cols]).agg(F.sum("_n").alias("_n")).filter("_n <> 0")
+    copies = F.sequence(F.lit(1).cast("long"), F.abs("_n"))
+    return net.select(F.when(F.col("_n") > 0, "only_a").otherwise("only_b").alias(side),
+                      *[F.col(f"`{c}`") for c in cols], F.explode(copies).alias("_i")).drop("_i")

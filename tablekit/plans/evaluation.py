@@ -2,8 +2,8 @@
 
 Truth and predictions from the driver's tables: ``labels.quality`` against a
 length rule on ``documents.n_chars`` (binary), and ``embeddings.label``
-against the arg-max of the first ten embedding values read as logits (ten
-classes).
+against the arg-max of ten scores read off the whole embedding (class j sums
+the values at positions j, j + 10, ...).
 """
 
 from __future__ import annotations
@@ -11,12 +11,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablekit.functions.arrays import argmax
+from tablekit.functions.arrays import argmax, class_logits
 from tablekit.operators import evaluation as EV
 from tablekit.operators.aggs import best_by, best_metric, class_count, error_rate_monitor
 from tablekit.operators.sets import concat_results, label_universe
 from tablekit.registry import query, table
 
+CLASSES = 10                      # scores read off an embedding
 LIMIT = 1000                      # rule: a document is "good" when n_chars >= LIMIT
 RULES = {"short_rule": 500, "mid_rule": 1000, "long_rule": 2000}
 
@@ -33,18 +34,18 @@ def labelled_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def embedding_preds(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "embeddings")
     return e.select("vec_id", F.col("label").alias("truth"),
-                    argmax(F.slice("embedding", 1, 10)).alias("pred"))
+                    argmax(class_logits("embedding", CLASSES)).alias("pred"))
 
 
 _DOCS = f"""d AS (
   SELECT l.doc_id, d.lang, l.quality AS truth, CAST(d.n_chars >= {LIMIT} AS INTEGER) AS pred,
          {", ".join(f"CAST(d.n_chars >= {v} AS INTEGER) AS {k}" for k, v in RULES.items())}
   FROM labels l JOIN documents d ON d.doc_id = l.doc_id)"""
-_EMB = """d AS (
-  SELECT vec_id, label AS truth,
-         CAST(list_position(list_slice(embedding, 1, 10), list_max(list_slice(embedding, 1, 10))) - 1
-              AS INTEGER) AS pred
-  FROM embeddings)"""
+_EMB = f"""p AS (
+  SELECT vec_id, label, (pos - 1) % {CLASSES} AS j, sum(CAST(v AS DOUBLE)) AS score
+  FROM (SELECT vec_id, label, unnest(embedding) AS v, generate_subscripts(embedding, 1) AS pos
+        FROM embeddings) GROUP BY ALL),
+d AS (SELECT vec_id, label AS truth, CAST(arg_max(j, score) AS INTEGER) AS pred FROM p GROUP BY ALL)"""
 
 
 def _pc_sql(universe: str | None = None) -> str:

@@ -104,11 +104,17 @@ def q_balanced_svm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.transform(test).select("vec_id", "label", F.col("prediction").cast("int").alias("prediction"))
 
 
+def _layers(train: DataFrame, hidden: int = 32) -> list[int]:
+    """Layer sizes from the training rows: vector length and label range."""
+    n, top = train.agg(F.max(F.size("std")), F.max("label")).first()
+    return [n, hidden, int(top) + 1]
+
+
 @query("mlp_classifier")
 def q_mlp(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M6: multilayer perceptron 64-32-10 (sigmoid hidden layers)."""
+    """M6: multilayer perceptron with one sigmoid hidden layer of 32."""
     train, test = _emb_train_test(spark, sf_dir)
-    m = M.mlp([64, 32, 10], seed=42, max_iter=50).fit(train)
+    m = M.mlp(_layers(train), seed=42, max_iter=50).fit(train)
     return m.transform(test).select("vec_id", "label", F.col("prediction").cast("int").alias("prediction"))
 
 
@@ -135,7 +141,7 @@ def q_identification_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     tr = attach_class_weights(std.filter(F.col("split") == "train"), "label")
     te = std.filter(F.col("split") == "test")
     svm = M.balanced_svm(weight="balanced_weight").fit(tr)
-    mlp = M.mlp([64, 32, 10], seed=42, max_iter=50).fit(tr)
+    mlp = M.mlp(_layers(tr), seed=42, max_iter=50).fit(tr)
     a = svm.transform(te).select("vec_id", "label", F.col("prediction").alias("svm"))
     b = mlp.transform(te).select("vec_id", F.col("prediction").alias("mlp"))
     both = a.join(b, "vec_id").withColumn("label", F.col("label").cast("double"))

@@ -16,7 +16,7 @@ from tablekit.operators.udfs import batch_local_dedup, feature_udf, map_batches,
 from tablekit.registry import query, table
 from tablekit.sources.files import parse_tensor
 
-_LOGITS = "list_slice(embedding, 1, 10)"
+_LOGITS = "scores"
 
 
 @query("round_digits", sql="""
@@ -62,11 +62,15 @@ def q_top_1(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT vec_id, CAST(list_position({_LOGITS}, list_max({_LOGITS})) - 1 AS INTEGER) AS predicted,
        round(1.0 / list_sum(list_transform({_LOGITS},
              lambda x: exp(CAST(x AS DOUBLE) - CAST(list_max({_LOGITS}) AS DOUBLE)))), 6) AS confidence
-FROM embeddings""")
+FROM (SELECT vec_id, list(s ORDER BY j) AS scores FROM (
+        SELECT vec_id, (pos - 1) % 10 AS j, sum(CAST(v AS DOUBLE)) AS s
+        FROM (SELECT vec_id, unnest(embedding) AS v, generate_subscripts(embedding, 1) AS pos
+              FROM embeddings) GROUP BY ALL) GROUP BY vec_id)""")
 def q_softmax_confidence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """First ten values as logits: predicted class and its probability."""
+    """Ten scores off the whole vector as logits: predicted class and its
+    probability."""
     e = table(spark, sf_dir, "embeddings")
-    s = A.softmax_confidence(F.slice("embedding", 1, 10))
+    s = A.softmax_confidence(A.class_logits("embedding", 10))
     return e.select("vec_id", s.getField("predicted").alias("predicted"),
                     F.round(s.getField("confidence"), 6).alias("confidence"))
 
@@ -104,10 +108,11 @@ def q_denormalize_clip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("reshape_array", sql="""
-SELECT vec_id, list_transform(range(8), lambda i: list_slice(embedding, i * 8 + 1, i * 8 + 8)) AS matrix
+SELECT vec_id, CASE WHEN len(embedding) = 64 THEN
+         list_transform(range(8), lambda i: list_slice(embedding, i * 8 + 1, i * 8 + 8)) END AS matrix
 FROM embeddings""")
 def q_reshape_array(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """64 values to an 8 x 8 matrix."""
+    """64 values to an 8 x 8 matrix; NULL for any other length."""
     return table(spark, sf_dir, "embeddings").select(
         "vec_id", A.reshape_array("embedding", 8, 8).alias("matrix"))
 
@@ -116,11 +121,11 @@ def q_reshape_array(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT vec_id, round(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE))), 4) AS total,
        len(embedding) AS size FROM embeddings""")
 def q_scan_json_tensor(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Embeddings as {"inputs": [[[[...]]]]} JSON of shape [1, 1, 8, 8],
+    """Embeddings as {"inputs": [[[[...]]]]} JSON of shape [1, 1, 1, n],
     parsed back to nested arrays; total and size of the flattened tensor."""
     e = table(spark, sf_dir, "embeddings")
-    doc = F.to_json(F.struct(F.array(F.array(A.reshape_array(
-        F.transform("embedding", lambda x: x.cast("double")), 8, 8))).alias("inputs")))
+    doc = F.to_json(F.struct(F.array(F.array(F.array(
+        F.transform("embedding", lambda x: x.cast("double"))))).alias("inputs")))
     t = parse_tensor(doc, 4)
     flat = F.flatten(F.flatten(F.flatten(t)))
     return e.select("vec_id", F.round(A.array_sum(flat), 4).alias("total"),

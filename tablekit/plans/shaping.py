@@ -284,22 +284,19 @@ def q_extension_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.extension_filter(p, "_name", (".jpg", ".jpeg", ".png", ".html")).select("page_id", "url")
 
 
-_BODY = r"regexp_extract(text, '\n([\s\S]*)$', 1)"
-
-
-@query("validate_nonempty", sql=rf"""
+@query("validate_nonempty", sql=r"""
 SELECT conv_id, turn, body, valid, reason FROM (
   SELECT conv_id, turn, body,
          NOT (body IS NULL OR body = '' OR regexp_replace(body, '\s', '', 'g') = '') AS valid,
          CASE WHEN body IS NULL THEN 'missing'
               WHEN body = '' OR regexp_replace(body, '\s', '', 'g') = '' THEN 'empty' END AS reason
-  FROM (SELECT conv_id, turn, {_BODY} AS body FROM conversations))
+  FROM (SELECT conv_id, turn, text AS body FROM conversations))
 """)
 def q_validate_nonempty(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """F5 (strict): the body of each turn (text after its first line) is the
-    request; one-line turns have an empty body and go to quarantine."""
+    """F5 (strict): the whole text of each turn is the request; missing and
+    blank ones go to quarantine."""
     c = table(spark, sf_dir, "conversations").select(
-        "conv_id", "turn", F.regexp_extract("text", r"\n([\s\S]*)$", 1).alias("body"))
+        "conv_id", "turn", F.col("text").alias("body"))
     valid, bad = S.validate_nonempty(c, "body", strict=True)
     return (valid.withColumn("valid", F.lit(True)).withColumn("reason", F.lit(None).cast("string"))
             .unionByName(bad.withColumn("valid", F.lit(False))))

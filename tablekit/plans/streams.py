@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablekit.operators.aggs import LATENCY_BUCKETS
-from tablekit.operators.series import from_epoch_us, histogram_quantile_expr
+from tablekit.operators.series import epoch_us, from_epoch_us, histogram_quantile_expr
 from tablekit.plans import series as SER
 from tablekit.registry import query, table
 from tablekit.streaming import streams as ST
@@ -183,20 +183,29 @@ def q_stream_alert_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("stream_no_data", sql="""
 SELECT user_id, ts AS silent_from, nts AS silent_to FROM (
-  SELECT user_id, ts, lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS nts FROM events)
-WHERE (epoch_us(nts) - epoch_us(ts)) > 43200000000""")
+  SELECT user_id, ts, lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS nts,
+         max(ts) OVER () AS upto FROM events)
+WHERE epoch_us(coalesce(nts, upto)) - epoch_us(ts) > 43200000000""")
 def q_stream_no_data(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Silences longer than 12 h per user, state carried across
-    micro-batches (files arrive in time order)."""
+    """Silences longer than 12 h per user, from files in no order, so the
+    watermark spans the table.  A silence open at the table's last event has
+    no end."""
     dirs = ST.stream_dirs(spark, "no_data")
     ev = table(spark, sf_dir, "events")
-    for lo, hi in ((1, 11), (11, 21), (21, 32)):  # three arrivals, in time order
-        (ev.filter((F.dayofmonth("ts") >= lo) & (F.dayofmonth("ts") < hi))
-           .write.mode("append").parquet(dirs["source"]))
-    src = ST.file_stream(spark, dirs["source"], EVENTS, max_files=1)
-    ST.run_available_now(ST.stream_no_data(src, "user_id", "ts", 43200), dirs["checkpoint"], "append",
-                         path=dirs["sink"])
-    out = ST.read_sink(spark, dirs["sink"])
+    ST.stage_files(ev.select("user_id", "ts"), dirs["source"], 3)
+    first, upto = ev.agg(F.min(epoch_us("ts")), F.max(epoch_us("ts"))).first()
+    span = f"{(upto - first) // 1_000_000 + 1} seconds" if upto is not None else "1 day"
+
+    def build(src):
+        return ST.stream_no_data(src, "user_id", "ts", 43200, span)
+    schema = T.StructType([EVENTS["user_id"], EVENTS["ts"]])
+    # one file a batch first; then the sentinel lets the open silences ripen
+    ST.run_available_now(build(ST.file_stream(spark, dirs["source"], schema, max_files=1)),
+                         dirs["checkpoint"], "append", path=dirs["sink"])
+    ST.replay(spark, build, dirs, schema, "append", "ts", "user_id")
+    out = (ST.read_sink(spark, dirs["sink"]).filter(F.col("from_us") < ST.SENTINEL_US)
+             .groupBy("user_id", "from_us").agg(F.max("to_us").alias("to_us")))
+    out = out.filter(F.coalesce("to_us", F.lit(upto)) - F.col("from_us") > 43_200_000_000)
     return out.select("user_id", from_epoch_us(F.col("from_us")).alias("silent_from"),
                       from_epoch_us(F.col("to_us")).alias("silent_to"))
 
@@ -230,7 +239,7 @@ def q_stream_first_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("stream_validate", sql=r"""
 SELECT outcome, count(*) AS n FROM (
-  SELECT CASE WHEN regexp_replace(regexp_extract(text, '\n([\s\S]*)$', 1), '\s', '', 'g') = ''
+  SELECT CASE WHEN text IS NULL OR regexp_replace(text, '\s', '', 'g') = ''
               THEN 'quarantine' ELSE 'valid' END AS outcome FROM conversations)
 GROUP BY outcome""")
 def q_stream_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -238,7 +247,7 @@ def q_stream_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
     batch)."""
     dirs = ST.stream_dirs(spark, "validate")
     conv = table(spark, sf_dir, "conversations").select(
-        "conv_id", "turn", F.regexp_extract("text", r"\n([\s\S]*)$", 1).alias("body"))
+        "conv_id", "turn", F.col("text").alias("body"))
     ST.stage_files(conv, dirs["source"], 3, "conv_id")
     valid, bad = dirs["sink"] + "/valid", dirs["sink"] + "/quarantine"
     ST.run_available_now(ST.file_stream(spark, dirs["source"], conv.schema, max_files=1),

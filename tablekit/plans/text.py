@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablekit.functions.text import (ENTITY_PATTERN, ENTITY_RULES, base64_text, entities,
-                                     extract_links, join_list, url_to_file_name)
+                                     entity_count_by_rule, extract_links, join_list, url_to_file_name)
 from tablekit.operators.aggs import threshold_notify, value_counts
 from tablekit.operators.shape import fill_defaults, status_filter, validate_nonempty
 from tablekit.registry import query, table
@@ -106,20 +106,31 @@ def q_status_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ------------------------------------------------------------------ Z7 text batch
 @query("text_batch", sql=r"""
-WITH r AS (SELECT conv_id, turn, role, regexp_extract(text, '\n([\s\S]*)$', 1) AS body,
-                  CASE WHEN role = 'user' THEN NULL ELSE role END AS target_lang FROM conversations)
-SELECT CASE WHEN regexp_replace(body, '\s', '', 'g') = '' THEN 'rejected' ELSE 'accepted' END AS outcome,
-       coalesce(target_lang, 'es') AS target_lang, count(*) AS n
-FROM r GROUP BY ALL""")
+WITH r AS (SELECT text AS body, CASE WHEN role = 'user' THEN NULL ELSE role END AS target_lang
+           FROM conversations),
+o AS (SELECT *, body IS NULL OR regexp_replace(body, '\s', '', 'g') = '' AS empty FROM r)
+SELECT CASE WHEN empty THEN 'rejected' ELSE 'accepted' END AS outcome,
+       coalesce(target_lang, 'es') AS target_lang, count(*) AS n,
+       CAST(sum(CASE WHEN empty THEN 0 ELSE length(to_base64(encode(body))) END) AS BIGINT) AS payload_chars,
+       CAST(sum(CASE WHEN empty THEN 0 ELSE len(regexp_extract_all(
+           body, '[A-Z][a-z]+(?: [A-Z][a-z]+)+')) END) AS BIGINT) AS proper_names,
+       count(*) FILTER (WHERE empty) AS errors
+FROM o GROUP BY ALL""")
 def q_text_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Requests (turn bodies) get defaults, validation, and an outcome
-    count per (outcome, target language); accepted bodies are encoded."""
+    """Requests (whole turns) get defaults and validation; accepted ones
+    are encoded and their entities found, rejected ones carry their error.
+    Counts per (outcome, target language)."""
     c = table(spark, sf_dir, "conversations").select(
-        "conv_id", "turn", "role", F.regexp_extract("text", r"\n([\s\S]*)$", 1).alias("body"),
+        "conv_id", "turn", F.col("text").alias("body"),
         F.when(F.col("role") != "user", F.col("role")).alias("target_lang"))
     c = fill_defaults(c, {"target_lang": "es"})
     valid, bad = validate_nonempty(c, "body", strict=True)
-    out = (valid.withColumn("outcome", F.lit("accepted")).withColumn("payload", base64_text("body"))
-                .unionByName(bad.withColumn("outcome", F.lit("rejected"))
-                                .withColumn("payload", F.lit(None).cast("string")), allowMissingColumns=True))
-    return value_counts(out, ["outcome", "target_lang"])
+    ok = valid.select("target_lang", F.lit("accepted").alias("outcome"),
+                      F.length(base64_text("body")).alias("chars"),
+                      entity_count_by_rule("body", "PROPER").alias("names"),
+                      F.lit(None).cast("string").alias("error"))
+    no = bad.select("target_lang", F.lit("rejected").alias("outcome"), F.lit(0).alias("chars"),
+                    F.lit(0).alias("names"), F.col("reason").alias("error"))
+    return ok.unionByName(no).groupBy("outcome", "target_lang").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("chars").alias("payload_chars"),
+        F.sum("names").alias("proper_names"), F.count("error").alias("errors"))

@@ -15,7 +15,9 @@ all fire (Spark holds back windows still open at the watermark).
 
 from __future__ import annotations
 
+import bisect
 import datetime as dt
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -144,48 +146,61 @@ def stream_windows(events: DataFrame, ts: str, keys: list[str], size: str, slide
 ALERT_OUT = T.StructType([
     T.StructField("instance", T.LongType()), T.StructField("pending_us", T.LongType()),
     T.StructField("firing_us", T.LongType()), T.StructField("resolved_us", T.LongType())])
-ALERT_STATE = T.StructType([T.StructField("since", T.LongType()), T.StructField("last", T.LongType())])
+ALERT_STATE = T.StructType([T.StructField("since", T.LongType()), T.StructField("last", T.LongType()),
+                            T.StructField("waiting", T.ArrayType(T.LongType()))])
+
+
+def _ripener():
+    """Distinct event times in order: those the watermark has passed, so that
+    none can still come before them, and those that wait for it.  (Built per
+    operator, so it travels to the workers with the function that uses it.)"""
+    def ripe(pdfs, waiting, watermark_us: int) -> tuple[list[int], list[int]]:
+        ts = sorted({*waiting, *(int(t) for p in pdfs for t in p["t_us"].tolist())})
+        cut = bisect.bisect_right(ts, watermark_us)
+        return ts[:cut], ts[cut:]
+    return ripe
 
 
 def alert_state_fn(step_us: int, for_us: int):
     """Per instance: (since, last) of the current run of true condition
-    samples.  A gap or the event-time timer at last + step closes the run;
-    a run of at least ``for`` fires: (pending, firing, resolved)."""
-    def closed(inst, since, last):
-        if last - since >= for_us:
-            return [(inst, since, since + for_us, last + step_us)]
-        return []
+    samples, and the samples that wait for the watermark.  A gap, or a
+    watermark past last + step, closes the run; a run of at least ``for``
+    fires: (pending, firing, resolved)."""
+    split = _ripener()
 
     def fn(key, pdfs, state: GroupState):
         inst = int(key[0])
+        since, last, waiting = state.get if state.exists else (None, None, [])
+        wm = state.getCurrentWatermarkMs() * 1000
+        ripe, waiting = split([] if state.hasTimedOut else pdfs, waiting, wm)
         out = []
-        if state.hasTimedOut:
-            since, last = state.get
-            out += closed(inst, since, last)
+
+        def close():
+            if since is not None and last - since >= for_us:
+                out.append((inst, since, since + for_us, last + step_us))
+        for t in ripe:
+            if last is None or t > last + step_us:
+                close()
+                since = t
+            last = t
+        if last is not None and last + step_us <= wm:
+            close()
+            since = last = None
+        due = waiting[:1] + ([last + step_us] if last is not None else [])
+        if due:
+            state.update((since, last, waiting))
+            state.setTimeoutTimestamp(max(min(due), wm) // 1000)
+        elif state.exists:
             state.remove()
-        else:
-            since, last = state.get if state.exists else (None, None)
-            ts = sorted({int(t) for p in pdfs for t in p["t_us"].tolist()})
-            for t in ts:
-                if last is not None and t <= last:
-                    continue
-                if last is not None and t == last + step_us:
-                    last = t
-                    continue
-                if last is not None:
-                    out += closed(inst, since, last)
-                since, last = t, t
-            if last is not None:
-                state.update((since, last))
-                state.setTimeoutTimestamp(last // 1000 + step_us // 1000)
         yield pd.DataFrame(out, columns=["instance", "pending_us", "firing_us", "resolved_us"])
     return fn
 
 
 def stream_alert_state(cond: DataFrame, instance: str, t: str, step_s: int, for_s: int,
-                       watermark: str = "0 seconds") -> DataFrame:
+                       watermark: str = "1 day") -> DataFrame:
     """Alert intervals from a stream of true-condition grid samples with
-    event-time timers (``applyInPandasWithState``)."""
+    event-time timers (``applyInPandasWithState``).  Samples may come in any
+    order within ``watermark``."""
     c = (cond.withColumn("_et", event_time(t)).withColumn("t_us", epoch_us(t))
              .withColumnRenamed(instance, "instance").withWatermark("_et", watermark))
     return c.groupBy("instance").applyInPandasWithState(
@@ -196,33 +211,66 @@ def stream_alert_state(cond: DataFrame, instance: str, t: str, step_s: int, for_
 # ---------------------------------------------------------------- R10
 GAP_OUT = T.StructType([T.StructField("user_id", T.LongType()),
                         T.StructField("from_us", T.LongType()), T.StructField("to_us", T.LongType())])
-GAP_STATE = T.StructType([T.StructField("last", T.LongType())])
+GAP_STATE = T.StructType([T.StructField("last", T.LongType()), T.StructField("noticed", T.BooleanType()),
+                          T.StructField("waiting", T.ArrayType(T.LongType()))])
 
 
-def silence_fn(limit_us: int):
-    """Per source: last event time in state; a new event more than
-    ``limit_us`` after the previous one emits the silent interval."""
+def silence_fn(limit_us: int, forget_us: int):
+    """Per source: the last event time the watermark has passed, whether its
+    open silence was reported, and the event times that wait."""
+    split = _ripener()
+
     def fn(key, pdfs, state: GroupState):
-        last = state.get[0] if state.exists else None
+        last, noticed, waiting = state.get if state.exists else (None, False, [])
+        wm = state.getCurrentWatermarkMs() * 1000
+        ripe, waiting = split([] if state.hasTimedOut else pdfs, waiting, wm)
         out = []
-        for t in sorted(int(x) for p in pdfs for x in p["t_us"].tolist()):
+        for t in ripe:
             if last is not None and t - last > limit_us:
                 out.append((int(key[0]), last, t))
-            last = t if last is None else max(last, t)
+            last, noticed = t, False
+        due = waiting[:1]
         if last is not None:
-            state.update((last,))
-        yield pd.DataFrame(out, columns=["user_id", "from_us", "to_us"])
+            if not noticed and wm - last > limit_us:
+                out.append((int(key[0]), last, None))
+                noticed = True
+            end = last + (forget_us if noticed else limit_us)
+            if noticed and end < wm and not waiting:
+                last = None
+            else:
+                due.append(end)
+        if due:
+            state.update((last, noticed, waiting))
+            state.setTimeoutTimestamp(max(min(due), wm) // 1000)
+        elif state.exists:
+            state.remove()
+        yield pd.DataFrame(out, columns=["user_id", "from_us", "to_us"]).astype(
+            {"from_us": "Int64", "to_us": "Int64"})
     return fn
 
 
-def stream_no_data(events: DataFrame, key: str, ts: str, limit_s: int) -> DataFrame:
-    """Silent intervals per source, carried across micro-batches."""
-    e = events.withColumn("t_us", epoch_us(ts)).withColumnRenamed(key, "user_id")
+def stream_no_data(events: DataFrame, key: str, ts: str, limit_s: int, watermark: str = "1 day",
+                   forget_s: int = 90 * 86400) -> DataFrame:
+    """Silent intervals per source, carried across micro-batches; events
+    may come in any order within ``watermark``.
+
+    A timer reports a source that stays silent past the limit as an open
+    interval (``to_us`` NULL).  When it speaks again the closed interval with
+    the same start follows, unless it was silent for ``forget_s``: its state is
+    gone by then."""
+    e = (events.withColumn("_et", event_time(ts)).withColumn("t_us", epoch_us(ts))
+               .withColumnRenamed(key, "user_id").withWatermark("_et", watermark))
     return e.groupBy("user_id").applyInPandasWithState(
-        silence_fn(limit_s * 1_000_000), GAP_OUT, GAP_STATE, "append", GroupStateTimeout.NoTimeout)
+        silence_fn(limit_s * 1_000_000, forget_s * 1_000_000), GAP_OUT, GAP_STATE, "append",
+        GroupStateTimeout.EventTimeTimeout)
 
 
 # ---------------------------------------------------------------- R9 / R12 / R13
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
 def first_wins_sink(table_path: str, key: str, order: list[str]):
     """foreachBatch insert-or-ignore into a table (unbounded horizon):
     per batch K7 against what is stored, then append."""
@@ -230,10 +278,10 @@ def first_wins_sink(table_path: str, key: str, order: list[str]):
 
     def write(df: DataFrame, batch_id: int) -> None:
         spark = df.sparkSession
-        try:  # only the key and id columns of the stored table are read
+        if path_exists(spark, table_path):  # only the key and id columns are read
             stored = spark.read.parquet(table_path).select("id", key, "_batch")
             stored = stored.filter(F.col("_batch") != batch_id).drop("_batch")
-        except Exception:  # noqa: BLE001 - first batch: empty table
+        else:
             stored = df.limit(0).select(F.lit(0).cast("long").alias("id"), key)
         new = insert_or_ignore(stored.select("id", key), df, key, order)
         new.write.mode("overwrite").parquet(f"{table_path}/_batch={batch_id}")
@@ -258,12 +306,8 @@ def threshold_notify_sink(notice_path: str, limit: int, once: bool = True):
     def write(df: DataFrame, batch_id: int) -> None:
         spark = df.sparkSession
         reached = df.filter(F.col("count") >= limit)
-        if once:
-            try:  # the notice table holds at most one row per batch
-                prior = spark.read.parquet(notice_path).filter(F.col("_batch") != batch_id).count()
-            except Exception:  # noqa: BLE001 - no notice yet
-                prior = 0
-            if prior:
+        if once and path_exists(spark, notice_path):  # at most one row per batch
+            if spark.read.parquet(notice_path).filter(F.col("_batch") != batch_id).count():
                 reached = reached.limit(0)
         reached.withColumn("batch", F.lit(batch_id)).write.mode("overwrite").parquet(
             f"{notice_path}/_batch={batch_id}")
@@ -296,9 +340,13 @@ def inhibit_fn():
                     (src if kind == "source" else tgt).append((int(s), int(e), int(pend)))
         wm = state.getCurrentWatermarkMs() * 1000
         out, keep = [], []
+        src.sort()
+        starts = [s[0] for s in src]
+        ends = list(accumulate((s[1] for s in src), max))  # latest end so far
         for t in tgt:
             if t[1] <= wm:
-                if not any(s[0] < t[1] and s[1] > t[0] for s in src):
+                before = bisect.bisect_left(starts, t[1])
+                if not before or ends[before - 1] <= t[0]:
                     out.append((inst, t[2], t[0], t[1]))
             else:
                 keep.append(t)
@@ -314,7 +362,7 @@ def inhibit_fn():
     return fn
 
 
-def stream_inhibit(alerts: DataFrame, instance: str, watermark: str = "0 seconds") -> DataFrame:
+def stream_inhibit(alerts: DataFrame, instance: str, watermark: str = "1 day") -> DataFrame:
     """Targets suppressed while an overlapping source alert fires on the
     same instance, on a stream of (instance, kind, pending_at, firing_at,
     resolved_at) rows (kind 'source' or 'target'); event time = firing_at."""

@@ -8,6 +8,7 @@ import datetime as dt
 import math
 import random
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -480,3 +481,94 @@ def test_windows_keep_rows_without_event_type(spark, tmp_dir):
     ev = ev.withColumn("event_type", F.when(F.col("event_id") % 10 != 0, F.col("event_type")))
     ev.write.parquet(f"{tmp_dir}/sf/events.parquet")
     assert q_stream_tumbling(spark, f"{tmp_dir}/sf").agg(F.sum("n")).first()[0] == ev.count()
+
+
+class _State:
+    """A key's state and watermark, as the stream functions see them."""
+
+    def __init__(self):
+        self.value, self.exists, self.hasTimedOut, self.wm = None, False, False, 0
+
+    get = property(lambda self: self.value)
+
+    def getCurrentWatermarkMs(self):
+        return self.wm
+
+    def update(self, value):
+        self.value, self.exists = value, True
+
+    def setTimeoutTimestamp(self, ms):
+        assert ms >= self.wm
+
+    def remove(self):
+        self.value, self.exists = None, False
+
+
+def _feed(fn, batches):
+    """(watermark in seconds, event seconds; None: the timer) batches through ``fn``."""
+    st, out = _State(), []
+    for wm, secs in batches:
+        st.wm, st.hasTimedOut = wm * 1000, secs is None
+        pdfs = iter([] if secs is None else [pd.DataFrame({"t_us": [s * 1_000_000 for s in secs]})])
+        for rows in fn((7,), pdfs, st):
+            out += [tuple(None if pd.isna(v) else int(v) for v in r) for r in rows.itertuples(index=False)]
+    return out, st
+
+
+def test_silences_from_disordered_batches_and_open_notice():
+    from tablekit.streaming.streams import silence_fn
+    s = 1_000_000
+    out, st = _feed(silence_fn(10 * s, 100 * s), [
+        (0, [30, 5]), (0, [12, 31]), (20, [32]), (33, None), (50, None), (60, [70]), (72, None),
+        (300, None)])
+    assert out == [(7, 12 * s, 30 * s), (7, 32 * s, None), (7, 32 * s, 70 * s), (7, 70 * s, None)]
+    assert not st.exists
+
+
+def test_alert_state_takes_late_samples_within_the_watermark():
+    from tablekit.streaming.streams import alert_state_fn
+    s = 1_000_000
+    out, st = _feed(alert_state_fn(10 * s, 20 * s), [
+        (0, [30, 10]), (5, [20, 20]), (25, [40]), (45, None), (60, [100]), (200, None)])
+    assert out == [(7, 10 * s, 30 * s, 50 * s)]
+    assert not st.exists
+
+
+def test_stream_inhibition_matches_all_pairs():
+    from tablekit.streaming.streams import inhibit_fn
+    rng = random.Random(3)
+    rows = [(rng.choice(["source", "target"]), a, a + rng.randint(1, 9)) for a in
+            (rng.randint(1, 200) for _ in range(120))]
+    st = _State()
+    df = pd.DataFrame([(k, a, b, a) for k, a, b in rows], columns=["kind", "s_us", "e_us", "p_us"])
+    fn = inhibit_fn()
+    list(fn((1,), iter([df]), st))
+    st.wm, st.hasTimedOut = 10_000, True
+    got = [tuple(r)[2:] for p in fn((1,), iter([]), st) for r in p.itertuples(index=False)]
+    src = [(a, b) for k, a, b in rows if k == "source"]
+    want = [(a, b) for k, a, b in rows if k == "target" and not any(x < b and y > a for x, y in src)]
+    assert sorted(got) == sorted(want)
+
+
+def test_reshape_refuses_other_lengths_and_logits_use_every_value(spark):
+    df = spark.createDataFrame([([1.0, 2.0, 3.0],), ([1.0] * 5,), (None,)], "a array<double>")
+    got = df.select(A.reshape_array("a", 2, 2).alias("m"), A.class_logits("a", 2).alias("l")).collect()
+    assert [r["m"] for r in got] == [None, None, None]
+    assert [r["l"] for r in got][:2] == [[4.0, 2.0], [3.0, 2.0]]
+
+
+def test_strict_diff_counts_copies_and_nulls(spark):
+    from tablekit.operators.sets import strict_diff
+    a = spark.createDataFrame([(1, "x"), (1, "x"), (1, "x"), (2, None), (3, "z")], "k int, v string")
+    b = spark.createDataFrame([(1, "x"), (2, None), (4, "w")], "k int, v string")
+    got = sorted(tuple(r) for r in strict_diff(a, b).collect())
+    assert got == [("only_a", 1, "x"), ("only_a", 1, "x"), ("only_a", 3, "z"), ("only_b", 4, "w")]
+
+
+def test_report_reads_its_rows_once(spark):
+    df = spark.createDataFrame([("a", "a"), ("a", "b"), ("c", "c")], "t string, p string")
+    rep = EV.classification_report(EV.confusion_matrix(df, "t", "p"))
+    assert rep._jdf.queryExecution().optimizedPlan().collectLeaves().size() == 1
+    rows = {r["row"]: r for r in rep.collect()}
+    assert set(rows) == {"a", "b", "c", "accuracy", "macro avg", "weighted avg"}
+    assert math.isclose(rows["accuracy"]["f1"], 2 / 3) and rows["b"]["support"] == 0
