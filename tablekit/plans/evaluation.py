@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tablekit.functions.arrays import argmax, class_logits
 from tablekit.operators import evaluation as EV
 from tablekit.operators.aggs import best_by, best_metric, class_count, error_rate_monitor
+from tablekit.operators.shape import feature_target_split
 from tablekit.operators.sets import concat_results, label_universe
 from tablekit.registry import query, table
 
@@ -189,6 +190,16 @@ def q_best_metric(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_metric(table(spark, sf_dir, "events"), "value", ["user_id"])
 
 
+@query("feature_target_split", sql="""
+SELECT quality, count(*) AS rows, CAST(sum(toxic) AS BIGINT) AS toxic FROM labels GROUP BY quality""")
+def q_feature_target_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feature columns summed per value of the target."""
+    lab = table(spark, sf_dir, "labels").drop("doc_id")
+    features, target = feature_target_split(lab, "quality")
+    return lab.groupBy(target).agg(F.count(F.lit(1)).alias("rows"),
+                                   *[F.sum(c).alias(c) for c in features])
+
+
 @query("class_count", sql="SELECT count(DISTINCT label) AS classes FROM embeddings")
 def q_class_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return class_count(table(spark, sf_dir, "embeddings"), "label")

@@ -14,7 +14,7 @@ from tablekit.operators.shape import align_features, drift_inject, drop_if_prese
 from tablekit.operators.splits import exact_random_split, fraction_slice, stratified_split
 from tablekit.operators.aggs import min_class_size
 from tablekit.registry import query, scratch_dir_for, table
-from tablekit.sources.sinks import dataset_manifest, registry_row
+from tablekit.sources.sinks import append_rows, dataset_manifest
 
 _SPLIT = """sp AS (SELECT vec_id, embedding, label,
              row_number() OVER (ORDER BY md5('42|' || CAST(vec_id AS VARCHAR)), vec_id) AS r,
@@ -57,8 +57,8 @@ def part_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
                     (F.col("p_size") > 25).cast("int").alias("label"))
 
 
-def _forest(spark: SparkSession, sf_dir: str):
-    d = part_frame(spark, sf_dir)
+def _forest(spark: SparkSession, sf_dir: str, rows: DataFrame | None = None):
+    d = part_frame(spark, sf_dir) if rows is None else rows
     sp = exact_random_split(d, "p_partkey", 0.2, 42)
     train = sp.filter(F.col("split") == "train")
     test = sp.filter(F.col("split") == "test")
@@ -151,13 +151,18 @@ def q_identification_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("maintenance_cycle")
 def q_maintenance_cycle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prepare (drop ids, encode, chronological slice, manifest), train
-    (exact split, forest, registry row), drift the next slice, align the
-    scoring frame to the model columns, score and monitor the error rate."""
+    (the first 70 % of rows in order, exact split, forest, registry row with
+    the test accuracy), drift the next slice, which training never saw, align
+    the scoring frame to the model columns, score and monitor the error rate."""
     d = drop_if_present(part_frame(spark, sf_dir), ["p_name", "UDI"])
     manifest = dataset_manifest(d, "v1", "part", "tablekit", ["dropped p_name"])
-    model, train, test = _forest(spark, sf_dir)
+    model, _, test = _forest(spark, sf_dir, fraction_slice(d, ["p_partkey"], 0.0, 0.7))
     acc = error_rate_monitor(M.batch_score(model, test), "prediction", "label")
-    reg = registry_row(spark, "forest", "v1", 0.0)
+    store = scratch_dir_for(spark, "model_registry")
+    append_rows(spark.range(1).crossJoin(acc).select(
+        F.lit("forest").alias("model"), F.lit("v1").alias("data"), "accuracy",
+        F.current_timestamp().alias("trained_at")), store)
+    reg = spark.read.parquet(store)
     nxt = fraction_slice(d, ["p_partkey"], 0.7, 0.8)  # the next 10 % after training
     drifted = drift_inject(nxt, key="p_partkey", shift={"p_retailprice": 1.0},
                            scale={"p_retailprice": 1.01}, sd=0.05, seed=7, exclude=["label"])
@@ -168,4 +173,4 @@ def q_maintenance_cycle(spark: SparkSession, sf_dir: str) -> DataFrame:
                .unionByName(acc.select(F.lit("test").alias("slice"), "rows",
                                        F.round("error", 6).alias("error"), "retrain"))
                .crossJoin(manifest.select(F.col("rows").alias("dataset_rows")))
-               .crossJoin(reg.select("model")))
+               .crossJoin(reg.select("model", F.round("accuracy", 6).alias("accuracy"))))

@@ -12,11 +12,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tablekit.functions.scalars import iso_time
 from tablekit.operators import series as TS
 from tablekit.operators.aggs import LATENCY_BUCKETS, avg_by
 from tablekit.operators.joins import alert_enrich, inhibit, vector_arith
 from tablekit.operators.splits import group_rank
-from tablekit.registry import query, table
+from tablekit.registry import ORACLE, query, scratch_dir_for, table
+from tablekit.sources.sinks import append_rows, latest_model, sink_json
 
 RANGE_S = 6 * 3600
 STEP_S = 3600
@@ -286,6 +288,48 @@ def q_run_leaderboard(spark: SparkSession, sf_dir: str) -> DataFrame:
                .orderBy("mean_value")
 
 
+@query("leaderboard", sql=f"""
+SELECT run, l.last_epoch, e.best_epoch, e.best_value, e.stopped_early, l.mean_value, l.max_value
+FROM ({ORACLE["early_stop"]}) e JOIN ({ORACLE["run_leaderboard"]}) l USING (run)""")
+def q_leaderboard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per run its history, early stop and last values in one table, best
+    run first."""
+    stop = q_early_stop(spark, sf_dir).drop("last_epoch", "stop_epoch")
+    last = q_run_leaderboard(spark, sf_dir)
+    return last.join(stop, "run").select(
+        "run", "last_epoch", "best_epoch", "best_value", "stopped_early", "mean_value",
+        "max_value").orderBy("best_value", "run")
+
+
+@query("sink_json", sql=f"""WITH {_HIST_SQL} SELECT run, epoch, key, value FROM h""")
+def q_sink_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K4: the metric history written as JSON and read back."""
+    h, path = metric_history(spark, sf_dir), scratch_dir_for(spark, "history_json")
+    sink_json(h, path)
+    return spark.read.schema(h.schema).json(path)
+
+
+@query("registry_append", sql="""
+SELECT arg_max(event_type, (t, event_type)) AS model, max(t) AS trained_at
+FROM (SELECT event_type, max(ts) AS t FROM events GROUP BY event_type)""")
+def q_registry_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K6: two appends to a registry, then its latest model."""
+    path = scratch_dir_for(spark, "registry")
+    runs = table(spark, sf_dir, "events").groupBy(F.col("event_type").alias("model")).agg(
+        F.max("ts").alias("trained_at"), F.avg("value").alias("accuracy"))
+    early = F.col("model") < "m"
+    append_rows(runs.filter(early), path)
+    append_rows(runs.filter(~early | F.col("model").isNull()), path)
+    return latest_model(spark.read.parquet(path))
+
+
+@query("ingest_time", sql="""
+SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS at FROM events""")
+def q_ingest_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ISO-8601 text of each event time."""
+    return table(spark, sf_dir, "events").select("event_id", iso_time(F.col("ts")).alias("at"))
+
+
 @query("vector_arith_join", sql="""
 WITH m AS (SELECT user_id, strftime(ts, '%Y-%m-%d') AS day,
                   count(*) FILTER (WHERE event_type = 'error') AS errors, count(*) AS total

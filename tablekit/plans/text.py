@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablekit.functions.text import (ENTITY_PATTERN, ENTITY_RULES, base64_text, entities,
-                                     entity_count_by_rule, extract_links, join_list, url_to_file_name)
+                                     entity_count_by_rule, extract_links, join_list, tokenize_ws,
+                                     url_to_file_name)
 from tablekit.operators.aggs import threshold_notify, value_counts
 from tablekit.operators.shape import fill_defaults, status_filter, validate_nonempty
 from tablekit.registry import query, table
@@ -98,6 +99,17 @@ def q_threshold_notify(spark: SparkSession, sf_dir: str) -> DataFrame:
     return threshold_notify(crawl_batch(table(spark, sf_dir, "pages")), 2)
 
 
+@query("tokenize_ws", sql=r"""
+SELECT doc_id, CAST(coalesce(len(w), -1) AS INTEGER) AS n_tokens,
+       CAST(coalesce(len(list_distinct(w)), -1) AS INTEGER) AS n_distinct
+FROM (SELECT doc_id, regexp_extract_all(text, '[^\t\n\x0b\x0c\r\x1c-\x1f \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+') AS w FROM documents)""")
+def q_tokenize_ws(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """White-space tokens of each whole text and how many differ."""
+    return table(spark, sf_dir, "documents").withColumn("w", tokenize_ws("text")).select(
+        "doc_id", F.coalesce(F.size("w"), F.lit(-1)).alias("n_tokens"),
+        F.coalesce(F.size(F.array_distinct("w")), F.lit(-1)).alias("n_distinct"))
+
+
 @query("status_filter", sql="SELECT page_id, url FROM pages WHERE url LIKE 'https%'")
 def q_status_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """rows with status = 'success'."""

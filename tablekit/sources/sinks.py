@@ -59,7 +59,8 @@ def registry_row(spark: SparkSession, model: str, data: str, accuracy: float, at
 
 
 def latest_model(registry: DataFrame) -> DataFrame:
-    return registry.agg(F.max_by("model", "trained_at").alias("model"),
+    """The last trained model; of several at one time the last name."""
+    return registry.agg(F.max_by("model", F.struct("trained_at", "model")).alias("model"),
                         F.max("trained_at").alias("trained_at"))
 
 
