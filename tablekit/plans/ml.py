@@ -28,7 +28,7 @@ ex AS (SELECT unnest(generate_series(1, len(embedding))) AS pos,
 st AS (SELECT pos, avg(x) AS m, CASE WHEN stddev_pop(x) = 0 THEN 1.0 ELSE stddev_pop(x) END AS sd
        FROM ex GROUP BY pos),
 ms AS (SELECT list(m ORDER BY pos) AS means, list(sd ORDER BY pos) AS sds FROM st)
-SELECT vec_id, pos - 1 AS pos, (x - means[pos]) / sds[pos] AS value
+SELECT vec_id, pos - 1 AS pos, round((x - means[pos]) / sds[pos], 6) + 0.0 AS value
 FROM (SELECT vec_id, unnest(generate_series(1, len(embedding))) AS pos,
              CAST(unnest(embedding) AS DOUBLE) AS x FROM embeddings), ms""")
 def q_standardize(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,10 +37,10 @@ def q_standardize(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     train = exact_random_split(e, "vec_id", 0.2, 42).filter(F.col("split") == "train")
     s = M.standardize(e, "embedding", fit_on=train, out="standardized")
-    # one row per value: doubles that differ in the last bits, as sums in
-    # another order do, stay comparable
+    # one row per value, to 6 digits: the statistics' last bits depend on the
+    # order of the sums
     return s.select("vec_id", F.posexplode("standardized").alias("pos", "value")).select(
-        "vec_id", F.col("pos").cast("long").alias("pos"), "value")
+        "vec_id", F.col("pos").cast("long").alias("pos"), F.round("value", 6).alias("value"))
 
 
 @query("pca_whiten")
