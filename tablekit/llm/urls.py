@@ -2,8 +2,8 @@
 
 Fixed rules decide the URLs they fit (longest wins).  Their verdicts label
 those URLs, and FP-growth mines the token combinations of the labelled URLs
-for association rules whose consequent is a verdict, pruned by support and
-confidence.  URLs without a fixed rule are matched through an inverted index:
+for association rules whose consequent is a verdict, pruned by support and by
+confidence over all URLs, with and without a label.  URLs without a fixed rule are matched through an inverted index:
 each mined rule hangs on its rarest token, a URL's tokens look up candidates,
 and a candidate fires if the URL has all of its tokens.  The surest rule
 gives the verdict.  DataFrame functions and Spark's FP-growth throughout.
@@ -84,22 +84,34 @@ def url_tokens(url: Column, host: Column, path: Column) -> Column:
         tag("path:", words), tag("key:", keys), tag("frag:", fragment)))
 
 
-def mine_rules(labelled: DataFrame, min_support: float = MIN_SUPPORT,
+def mine_rules(pages: DataFrame, min_support: float = MIN_SUPPORT,
                min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
-    """``labelled`` (tokens, verdict) -> (rule_id, tokens, verdict,
-    confidence, support, size).  A rule goes if a shorter one with a subset of
-    its tokens says the same at least as surely."""
+    """``pages`` (tokens, verdict or null) -> (rule_id, tokens, verdict,
+    confidence, support, size).  Support is a share of the labelled rows.
+    Confidence is over all rows: one without a verdict that holds the tokens
+    counts against the rule, since the labels alone are what the fixed rules
+    chose.  A rule goes if a shorter one with a subset of its tokens says the
+    same at least as surely."""
     mark = "verdict:"
-    baskets = labelled.filter("verdict is not null").select(
-        F.array_append("tokens", F.concat(F.lit(mark), "verdict")).alias("items"))
+    baskets = cut(pages.filter("verdict is not null").select(
+        F.array_append("tokens", F.concat(F.lit(mark), "verdict")).alias("items")))
+    n = baskets.count()
     model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(baskets)
-    found = (model.associationRules
-             .filter(F.col("consequent")[0].startswith(mark))
-             .select(F.sort_array("antecedent").alias("tokens"),
-                     F.substring(F.col("consequent")[0], len(mark) + 1, 1 << 20).alias("verdict"),
-                     F.round("confidence", 9).alias("confidence"), F.round("support", 9).alias("support"),
-                     F.size("antecedent").alias("size")))
-    found = cut(found)
+    # sure over all rows implies sure over the labelled ones, so none is missed
+    likely = (model.associationRules
+              .filter(F.col("consequent")[0].startswith(mark))
+              .select(F.sort_array("antecedent").alias("tokens"),
+                      F.substring(F.col("consequent")[0], len(mark) + 1, 1 << 20).alias("verdict"),
+                      F.round(F.col("support") * n).alias("hits"), "confidence",
+                      F.round("support", 9).alias("support"), F.size("antecedent").alias("size"))
+              .withColumn("rows", F.round(F.col("hits") / F.col("confidence")))
+              .withColumn("rule_id", F.xxhash64("tokens", "verdict")))
+    likely = cut(likely)
+    found = cut(likely.join(_unlabelled_uses(likely, pages), "rule_id", "left")
+                .withColumn("confidence", F.col("hits") / (F.col("rows") + F.coalesce("unlabelled", F.lit(0))))
+                .filter(F.col("confidence") >= min_confidence)
+                .select("rule_id", "tokens", "verdict", F.round("confidence", 9).alias("confidence"),
+                        "support", "size"))
     # one token less each time: the dropped-token sets that exist as rules
     sub = found.select(F.col("tokens").alias("less"), F.col("verdict").alias("says"),
                        F.col("confidence").alias("sure"))
@@ -109,20 +121,29 @@ def mine_rules(labelled: DataFrame, min_support: float = MIN_SUPPORT,
               .join(sub, "less").filter((F.col("says") == F.col("verdict"))
                                         & (F.col("sure") >= F.col("confidence")))
               .select("tokens", "verdict").distinct())
-    return (found.join(beaten, ["tokens", "verdict"], "left_anti")
-            .withColumn("rule_id", F.xxhash64("tokens", "verdict")))
+    return found.join(beaten, ["tokens", "verdict"], "left_anti")
 
 
-def rule_index(rules: DataFrame, labelled: DataFrame) -> DataFrame:
-    """Rules by their rarest token: (token, tokens, verdict, confidence,
-    support, size)."""
-    uses = (labelled.select(F.explode("tokens").alias("token"))
+def _unlabelled_uses(rules: DataFrame, pages: DataFrame) -> DataFrame:
+    """(rule_id, unlabelled): rows without a verdict that hold the rule's
+    tokens.  Each distinct token set is matched once, with its copies."""
+    sets = cut(pages.filter("verdict is null").groupBy("tokens").agg(F.count(F.lit(1)).alias("copies")))
+    index = rule_index(rules, sets)
+    return (sets.select("tokens", "copies", F.explode("tokens").alias("at")).join(index, "at")
+            .filter(F.size(F.array_except("needs", "tokens")) == 0)
+            .groupBy("rule_id").agg(F.sum("copies").alias("unlabelled")))
+
+
+def rule_index(rules: DataFrame, sets: DataFrame) -> DataFrame:
+    """Rules by the token that is rarest in ``sets``: (at, rule_id, needs,
+    says, confidence, support, size)."""
+    uses = (sets.select(F.explode("tokens").alias("token"))
             .groupBy("token").agg(F.count(F.lit(1)).alias("uses")))
     rare = (rules.select("rule_id", F.explode("tokens").alias("token")).join(uses, "token", "left")
             .groupBy("rule_id").agg(F.min(F.struct(F.coalesce("uses", F.lit(0)).alias("uses"), "token"))
                                     .alias("r")))
     return cut(rules.join(rare, "rule_id")
-               .select(F.col("r.token").alias("at"), F.col("tokens").alias("needs"),
+               .select(F.col("r.token").alias("at"), "rule_id", F.col("tokens").alias("needs"),
                        F.col("verdict").alias("says"), "confidence", "support", "size"))
 
 
@@ -144,11 +165,10 @@ def judge_urls(pages: DataFrame, rules: tuple[UrlRule, ...] = RULES, id_col: str
     name, verdict = fixed_rule(F.col("host"), F.col("path"), rules)
     parsed = parsed.select("page_id", "url", "host", "path", name.alias("rule"), verdict.alias("verdict"))
     tokens = url_tokens(F.col("url"), F.col("host"), F.col("path")).alias("tokens")
-    labelled = parsed.filter("verdict is not null").select(tokens, "verdict")
-    index = rule_index(mine_rules(labelled, min_support, min_confidence), labelled)
     # each distinct token set is matched once; copies of a url share it
     open_sets = (parsed.filter("verdict is null").select(tokens)
                  .withColumn("key", F.xxhash64("tokens")).groupBy("key", "tokens").agg(F.count(F.lit(1))))
+    index = rule_index(mine_rules(parsed.select(tokens, "verdict"), min_support, min_confidence), open_sets)
     fired = (open_sets.select("key", "tokens", F.explode("tokens").alias("at")).join(index, "at")
              .filter(F.size(F.array_except("needs", "tokens")) == 0)
              .groupBy("key", "tokens")

@@ -337,6 +337,22 @@ def test_mined_rules(spark):
     assert got[("t:a",), "allow"] == round(35 / 55, 3) and (("t:a", "t:b"), "allow") not in got
 
 
+def test_mined_rules_need_more_than_the_fixed_rules_rows(spark):
+    names = [f"{a}{b}" for a in "abcde" for b in "vwxyz"]
+    u = [f"http://{n}.example.{e}/{p}/{k}" for n in names for k in range(4)
+         for e, p in (("net", "es"), ("net", "en"), ("net", "de"), ("org", "en"), ("org", "fr"), ("com", "en"))]
+    # a key that goes with blocked pages wherever it occurs is evidence
+    u += [f"http://{n}.example.net/fr/?bad=1" for n in names] + ["http://one.example.org/de/?bad=1"]
+    df = spark.createDataFrame([(i, x, "", "h", "r", 1) for i, x in enumerate(u)], PAGES)
+    got = urls.judge_urls(df).collect()
+    assert all(r["verdict"] == "allow" for r in got if r["rule"] is None and r["path"] != "/de/")
+    assert [r["verdict"] for r in got if r["page_id"] == len(u) - 1] == ["block"]
+    rows = [("block", ["t:n", "t:e"])] * 20 + [(None, ["t:n"])] * 30 + [("allow", ["t:c"])] * 10
+    sure = {(tuple(r["tokens"]), r["verdict"]): r["confidence"] for r in urls.mine_rules(
+        spark.createDataFrame(rows, "verdict string, tokens array<string>"), 0.1, 0.4).collect()}
+    assert sure == {(("t:n",), "block"): 0.4, (("t:e",), "block"): 1.0, (("t:c",), "allow"): 1.0}
+
+
 def test_chats(spark):
     turns = [("user", "hi"), ("assistant", "hello"), ("user", None), (None, "")]
     rows = [(c, k, *turns[k]) for c, n in ((1, 2), (2, 4), (3, 4), (4, 1)) for k in range(n)]
