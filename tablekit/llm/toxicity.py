@@ -22,7 +22,9 @@ from __future__ import annotations
 import math
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,8 +36,7 @@ PRIOR = 2.0
 DRIFT = 1.0
 #: Log-likelihood ratio against the root below which a node is left out.
 SIGNIFICANT = 12.0
-#: Bounds of what the driver takes: model nodes, rows for the logistic curve.
-MAX_NODES = 200_000
+#: Bound of the rows that the driver takes for the logistic curve.
 CALIBRATION_ROWS = 50_000
 LABEL_BITS_LOG2 = 22
 
@@ -79,10 +80,26 @@ def node_counts(train: DataFrame) -> DataFrame:
             .groupBy("node").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")))
 
 
+class NodeScores:
+    """Scores by node: sorted 64-bit hashes and floats, 16 bytes a node."""
+
+    def __init__(self, hashes: np.ndarray, scores: np.ndarray):
+        order = np.argsort(hashes)
+        self.hashes, self.scores = hashes[order], scores[order]
+
+    def __len__(self) -> int:
+        return len(self.hashes)
+
+    def get(self, node: bytes) -> float | None:
+        h = np.uint64(xxhash.xxh64_intdigest(node))
+        i = int(self.hashes.searchsorted(h))
+        return float(self.scores[i]) if i < len(self.hashes) and self.hashes[i] == h else None
+
+
 class ToxicityModel:
-    """Node scores plus the calibration constants; a few MB at most."""
+    """Scores of all significant nodes plus the calibration constants."""
 
-    def __init__(self, scores: dict[bytes, float], lam: float = 1.0, log_k: float = 0.0,
+    def __init__(self, scores: dict[bytes, float] | NodeScores, lam: float = 1.0, log_k: float = 0.0,
                  slope: float = 1.0, bias: float = -3.0):
         self.scores, self.lam, self.log_k, self.slope, self.bias = scores, lam, log_k, slope, bias
 
@@ -183,13 +200,17 @@ def _lambda(scores: np.ndarray, weights: np.ndarray) -> float:
 def fit_toxicity(train: DataFrame) -> ToxicityModel:
     """``train`` (text, y 0/1), any number of rows -> model.
 
-    All labelled rows are counted; the driver takes at most MAX_NODES
-    significant nodes and CALIBRATION_ROWS rows of two numbers (chosen by
-    text hash) for the logistic curve.  Without both classes the model knows
+    All labelled rows are counted and every significant node enters the model
+    (16 bytes each).  The driver takes CALIBRATION_ROWS rows of two numbers,
+    chosen by the hash of doc_id (if there is one) and text, for the logistic
+    curve.  Without both classes the model knows
     no toxic word and scores everything low.
     """
     spark = train.sparkSession
-    train = train.select("text", F.col("y").cast("int").alias("y")).filter("y is not null")
+    # rows are told apart by id and text, so copies of a text are sampled one by one
+    key = [F.col(c) for c in ("doc_id",) if c in train.columns]
+    train = (train.select("text", F.col("y").cast("int").alias("y"), F.xxhash64(*key, "text").alias("h"))
+             .filter("y is not null"))
     n = {r["y"]: r["n"] for r in train.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     n_toxic, n_clean = n.get(1, 0), n.get(0, 0)
     if not n_toxic or not n_clean:
@@ -200,11 +221,17 @@ def fit_toxicity(train: DataFrame) -> ToxicityModel:
         return F.when(F.col(obs) > 0, F.col(obs) * F.log(F.col(obs) / exp)).otherwise(F.lit(0.0))
     seen = F.col("toxic") + F.col("clean")
     g2 = 2 * (xlogx("toxic", seen * pi) + xlogx("clean", seen * (1 - pi)))
-    kept = (node_counts(train).select("node", "toxic", "clean", g2.alias("g2"))
-            .filter(F.col("g2") >= SIGNIFICANT)
-            .orderBy(F.desc("g2"), "node").limit(MAX_NODES).collect())
-    model = ToxicityModel(_share_scores(
-        [(bytes(r["node"]), r["toxic"], r["clean"]) for r in kept], n_toxic, n_clean))
+    kept = node_counts(train).filter(g2 >= SIGNIFICANT)
+
+    def scored(pdf):
+        rows = zip(map(bytes, pdf["node"]), pdf["toxic"].tolist(), pdf["clean"].tolist())
+        score = _share_scores(list(rows), n_toxic, n_clean)
+        return pd.DataFrame({"h": np.array([xxhash.xxh64_intdigest(k) for k in score], np.uint64).view(np.int64),
+                             "score": list(score.values())})
+    # a node's ancestors share its first characters, so tries are scored apart
+    root = F.substring(F.col("node").cast("string"), 1, min(PREFIXES))
+    pdf = kept.groupBy(root).applyInPandas(scored, "h long, score double").toPandas()
+    model = ToxicityModel(NodeScores(pdf["h"].to_numpy(np.int64).view(np.uint64), pdf["score"].to_numpy(float)))
 
     # clean token scores, rounded to 0.1: a histogram of bounded size
     shared = spark.sparkContext.broadcast(model)
@@ -239,13 +266,14 @@ def fit_toxicity(train: DataFrame) -> ToxicityModel:
         cache = shared2.value.cached()
         for b in batches:
             x = [shared2.value.evidence(t, cache)[0] for t in b.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.float64()), b.column("y")], ["x", "y"])
-    sample = (train.withColumn("h", F.xxhash64(F.coalesce("text", F.lit("")))))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(x, pa.float64()), b.column("y"), b.column("h")], ["x", "y", "h"])
     total = n_toxic + n_clean
-    if total > CALIBRATION_ROWS:
-        share = int(CALIBRATION_ROWS / total * (1 << 20))
-        sample = sample.filter(F.col("h").bitwiseAND(F.lit((1 << 20) - 1)) < share)
-    pdf = sample.select("text", "y").mapInArrow(evidence, "x double, y int").toPandas()
+    share = min(1 << 20, int(1.2 * CALIBRATION_ROWS / total * (1 << 20)) + 1)
+    # the row count bounds what is taken even if rows are equal in id and text
+    pdf = (train.filter(F.col("h").bitwiseAND(F.lit((1 << 20) - 1)) < share)
+           .mapInArrow(evidence, "x double, y int, h long")
+           .orderBy(F.xxhash64("h"), "y", "x").limit(CALIBRATION_ROWS).toPandas())
     if pdf["y"].nunique() == 2:
         model.slope, model.bias = _logistic(np.log1p(pdf["x"].to_numpy()), pdf["y"].to_numpy(float))
     return model

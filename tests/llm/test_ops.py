@@ -137,6 +137,26 @@ def test_toxicity_held_out(spark):
     assert [(r["doc_id"], r["y"]) for r in toxicity.labelled(df, labels).collect()] == [(1, 1)]
 
 
+def test_toxicity_keeps_every_significant_word(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "MAX_NODES", 5, raising=False)
+    monkeypatch.setattr(toxicity, "CALIBRATION_ROWS", 200)
+    sizes = []
+    fit = toxicity._logistic
+    monkeypatch.setattr(toxicity, "_logistic", lambda x, y: sizes.append(len(x)) or fit(x, y))
+    rng = random.Random(11)
+    # one clean text is half of the rows; every toxic word occurs in six documents
+    rows = [(i, words(random.Random(0), 40), 0) for i in range(600)]
+    for i in range(600, 1200):
+        t = words(rng, 40).split()
+        if i < 720:
+            t[9:9] = [f"{chr(97 + (i - 600) // 6)}qzvile"] * 3
+        rows.append((i, " ".join(t), int(i < 720)))
+    df = spark.createDataFrame(rows, "doc_id long, text string, y int")
+    model = toxicity.fit_toxicity(df)
+    assert all(model.token_score(f"{chr(97 + k)}qzvile".encode()) > 1 for k in range(20))
+    assert 150 <= sizes[0] <= 200
+
+
 # ------------------------------------------------------------ simhash
 def brute_fingerprint(text):
     w = [x for x in "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "").replace("\t", " ")
