@@ -59,7 +59,7 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    models = fit_languages(docs.filter(bucket_of("doc_id", 3) != 1).select("text", "lang"))
+    models = fit_languages(docs.filter(bucket_of("doc_id", 3) != 1).select("doc_id", "text", "lang"))
     return identify_language(docs, models).select(
         "doc_id", (bucket_of("doc_id", 3) == 1).alias("held_out"), F.col("best").alias("lang_pred"), "score")
 

@@ -274,6 +274,24 @@ def test_language_held_out(spark):
     assert not langid.identify_language(odd, lm).first()["accepted"]
 
 
+def test_languages_keep_every_ngram(spark, monkeypatch):
+    monkeypatch.setattr(langid, "MAX_NGRAMS", 20, raising=False)
+    monkeypatch.setattr(langid, "MAX_LANGS", 2, raising=False)
+    monkeypatch.setattr(langid, "CALIBRATION_ROWS", 100)
+    sizes = []
+    judge = langid.LanguageModels.judge
+    monkeypatch.setattr(langid.LanguageModels, "judge", lambda m, h: sizes.append(len(h)) or judge(m, h))
+    rng = random.Random(9)
+    # one text is half of the rows
+    rows = [(i, "the same text again" if i < 300 else words(rng, 9).translate(str.maketrans("0123456789", x * 10 if i % 7 else f"{x}rstuvwxyz")),
+             f"l{x}") for i in range(600) for x in ["abc"[i % 3]]]
+    lm = langid.fit_languages(spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3))
+    assert lm.langs == ["la", "lb", "lc"] and 75 <= sizes[0] <= 100
+    for lang, m in zip(lm.langs, lm.models):
+        keys, counts = np.unique(np.concatenate([langid.ngrams(langid.units(t)) for _, t, x in rows if x == lang]), return_counts=True)
+        assert np.array_equal(m.levels[0][1], keys) and np.array_equal(m.levels[0][2], counts)
+
+
 def test_shards_even_and_gapless(spark, tmp_dir):
     rng = random.Random(6)
     docs = frame(spark, [(i, "x" * int(rng.paretovariate(1.2) * 50)) for i in range(3000)], 7)
