@@ -399,3 +399,21 @@ def test_chats(spark):
     got = {r["conv_id"]: (r["n_turns"], r["rendered"]) for r in chat.format_chats(df).collect()}
     assert sorted(got, key=str) == sorted([2, 5, None], key=str)
     assert got[2][0] == 4 and got[2][1].endswith("<|im_start|>unknown\n<|im_end|>\n")
+
+
+def test_chats_split_a_long_conversation(spark):
+    rng = random.Random(12)
+    rows = [(c, k, "user", f"t{k}") for c, n in ((1, 3000), (2, 2990), (3, 3000)) for k in range(n)]
+    rows += [(None, k % 3, rng.choice("ab"), f"n{k}") for k in range(1500)] + [(c, 0, None, f"x{c}") for c in range(4, 90)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(4)
+    turns = chat.ordered_turns(df)
+    spread = {r["conv_id"]: (r["parts"], r["most"]) for r in turns.groupBy("conv_id", "part").count()
+              .groupBy("conv_id").agg(F.count(F.lit(1)).alias("parts"), F.max("count").alias("most")).collect()}
+    # no range takes a conversation of a third of the rows whole
+    assert spread[1][0] > 1 and spread[1][1] < 2500 and spread[None][0] > 1
+    got = {r["conv_id"]: (r["n_turns"], r["rendered"]) for r in chat.format_chats(df).collect()}
+    want = {}
+    for c in {r[0] for r in rows} - {2, 3}:
+        t = sorted((r[1:] for r in rows if r[0] == c), key=lambda r: (r[0], r[1] or "", r[2]))
+        want[c] = (len(t), "".join(f"<|im_start|>{r or 'unknown'}\n{x}<|im_end|>\n" for _, r, x in t))
+    assert got == want
