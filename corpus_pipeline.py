@@ -90,8 +90,8 @@ STAGES = [
     ("sentencepiece", tokens),
 ]
 
-#: Model fits and tokenisation have no SQL form; tests hold the stages against
-#: brute force instead.
+#: Model fits and tokenisation have no SQL form; tests hold the operators, and
+#: the decontamination stage, against brute force instead.
 ORACLE_SQL = None
 
 

@@ -89,6 +89,8 @@ def _scan(docs: DataFrame, bits: BitSet, ks: list[int], size: int, counts_only:
                         rows.append((d[row], th[row], x, hi - lo, p - lo, left,
                                      block.words(p - left, min(hi, p + size))))
                 if counts_only:
+                    if not tokens:  # no window has a word
+                        continue
                     v, c = np.unique(np.concatenate(tokens), return_counts=True)
                     yield pa.RecordBatch.from_arrays([pa.array(signed(v)), pa.array(c)], ["token", "n"])
                     continue

@@ -417,3 +417,19 @@ def test_chats_split_a_long_conversation(spark):
         t = sorted((r[1:] for r in rows if r[0] == c), key=lambda r: (r[0], r[1] or "", r[2]))
         want[c] = (len(t), "".join(f"<|im_start|>{r or 'unknown'}\n{x}<|im_end|>\n" for _, r, x in t))
     assert got == want
+
+
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+@pytest.mark.parametrize("items", [[], [(1, None), (2, ""), (3, " -- ")]])
+def test_decontamination_without_benchmark_words(spark, items, adaptive):
+    # adaptive planning may leave out the scan of the documents
+    was = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    empty = spark.createDataFrame(items, "item_id long, text string")
+    docs = frame(spark, [(1, None), (2, ""), (3, "one two three"), (4, LONG)])
+    try:
+        rows = decontam.decontaminate(docs, empty).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", was)
+    got = {r["doc_id"]: (r["n_words"], r["n_hit"], r["n_items"], r["items"]) for r in rows}
+    assert got == {1: (0, 0, 0, []), 2: (0, 0, 0, []), 3: (3, 0, 0, []), 4: (12000, 0, 0, [])}

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from collections import Counter
+
 import pytest
 
 import corpus_pipeline
@@ -46,3 +49,17 @@ def test_pipeline_stages_on_hostile_rows(spark, tmp_dir):
     kept = corpus_pipeline.near_duplicates(spark, docs, SF_SMALL).collect()
     assert sorted((r["doc_id"] or -1, (r["text"] or "")[:2]) for r in kept)[0][0] in (-1, 1)
     assert sum(r["text"] == text for r in kept) == 1
+
+
+def test_pipeline_decontamination_matches_brute_force(spark):
+    def words(t):
+        t = "".join(c.lower() if "A" <= c <= "Z" else c for c in t or "")
+        return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", t)
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    windows = {tuple(w[i:i + 10]) for r in spark.read.parquet(f"{SF_SMALL}/benchmark.parquet").collect()
+               for w in [words(r["text"])] if w for i in range(max(1, len(w) - 9))}
+    sizes = {len(w) for w in windows}
+    clean = Counter((r["doc_id"], r["text"]) for r in docs.collect() for w in [words(r["text"])]
+                    if not any(tuple(w[i:i + n]) in windows for n in sizes for i in range(len(w) - n + 1)))
+    got = corpus_pipeline.decontamination(spark, docs, SF_SMALL).collect()
+    assert 0 < len(got) < docs.count() and Counter((r["doc_id"], r["text"]) for r in got) == clean
