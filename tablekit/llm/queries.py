@@ -1,4 +1,4 @@
-"""Registered queries of the ten operators: thin digests of their results."""
+"""Registered queries of the operators: thin digests of their results."""
 
 from __future__ import annotations
 
@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tablekit.registry import table
 
+from . import more_queries
 from .chat import format_chats
 from .common import bucket_of
 from .decontam import decontaminate
@@ -93,7 +94,7 @@ def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_toxicity, op2_simhash, op3_sentencepiece, op4_quality, op5_langid, op6_decontamination,
-    op7_sharding, op8_chat, op9_substring, op10_urls)}
+    op7_sharding, op8_chat, op9_substring, op10_urls)} | more_queries.QUERIES
 
 
 # ------------------------------------------------------------ SQL twins
@@ -211,4 +212,5 @@ def oracles() -> dict[str, str]:
     from .quality import STOP_WORDS
     return {"op4_quality": OP4_SQL.replace("{stop}", " ".join(
         [*STOP_WORDS, *(w.capitalize() for w in STOP_WORDS)])),
-            "op6_decontamination": OP6_SQL, "op8_chat": OP8_SQL, "op9_substring": OP9_SQL}
+            "op6_decontamination": OP6_SQL, "op8_chat": OP8_SQL, "op9_substring": OP9_SQL,
+            **more_queries.ORACLES}
