@@ -3,16 +3,29 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tablekit.registry import table
 
+from .divergence import divergence
 from .phrases import collocations
+from .secrets import scan_secrets
 
 
 def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(table(spark, sf_dir, "documents"), max_words=3, min_count=10, top=2000)
 
 
+def op12_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_secrets(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_assign", "n_access", "n_hex", F.sha2(F.col("base").cast("binary"), 256).alias("base_sha256"),
+        "spans", "n_novel")
+
+
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence(table(spark, sf_dir, "documents"), min_docs=30, top_terms=50)
+
+
 OP11_SQL = r"""
 WITH t AS (
   SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(
@@ -56,5 +69,37 @@ SELECT lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BI
 FROM k JOIN n USING (lang) WHERE rank <= 2000
 """
 
-QUERIES = {f.__name__: f for f in (op11_phrases,)}
-ORACLES = {"op11_phrases": OP11_SQL}
+OP13_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+o AS (SELECT row, lang, source, unnest(w) AS term FROM d),
+k AS (SELECT lang, term, count(*) AS m FROM o GROUP BY lang, term HAVING count(DISTINCT row) >= 30),
+v AS (SELECT lang, count(*)::HUGEINT AS v, sum(m) AS total FROM k GROUP BY lang),
+s AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT lang, source, term, count(*) AS n FROM o GROUP BY ALL),
+x AS (
+  SELECT s.lang, s.source, k.term, coalesce(c.n, 0)::HUGEINT AS n, v.v,
+         1 + (1000000000::HUGEINT * (k.m + 5)) // (v.total + 5 * v.v) AS q,
+         sum(coalesce(c.n, 0)) OVER (PARTITION BY s.lang, s.source) AS total
+  FROM s JOIN k ON k.lang = s.lang JOIN v ON v.lang = s.lang
+  LEFT JOIN c ON c.lang = s.lang AND c.source = s.source AND c.term = k.term),
+p AS (SELECT *, 1 + (1000000000::HUGEINT * (n + 5)) // (total + 5 * v) AS p FROM x),
+f AS (
+  SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+r AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f.value, 0) AS value
+  FROM s a JOIN s b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, p - q FROM p WHERE n > 0 AND p > q),
+z AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM r)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INT AS rank
+FROM z WHERE part = 'pair' OR rank <= 50
+"""
+
+QUERIES = {f.__name__: f for f in (op11_phrases, op12_secrets, op13_divergence)}
+ORACLES = {"op11_phrases": OP11_SQL, "op13_divergence": OP13_SQL}
