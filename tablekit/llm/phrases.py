@@ -1,19 +1,22 @@
 """Phrase collocations counted in HAT-tries.
 
-Every task counts the phrases of its texts in one trie a language: word ids
-lead down a shallow trie whose leaves are hash containers.  A container that
-outgrows ``BURST`` phrases bursts into one container per next word.  Once a
-task holds ``ROOM`` phrases, the largest subtrees leave whole, each as one run
-sorted by phrase, until half are left.  The runs are a table in the shared
-folder; it is dealt out by ranges of (language, phrase), that is by prefixes
-of the trie, and each partition merges its sorted runs.  A prefix that holds
-very many phrases spans several ranges, so no first word is too common.
-
-Lengths are counted one after another.  A phrase can only occur ``min_count``
-times if its two longest parts do, so a length counts only the places whose
-parts are frequent; a bit set (16 bits a frequent phrase, at most
-``2**MAX_LOG2``) carries them to the tasks.  Chance hits are counted in vain
-and go with the final count, so the counts are exact.
+Every task counts the phrases of its texts in one trie a language.  Word ids
+lead down a shallow trie (high digit, then the whole id, of the first word,
+then of the second) whose leaves are hash containers.  A container that
+outgrows ``BURST`` phrases bursts into containers one digit further down.  Once
+a task holds ``ROOM`` phrases, the largest subtrees leave whole, each a run
+sorted by its words, until half are left.  The runs are a table in the shared
+folder; it is dealt out by ranges of (language, phrase), that is by prefixes of
+the trie, and each partition merges its runs.  A prefix that holds very many
+phrases spans several ranges, so no first word is too common.
+
+A phrase can only occur ``min_count`` times if every pair of neighbours in it
+does.  The pass that counts the words therefore also adds up 64-bit hashes of
+all neighbours, and the pass that counts phrases skips places whose neighbours
+are rare.  A bit set (16 bits a frequent pair, at most ``2**MAX_LOG2``) carries
+the frequent hashes to the tasks.  Equal hashes and chance hits only let
+phrases be counted in vain; these go with the final count, so all counts are
+exact.
 
 Score of a cut of phrase p with a = f(p) into parts with l and r occurrences:
 floor(10**6 a a / (l r)) in 38-digit decimals; the lowest-scoring cut counts.
@@ -28,28 +31,37 @@ nothing but its own string.
 from __future__ import annotations
 
 from array import array
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import slices, written
-from .words import BitSet, bit_set, mix, signed, utf8
+from .words import BitSet, bit_set, mix, utf8
 
 #: Phrases in a container before it bursts.
 BURST = 4096
 #: Phrases, and distinct words and their bytes, that a task holds.
-ROOM = 400_000
+ROOM = 500_000
 WORDS = 1 << 18
 WORD_BYTES = 1 << 25
-#: Largest bit set of frequent phrases (log2 of its bits).
+#: Largest bit set of frequent pairs (log2 of its bits).
 MAX_LOG2 = 30
-#: Words counted at a time, and bytes of text split at a time.
+#: Words counted at a time, bytes of text split at a time, pairs added up at a
+#: time, rows and bytes of a record batch.
 _FLUSH = 1 << 18
 _WINDOW = 1 << 20
+_PAIRS = 1 << 21
+_ROWS = 20_000
+_BYTES = 1 << 25
 _ID_BITS = 21
+_ID = (1 << _ID_BITS) - 1
+#: Where the digits of a packed phrase start, from the root down.
+_DIGITS = (51, 42, 30, 21)
 _MUL = np.uint64(0xD6E8FEB86659FD93)
 
 #: A-Z folded, the marks that end a piece made one byte that UTF-8 never has,
@@ -59,73 +71,69 @@ _FOLD = bytes(0xFF if b in b".,;:!?\n\x0b\x0c\r" else 0x20 if b == 9
 _END = b"\xff"
 
 
+class _Node(dict):
+    """Digit -> node or container; containers are Counters."""
+
+
 class HatTrie:
-    """Counts of phrases of ``size`` word ids, packed into one integer each
-    with the first word in the highest bits."""
+    """Counts of phrases of up to three word ids, packed into one integer with
+    the first word in the highest bits; 0 stands for no word."""
 
-    def __init__(self, size: int, burst: int = BURST):
-        self.size, self.burst = size, burst
-        self.root: dict = {}
+    def __init__(self, burst: int = BURST):
+        self.burst = burst
+        self.root: _Node | Counter = Counter()
         self.held = 0
 
-    def add(self, keys: np.ndarray, counts: np.ndarray) -> None:
-        """Add distinct keys in ascending order."""
-        self.root = self._add(self.root, 0, keys, counts)
-
-    def _add(self, node, depth, keys, counts):
-        if isinstance(node, dict):
-            before, get = len(node), node.get
-            for k, n in zip(keys.tolist(), counts.tolist()):
-                node[k] = get(k, 0) + n
-            self.held += len(node) - before
-            if len(node) > self.burst and depth < self.size - 1:
-                return self._burst(node, depth)
+    def add(self, keys: np.ndarray) -> None:
+        """Add phrases, in ascending order."""
+        self.root = self._add(self.root, 0, keys)
+
+    def _add(self, node, depth, keys):
+        if isinstance(node, _Node):
+            digit = keys >> _DIGITS[depth]
+            edge = np.concatenate([[0], np.flatnonzero(np.diff(digit)) + 1, [len(keys)]]).tolist()
+            for d, a, b in zip(digit[edge[:-1]].tolist(), edge, edge[1:]):
+                below = node.get(d)
+                node[d] = self._add(Counter() if below is None else below, depth + 1, keys[a:b])
             return node
-        shift = _ID_BITS * (self.size - 1 - depth)
-        word = keys >> shift
-        edge = np.concatenate([[0], np.flatnonzero(np.diff(word)) + 1, [len(keys)]])
-        below = node[0]
-        for w, a, b in zip(word[edge[:-1]].tolist(), edge[:-1].tolist(), edge[1:].tolist()):
-            below[w] = self._add(below.get(w, {}), depth + 1, keys[a:b], counts[a:b])
+        before = len(node)
+        node.update(keys.tolist())
+        self.held += len(node) - before
+        if len(node) > self.burst and depth < len(_DIGITS):
+            below = _Node()
+            for k, n in node.items():
+                below.setdefault(k >> _DIGITS[depth], Counter())[k] = n
+            return below
         return node
 
-    def _burst(self, container, depth):
-        shift = _ID_BITS * (self.size - 1 - depth)
-        below: dict = {}
-        for k, n in container.items():
-            below.setdefault(k >> shift, {})[k] = n
-        return (below,)
-
     def spill(self, down_to: int):
-        """Subtrees under the first word, largest first, as (keys, counts),
-        until at most ``down_to`` phrases are held."""
-        if isinstance(self.root, dict):
-            whole, self.root, self.held = self.root, {}, 0
-            if whole:
-                yield list(whole), list(whole.values())
-            return
-        below = self.root[0]
-        for w in sorted(below, key=lambda w: -_held(below[w])):
+        """Whole subtrees of a first word, or of a range of them while that is
+        one container, largest first, until at most ``down_to`` phrases are
+        held: (keys, counts)."""
+        top = _Node(all=self.root) if isinstance(self.root, Counter) else self.root
+        units = []
+        for d, child in top.items():
+            within = child.items() if isinstance(child, _Node) else [(d, child)]
+            home = child if isinstance(child, _Node) else top
+            units += [(sum(map(len, _containers(x))), home, k) for k, x in within]
+        units.sort(key=lambda u: -u[0])
+        for size, home, k in units:
             if self.held <= down_to:
-                return
-            keys, counts = [], []
-            for part in _containers(below.pop(w)):
-                keys.extend(part)
-                counts.extend(part.values())
-            self.held -= len(keys)
-            yield keys, counts
+                break
+            for part in _containers(home.pop(k)):
+                yield (np.fromiter(part, np.int64, len(part)),
+                       np.fromiter(part.values(), np.int64, len(part)))
+            self.held -= size
+        if isinstance(self.root, Counter) and not top:
+            self.root = Counter()
 
 
 def _containers(node):
-    if isinstance(node, dict):
-        yield node
-    else:
-        for child in node[0].values():
+    if isinstance(node, _Node):
+        for child in node.values():
             yield from _containers(child)
-
-
-def _held(node) -> int:
-    return sum(map(len, _containers(node)))
+    else:
+        yield node
 
 
 class _Ids(dict):
@@ -167,150 +175,188 @@ def _salt(lang: str) -> np.uint64:
     return np.uint64(xxhash.xxh64_intdigest(utf8(lang)))
 
 
-def _chain(h: np.ndarray, size: int) -> np.ndarray:
-    """Hashes of all runs of ``size`` word hashes."""
-    n = len(h) - size + 1
-    out = mix(h[:n])
-    for k in range(1, size):
-        out = mix(out * _MUL + h[k:n + k])
-    return out
+def _pairs(h: np.ndarray) -> np.ndarray:
+    """Hashes of neighbours in an array of word hashes."""
+    return mix(mix(h[:-1]) * _MUL + h[1:])
 
 
-def _hashed(size: int):
-    """Task: the same hashes from the rows of a counts table."""
-    def run(batches):
-        for b in batches:
-            if not b.num_rows:
-                continue
-            lang = b.column("lang").dictionary_encode()
-            salt = np.array([_salt(x) for x in lang.dictionary.to_pylist()], np.uint64)[lang.indices.to_numpy()]
-            words = (w for p in b.column("phrase").to_pylist() for w in utf8(p).split(b" "))
-            h = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, size * b.num_rows)
-            h = h.reshape(-1, size) ^ salt[:, None]
-            out = mix(h[:, 0])
-            for k in range(1, size):
-                out = mix(out * _MUL + h[:, k])
-            yield pa.RecordBatch.from_arrays([pa.array(signed(out))], ["h"])
-    return run
-
+class _Task:
+    """What a task holds: a trie a language and the words that they share."""
 
-class _Counter:
-    """A task's tries, one a language, and the words they share."""
-
-    def __init__(self, size: int, frequent: np.ndarray | None):
-        self.size = size
-        self.frequent = None if frequent is None else BitSet(frequent)
+    def __init__(self, room: int):
+        self.room = room
         self.new()
 
     def new(self) -> None:
         self.ids, self.tries = _Ids(), {}
 
-    def count(self, lang: str, ids: list[int]) -> None:
-        x = np.array(ids, np.int64)
-        k = self.size
-        if len(x) < k:
-            return
-        ok = np.ones(len(x) - k + 1, bool)
-        for j in range(k):
-            ok &= x[j:len(ok) + j] != 0
-        if self.frequent is not None:
-            h = np.array(self.ids.hashes, np.uint64)[x] ^ _salt(lang)
-            part = self.frequent.has(_chain(h, k - 1))
-            ok &= part[:-1] & part[1:]
-        key = np.zeros(len(ok), np.int64)
-        for j in range(k):
-            key = (key << _ID_BITS) | x[j:len(ok) + j]
-        keys, counts = np.unique(key[ok], return_counts=True)
-        if len(keys):
-            self.tries.setdefault(lang, HatTrie(k)).add(keys, counts)
+    def hashes(self, lang: str, x: np.ndarray) -> np.ndarray:
+        return np.array(self.ids.hashes, np.uint64)[x] ^ _salt(lang)
 
-    def spill(self, down_to: int):
-        """Sorted runs as record batches."""
-        mask = (1 << _ID_BITS) - 1
-        words = self.ids.words
+    def trie(self, lang: str) -> HatTrie:
+        if lang not in self.tries:
+            self.tries[lang] = HatTrie()
+        return self.tries[lang]
+
+    def spill(self, down_to: int = 0):
+        """Sorted runs as record batches (lang, phrase, n)."""
         held = sum(t.held for t in self.tries.values())
         for lang, trie in self.tries.items():
-            share = down_to * trie.held // held if held else 0
-            pairs, size = [], 0
-            for keys, counts in trie.spill(share):
-                cols = [[words[k >> _ID_BITS * j & mask] for k in keys] for j in range(self.size - 1, -1, -1)]
-                run = [b" ".join(w) for w in zip(*cols)] if self.size > 1 else cols[0]
-                pairs.extend(sorted(zip(run, counts)))
-                size += len(keys)
-                if size > 20_000:
-                    yield _batch(lang, pairs)
-                    pairs, size = [], 0
-            if pairs:
-                yield _batch(lang, pairs)
-
-
-def _batch(lang: str, pairs) -> pa.RecordBatch:
-    phrase, n = zip(*pairs)
-    return pa.RecordBatch.from_arrays(
-        [pa.array([lang] * len(n), pa.string()), pa.array(phrase, pa.binary()).cast(pa.string()),
-         pa.array(n, pa.int64())], ["lang", "phrase", "n"])
-
-
-def _runs(size: int, shared, room: int):
-    """Task: (lang, text) batches -> sorted runs of the phrases of ``size``."""
-    def run(batches):
-        c = _Counter(size, shared.value if shared else None)
+            parts = list(trie.spill(down_to * trie.held // held if held else 0))
+            if parts:
+                yield from self._rows(lang, *map(np.concatenate, zip(*parts)))
+
+    def _rows(self, lang, keys, counts):
+        ids = np.stack([keys >> 2 * _ID_BITS, keys >> _ID_BITS & _ID, keys & _ID])
+        used = np.unique(ids)
+        used = used[used > 0]
+        words = [self.ids.words[i] for i in used.tolist()]
+        order = sorted(range(len(words)), key=words.__getitem__)
+        rank = np.zeros(used[-1] + 1, np.int64)
+        rank[used[order]] = np.arange(1, len(used) + 1)
+        ids = rank[ids]
+        at = np.argsort(ids[0] << 2 * _ID_BITS | ids[1] << _ID_BITS | ids[2])
+        ids, counts = ids[:, at], counts[at]
+        words = [None, *(words[i] for i in order)]
+        size = np.array([0, *map(len, words[1:])])[ids].sum(axis=0)
+        words = pa.array(words, pa.binary())
+        part = np.cumsum(size) // _BYTES * len(at) + np.arange(len(at)) // _ROWS
+        edge = np.concatenate([[0], np.flatnonzero(np.diff(part)) + 1, [len(at)]]).tolist()
+        for a, b in zip(edge, edge[1:]):
+            phrase = pc.binary_join_element_wise(
+                *(words.take(pa.array(i[a:b])) for i in ids), pa.scalar(b" ", pa.binary()), null_handling="skip")
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([lang] * (b - a), pa.string()), phrase.cast(pa.string()), pa.array(counts[a:b])],
+                ["lang", "phrase", "n"])
+
+    def run(self, batches, tail: int):
+        """Feed ``count(lang, ids)`` (a generator of record batches) with the
+        ids of all texts; ``tail`` ids at the end of a part start the next."""
         for batch in batches:
             for b in slices(batch, 256):
                 waiting: dict[str, list[int]] = {}
                 for lang, text in zip(b.column("lang").to_pylist(), b.column("text").to_pylist()):
                     for words in _windows(text):
                         ids = waiting.setdefault(lang, [])
-                        ids.extend(map(c.ids.__getitem__, words))
+                        ids.extend(map(self.ids.__getitem__, words))
                         if len(ids) >= _FLUSH:
-                            c.count(lang, ids)
-                            # the last words go on, each place counted once
-                            waiting[lang] = ids[len(ids) - size + 1:]
-                            if sum(t.held for t in c.tries.values()) > room:
-                                yield from c.spill(room // 2)
-                        if len(c.ids) > WORDS or c.ids.bytes > WORD_BYTES:
+                            yield from self.count(lang, np.array(ids, np.int64))
+                            waiting[lang] = ids[len(ids) - tail:]
+                        if len(self.ids) > WORDS or self.ids.bytes > WORD_BYTES:
                             for a, x in waiting.items():
-                                c.count(a, x)
-                            yield from c.spill(0)
-                            tails = {a: [c.ids.words[i] for i in x[len(x) - size + 1:]]
+                                yield from self.count(a, np.array(x, np.int64))
+                            yield from self.spill()
+                            tails = {a: [self.ids.words[i] for i in x[max(0, len(x) - tail):]]
                                      for a, x in waiting.items()}
-                            c.new()
-                            waiting = {a: [c.ids[w] for w in x] for a, x in tails.items()}
+                            self.new()
+                            waiting = {a: [self.ids[w] for w in x] for a, x in tails.items()}
                 for lang, ids in waiting.items():
-                    c.count(lang, ids)
-                if sum(t.held for t in c.tries.values()) > room:
-                    yield from c.spill(room // 2)
-        yield from c.spill(0)
+                    yield from self.count(lang, np.array(ids, np.int64))
+        yield from self.spill()
+
+    def full(self):
+        if sum(t.held for t in self.tries.values()) > self.room:
+            yield from self.spill(self.room // 2)
+
+
+class _Words(_Task):
+    """First pass: words, and hashes of neighbours."""
+
+    def __init__(self, room: int):
+        super().__init__(room)
+        self.hashed, self.size = [], 0
+
+    def count(self, lang, x):
+        # a tail starts the next part; its words are counted there
+        self.trie(lang).add(np.sort(x[:-1][x[:-1] > 0] << 2 * _ID_BITS))
+        h = _pairs(self.hashes(lang, x))[(x[:-1] > 0) & (x[1:] > 0)]
+        self.hashed.append(h)
+        self.size += len(h)
+        if self.size > _PAIRS:
+            yield from self.pairs()
+        yield from self.full()
+
+    def pairs(self):
+        h, n = np.unique(np.concatenate(self.hashed), return_counts=True)
+        self.hashed, self.size = [], 0
+        for a in range(0, len(h), 10 * _ROWS):
+            yield pa.RecordBatch.from_arrays([pa.array(h[a:a + 10 * _ROWS].view(np.int64)),
+                                              pa.array(n[a:a + 10 * _ROWS])], ["h", "n"])
+
+
+class _Phrases(_Task):
+    """Second pass: phrases of two and three words with frequent neighbours."""
+
+    def __init__(self, room: int, frequent: BitSet, max_words: int):
+        super().__init__(room)
+        self.frequent, self.max_words = frequent, max_words
+
+    def count(self, lang, x):
+        if len(x) < 2:
+            return
+        ok = (x[:-1] > 0) & (x[1:] > 0)
+        ok[ok] = self.frequent.has(_pairs(self.hashes(lang, x))[ok])
+        two = x[:-1] << 2 * _ID_BITS | x[1:] << _ID_BITS
+        # the pair that starts a tail of two words is counted in the next part
+        found = [two[:len(two) - self.max_words + 2][ok[:len(two) - self.max_words + 2]]]
+        if self.max_words == 3:
+            both = ok[:-1] & ok[1:]
+            found.append((two[:-1] | x[2:])[both])
+        keys = np.sort(np.concatenate(found))
+        if len(keys):
+            self.trie(lang).add(keys)
+        yield from self.full()
+
+
+def _first_pass(room: int):
+    """Task: (lang, text) -> words (lang, phrase, n, null) and hashes of
+    neighbours (null, null, n, h)."""
+    def run(batches):
+        task = _Words(room)
+        for out in (task.run(batches, 1), _later(lambda: task.pairs() if task.size else ())):
+            for b in out:
+                if "h" in b.schema.names:
+                    none = pa.nulls(b.num_rows, pa.string())
+                    yield pa.RecordBatch.from_arrays([none, none, b.column("n"), b.column("h")],
+                                                     ["lang", "phrase", "n", "h"])
+                else:
+                    yield pa.RecordBatch.from_arrays([*b.columns, pa.nulls(b.num_rows, pa.int64())],
+                                                     ["lang", "phrase", "n", "h"])
     return run
 
 
-def _bits(counts: DataFrame, size: int) -> np.ndarray:
-    """Bit set of the phrases of a counts table, 16 bits or more a phrase."""
-    need = max(16 * counts.count(), 1 << 16)
-    return bit_set(counts.select("lang", "phrase").mapInArrow(_hashed(size), "h long"), ["h"],
-                   lambda h: h.view(np.uint64), min(MAX_LOG2, (need - 1).bit_length()))
+def _later(make):
+    yield from make()
+
+
+def _second_pass(room: int, shared, max_words: int):
+    def run(batches):
+        yield from _Phrases(room, BitSet(shared.value), max_words).run(batches, max_words - 1)
+    return run
 
 
 def phrase_counts(docs: DataFrame, max_words: int = 3, min_count: int = 10, text_col: str = "text",
                   lang_col: str = "lang", room: int = ROOM) -> list[DataFrame]:
     """Exact (lang, phrase, f) by number of words: all single words, and the
-    longer phrases that occur ``min_count`` times or more."""
-    if not 1 <= max_words <= 63 // _ID_BITS:
-        raise ValueError(f"phrases have 1 to {63 // _ID_BITS} words")
+    phrases of two and three words that occur ``min_count`` times or more."""
+    if max_words not in (2, 3):
+        raise ValueError("phrases have two or three words")
     src = docs.select(F.coalesce(F.col(f"`{lang_col}`"), F.lit("und")).alias("lang"),
                       F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
-    found, shared = [], None
-    for size in range(1, max_words + 1):
-        runs = written(src.mapInArrow(_runs(size, shared, room), "lang string, phrase string, n long"),
-                       f"phrases-runs-{size}")
-        merged = (runs.repartitionByRange("lang", "phrase").groupBy("lang", "phrase")
-                  .agg(F.sum("n").alias("f")))
-        found.append(written(merged if size == 1 else merged.filter(F.col("f") >= min_count),
-                             f"phrases-counts-{size}"))
-        if size < max_words:
-            shared = docs.sparkSession.sparkContext.broadcast(
-                _bits(found[-1].filter(F.col("f") >= min_count), size))
-    return found
+    first = written(src.mapInArrow(_first_pass(room), "lang string, phrase string, n long, h long")
+                    .groupBy("lang", "phrase", "h").agg(F.sum("n").alias("f"))
+                    .filter((F.col("f") >= min_count) | F.col("phrase").isNotNull()), "phrases-words")
+    frequent = first.filter("phrase is null").select("h")
+    need = max(16 * frequent.count(), 1 << 16)
+    shared = docs.sparkSession.sparkContext.broadcast(
+        bit_set(frequent, ["h"], lambda h: h.view(np.uint64), min(MAX_LOG2, (need - 1).bit_length())))
+    runs = written(src.mapInArrow(_second_pass(room, shared, max_words), "lang string, phrase string, n long"),
+                   "phrases-runs")
+    longer = written(runs.repartitionByRange("lang", "phrase").groupBy("lang", "phrase")
+                     .agg(F.sum("n").alias("f")).filter(F.col("f") >= min_count)
+                     .withColumn("size", F.size(F.split("phrase", " "))), "phrases-counts")
+    return [first.filter("phrase is not null").select("lang", "phrase", "f"),
+            *(longer.filter(F.col("size") == k).select("lang", "phrase", "f") for k in range(2, max_words + 1))]
 
 
 def _score(a, left, right):
@@ -326,8 +372,6 @@ def _part(words: str, at: int, n: int):
 def collocations(docs: DataFrame, max_words: int = 3, min_count: int = 10, top: int = 2000,
                  text_col: str = "text", lang_col: str = "lang", room: int = ROOM) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score): the best phrases a language."""
-    if max_words < 2:
-        raise ValueError("a collocation has at least two words")
     counts = phrase_counts(docs, max_words, min_count, text_col, lang_col, room)
     total = counts[0].groupBy("lang").agg(F.sum("f").alias("n"))
     scored = []

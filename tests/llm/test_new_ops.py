@@ -9,6 +9,7 @@ import string
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tablekit.llm import divergence, phrases, secrets
@@ -77,34 +78,56 @@ def test_tries_burst_spill_and_forget_words_without_loss(monkeypatch):
     monkeypatch.setattr(phrases, "_FLUSH", 50)
     monkeypatch.setattr(phrases, "_WINDOW", 64)
     monkeypatch.setattr(phrases.HatTrie.__init__, "__defaults__", (4,))
-    import pyarrow as pa
     rng = random.Random(5)
     text = " ".join(rng.choice("abcdefghijklmnopqrst") * rng.choice([1, 1, 90]) for _ in range(3000))
     batch = pa.RecordBatch.from_arrays([pa.array(["en", "de"]), pa.array([text, text + ". a b"])], ["lang", "text"])
-    got = Counter()
-    for b in phrases._runs(3, None, 30)([batch]):
-        p = b.column("phrase").to_pylist()
-        for lang, q, n in zip(b.column("lang").to_pylist(), p, b.column("n").to_pylist()):
-            got[lang, q] += n
     w = text.split()
-    want = Counter((lang, " ".join(w[i:i + 3])) for lang in ("en", "de") for i in range(len(w) - 2))
-    assert got == want
 
+    def total(batches):
+        got = Counter()
+        for b in batches:
+            for lang, q, n in zip(*(b.column(c).to_pylist() for c in ("lang", "phrase", "n"))):
+                if q is not None:
+                    got[lang, q] += n
+        return got
+    want = Counter((lang, q) for lang, more in (("en", []), ("de", ["a", "b"])) for q in w + more)
+    assert total(phrases._first_pass(30)([batch])) == want
+    every = Broadcast(np.full(1 << 10, (1 << 64) - 1, np.uint64))
+    want = Counter((lang, " ".join(w[i:i + k])) for lang in ("en", "de") for k in (2, 3) for i in range(len(w) - k + 1))
+    want["de", "a b"] += 1
+    assert total(phrases._second_pass(30, every, 3)([batch])) == want
 
-def test_trie_bursts_into_nodes():
-    t = phrases.HatTrie(3, burst=10)
+
+class Broadcast:
+    def __init__(self, value):
+        self.value = value
+
+
+def test_trie_bursts_into_nodes_and_spills_sorted_subtrees():
     rng = np.random.default_rng(1)
-    keys = np.unique(rng.integers(1, 6, (500, 3)) @ np.array([1 << 42, 1 << 21, 1]))
+    ids = rng.integers(1, 6, (500, 3)) * [1 << 9, 1, 1]
+    keys = np.sort(ids @ np.array([1 << 42, 1 << 21, 1]))
+    t = phrases.HatTrie(burst=10)
     for _ in range(3):
-        t.add(keys, np.ones(len(keys), np.int64))
-    assert isinstance(t.root, tuple) and t.held == len(keys)
-    assert any(isinstance(x, tuple) for x in t.root[0].values())
-    first = next(t.spill(0))[0]
-    assert len({k >> 42 for k in first}) == 1  # a whole subtree
-    left = Counter()
-    for ks, ns in t.spill(0):
-        left.update(dict(zip(ks, ns)))
-    assert sorted([*first, *left]) == keys.tolist() and t.held == 0 and set(left.values()) == {3}
+        t.add(keys)
+    assert isinstance(t.root, phrases._Node) and t.held == len(set(keys.tolist()))
+    assert any(isinstance(x, phrases._Node) for y in t.root.values() for x in y.values())
+    half = t.held // 2
+    seen = Counter()
+    first = list(t.spill(half))
+    assert t.held <= half
+    gone = {k >> 42 for ks, _ in first for k in ks.tolist()}
+    for ks, ns in [*first, *t.spill(0)]:
+        for k, n in zip(ks.tolist(), ns.tolist()):
+            seen[k] += n
+    assert seen == Counter({k: 3 * n for k, n in Counter(keys.tolist()).items()}) and t.held == 0
+    left = {k >> 42 for k in seen} - gone
+    assert gone and left  # subtrees went whole
+    task = phrases._Task(10)
+    list(map(task.ids.__getitem__, [b"b", b"a", b"\x01z"]))
+    task.trie("en").add(np.array([1 << 42, 1 << 42 | 2 << 21, 2 << 42 | 1 << 21 | 3, 3 << 42]))
+    (b,) = task.spill()
+    assert b.column("phrase").to_pylist() == ["\x01z", "a b \x01z", "b", "b a"]
 
 
 def test_phrases_of_hostile_rows(spark):
