@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,6 +33,34 @@ def slices(batch, rows: int = 512):
         yield batch.slice(at, rows)
 
 
+def sliced(batches, rows: int = 256):
+    """All record batches in parts of at most ``rows`` rows."""
+    for b in batches:
+        yield from slices(b, rows)
+
+
+def strings(column, rows: int = 256):
+    """A column's values, made Python strings a few at a time."""
+    for at in range(0, len(column), rows):
+        yield from column.slice(at, rows).to_pylist()
+
+
+def freed(task):
+    """``task`` for ``mapInArrow``; when it ends, its worker, which lives on
+    for later tasks, gives the memory it no longer uses back to the system."""
+    def run(batches):
+        try:
+            yield from task(batches)
+        finally:
+            import pyarrow as pa
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL(None).malloc_trim(0)
+            except (AttributeError, OSError):  # other C libraries have none
+                pass
+    return run
+
+
 def bucket_of(doc_id: str, n: int):
     """crc32 of the id as text, modulo n (null ids: remainder of "")."""
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit(""))) % n

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, texts
+from .common import cut, freed, strings, texts
 from .words import BitSet, RangeHasher, bit_set, blocks, signed
 
 SHINGLE = 5
@@ -33,7 +33,7 @@ def item_windows(benchmark: DataFrame, size: int = 10, id_col: str = "item_id",
     def run(batches):
         for b in batches:
             rows, items = [], b.column("item_id").to_pylist()
-            for block in blocks(b.column("text").to_pylist(), alnum=True):
+            for block in blocks(strings(b.column("text")), alnum=True):
                 for i, lo, hi in zip(block.rows, block.lo, block.hi):
                     if lo == hi:
                         continue
@@ -53,7 +53,7 @@ def item_windows(benchmark: DataFrame, size: int = 10, id_col: str = "item_id",
                     ["item_id", "words", "k", "o", "token"])
     src = benchmark.select(F.col(f"`{id_col}`").alias("item_id"), F.col(f"`{text_col}`").alias("text"))
     kind = src.schema["item_id"].dataType.simpleString()
-    return src.mapInArrow(run, f"item_id {kind}, words array<string>, k int, o int, token long")
+    return src.mapInArrow(freed(run), f"item_id {kind}, words array<string>, k int, o int, token long")
 
 
 def _token_bits(tokens: DataFrame) -> BitSet:
@@ -70,7 +70,7 @@ def _scan(docs: DataFrame, bits: BitSet, ks: list[int], size: int, counts_only:
         known = BitSet(shared.value)
         for b in batches:
             d, th = b.column("d").to_numpy(), b.column("th").to_numpy()
-            for block in blocks(b.column("text").to_pylist(), alnum=True):
+            for block in blocks(strings(b.column("text")), alnum=True):
                 hasher = RangeHasher(block.h)
                 n = block.hi - block.lo
                 of = np.repeat(np.arange(len(n)), n)
@@ -106,8 +106,8 @@ def _scan(docs: DataFrame, bits: BitSet, ks: list[int], size: int, counts_only:
 
     src = docs.select("d", "th", "text")
     if counts_only:
-        return src.mapInArrow(run, "token long, n long")
-    return src.mapInArrow(run, "d long, th long, token long, n_words long, p int, left int, "
+        return src.mapInArrow(freed(run), "token long, n long")
+    return src.mapInArrow(freed(run), "d long, th long, token long, n_words long, p int, left int, "
                                "around array<string>")
 
 

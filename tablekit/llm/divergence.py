@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import slices, written
+from .common import freed, slices, written
 from .words import utf8
 
 #: Groups and terms (about) of a cell: its matrices take 8 bytes an entry.
@@ -139,7 +139,7 @@ def divergence(docs: DataFrame, min_docs: int = 30, top_terms: int = 50, text_co
     src = docs.select(*[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(a) for c, a in (
         (lang_col, "lang"), (source_col, "source"), (text_col, "text"))])
     counts = written(
-        src.mapInArrow(_count(room), "lang string, source string, term string, n long, docs long")
+        src.mapInArrow(freed(_count(room)), "lang string, source string, term string, n long, docs long")
         .groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs")),
         "divergence-counts")
 

@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import cut, freed, sliced
+
 ORDER = 4
 CALIBRATION_ROWS = 4_000
 REJECT_QUANTILE = 0.005
@@ -212,7 +214,7 @@ def ngram_counts(train: DataFrame) -> DataFrame:
                     yield from out()
                     rows, size = {}, 0
             yield from out()
-    return (train.select("lang", "text").mapInArrow(run, "lang string, g long, n long")
+    return (train.select("lang", "text").mapInArrow(freed(run), "lang string, g long, n long")
             .groupBy("lang", "g").agg(F.sum("n").alias("n")))
 
 
@@ -224,7 +226,6 @@ def fit_languages(train: DataFrame) -> LanguageModels:
     key = [F.col(c) for c in ("doc_id",) if c in train.columns]
     train = (train.select("text", F.col("lang").cast("string").alias("lang"), F.xxhash64(*key, "text").alias("h"))
              .filter("lang is not null"))
-    from .common import cut
     counts = cut(ngram_counts(train))
     langs = sorted(r["lang"] for r in counts.select("lang").distinct().collect())
     at = train.sparkSession.createDataFrame(list(enumerate(langs)), "at int, name string")
@@ -249,7 +250,7 @@ def _calibrate(lm: LanguageModels, train: DataFrame) -> None:
 
     def run(batches):
         m = shared.value
-        for b in batches:
+        for b in sliced(batches):
             lang, hs, key = [], [], []
             for y, t, k in zip(b.column("lang").to_pylist(), b.column("text").to_pylist(), b.column("h").to_pylist()):
                 g = ngrams(units(t))
@@ -262,7 +263,7 @@ def _calibrate(lm: LanguageModels, train: DataFrame) -> None:
                 ["lang", "h", "key"])
     # the row count bounds what is taken even if rows are equal in id and text
     rows = (train.filter(F.col("h").bitwiseAND(F.lit((1 << 20) - 1)) < share)
-            .mapInArrow(run, "lang string, h array<double>, key long")
+            .mapInArrow(freed(run), "lang string, h array<double>, key long")
             .orderBy(F.xxhash64("key"), "lang").limit(CALIBRATION_ROWS).collect())
     if not rows:
         return
@@ -301,7 +302,7 @@ def identify_language(docs: DataFrame, models: LanguageModels, id_col: str = "do
 
     def run(batches):
         m = shared.value
-        for b in batches:
+        for b in sliced(batches):
             lang, score = m.score_texts(b.column("text").to_pylist())
             best = [x or UNKNOWN for x in lang]
             ok = [x is not None and v >= m.reject_below for x, v in zip(lang, score)]
@@ -309,5 +310,5 @@ def identify_language(docs: DataFrame, models: LanguageModels, id_col: str = "do
                 [b.column("doc_id"), pa.array([x if y else UNKNOWN for x, y in zip(best, ok)]),
                  pa.array(best), pa.array(score), pa.array(ok)],
                 ["doc_id", "lang", "best", "score", "accepted"])
-    return src.mapInArrow(run, f"doc_id {kind}, lang string, best string, score double, "
+    return src.mapInArrow(freed(run), f"doc_id {kind}, lang string, best string, score double, "
                                "accepted boolean")

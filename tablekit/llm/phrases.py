@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import slices, written
+from .common import freed, slices, written
 from .words import BitSet, bit_set, mix, utf8
 
 #: Phrases in a container before it bursts.
@@ -343,14 +343,14 @@ def phrase_counts(docs: DataFrame, max_words: int = 3, min_count: int = 10, text
         raise ValueError("phrases have two or three words")
     src = docs.select(F.coalesce(F.col(f"`{lang_col}`"), F.lit("und")).alias("lang"),
                       F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
-    first = written(src.mapInArrow(_first_pass(room), "lang string, phrase string, n long, h long")
+    first = written(src.mapInArrow(freed(_first_pass(room)), "lang string, phrase string, n long, h long")
                     .groupBy("lang", "phrase", "h").agg(F.sum("n").alias("f"))
                     .filter((F.col("f") >= min_count) | F.col("phrase").isNotNull()), "phrases-words")
     frequent = first.filter("phrase is null").select("h")
     need = max(16 * frequent.count(), 1 << 16)
     shared = docs.sparkSession.sparkContext.broadcast(
         bit_set(frequent, ["h"], lambda h: h.view(np.uint64), min(MAX_LOG2, (need - 1).bit_length())))
-    runs = written(src.mapInArrow(_second_pass(room, shared, max_words), "lang string, phrase string, n long"),
+    runs = written(src.mapInArrow(freed(_second_pass(room, shared, max_words)), "lang string, phrase string, n long"),
                    "phrases-runs")
     longer = written(runs.repartitionByRange("lang", "phrase").groupBy("lang", "phrase")
                      .agg(F.sum("n").alias("f")).filter(F.col("f") >= min_count)

@@ -33,7 +33,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices
+from .common import freed, slices
 from .words import utf8
 
 # patterns fixed by the contract
@@ -95,7 +95,7 @@ def _count(batches):
 def identifier_dictionary(docs: DataFrame, text_col: str = "text", size: int = DICT_BYTES) -> bytes:
     """The identifiers of all texts that would save most bytes, the best last
     (where matches are cheapest), in at most ``size`` bytes."""
-    names = (docs.select(F.col(f"`{text_col}`").alias("text")).mapInArrow(_count, "name string, n long")
+    names = (docs.select(F.col(f"`{text_col}`").alias("text")).mapInArrow(freed(_count), "name string, n long")
              .groupBy("name").agg(F.sum("n").alias("n")).filter("n > 1")
              .orderBy((F.col("n") * (F.length("name") - 3)).desc(), "name").limit(DICT_WORDS).collect())
     out, used = [], 0
@@ -185,4 +185,4 @@ def scan_secrets(docs: DataFrame, dictionary: bytes | None = None, id_col: str =
                      pa.array(spans_, pa.string())],
                     ["doc_id", *(f"n_{k}" for k in KINDS), "base", "spans"])
     return src.mapInArrow(
-        scan, f"doc_id {kind}, {', '.join(f'n_{k} long' for k in KINDS)}, base string, spans string")
+        freed(scan), f"doc_id {kind}, {', '.join(f'n_{k} long' for k in KINDS)}, base string, spans string")

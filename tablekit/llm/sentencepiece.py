@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, texts
+from .common import freed, slices, texts
 
 SPACE = "▁"
 #: Code points after which a document is giant, and of one chunk of it.
@@ -41,7 +41,7 @@ CHUNK = 32_768
 _LONG_WORD = 48
 #: Ids decoded at a time; words that a worker remembers, twice at most.
 _GATHER = 200_000
-_ROOM = 250_000
+_ROOM = 100_000
 
 State = tuple[int, str]
 
@@ -468,29 +468,29 @@ def encode(docs: DataFrame, pieces: Pieces, id_col: str = "doc_id", text_col: st
 
     giant = F.coalesce(F.length("text"), F.lit(0)) >= chunk
     names, out = ["doc_id", "ids", "round_trip"], f"doc_id {kind}, ids array<int>, round_trip boolean"
-    small = src.filter(~giant).select("doc_id", "text").mapInArrow(short, out)
+    small = src.filter(~giant).select("doc_id", "text").mapInArrow(freed(short), out)
     big = src.filter(giant)
     parts = (big.select("d", "th", "text").dropDuplicates(["d", "th"]).mapInArrow(
-        split, "d long, th long, k int, run int, ol boolean, opr boolean, a int, e int, s string")
+        freed(split), "d long, th long, k int, run int, ol boolean, opr boolean, a int, e int, s string")
         .repartition(spark_partitions(spark), "d", "th", "k"))
     whole = parts.filter("run is null").select("d", "th", "k", "s").mapInArrow(
-        closed, "d long, th long, k int, ids array<int>")
+        freed(closed), "d long, th long, k int, ids array<int>")
     opened = parts.filter("run is not null")
     # a run's matrices: a few hundred bytes per chunk of one document
-    known = (opened.mapInArrow(matrices, "d long, th long, run int, k int, m string")
+    known = (opened.mapInArrow(freed(matrices), "d long, th long, run int, k int, m string")
              .groupBy("d", "th", "run").agg(F.collect_list(F.struct("k", "m")).alias("ms"))
-             .mapInArrow(states, "xd long, xth long, xk int, state string"))
+             .mapInArrow(freed(states), "xd long, xth long, xk int, state string"))
     cut_ids = (opened.join(known, (F.col("d") == F.col("xd")) & (F.col("th") == F.col("xth"))
                            & (F.col("k") == F.col("xk")))
                .select("d", "th", "k", "a", "e", "s", "state")
-               .mapInArrow(traced, "d long, th long, k int, ids array<int>"))
+               .mapInArrow(freed(traced), "d long, th long, k int, ids array<int>"))
     # a document's own chunks only: one output row holds them all anyway
     joined = (whole.unionByName(cut_ids).groupBy("d", "th")
               .agg(F.sort_array(F.collect_list(F.struct("k", "ids"))).alias("parts"))
               .select(F.col("d").alias("xd"), F.col("th").alias("xth"),
                       F.flatten(F.col("parts.ids")).alias("ids")))
     large = (big.join(joined, (F.col("d") == F.col("xd")) & (F.col("th") == F.col("xth")))
-             .select("doc_id", "text", "ids").mapInArrow(checked, out))
+             .select("doc_id", "text", "ids").mapInArrow(freed(checked), out))
     return small.unionByName(large)
 
 
@@ -516,4 +516,4 @@ def decode(rows: DataFrame, pieces: Pieces, ids_col: str = "ids") -> DataFrame:
                 text = pc.decode_many(flat, np.concatenate([[0], np.cumsum(n)]))
                 text = pa.array(text, pa.string(), mask=ids.is_null().to_numpy(zero_copy_only=False))
                 yield pa.RecordBatch.from_arrays([*part.columns, text], [*names, "decoded"])
-    return rows.select(*[f"`{c}`" for c in names]).mapInArrow(run, schema + ", decoded string")
+    return rows.select(*[f"`{c}`" for c in names]).mapInArrow(freed(run), schema + ", decoded string")

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, texts
+from .common import cut, freed, sliced, texts
 from .components import connected_components
 from .words import utf8
 
@@ -68,7 +68,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id",
                  text_col: str = "text") -> DataFrame:
     """(doc_id, d, th, fp): one row per input row, fp as a signed long."""
     def run(batches):
-        for b in batches:
+        for b in sliced(batches):
             fp = np.array([fingerprint(t, shingle) for t in b.column("text").to_pylist()],
                           np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays(
@@ -76,7 +76,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id",
                 ["doc_id", "d", "th", "fp"])
     src = texts(docs, id_col, text_col)
     kind = src.schema["doc_id"].dataType.simpleString()
-    return src.mapInArrow(run, f"doc_id {kind}, d long, th long, fp long")
+    return src.mapInArrow(freed(run), f"doc_id {kind}, d long, th long, fp long")
 
 
 # ------------------------------------------------------------ partitions
@@ -122,7 +122,7 @@ def _bit_counts(fps: DataFrame) -> tuple[int, np.ndarray, np.ndarray]:
                 [pa.array(np.repeat(np.arange(64), 64)), pa.array(np.tile(np.arange(64), 64)),
                  pa.array(both.ravel().astype(np.int64)), pa.array(np.full(4096, n))],
                 ["i", "j", "k", "n"])
-    pdf = (fps.select("fp").mapInArrow(run, "i long, j long, k long, n long")
+    pdf = (fps.select("fp").mapInArrow(freed(run), "i long, j long, k long, n long")
            .groupBy("i", "j").agg(F.sum("k").alias("k"), F.sum("n").alias("n")).toPandas())
     both = np.zeros((64, 64))
     both[pdf["i"], pdf["j"]] = pdf["k"]
@@ -209,7 +209,7 @@ def linked_fingerprints(fps: DataFrame, max_bits: int = 2) -> DataFrame:
                 [pa.array(np.concatenate([i * (1 << WIDTH) + v for i, v in enumerate(vs)])),
                  pa.array(np.tile(fp, PARTS))], ["key", "fp"])
 
-    index = fps.select("fp").mapInArrow(keys, "key long, fp long")
+    index = fps.select("fp").mapInArrow(freed(keys), "key long, fp long")
     # PARTS * 65,536 rows at most, whatever the input
     counted = index.groupBy("key").count().toPandas()
     hist = np.zeros(PARTS << WIDTH, np.int64)
@@ -245,8 +245,8 @@ def linked_fingerprints(fps: DataFrame, max_bits: int = 2) -> DataFrame:
         for b in keys(batches):
             yield b.filter(pa.array(~full.value[b.column("key").to_numpy()]))
 
-    near = (fps.select("fp").mapInArrow(probes, "key long, q long")
-            .join(fps.select("fp").mapInArrow(indexed, "key long, fp long"), "key")
+    near = (fps.select("fp").mapInArrow(freed(probes), "key long, q long")
+            .join(fps.select("fp").mapInArrow(freed(indexed), "key long, fp long"), "key")
             .filter((F.col("q") != F.col("fp"))
                     & (F.bit_count(F.col("q").bitwiseXOR(F.col("fp"))) <= max_bits))
             .select(F.least("q", "fp").alias("a"), F.greatest("q", "fp").alias("b")))
@@ -262,7 +262,7 @@ def linked_fingerprints(fps: DataFrame, max_bits: int = 2) -> DataFrame:
                     [pa.array(z.ravel().view(np.int64)),
                      pa.array(np.repeat(part, z.shape[1]))], ["z", "fp"])
 
-    owners = (fps.select("fp").mapInArrow(balls, "z long, fp long")
+    owners = (fps.select("fp").mapInArrow(freed(balls), "z long, fp long")
               .groupBy("z").agg(F.collect_set("fp").alias("of")).filter(F.size("of") > 1))
     if max_bits % 2 == 0:
         # owners of one value all lie within max_bits of each other: a star

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, texts, written
+from .common import freed, slices, strings, texts, written
 from .words import BitSet, RangeHasher, bit_set, blocks, mix, signed, space_words
 
 SEED = 5
@@ -103,10 +103,10 @@ def repeated_runs(docs: DataFrame, min_words: int = 13, id_col: str = "doc_id",
     def seeds(batches):
         for b in batches:
             d = b.column("d").to_numpy()
-            for row, a, *_ in anchors(b.column("text").to_pylist(), min_words):
+            for row, a, *_ in anchors(strings(b.column("text")), min_words):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(signed(a & np.uint64((1 << 40) - 1))), pa.array(d[row])], ["a", "d"])
-    met = (src.select("d", "text").mapInArrow(seeds, "a long, d long")
+    met = (src.select("d", "text").mapInArrow(freed(seeds), "a long, d long")
            .groupBy("a").agg(F.min("d").alias("d0"), F.max("d").alias("d1")).filter("d0 < d1"))
     shared = share(bit_set(met, ["a"], _u, BITS_LOG2))
 
@@ -115,11 +115,11 @@ def repeated_runs(docs: DataFrame, min_words: int = 13, id_col: str = "doc_id",
         seen = BitSet(shared.value)
         for b in batches:
             d = b.column("d").to_numpy()
-            for row, a, c, *_ in anchors(b.column("text").to_pylist(), min_words):
+            for row, a, c, *_ in anchors(strings(b.column("text")), min_words):
                 ok = seen.has(a)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(signed(a[ok])), pa.array(signed(c[ok])), pa.array(d[row[ok]])], ["a", "c", "d"])
-    first = written(src.select("d", "text").mapInArrow(extended, "a long, c long, d long")
+    first = written(src.select("d", "text").mapInArrow(freed(extended), "a long, c long, d long")
                     .groupBy("a", "c").agg(F.min("d").alias("d0"))
                     .select(F.col("a").alias("ca"), F.col("c").alias("cc"), "d0"), "substring-classes")
     split = share(bit_set(first.groupBy("ca").agg(F.count(F.lit(1)).alias("k")).filter("k > 1"),
@@ -135,7 +135,7 @@ def repeated_runs(docs: DataFrame, min_words: int = 13, id_col: str = "doc_id",
         seen, many, is_head = BitSet(shared.value), BitSet(split.value), BitSet(heads.value)
         for b in batches:
             d, th = b.column("d").to_numpy(), b.column("th").to_numpy()
-            for row, a, c, s, n, hasher, place in anchors(b.column("text").to_pylist(), min_words):
+            for row, a, c, s, n, hasher, place in anchors(strings(b.column("text")), min_words):
                 ok = np.flatnonzero(seen.has(a))
                 if not len(ok):
                     continue
@@ -163,7 +163,7 @@ def repeated_runs(docs: DataFrame, min_words: int = 13, id_col: str = "doc_id",
                          pa.array(w))],
                     ["a", "c", "d", "th", "s", "e", "w"])
                 assert len(w) == k.sum() and h == len(k)
-    found = written(src.mapInArrow(settle, kinds), "substring-seeds")
+    found = written(src.mapInArrow(freed(settle), kinds), "substring-seeds")
     sure = found.filter("a is null").select("d", "th", "s", "e")
     maybe = found.filter("a is not null")
     whole = (maybe.select("a", "c", "d", "th", "s", "e")
@@ -183,7 +183,7 @@ def repeated_runs(docs: DataFrame, min_words: int = 13, id_col: str = "doc_id",
         seen = BitSet(repeated.value)
         for b in batches:
             yield b.filter(pa.array(seen.has(_u(b.column("w").to_numpy()))))
-    partly = (windows.mapInArrow(likely, "a long, w long, d long, th long, s int")
+    partly = (windows.mapInArrow(freed(likely), "a long, w long, d long, th long, s int")
               .join(low, (F.col("a") == F.col("ca")) & (F.col("w") == F.col("cw")))
               .filter(F.col("d") > F.col("d0"))
               .select("d", "th", "s", (F.col("s") + min_words).alias("e")))
@@ -266,7 +266,7 @@ def substring_dedup(docs: DataFrame, min_words: int = 13, id_col: str = "doc_id"
     out = (f"doc_id {kind}, d long, th long, n_words long, n_removed long, "
            "spans array<struct<s:int,e:int>>, kept string, kept_sha256 string")
     got = runs.select(F.col("d").alias("rd"), F.col("th").alias("rth"), "runs")
-    cut_rows = (src.mapInArrow(maybe, f"doc_id {kind}, d long, th long, text string")
+    cut_rows = (src.mapInArrow(freed(maybe), f"doc_id {kind}, d long, th long, text string")
                 .join(got, (F.col("d") == F.col("rd")) & (F.col("th") == F.col("rth")), "left")
-                .select("doc_id", "d", "th", "text", "runs").mapInArrow(with_runs, out))
-    return cut_rows.unionByName(src.mapInArrow(untouched, out))
+                .select("doc_id", "d", "th", "text", "runs").mapInArrow(freed(with_runs), out))
+    return cut_rows.unionByName(src.mapInArrow(freed(untouched), out))

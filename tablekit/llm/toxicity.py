@@ -22,13 +22,12 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import freed, sliced, written
 from .words import BitSet, alnum_words, bit_set, utf8
 
 PREFIXES = (3, 4, 5, 6)
@@ -58,25 +57,26 @@ def node_counts(train: DataFrame) -> DataFrame:
     """(node, toxic, clean): labelled documents that hold each node.  Every
     task adds up its own documents before the shuffle."""
     def run(batches):
-        count: dict[bytes, list[int]] = {}
+        # clean documents in the lower half of one number, toxic ones above
+        count: dict[bytes, int] = {}
+        one = (1, 1 << 32)
 
         def out():
-            ks = list(count)
-            v = np.array([count[k] for k in ks], np.int64)
+            v = np.fromiter(count.values(), np.int64, len(count))
             return pa.RecordBatch.from_arrays(
-                [pa.array(ks, pa.binary()), pa.array(v[:, 0]), pa.array(v[:, 1])],
+                [pa.array(list(count), pa.binary()), pa.array(v & 0xFFFFFFFF), pa.array(v >> 32)],
                 ["node", "clean", "toxic"])
 
-        for b in batches:
+        for b in sliced(batches):
             for t, y in zip(b.column("text").to_pylist(), b.column("y").to_pylist()):
                 for node in {n for w in set(tokens(t)) for n in nodes(w)}:
-                    count.setdefault(node, [0, 0])[y] += 1
-                if len(count) > 200_000:
+                    count[node] = count.get(node, 0) + one[y]
+                if len(count) > 150_000:
                     yield out()
                     count.clear()
         if count:
             yield out()
-    return (train.select("text", "y").mapInArrow(run, "node binary, clean long, toxic long")
+    return (train.select("text", "y").mapInArrow(freed(run), "node binary, clean long, toxic long")
             .groupBy("node").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")))
 
 
@@ -110,7 +110,7 @@ class ToxicityModel:
                 return s
         return 0.0
 
-    def cached(self, room: int = 500_000):
+    def cached(self, room: int = 100_000):
         model = self
 
         class Cache(dict):
@@ -224,6 +224,7 @@ def fit_toxicity(train: DataFrame) -> ToxicityModel:
     kept = node_counts(train).filter(g2 >= SIGNIFICANT)
 
     def scored(pdf):
+        import pandas as pd
         rows = zip(map(bytes, pdf["node"]), pdf["toxic"].tolist(), pdf["clean"].tolist())
         score = _share_scores(list(rows), n_toxic, n_clean)
         return pd.DataFrame({"h": np.array([xxhash.xxh64_intdigest(k) for k in score], np.uint64).view(np.int64),
@@ -239,7 +240,7 @@ def fit_toxicity(train: DataFrame) -> ToxicityModel:
     def score_counts(batches):
         cache = shared.value.cached()
         hist: dict[int, int] = {}
-        for b in batches:
+        for b in sliced(batches):
             for t in b.column("text").to_pylist():
                 ws = tokens(t)
                 if ws:
@@ -251,7 +252,7 @@ def fit_toxicity(train: DataFrame) -> ToxicityModel:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(list(hist), pa.int64()), pa.array(list(hist.values()), pa.int64())],
                 ["s", "n"])
-    hist = (train.filter("y = 0").select("text").mapInArrow(score_counts, "s long, n long")
+    hist = (train.filter("y = 0").select("text").mapInArrow(freed(score_counts), "s long, n long")
             .groupBy("s").agg(F.sum("n").alias("n")).orderBy("s").collect())
     s = np.array([r["s"] / 10 for r in hist] or [0.0])
     w = np.array([r["n"] for r in hist] or [1], np.float64)
@@ -264,7 +265,7 @@ def fit_toxicity(train: DataFrame) -> ToxicityModel:
 
     def evidence(batches):
         cache = shared2.value.cached()
-        for b in batches:
+        for b in sliced(batches):
             x = [shared2.value.evidence(t, cache)[0] for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(x, pa.float64()), b.column("y"), b.column("h")], ["x", "y", "h"])
@@ -272,7 +273,7 @@ def fit_toxicity(train: DataFrame) -> ToxicityModel:
     share = min(1 << 20, int(1.2 * CALIBRATION_ROWS / total * (1 << 20)) + 1)
     # the row count bounds what is taken even if rows are equal in id and text
     pdf = (train.filter(F.col("h").bitwiseAND(F.lit((1 << 20) - 1)) < share)
-           .mapInArrow(evidence, "x double, y int, h long")
+           .mapInArrow(freed(evidence), "x double, y int, h long")
            .orderBy(F.xxhash64("h"), "y", "x").limit(CALIBRATION_ROWS).toPandas())
     if pdf["y"].nunique() == 2:
         model.slope, model.bias = _logistic(np.log1p(pdf["x"].to_numpy()), pdf["y"].to_numpy(float))
@@ -310,7 +311,7 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id"
     def run(batches):
         m = shared.value
         cache = m.cached()
-        for b in batches:
+        for b in sliced(batches):
             p, where = [], []
             for t in b.column("text").to_pylist():
                 x, segs = m.evidence(t, cache)
@@ -320,7 +321,7 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id"
                 [b.column("doc_id"), pa.array(p, pa.float64()),
                  pa.array([int(v >= 0.5) for v in p], pa.int32()), pa.array(where, span)],
                 ["doc_id", "score", "predicted", "passages"])
-    return src.mapInArrow(run, f"doc_id {kind}, score double, predicted int, "
+    return src.mapInArrow(freed(run), f"doc_id {kind}, score double, predicted int, "
                                "passages array<struct<s:int,e:int,bits:double>>")
 
 
@@ -347,7 +348,7 @@ def labelled(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
         for b in batches:
             ok = seen.has(b.column("h").to_numpy().view(np.uint64))
             yield b.filter(pa.array(ok)).select(["doc_id", "text"])
-    rows = src.mapInArrow(likely, f"doc_id {kind}, text string")
+    rows = src.mapInArrow(freed(likely), f"doc_id {kind}, text string")
     # a sort-merge join at every size: texts are dealt out evenly for the fit
     return written(rows.join(y.hint("merge"), F.col("doc_id") == F.col("lid")).select("doc_id", "text", "y"),
                    "toxicity-labelled")

@@ -10,6 +10,8 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
+from .common import freed
+
 #: For ``[^\x00-\x2F\x3A-\x60\x7B-\x7F]+`` on A-Z lower-cased text: every
 #: other ASCII byte becomes a space, bytes of non-ASCII characters stay.
 _ALNUM = bytes(
@@ -209,8 +211,8 @@ def bit_set(rows, columns: list[str], hashes, log2: int) -> np.ndarray:
                 ["block", "bits"])
 
     n = min(1 << (log2 - inner), int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    got = (rows.select(*columns).mapInArrow(places, "block int, at int").repartition(n, "block")
-           .mapInArrow(blocks_, "block int, bits binary").collect())
+    got = (rows.select(*columns).mapInArrow(freed(places), "block int, at int").repartition(n, "block")
+           .mapInArrow(freed(blocks_), "block int, bits binary").collect())
     out = np.zeros((1 << log2) // 8, np.uint8)
     size = (1 << inner) // 8
     for r in got:
