@@ -40,9 +40,10 @@ _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
 #: A random 64-bit number for every byte (fixed seed).
 _BYTE = np.random.default_rng(20240229).integers(1, 1 << 64, 256, dtype=np.uint64)
-#: Bytes hashed at a time; words above LONG bytes are hashed on their own.
+#: Bytes hashed at a time; words above LONG bytes are hashed on their own, as
+#: polynomials modulo 2**64 collide for some long words whatever their base.
 _SLICE = 1 << 20
-_LONG = 1 << 16
+_LONG = 64
 
 
 def locate(buf: bytes) -> tuple[np.ndarray, np.ndarray]:
