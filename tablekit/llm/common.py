@@ -77,5 +77,13 @@ def texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Data
         F.col(f"`{text_col}`").alias("text"))
 
 
+def repeated(df: DataFrame, n: str, name: str, block: int = 4096) -> DataFrame:
+    """Every row ``n`` times, numbered from 0 in ``name``; copies are dealt
+    out in blocks, so that one row with very many is no single task's."""
+    starts = df.withColumn(name, F.explode(F.expr(f"sequence(0L, {n} - 1, {block}L)")))
+    return starts.repartition(*df.columns, name).withColumn(
+        name, F.explode(F.expr(f"sequence({name}, least({n}, {name} + {block}) - 1)")))
+
+
 def spark_of(df: DataFrame) -> SparkSession:
     return df.sparkSession

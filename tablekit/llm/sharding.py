@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tablekit.session import scratch_path
 
-from .common import texts
+from .common import repeated, texts
 
 SLOTS = 4096
 LAW = "bytes"
@@ -25,14 +25,20 @@ LAW = "bytes"
 
 def rows_with_slots(docs: DataFrame, slots: int = SLOTS, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
-    """(doc_id, d, th, size, text_crc32, virtual_slot).  Size: UTF-8 bytes of
-    the text plus one; a null text has no bytes.  The slot depends on id and
-    text, so rows without an id spread as well."""
+    """(doc_id, d, th, size, text_crc32, copy, virtual_slot).  Size: UTF-8
+    bytes of the text plus one; a null text has no bytes.  The slot depends on
+    id, text and, of equal rows, the copy's number, so rows without an id and
+    rows that are repeated spread as well.  Equal rows are counted, not
+    numbered by a window, and dealt out again in blocks."""
     body = F.coalesce(F.col("text"), F.lit(""))
-    return texts(docs, id_col, text_col).select(
+    rows = texts(docs, id_col, text_col).select(
         "doc_id", "d", "th", (F.octet_length(body) + 1).cast("long").alias("size"),
-        F.crc32(body).cast("long").alias("text_crc32"),
-        F.pmod(F.xxhash64("d", "th"), F.lit(slots)).cast("int").alias("virtual_slot"))
+        F.crc32(body).cast("long").alias("text_crc32"))
+    told = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("n"))
+    one = told.filter("n = 1").select(*rows.columns, F.lit(0).cast("long").alias("copy"))
+    many = repeated(told.filter("n > 1"), "n", "copy").select(*rows.columns, "copy")
+    return one.unionByName(many).withColumn(
+        "virtual_slot", F.pmod(F.xxhash64("d", "th", "copy"), F.lit(slots)).cast("int"))
 
 
 def slot_loads(rows: DataFrame, slots: int = SLOTS) -> tuple[np.ndarray, np.ndarray]:
@@ -120,8 +126,8 @@ def shard(docs: DataFrame, shards: int = 16, slots: int = SLOTS, path: str | Non
     virtual_slot, version).
 
     ``slot`` counts a shard's rows from 0 without gaps.  Null ids and texts,
-    empty texts (size 1) and repeated rows are rows like any other; identical
-    rows share a virtual slot.  The maps (version 1 even, version 2 edited to
+    empty texts (size 1) and repeated rows are rows like any other; equal rows
+    lie in several virtual slots, by their copy number.  The maps (version 1 even, version 2 edited to
     even bytes) are stored under ``path``, by default in the shared folder.
     Other columns are left behind.
     """
@@ -134,7 +140,7 @@ def shard(docs: DataFrame, shards: int = 16, slots: int = SLOTS, path: str | Non
     store_map(spark, path, 2, rebalance(first, size, shards), size, count)
     # ``slots`` rows: a fixed bound
     where = F.broadcast(load_map(spark, path, 2).select("virtual_slot", "shard", "first"))
-    rank = F.row_number().over(Window.partitionBy("virtual_slot").orderBy("d", "th"))
+    rank = F.row_number().over(Window.partitionBy("virtual_slot").orderBy("d", "th", "copy"))
     return (rows.withColumn("rank", rank).join(where, "virtual_slot")
             .select("doc_id", "size", "text_crc32", "shard",
                     (F.col("first") + F.col("rank") - 1).alias("slot"),
