@@ -3,7 +3,10 @@
 Fixed rules decide the URLs they fit (longest wins).  Their verdicts label
 those URLs, and FP-growth mines the token combinations of the labelled URLs
 for association rules whose consequent is a verdict, pruned by support and by
-confidence over all URLs, with and without a label.  URLs without a fixed rule are matched through an inverted index:
+confidence over all URLs, with and without a label.  Two exact reductions keep
+long repeated URLs from having 2**n itemsets.  Tokens that occur in the same
+URLs are one item, named by the smallest.  A token that is surely one verdict
+by itself is a rule, and no longer rule can hold it, so it is not mined again.  URLs without a fixed rule are matched through an inverted index:
 each mined rule hangs on its rarest token, a URL's tokens look up candidates,
 and a candidate fires if the URL has all of its tokens.  The surest rule
 gives the verdict.  DataFrame functions and Spark's FP-growth throughout.
@@ -17,7 +20,7 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, repeated
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 MIN_SUPPORT = 0.002
@@ -84,6 +87,19 @@ def url_tokens(url: Column, host: Column, path: Column) -> Column:
         tag("path:", words), tag("key:", keys), tag("frag:", fragment)))
 
 
+def told_apart(sets: DataFrame) -> DataFrame:
+    """Distinct ``sets`` (tokens) -> (tokens, items): the tokens that no
+    smaller token stands for.  Tokens that occur in the same sets have equal
+    counts and equal sums and exclusive-ors of the sets' hashes (128 bits)."""
+    at = sets.select("tokens", F.explode("tokens").alias("token"),
+                     F.xxhash64("tokens").alias("h"), F.xxhash64(F.lit(1), F.reverse("tokens")).alias("g"))
+    mark = (at.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("h").cast("decimal(20,0)")).alias("s"),
+                                    F.bit_xor("g").alias("x")))
+    names = mark.groupBy("n", "s", "x").agg(F.min("token").alias("name")).select("name")
+    return (at.join(names, F.col("token") == F.col("name")).groupBy("tokens")
+            .agg(F.sort_array(F.collect_list("token")).alias("items")))
+
+
 def mine_rules(pages: DataFrame, min_support: float = MIN_SUPPORT,
                min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
     """``pages`` (tokens, verdict or null) -> (rule_id, tokens, verdict,
@@ -93,21 +109,42 @@ def mine_rules(pages: DataFrame, min_support: float = MIN_SUPPORT,
     chose.  A rule goes if a shorter one with a subset of its tokens says the
     same at least as surely."""
     mark = "verdict:"
-    baskets = cut(pages.filter("verdict is not null").select(
-        F.array_append("tokens", F.concat(F.lit(mark), "verdict")).alias("items")))
-    n = baskets.count()
+    # each distinct token set once, with its copies by verdict (a labelled row
+    # has a host and so a token)
+    sets = cut(pages.filter(F.size("tokens") > 0).groupBy("tokens", "verdict").agg(F.count(F.lit(1)).alias("copies")))
+    sets = cut(sets.join(told_apart(sets.select("tokens").distinct()).withColumnRenamed("tokens", "all"),
+                         F.col("tokens") == F.col("all"))
+               .select(F.col("items").alias("tokens"), "verdict", "copies"))
+    n = sets.filter("verdict is not null").agg(F.coalesce(F.sum("copies"), F.lit(0)).alias("n")).first()["n"]
+    sure = (sets.select(F.explode("tokens").alias("token"), "verdict", "copies").groupBy("token")
+            .agg(F.sum("copies").alias("hits"), F.min("verdict").alias("verdict"),
+                 F.max("verdict").alias("other"), F.count_if(F.col("verdict").isNull()).alias("open"))
+            .filter((F.col("open") == 0) & (F.col("other") == F.col("verdict"))
+                    & (F.col("hits") >= F.lit(min_support * n))))
+    sure = cut(sure.select("token", "verdict", "hits"))
+    # what is left of a basket once its sure tokens are gone
+    gone = (sets.select(F.col("tokens").alias("all"), F.explode("tokens").alias("token")).distinct()
+            .join(sure.select("token"), "token").groupBy("all").agg(F.collect_set("token").alias("gone")))
+    left = (sets.filter("verdict is not null").join(gone, F.col("tokens") == F.col("all"), "left")
+            .select(F.array_append(F.array_except("tokens", F.coalesce("gone", F.array().cast("array<string>"))),
+                                   F.concat(F.lit(mark), "verdict")).alias("items"), "copies"))
+    baskets = cut(repeated(left, "copies", "copy").select("items"))
     model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(baskets)
     # sure over all rows implies sure over the labelled ones, so none is missed
     likely = (model.associationRules
               .filter(F.col("consequent")[0].startswith(mark))
               .select(F.sort_array("antecedent").alias("tokens"),
                       F.substring(F.col("consequent")[0], len(mark) + 1, 1 << 20).alias("verdict"),
-                      F.round(F.col("support") * n).alias("hits"), "confidence",
-                      F.round("support", 9).alias("support"), F.size("antecedent").alias("size"))
+                      F.round(F.col("support") * n).alias("hits"), "confidence")
               .withColumn("rows", F.round(F.col("hits") / F.col("confidence")))
+              .unionByName(sure.select(F.array("token").alias("tokens"), "verdict",
+                                       F.col("hits").cast("double").alias("hits"), F.lit(1.0).alias("confidence"),
+                                       F.col("hits").cast("double").alias("rows")))
+              .withColumn("support", F.round(F.col("hits") / F.lit(float(max(n, 1))), 9))
+              .withColumn("size", F.size("tokens"))
               .withColumn("rule_id", F.xxhash64("tokens", "verdict")))
     likely = cut(likely)
-    found = cut(likely.join(_unlabelled_uses(likely, pages), "rule_id", "left")
+    found = cut(likely.join(_unlabelled_uses(likely, sets), "rule_id", "left")
                 .withColumn("confidence", F.col("hits") / (F.col("rows") + F.coalesce("unlabelled", F.lit(0))))
                 .filter(F.col("confidence") >= min_confidence)
                 .select("rule_id", "tokens", "verdict", F.round("confidence", 9).alias("confidence"),
@@ -124,10 +161,10 @@ def mine_rules(pages: DataFrame, min_support: float = MIN_SUPPORT,
     return found.join(beaten, ["tokens", "verdict"], "left_anti")
 
 
-def _unlabelled_uses(rules: DataFrame, pages: DataFrame) -> DataFrame:
+def _unlabelled_uses(rules: DataFrame, sets: DataFrame) -> DataFrame:
     """(rule_id, unlabelled): rows without a verdict that hold the rule's
     tokens.  Each distinct token set is matched once, with its copies."""
-    sets = cut(pages.filter("verdict is null").groupBy("tokens").agg(F.count(F.lit(1)).alias("copies")))
+    sets = cut(sets.filter("verdict is null").groupBy("tokens").agg(F.sum("copies").alias("copies")))
     index = rule_index(rules, sets)
     return (sets.select("tokens", "copies", F.explode("tokens").alias("at")).join(index, "at")
             .filter(F.size(F.array_except("needs", "tokens")) == 0)

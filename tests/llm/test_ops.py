@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 import random
 import zlib
 from collections import Counter
@@ -433,3 +434,90 @@ def test_decontamination_without_benchmark_words(spark, items, adaptive):
         spark.conf.set("spark.sql.adaptive.enabled", was)
     got = {r["doc_id"]: (r["n_words"], r["n_hit"], r["n_items"], r["items"]) for r in rows}
     assert got == {1: (0, 0, 0, []), 2: (0, 0, 0, []), 3: (3, 0, 0, []), 4: (12000, 0, 0, [])}
+
+
+def test_substring_keeps_words_that_polynomial_hashes_confuse(spark):
+    for size in (128, 1024, 4096):
+        w = "".join("ab"[bin(i).count("1") % 2] for i in range(size))
+        twin = w.translate(str.maketrans("ab", "ba"))
+        same = " ".join(f"w{i}" for i in range(12))
+        got = {r["doc_id"]: r["n_removed"] for r in substring.substring_dedup(
+            frame(spark, [(1, f"{same} {w}"), (2, f"{same} {twin}"), (3, f"{same} {w}")])).collect()}
+        assert got == {1: 0, 2: 0, 3: 13}, size
+
+
+def test_shards_stay_even_with_a_third_of_equal_rows(spark):
+    rows = [(i, f"text {i}") for i in range(2000)] + [(77_777, "the same row")] * 1000 + [(None, None)] * 500
+    docs = frame(spark, rows)
+    got = sharding.shard(docs, shards=8).collect()
+    want = Counter((i, len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for i, t in rows)
+    assert Counter((r["doc_id"], r["size"], r["text_crc32"]) for r in got) == want
+    size, places = Counter(), {}
+    for r in got:
+        size[r["shard"]] += r["size"]
+        places.setdefault(r["shard"], []).append(r["slot"])
+    assert sorted(size) == list(range(8)) and max(size.values()) - min(size.values()) <= 20
+    assert all(sorted(x) == list(range(len(x))) for x in places.values())
+    # slots, bytes and rows by brute force, and the two versions of the map
+    assert {r["shard"] for r in got if r["virtual_slot"] == got[0]["virtual_slot"]} == {got[0]["shard"]}
+    rows_ = sharding.rows_with_slots(docs).collect()
+    load, n = sharding.slot_loads(sharding.rows_with_slots(docs))
+    assert Counter(r["virtual_slot"] for r in rows_) == Counter({i: int(x) for i, x in enumerate(n) if x})
+    assert int(load.sum()) == sum(r["size"] for r in rows_) == sum(size.values())
+    even = sharding.initial_map(8)
+    edited = sharding.rebalance(even, load, 8)
+    where = {r["virtual_slot"]: r["shard"] for r in got}
+    assert all(edited[v] == s for v, s in where.items())
+    assert np.ptp(np.bincount(edited, weights=load, minlength=8)) <= np.ptp(np.bincount(even, weights=load, minlength=8))
+
+
+def brute_url_rules(sets, least, sure):
+    """Rules of all itemsets: sets is [(tokens, verdict or None)]."""
+    labelled = [(t, v) for t, v in sets if v]
+    found = {}
+    items = {frozenset(c) for t, _ in labelled for k in range(1, len(t) + 1)
+             for c in itertools.combinations(sorted(t), k)}
+    for i in items:
+        n = sum(i <= t for t, _ in sets)
+        for v in ("allow", "block"):
+            hits = sum(i <= t and w == v for t, w in labelled)
+            if hits >= least * len(labelled) and hits and hits / n >= sure:
+                found[i, v] = (hits / n, hits / len(labelled))
+    return {k: x for k, x in found.items()
+            if not any((k[0] - {t}, k[1]) in found and found[k[0] - {t}, k[1]][0] >= x[0] for t in k[0])}
+
+
+def test_urls_match_brute_force(spark):
+    rng = random.Random(4)
+    urls_ = []
+    for i in range(120):
+        host = rng.choice(["a.com", "b.net", "c.org", "example.com", "d.net"])
+        path = "/".join(rng.sample(["es", "fr", "en", "x", "y", "zz"], rng.randrange(1, 4)))
+        urls_.append(f"http://{host}/{path}")
+    urls_ += ["http://deep.net/es/" + "/".join(f"only{chr(97 + i)}" for i in range(5))] * 6
+    pages = spark.createDataFrame([(i, u, "", "h", "r", 1) for i, u in enumerate(urls_)], PAGES)
+    host, path = urls.host_and_path(F.col("url"))
+    one = pages.select("page_id", "url", host.alias("host"), path.alias("path"))
+    name, verdict = urls.fixed_rule(F.col("host"), F.col("path"))
+    rows = one.select("page_id", urls.url_tokens(F.col("url"), F.col("host"), F.col("path")).alias("t"),
+                      name.alias("rule"), verdict.alias("v")).collect()
+    rules = brute_url_rules([(frozenset(r["t"]), r["v"]) for r in rows], 0.02, 0.6)
+    want = {}
+    for r in rows:
+        if r["v"]:
+            want[r["page_id"]] = (r["rule"], r["v"], None)
+            continue
+        fit = sorted((-round(c, 9), -round(s, 9), len(i), sorted(i), v) for (i, v), (c, s) in rules.items()
+                     if i <= set(r["t"]))
+        want[r["page_id"]] = (None, fit[0][4], tuple(fit[0][3])) if fit else (None, "allow", None)
+    got = {r["page_id"]: (r["rule"], r["verdict"], tuple(r["mined"]) if r["mined"] else None)
+           for r in urls.judge_urls(pages, min_support=0.02).collect()}
+    assert got == want and any(x[2] for x in want.values())
+
+
+def test_urls_with_forty_repeated_tokens(spark):
+    deep = "http://x.net/es/" + "/".join(f"w{chr(97 + i // 6)}{chr(97 + i % 6)}" for i in range(40))
+    rows = [deep] * 30 + [f"http://h{i}.org/p" for i in range(70)] + ["http://y.org/waa/p"]
+    pages = spark.createDataFrame([(i, u, "", "h", "r", 1) for i, u in enumerate(rows)], PAGES)
+    got = {r["page_id"]: r["verdict"] for r in urls.judge_urls(pages).collect()}
+    assert [got[i] for i in (0, 29, 30, 99)] == ["block", "block", "allow", "allow"]
