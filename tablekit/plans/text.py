@@ -6,44 +6,56 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablekit.functions.text import (ENTITY_PATTERN, ENTITY_RULES, base64_text, entities,
-                                     entity_count_by_rule, extract_links, join_list, tokenize_ws,
-                                     url_to_file_name)
+from tablekit.functions.text import (base64_text, entities, entity_count_by_rule, extract_links, join_list,
+                                     tokenize_ws, url_to_file_name)
 from tablekit.operators.aggs import threshold_notify, value_counts
 from tablekit.operators.shape import fill_defaults, status_filter, validate_nonempty
 from tablekit.registry import query, table
 from tablekit.sources.sinks import insert_or_ignore
 
-# written apart from the operator: whole tags first, then the attribute of each
-_LINKS_SQL = r"""list_filter(list_transform(
+def _links_sql(tag: str, attr: str) -> str:
+    """Written apart from the operator: whole tags first, then the attribute."""
+    return rf"""list_filter(list_transform(
     regexp_extract_all(
       regexp_replace(regexp_replace(regexp_replace(html, '<!--(?s:.)*?-->', '', 'g'),
         '(?i)<script\b(?s:.)*?</script\s*>', '', 'g'), '(?i)<style\b(?s:.)*?</style\s*>', '', 'g'),
-      '(?i)<a[\s/](?:"[^"]*"|''[^'']*''|[^>"''])*>'),
-    lambda t: replace(trim(regexp_extract(t, '(?i)[\s/]href\s*=\s*("[^"]*"|''[^'']*''|[^\s"''>]+)', 1),
+      '(?i)<{tag}[\s/](?:"[^"]*"|''[^'']*''|[^>"''])*>'),
+    lambda t: replace(trim(regexp_extract(t, '(?i)[\s/]{attr}\s*=\s*("[^"]*"|''[^'']*''|[^\s"''>]+)', 1),
                            '"'''), '&amp;', '&')),
   lambda v: v <> '')"""
 
 
+_LINKS_SQL, _IMAGES_SQL = _links_sql("a", "href"), _links_sql("img", "src")
+
+
 @query("extract_links", sql=f"""
 SELECT page_id, array_to_string({_LINKS_SQL}, ',') AS links, len({_LINKS_SQL}) AS n_links FROM pages""")
 def q_extract_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """X11 + X10: all non-empty href values of a tags in page order, joined
-    by commas (the driver's pages hold no img tags; img/src is unit-tested)."""
+    by commas (the driver's pages hold no img tags; img/src is unit-tested and
+    has its own column in the crawl table)."""
     p = table(spark, sf_dir, "pages")
     links = extract_links("html", "a", "href")
     return p.select("page_id", join_list(links).alias("links"),
                     F.size(links).cast("long").alias("n_links"))
 
 
-def _entity_counts_sql() -> str:
-    parts = [f"SELECT '{name}' AS label, CAST(sum(len(list_filter(regexp_extract_all(text, "
-             f"'{ENTITY_PATTERN}', {i + 1}), lambda v: v <> ''))) AS BIGINT) AS n FROM documents"
-             for i, (name, _) in enumerate(ENTITY_RULES)]
-    return "SELECT * FROM (" + " UNION ALL ".join(parts) + ") WHERE n > 0"
+# the rules in SQL's own words: label -> pattern, tried in this order
+_ENTITY_SQL = {
+    "EMAIL": r"[A-Za-z0-9._%+-]+@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}",
+    "MONEY": r"(?:\$|€|£)[0-9]+(?:[.,][0-9]+)?",
+    "DATE": r"\d{4}-\d{2}-\d{2}",
+    "NUMBER": r"\d+(?:\.\d+)?",
+    "PROPER": r"[A-Z][a-z]+(?: [A-Z][a-z]+)+",
+}
+_ANY_ENTITY = "|".join(_ENTITY_SQL.values())
+_LABEL_SQL = "CASE " + " ".join(
+    f"WHEN regexp_full_match(text, '{p}') THEN '{k}'" for k, p in _ENTITY_SQL.items()) + " END"
 
 
-@query("entities_to_struct", sql=_entity_counts_sql())
+@query("entities_to_struct", sql=f"""
+SELECT {_LABEL_SQL} AS label, count(*) AS n
+FROM (SELECT unnest(regexp_extract_all(text, '{_ANY_ENTITY}')) AS text FROM documents) GROUP BY ALL""")
 def q_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Entities of every whole document as array<struct(text, label,
     start, end)>, exploded and counted by label."""
@@ -52,7 +64,14 @@ def q_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     return value_counts(e.select(F.col("e.label").alias("label")), "label")
 
 
-@query("entity_offsets")
+@query("entity_offsets", sql=f"""
+WITH m AS (SELECT doc_id, regexp_extract_all(text, '{_ANY_ENTITY}') AS e,
+                  string_split_regex(text, '{_ANY_ENTITY}') AS g FROM documents),
+x AS (SELECT doc_id, unnest(e) AS text, unnest(range(1, len(e) + 1)) AS i,
+             list_transform(e, lambda v: length(v)) AS el, list_transform(g, lambda v: length(v)) AS gl FROM m),
+s AS (SELECT doc_id, text, list_sum(gl[1:i]) + coalesce(list_sum(el[1:i - 1]), 0) AS start FROM x)
+SELECT doc_id, text, {_LABEL_SQL} AS label, start::INTEGER AS start,
+       (start + length(text))::INTEGER AS "end" FROM s""")
 def q_entity_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """X19 rows: (doc_id, text, label, start, end) per entity."""
     d = table(spark, sf_dir, "documents")
@@ -61,13 +80,15 @@ def q_entity_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ------------------------------------------------------------------ Z5 crawl
 def crawl_batch(pages: DataFrame) -> DataFrame:
-    """One crawl run over a URL list: page rows with derived path, image links
-    and status (plain http failed to fetch in the source's scenario)."""
+    """One crawl run over a URL list: page rows with derived path, the images
+    they show, the pages they link to and status (plain http failed to fetch
+    in the source's scenario)."""
     ok = F.col("url").startswith("https")
     return pages.select(
         "page_id", "url",
         F.when(ok, url_to_file_name("url", "/data/scraped")).otherwise(F.lit("")).alias("html_path"),
-        F.when(ok, join_list(extract_links("html", "a", "href"))).otherwise(F.lit("")).alias("images"),
+        F.when(ok, join_list(extract_links("html", "img", "src"))).otherwise(F.lit("")).alias("images"),
+        F.when(ok, join_list(extract_links("html", "a", "href"))).otherwise(F.lit("")).alias("links"),
         F.when(ok, "success").otherwise("failed").alias("status"))
 
 
@@ -76,17 +97,18 @@ WITH b AS (
   SELECT page_id, url,
          CASE WHEN url LIKE 'https%' THEN '/data/scraped/' || replace(replace(replace(url, 'https://', ''),
               'http://', ''), '/', '_') || '.html' ELSE '' END AS html_path,
-         CASE WHEN url LIKE 'https%' THEN array_to_string({_LINKS_SQL}, ',') ELSE '' END AS images,
+         CASE WHEN url LIKE 'https%' THEN array_to_string({_IMAGES_SQL}, ',') ELSE '' END AS images,
+         CASE WHEN url LIKE 'https%' THEN array_to_string({_LINKS_SQL}, ',') ELSE '' END AS links,
          CASE WHEN url LIKE 'https%' THEN 'success' ELSE 'failed' END AS status
   FROM pages)
-SELECT row_number() OVER (ORDER BY page_id) AS id, url, html_path, images, status FROM b""")
+SELECT row_number() OVER (ORDER BY page_id) AS id, url, html_path, images, links, status FROM b""")
 def q_crawl_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First run into an empty table: insert-or-ignore on the unique URL,
     ids numbered in page order."""
     batch = crawl_batch(table(spark, sf_dir, "pages"))
     empty = batch.limit(0).select(F.lit(0).cast("long").alias("id"), "url")
     return insert_or_ignore(empty, batch, "url", ["page_id"]).select(
-        "id", "url", "html_path", "images", "status")
+        "id", "url", "html_path", "images", "links", "status")
 
 
 @query("threshold_notify", sql="""

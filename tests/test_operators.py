@@ -7,6 +7,8 @@ from __future__ import annotations
 import datetime as dt
 import math
 import random
+import re
+from html.parser import HTMLParser
 
 import pandas as pd
 import pytest
@@ -469,6 +471,71 @@ def test_links_step_over_quotes_and_other_names(spark):
     assert df.select(X.extract_links("html", "img", "src")).first()[0] == ["real.png", "c.png", "d.png", "e.png"]
 
 
+class _Parser(HTMLParser):
+    def __init__(self, tag, attr):
+        super().__init__()
+        self.tag, self.attr, self.found = tag, attr, []
+
+    def handle_starttag(self, tag, attrs):
+        if tag == self.tag and dict(attrs).get(self.attr):
+            self.found.append(dict(attrs)[self.attr])
+
+    handle_startendtag = handle_starttag
+
+
+def test_links_equal_an_html_parser(spark):
+    rng = random.Random(2)
+    attrs = ['src="a>b"', "src='c d'", "src=e/f", 'data-src="g"', "SRC = h", "src", "src=", 'src=""', "alt", "it's",
+             'alt="<img src=no>"', "src='i&amp;j&lt;'", "/", "\n"]
+    between = ["", " text ", "<p>", "</p>", "<!-- <img src=no> -->", "<script>'<img src=no>'</script>", "a < b ",
+               "<style>x<img src=no></style>", "<b class='>'>", "<imgx src=no>", "<!doctype html>", "<!---><!-->"]
+    pages = ["".join(rng.choice(between) + "<" + rng.choice(["img", "IMG", "a"]) + " "
+                     + " ".join(rng.sample(attrs, rng.randrange(6))) + " >" for _ in range(rng.randrange(5)))
+             for _ in range(300)]
+    df = spark.createDataFrame(list(enumerate(pages)), "i int, h string")
+    got = {r["i"]: r["v"] for r in df.select("i", X.extract_links("h", "img", "src").alias("v")).collect()}
+    for i, h in enumerate(pages):
+        p = _Parser("img", "src")
+        p.feed(h)
+        p.close()
+        assert got[i] == p.found, h
+    odd = ["<img src=\"never closed><img src=b>", "<img src='x", "<!-- open <img src=a>", None, ""]
+    df = spark.createDataFrame([(h,) for h in odd], "h string").coalesce(1)
+    assert [r[0] for r in df.select(X.extract_links("h", "img", "src")).collect()] == [[], [], [], None, []]
+
+
+def test_long_tags_and_runs_end_in_time(spark):
+    pages = {"<a " + "x" * 1_000_000 + " href=y>": 1, "<a " + "x='1' " * 150_000 + "href=y>": 1,
+             '<a "' * 100_000: 0, "<a href='" * 100_000: 0, "<" * 500_000: 0, "<!--" * 200_000: 0}
+    df = spark.createDataFrame([(h,) for h in pages], "h string").coalesce(1)
+    assert [r[0] for r in df.select(F.size(X.extract_links("h", "a", "href"))).collect()] == list(pages.values())
+    texts = {"Ab " * 100_000: 1, "a" * 1_000_000: 0, "a@" + "b." * 200_000: 0, "1 Xy " * 20_000: 20_000}
+    df = spark.createDataFrame([(t,) for t in texts], "t string").coalesce(1)
+    assert [r[0] for r in df.select(F.size(X.entities("t"))).collect()] == list(texts.values())
+    assert [r[0] for r in df.select(X.entity_count_by_rule("t", "PROPER")).collect()] == [1, 0, 0, 0]
+
+
+def test_entities_match_a_plain_scan(spark):
+    rules = {"EMAIL": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
+             "MONEY": r"[$€£][0-9]+(?:[.,][0-9]+)?", "DATE": r"[0-9]{4}-[0-9]{2}-[0-9]{2}",
+             "NUMBER": r"[0-9]+(?:\.[0-9]+)?", "PROPER": r"[A-Z][a-z]+(?: [A-Z][a-z]+)+"}
+    plain = re.compile("|".join(f"(?P<{k}>{p})" for k, p in rules.items()))
+    rng = random.Random(2)
+    bits = ["Ab", "c", "@", "x.com", ".", " ", "1", "2024-01-05", "$", "12.5", "New York", "é", "\U0001f389", "-", "a@b.co"]
+    texts = ["".join(rng.choice(bits) for _ in range(rng.randrange(20))) for _ in range(500)] + ["", None, "1 a " * 700]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    for r in df.select("i", X.entities("t").alias("e")).collect():
+        t = texts[r["i"]]
+        want = None if t is None else [(m.group(), m.lastgroup, m.start(), m.end()) for m in plain.finditer(t)]
+        assert (r["e"] if t is None else [tuple(e) for e in r["e"]]) == want, t
+
+
+def test_file_name_of_a_url_inside_a_url(spark):
+    df = spark.createDataFrame([("https://a.org/web/https://b.org/",), ("http://c.org/x",)], "u string").coalesce(1)
+    assert [r[0] for r in df.select(X.url_to_file_name("u", "/d/")).collect()] == [
+        "/d/a.org_web_b.org_.html", "/d/c.org_x.html"]
+
+
 def test_broadcast_guard_measures_strings(spark):
     from tablekit.operators.joins import fits_broadcast
     big = spark.range(2000).select("id", F.repeat(F.lit("x"), 200_000).alias("t"))
