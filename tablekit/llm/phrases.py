@@ -405,7 +405,13 @@ def collocations(docs: DataFrame, max_words: int = 3, min_count: int = 10, top:
     rows = kept[0]
     for c in kept[1:]:
         rows = rows.unionByName(c)
-    best = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
+    order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
+    # the best of 64 parts of a language first, so that no task sorts it whole
+    part = F.pmod(F.xxhash64("phrase"), F.lit(64))
+    rows = (rows.withColumn("part", part)
+            .withColumn("rank", F.row_number().over(Window.partitionBy("lang", "part").orderBy(*order)))
+            .filter(F.col("rank") <= top).drop("part", "rank"))
+    best = Window.partitionBy("lang").orderBy(*order)
     rows = rows.withColumn("rank", F.row_number().over(best).cast("long")).filter(F.col("rank") <= top)
     return (rows.join(total, "lang")
             .select("lang", "rank", "phrase", "a", "l", "r", "n", F.col("score").cast("long").alias("score")))
