@@ -14,6 +14,7 @@ series holding a third of all samples is spread over all its buckets.
 from __future__ import annotations
 
 import datetime as dt
+import math
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -121,33 +122,94 @@ def sliding_totals(samples: DataFrame, series: list[str], ts: str, step_s: int,
 
 
 # ---------------------------------------------------------------- W6
+def counter_cells(samples: DataFrame, series: list[str], ts: str, value: str, cell_s: int) -> DataFrame:
+    """Mergeable summaries of a counter's samples: (series..., _c, _n, _first,
+    _last, _inc, _t0, _t1) per cell c, which holds ((c - 1) cell, c cell].
+
+    ``_inc`` adds the deltas between consecutive samples of the cell; a drop is
+    a reset and counts the new value.  Samples of one time are read in
+    ascending value; null times and values are no samples.  Only this step
+    sorts samples, one (series, cell) at a time.
+    """
+    size = cell_s * 1_000_000
+    us = epoch_us(ts)
+    rem = F.pmod(us, F.lit(size))
+    s = (samples.filter(F.col(ts).isNotNull() & F.col(value).isNotNull())
+         .select(*series, us.alias("_us"), F.col(value).cast("double").alias("_v"),
+                 ((us - rem) / F.lit(size) + F.when(rem != 0, 1).otherwise(0)).cast("long").alias("_c")))
+    w = Window.partitionBy(*series, "_c").orderBy("_us", "_v")
+    before, after = F.lag("_v").over(w), F.lead("_v").over(w)
+    s = s.select(*series, "_c", "_us", "_v", before.alias("_p"), after.isNull().alias("_end"))
+    return s.groupBy(*series, "_c").agg(
+        F.count(F.lit(1)).alias("_n"), F.sum(F.when(F.col("_p").isNull(), F.col("_v"))).alias("_first"),
+        F.sum(F.when(F.col("_end"), F.col("_v"))).alias("_last"),
+        F.sum(_step("_p", "_v")).alias("_inc"), F.min("_us").alias("_t0"), F.max("_us").alias("_t1"))
+
+
+def _step(before: str, value: str) -> Column:
+    """Increase from one reading to the next; 0 without an earlier one."""
+    return (F.when(F.col(before).isNull(), F.lit(0.0)).when(F.col(value) < F.col(before), F.col(value))
+            .otherwise(F.col(value) - F.col(before)))
+
+
+def _merged_cells(cells: DataFrame, series: list[str], cell_s: int, n: int, m: int) -> DataFrame:
+    """Frames of n cells ending at every m-th cell: each cell goes to the grid
+    times that see it, with the step from the last cell before it if that lies
+    in the frame too."""
+    size = max(4096, n)  # a series with very many cells is many partitions
+    b = F.floor(F.col("_c") / size).cast("long")
+    halo = F.col("_c") >= (b + 1) * size - n
+    c = cells.withColumn("_b", F.explode(F.when(halo, F.array(b, b + 1)).otherwise(F.array(b))))
+    w = Window.partitionBy(*series, "_b").orderBy("_c")
+    c = (c.withColumn("_pc", F.lag("_c").over(w)).withColumn("_p", F.lag("_last").over(w))
+         .filter(F.floor(F.col("_c") / size) == F.col("_b")))
+    lo, hi = F.ceil(F.col("_c") / m), F.floor((F.col("_c") + (n - 1)) / m)
+    c = (c.filter(lo <= hi).select("*", _step("_p", "_first").alias("_gap"),
+                                   F.explode(F.sequence(lo.cast("long"), hi.cast("long"))).alias("_k")))
+    seen = F.col("_pc") > F.col("_k") * m - n
+    return c.groupBy(*series, "_k").agg(
+        F.sum("_n").alias("_n"), F.sum(F.col("_inc") + F.when(seen, F.col("_gap")).otherwise(0.0)).alias("_inc"),
+        F.min("_t0").alias("_t0"), F.max("_t1").alias("_t1"), F.min_by("_first", "_c").alias("_v0")
+    ).withColumn("_t_us", F.col("_k") * (m * cell_s * 1_000_000))
+
+
+def _framed_cells(cells: DataFrame, series: list[str], cell_s: int, range_s: int, step_s: int) -> DataFrame:
+    """The same by one sliding window over the cells, for ranges of very many
+    steps: the step into the frame's first cell is taken off again."""
+    def prep(df, part):
+        return df.withColumn("_p", F.lag("_last").over(part)).withColumn("_gap", _step("_p", "_first"))
+    r = sliding_eval(cells.withColumn("_at", from_epoch_us(F.col("_c") * (cell_s * 1_000_000))), series, "_at",
+                     step_s, range_s, {
+        "_n": lambda w: F.sum("_n").over(w),
+        "_sum": lambda w: F.sum(F.col("_inc") + F.col("_gap")).over(w),
+        "_skip": lambda w: F.first("_gap", ignorenulls=True).over(w),
+        "_t0": lambda w: F.min("_t0").over(w), "_t1": lambda w: F.max("_t1").over(w),
+        "_v0": lambda w: F.first("_first", ignorenulls=True).over(w)}, prep=prep)
+    return r.withColumn("_inc", F.col("_sum") - F.col("_skip"))
+
+
 def counter_rate(samples: DataFrame, series: list[str], ts: str = "ts", value: str = "value",
-                 range_s: int = 300, step_s: int = 15, extrapolate: bool = False) -> DataFrame:
+                 range_s: int = 300, step_s: int = 15, extrapolate: bool = False,
+                 max_fanout: int = 64) -> DataFrame:
     """Per-second increase of a counter over (t - range, t] on the step grid.
 
     Increase = sum of the deltas between consecutive samples inside the
     frame; a drop is a counter reset and counts the new value; at least two
-    samples are needed.  ``extrapolate`` stretches the increase to the edges
-    of the range like the usual monitoring rule: a gap to an edge counts in
-    full when shorter than 1.1 average sample intervals, else as half an
-    interval, and the start never reaches below the counter's zero.
+    samples are needed.  Samples are summed up by cells of the largest time
+    that divides range and step, and cells are merged over the range, so a hot
+    series is as many groups as it has cells.  Ties: see ``counter_cells``.
+    ``extrapolate`` stretches the increase to the edges of the range like the
+    usual monitoring rule: a gap to an edge counts in full when shorter than
+    1.1 average sample intervals, else as half an interval, and the start
+    never reaches below the counter's zero.
     """
-    def prep(df, part):
-        prev = F.lag(value).over(part)
-        d = F.when(prev.isNull(), F.lit(0.0)).when(F.col(value) < prev, F.col(value)) \
-             .otherwise(F.col(value) - prev)
-        return df.withColumn("_delta", d.cast("double"))
-
-    is_s = F.col("_kind") == 0
-    aggs = {"_n": lambda w: F.count("_delta").over(w),
-            "_sum": lambda w: F.sum("_delta").over(w),
-            "_first": lambda w: F.first("_delta", ignorenulls=True).over(w)}
-    if extrapolate:  # edges of the sampled span and the first value
-        aggs.update({"_t0": lambda w: F.min(F.when(is_s, F.col("_us"))).over(w),
-                     "_t1": lambda w: F.max(F.when(is_s, F.col("_us"))).over(w),
-                     "_v0": lambda w: F.first(F.when(is_s, F.col(value)), ignorenulls=True).over(w)})
-    r = sliding_eval(samples, series, ts, step_s, range_s, aggs, prep=prep)
-    r = r.filter(F.col("_n") >= 2).withColumn("_inc", F.col("_sum") - F.col("_first"))
+    cell_s = math.gcd(range_s, step_s)
+    cells = counter_cells(samples, series, ts, value, cell_s)
+    if range_s <= max_fanout * step_s:
+        r = _merged_cells(cells, series, cell_s, range_s // cell_s, step_s // cell_s)
+    else:
+        r = _framed_cells(cells, series, cell_s, range_s, step_s)
+    r = r.filter(F.col("_n") >= 2).withColumn("t", from_epoch_us(F.col("_t_us")))
     if not extrapolate:
         return r.select(*series, "t", (F.col("_inc") / range_s).alias("rate"))
     sampled = (F.col("_t1") - F.col("_t0")) / 1e6

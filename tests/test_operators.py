@@ -157,6 +157,34 @@ def test_counter_rate_handles_reset(spark):
     assert math.isclose(got2[t0 + dt.timedelta(seconds=300)], 8 / 600)
 
 
+@pytest.mark.parametrize("range_s,step_s,fanout", [(600, 300, 64), (700, 300, 64), (300, 600, 64), (900, 30, 4),
+                                                   (3600, 60, 64)])
+def test_counter_rate_equals_a_plain_loop(spark, range_s, step_s, fanout):
+    rng = random.Random(6)
+    t0 = dt.datetime(2024, 1, 1)
+    rows_ = []
+    for name, n, span in (("hot", 400, 6000), ("thin", 12, 9000), ("one", 1, 10)):
+        v = 0.0
+        for off in sorted(rng.choice([rng.randrange(span), 300 * rng.randrange(span // 300 + 1)]) for _ in range(n)):
+            v = rng.choice([v + rng.randrange(5), v + 1, 0.0, 2.0]) if rng.random() < 0.3 else v + 1
+            rows_.append((name, t0 + dt.timedelta(seconds=off), v))
+    rows_ += [("thin", None, 1.0), ("thin", t0, None)]
+    df = spark.createDataFrame(rows_, "series string, ts timestamp_ntz, value double").repartition(5)
+    got = {(r["series"], r["t"]): r["rate"] for r in
+           TS.counter_rate(df, ["series"], "ts", "value", range_s, step_s, max_fanout=fanout).collect()}
+    want = {}
+    epoch = dt.datetime(1970, 1, 1)
+    for name in ("hot", "thin", "one"):
+        mine = sorted((t, v) for s, t, v in rows_ if s == name and t is not None and v is not None)
+        k = int((t0 - epoch).total_seconds()) // step_s
+        for t in (epoch + dt.timedelta(seconds=(k + i) * step_s) for i in range((9000 + range_s) // step_s + 2)):
+            vs = [v for x, v in mine if t - dt.timedelta(seconds=range_s) < x <= t]
+            if len(vs) > 1:
+                want[name, t] = sum(b if b < a else b - a for a, b in zip(vs, vs[1:])) / range_s
+    assert got.keys() == want.keys() and len(want) > 5
+    assert all(abs(got[k] - want[k]) < 1e-9 for k in want)
+
+
 def test_counter_rate_extrapolation(spark):
     t0 = dt.datetime(2024, 1, 1)
     pts = [(60, 10.0), (120, 20.0), (180, 30.0), (240, 40.0)]
