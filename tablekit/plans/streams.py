@@ -13,6 +13,7 @@ from tablekit.operators.aggs import LATENCY_BUCKETS
 from tablekit.operators.series import epoch_us, from_epoch_us, histogram_quantile_expr
 from tablekit.plans import series as SER
 from tablekit.registry import query, table
+from tablekit.sources.keyed import UniqueTable
 from tablekit.streaming import streams as ST
 
 EVENTS = T.StructType([
@@ -227,14 +228,14 @@ def q_stream_first_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
                         .otherwise("failed").alias("status"))
     schema = run1.schema
     run1.coalesce(2).write.mode("append").parquet(dirs["source"] + "/run=1")
-    sink = ST.first_wins_sink(dirs["sink"], "url", ["page_id"])
+    sink = ST.first_wins_sink(dirs["sink"], "url", ["page_id"], "crawl")
     opts = {"recursiveFileLookup": True}
     ST.run_available_now(ST.file_stream(spark, dirs["source"], schema, **opts), dirs["checkpoint"],
                          "append", sink=sink)
     run2.coalesce(2).write.mode("append").parquet(dirs["source"] + "/run=2")
     ST.run_available_now(ST.file_stream(spark, dirs["source"], schema, **opts), dirs["checkpoint"],
                          "append", sink=sink)
-    return ST.read_sink(spark, dirs["sink"]).select("id", "url", "status")
+    return UniqueTable(spark, dirs["sink"], "url", ["page_id"]).read().select("id", "url", "status")
 
 
 @query("stream_validate", sql=r"""

@@ -271,20 +271,15 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
-def first_wins_sink(table_path: str, key: str, order: list[str]):
-    """foreachBatch insert-or-ignore into a table (unbounded horizon):
-    per batch K7 against what is stored, then append."""
-    from tablekit.sources.sinks import insert_or_ignore
+def first_wins_sink(table_path: str, key: str, order: list[str], writer: str):
+    """foreachBatch insert-or-ignore into a table with a unique key
+    (unbounded horizon).  A batch reads only the key buckets that it may hit;
+    ``writer`` and the batch's number make a retried batch insert once, and
+    other writers may insert meanwhile."""
+    from tablekit.sources.keyed import UniqueTable
 
     def write(df: DataFrame, batch_id: int) -> None:
-        spark = df.sparkSession
-        if path_exists(spark, table_path):  # only the key and id columns are read
-            stored = spark.read.parquet(table_path).select("id", key, "_batch")
-            stored = stored.filter(F.col("_batch") != batch_id).drop("_batch")
-        else:
-            stored = df.limit(0).select(F.lit(0).cast("long").alias("id"), key)
-        new = insert_or_ignore(stored.select("id", key), df, key, order)
-        new.write.mode("overwrite").parquet(f"{table_path}/_batch={batch_id}")
+        UniqueTable(df.sparkSession, table_path, key, order).insert(df, writer, batch_id)
     return write
 
 

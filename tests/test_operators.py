@@ -564,6 +564,47 @@ def test_file_name_of_a_url_inside_a_url(spark):
         "/d/a.org_web_b.org_.html", "/d/c.org_x.html"]
 
 
+def test_unique_table_reads_few_buckets(spark, tmp_dir):
+    from tablekit.sources.keyed import UniqueTable
+    t = UniqueTable(spark, f"{tmp_dir}/t", "k", ["at"], buckets=64)
+    big = spark.range(3000).select(F.concat(F.lit("k"), "id").alias("k"), F.col("id").alias("at"))
+    assert t.insert(big)["rows"] == 3000
+    some = big.filter("id < 5").unionByName(spark.createDataFrame(
+        [("new", 9), ("new", 8), (None, 1), (None, 1)], "k string, at long"))
+    seen = t.stored(some, t.commits())
+    # five stored keys: five buckets of 64, named in the scan's partition filter
+    assert seen.select(F.input_file_name().alias("f")).distinct().count() <= 6
+    scan = seen._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*_b#\d+ (IN|INSET)", scan), scan
+    c = t.insert(some)
+    assert (c["n"], c["rows"], c["last_id"]) == (2, 3, 3003)
+    got = t.read()
+    assert got.count() == 3003 and got.filter("k is not null").select("k").distinct().count() == 3001
+    assert sorted(r["id"] for r in got.select("id").collect()) == list(range(1, 3004))
+    assert got.filter("k = 'new'").first()["at"] == 8
+    assert t.stored(spark.createDataFrame([("absent",)], "k string"), t.commits()) is None
+    assert t.insert(big.limit(0))["rows"] == 0 and t.read().count() == 3003
+    one = spark.createDataFrame([("retry", 1)], "k string, at long")
+    assert t.insert(one, "w", 7) == t.insert(one, "w", 7) and t.read().count() == 3004
+
+
+def test_unique_table_with_two_writers(spark, tmp_dir):
+    from concurrent.futures import ThreadPoolExecutor
+    from tablekit.sources.keyed import UniqueTable, put_if_absent
+    a = spark.range(0, 60).select(F.col("id").cast("string").alias("k"), F.col("id").alias("at"))
+    b = spark.range(30, 90).select(F.col("id").cast("string").alias("k"), F.col("id").alias("at"))
+    tables = [UniqueTable(spark, f"{tmp_dir}/t", "k", ["at"], buckets=4) for _ in range(2)]
+    with ThreadPoolExecutor(2) as pool:
+        list(pool.map(lambda x: x[0].insert(x[1]), zip(tables, (a, b))))
+    got = tables[0].read().collect()
+    assert len(got) == 90 and len({r["k"] for r in got}) == 90
+    assert sorted(r["id"] for r in got) == list(range(1, 91))
+    path = f"{tmp_dir}/claims/1.json"
+    with ThreadPoolExecutor(8) as pool:
+        won = list(pool.map(lambda i: put_if_absent(spark, path, f"{i}" * 100), range(8)))
+    assert sum(won) == 1 and open(path).read() == f"{won.index(True)}" * 100
+
+
 def test_broadcast_guard_measures_strings(spark):
     from tablekit.operators.joins import fits_broadcast
     big = spark.range(2000).select("id", F.repeat(F.lit("x"), 200_000).alias("t"))
