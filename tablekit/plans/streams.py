@@ -174,7 +174,7 @@ def q_stream_alert_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def build(src):
         return ST.stream_alert_state(src, "user_id", "t", SER.STEP_S, SER.FOR_S)
-    ST.replay(spark, build, dirs, COND, "append", "t", "user_id")
+    ST.replay(spark, build, dirs, COND, "append", "t", "user_id", store=ST.STATE_STORE)
     out = ST.read_sink(spark, dirs["sink"]).filter(F.col("pending_us") < ST.SENTINEL_US)
     return out.select(F.col("instance").alias("user_id"), F.lit("HighErrorRate").alias("alertname"),
                       from_epoch_us(F.col("pending_us")).alias("pending_at"),
@@ -202,8 +202,8 @@ def q_stream_no_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = T.StructType([EVENTS["user_id"], EVENTS["ts"]])
     # one file a batch first; then the sentinel lets the open silences ripen
     ST.run_available_now(build(ST.file_stream(spark, dirs["source"], schema, max_files=1)),
-                         dirs["checkpoint"], "append", path=dirs["sink"])
-    ST.replay(spark, build, dirs, schema, "append", "ts", "user_id")
+                         dirs["checkpoint"], "append", path=dirs["sink"], store=ST.STATE_STORE)
+    ST.replay(spark, build, dirs, schema, "append", "ts", "user_id", store=ST.STATE_STORE)
     out = (ST.read_sink(spark, dirs["sink"]).filter(F.col("from_us") < ST.SENTINEL_US)
              .groupBy("user_id", "from_us").agg(F.max("to_us").alias("to_us")))
     out = out.filter(F.coalesce("to_us", F.lit(upto)) - F.col("from_us") > 43_200_000_000)

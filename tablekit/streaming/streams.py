@@ -23,6 +23,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tablekit.operators.series import epoch_us, from_epoch_us
@@ -70,14 +71,21 @@ def batch_writer(path: str, mode: str):
 
 
 def run_available_now(sdf: DataFrame, checkpoint: str, mode: str, sink=None,
-                      path: str | None = None, name: str | None = None) -> None:
+                      path: str | None = None, name: str | None = None, store: str | None = None) -> None:
     """Process everything available now, in as many micro-batches as the
-    source options allow, then stop."""
+    source options allow, then stop.  ``store``: state store of this query."""
     w = sdf.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
     if name:
         w = w.queryName(name)
     w = w.foreachBatch(sink if sink is not None else batch_writer(path, mode))
-    q = w.trigger(availableNow=True).start()
+    conf, name = sdf.sparkSession.conf, "spark.sql.streaming.stateStore.providerClass"
+    before = conf.get(name)
+    try:
+        if store:
+            conf.set(name, store)
+        q = w.trigger(availableNow=True).start()
+    finally:
+        conf.set(name, before)
     q.awaitTermination()
 
 
@@ -107,7 +115,7 @@ def add_sentinel(spark: SparkSession, path: str, schema: T.StructType, ts: str,
 
 
 def replay(spark: SparkSession, build, dirs: dict, schema: T.StructType, mode: str,
-           ts: str, key: str, sink=None) -> None:
+           ts: str, key: str, sink=None, store: str | None = None) -> None:
     """Run the stream over the staged files, then twice more, each time after
     one late sentinel file: the first sentinel batch moves the watermark past
     every real window and timer, the second is a real batch that runs under
@@ -116,7 +124,7 @@ def replay(spark: SparkSession, build, dirs: dict, schema: T.StructType, mode: s
     restart resumes from the checkpoint: no row is read twice."""
     def run():
         run_available_now(build(file_stream(spark, dirs["source"], schema)), dirs["checkpoint"],
-                          mode, sink=sink, path=dirs["sink"])
+                          mode, sink=sink, path=dirs["sink"], store=store)
     run()
     for _ in range(2):
         add_sentinel(spark, dirs["source"], schema, ts, key)
@@ -142,127 +150,152 @@ def stream_windows(events: DataFrame, ts: str, keys: list[str], size: str, slide
                     *[c for c in g.columns if c not in ("w", *keys)])
 
 
-# ---------------------------------------------------------------- R6
-ALERT_OUT = T.StructType([
-    T.StructField("instance", T.LongType()), T.StructField("pending_us", T.LongType()),
-    T.StructField("firing_us", T.LongType()), T.StructField("resolved_us", T.LongType())])
-ALERT_STATE = T.StructType([T.StructField("since", T.LongType()), T.StructField("last", T.LongType()),
-                            T.StructField("waiting", T.ArrayType(T.LongType()))])
-
+# ---------------------------------------------------------------- R6 / R10
+#: Rows of state by key, with timers: kept on the executors' disks, not in the
+#: JVM's heap; a batch touches the rows it has input or a due timer for.
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
-def _ripener():
-    """Distinct event times in order: those the watermark has passed, so that
-    none can still come before them, and those that wait for it.  (Built per
-    operator, so it travels to the workers with the function that uses it.)"""
-    def ripe(pdfs, waiting, watermark_us: int) -> tuple[list[int], list[int]]:
-        ts = sorted({*waiting, *(int(t) for p in pdfs for t in p["t_us"].tolist())})
-        cut = bisect.bisect_right(ts, watermark_us)
-        return ts[:cut], ts[cut:]
-    return ripe
 
+def closed_cells(events: DataFrame, key: str, ts: str, cell_us: int, watermark: str) -> DataFrame:
+    """(key, lo_us, hi_us, w): first and last event of each key in each time
+    cell, once the watermark has closed the cell.  The key travels as text, as
+    pandas would make floats of whole numbers beside a null.
 
-def alert_state_fn(step_us: int, for_us: int):
-    """Per instance: (since, last) of the current run of true condition
-    samples, and the samples that wait for the watermark.  A gap, or a
-    watermark past last + step, closes the run; a run of at least ``for``
-    fires: (pending, firing, resolved)."""
-    split = _ripener()
-
-    def fn(key, pdfs, state: GroupState):
-        inst = int(key[0])
-        since, last, waiting = state.get if state.exists else (None, None, [])
-        wm = state.getCurrentWatermarkMs() * 1000
-        ripe, waiting = split([] if state.hasTimedOut else pdfs, waiting, wm)
-        out = []
-
-        def close():
-            if since is not None and last - since >= for_us:
-                out.append((inst, since, since + for_us, last + step_us))
-        for t in ripe:
-            if last is None or t > last + step_us:
-                close()
-                since = t
-            last = t
-        if last is not None and last + step_us <= wm:
-            close()
-            since = last = None
-        due = waiting[:1] + ([last + step_us] if last is not None else [])
-        if due:
-            state.update((since, last, waiting))
-            state.setTimeoutTimestamp(max(min(due), wm) // 1000)
-        elif state.exists:
-            state.remove()
-        yield pd.DataFrame(out, columns=["instance", "pending_us", "firing_us", "resolved_us"])
-    return fn
+    This is the level that sees events: partial sums in every task and a state
+    row per (key, cell), so a key with a third of the events is many rows in
+    many tasks.  Cells close in order of time, so what comes later never lies
+    before what came, and the next level needs no waiting lists."""
+    e = events.withColumn("_et", event_time(ts)).withWatermark("_et", watermark)
+    return (e.groupBy(F.col(key).cast("string").alias("key"), F.window("_et", f"{cell_us} microseconds").alias("w"))
+             .agg(F.min(epoch_us(ts)).alias("lo_us"), F.max(epoch_us(ts)).alias("hi_us")))
 
 
-def stream_alert_state(cond: DataFrame, instance: str, t: str, step_s: int, for_s: int,
-                       watermark: str = "1 day") -> DataFrame:
-    """Alert intervals from a stream of true-condition grid samples with
-    event-time timers (``applyInPandasWithState``).  Samples may come in any
-    order within ``watermark``."""
-    c = (cond.withColumn("_et", event_time(t)).withColumn("t_us", epoch_us(t))
-             .withColumnRenamed(instance, "instance").withWatermark("_et", watermark))
-    return c.groupBy("instance").applyInPandasWithState(
-        alert_state_fn(step_s * 1_000_000, for_s * 1_000_000), ALERT_OUT, ALERT_STATE, "append",
-        GroupStateTimeout.EventTimeTimeout)
+class _CellProcessor(StatefulProcessor):
+    """One small state row per key and at most one timer, set to the end of
+    the cell by which a run must have gone on (``reach_us`` after its last
+    event).  Subclasses define ``take`` and ``expire``."""
 
+    schema, columns = "", ()
 
-# ---------------------------------------------------------------- R10
-GAP_OUT = T.StructType([T.StructField("user_id", T.LongType()),
-                        T.StructField("from_us", T.LongType()), T.StructField("to_us", T.LongType())])
-GAP_STATE = T.StructType([T.StructField("last", T.LongType()), T.StructField("noticed", T.BooleanType()),
-                          T.StructField("waiting", T.ArrayType(T.LongType()))])
+    def __init__(self, reach_us: int, cell_us: int):
+        self.reach, self.cell = reach_us, cell_us
 
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.state = handle.getValueState("run", self.schema + ", timer long")
 
-def silence_fn(limit_us: int, forget_us: int):
-    """Per source: the last event time the watermark has passed, whether its
-    open silence was reported, and the event times that wait."""
-    split = _ripener()
+    def _due(self, last: int) -> int:
+        """Watermark (ms) from which no event up to last + reach can come."""
+        return -(-((last + self.reach) // self.cell + 1) * self.cell // 1000)
 
-    def fn(key, pdfs, state: GroupState):
-        last, noticed, waiting = state.get if state.exists else (None, False, [])
-        wm = state.getCurrentWatermarkMs() * 1000
-        ripe, waiting = split([] if state.hasTimedOut else pdfs, waiting, wm)
-        out = []
-        for t in ripe:
-            if last is not None and t - last > limit_us:
-                out.append((int(key[0]), last, t))
-            last, noticed = t, False
-        due = waiting[:1]
+    def _run(self, key, cells, watermark_ms: int, expired: bool):
+        k = None if pd.isna(key[0]) else int(key[0])
+        *run, timer = self.state.get() if self.state.exists() else [None] * len(self.schema.split(",")) + [None]
+        out: list[tuple] = []
+        for lo, hi in cells:
+            run = self.take(k, run, lo, hi, out)
+        if timer is not None and not expired:
+            self.handle.deleteTimer(timer)
+        timer, last = None, self.last(run)
         if last is not None:
-            if not noticed and wm - last > limit_us:
-                out.append((int(key[0]), last, None))
-                noticed = True
-            end = last + (forget_us if noticed else limit_us)
-            if noticed and end < wm and not waiting:
-                last = None
+            if self._due(last) <= watermark_ms:
+                run = self.expire(k, run, out)
             else:
-                due.append(end)
-        if due:
-            state.update((last, noticed, waiting))
-            state.setTimeoutTimestamp(max(min(due), wm) // 1000)
-        elif state.exists:
-            state.remove()
-        yield pd.DataFrame(out, columns=["user_id", "from_us", "to_us"]).astype(
-            {"from_us": "Int64", "to_us": "Int64"})
-    return fn
+                timer = self._due(last)
+                self.handle.registerTimer(timer)
+        if run[0] is None:
+            self.state.clear()
+        else:
+            self.state.update((*run, timer))
+        yield pd.DataFrame(out, columns=list(self.columns)).astype("Int64")
+
+    def handleInputRows(self, key, rows, timerValues):
+        cells = sorted((int(a), int(b)) for p in rows for a, b in zip(p["lo_us"], p["hi_us"]))
+        yield from self._run(key, cells, timerValues.getCurrentWatermarkInMs(), False)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        yield from self._run(key, [], timerValues.getCurrentWatermarkInMs(), True)
+
+    def close(self) -> None:
+        pass
+
+
+class AlertRuns(_CellProcessor):
+    """(since, last) of the current run of true condition samples.  A gap of
+    over ``reach`` (the grid step) closes the run; one of at least ``for``
+    fired: (pending, firing, resolved)."""
+
+    schema = "since long, last long"
+    columns = ("instance", "pending_us", "firing_us", "resolved_us")
+
+    def __init__(self, step_us: int, for_us: int):
+        super().__init__(step_us, step_us)
+        self.hold = for_us
+
+    def last(self, run):
+        return run[1]
+
+    def take(self, key, run, lo, hi, out):
+        since, last = run
+        if last is not None and lo > last + self.reach:
+            since, last = self.expire(key, run, out)
+        return [lo if since is None else since, hi]
+
+    def expire(self, key, run, out):
+        since, last = run
+        if last - since >= self.hold:
+            out.append((key, since, since + self.hold, last + self.reach))
+        return [None, None]
+
+
+class Silences(_CellProcessor):
+    """(last, noticed): the last event of a source and whether its open
+    silence was reported.  The row stays for good, so a silence of any length
+    is closed by the event that ends it."""
+
+    schema = "last long, noticed boolean"
+    columns = ("user_id", "from_us", "to_us")
+
+    def last(self, run):
+        return None if run[0] is None or run[1] else run[0]
+
+    def take(self, key, run, lo, hi, out):
+        if run[0] is not None and lo - run[0] > self.reach:
+            out.append((key, run[0], lo))
+        return [hi, False]
+
+    def expire(self, key, run, out):
+        out.append((key, run[0], None))
+        return [run[0], True]
+
+
+ALERT_OUT = "instance long, pending_us long, firing_us long, resolved_us long"
+GAP_OUT = "user_id long, from_us long, to_us long"
+
+
+def stream_alert_state(cond: DataFrame, instance: str, t: str, step_s: int, for_s: int,
+                       watermark: str = "1 day") -> DataFrame:
+    """Alert intervals from a stream of true-condition grid samples, in
+    any order within ``watermark``: cells of a step first, then runs of cells
+    with event-time timers.  Run it with ``STATE_STORE``."""
+    cells = closed_cells(cond, instance, t, step_s * 1_000_000, watermark)
+    return cells.groupBy("key").transformWithStateInPandas(
+        AlertRuns(step_s * 1_000_000, for_s * 1_000_000), ALERT_OUT, "Append", "EventTime")
 
 
 def stream_no_data(events: DataFrame, key: str, ts: str, limit_s: int, watermark: str = "1 day",
-                   forget_s: int = 90 * 86400) -> DataFrame:
+                   cells: int = 4) -> DataFrame:
     """Silent intervals per source, carried across micro-batches; events
     may come in any order within ``watermark``.
 
-    A timer reports a source that stays silent past the limit as an open
-    interval (``to_us`` NULL).  When it speaks again the closed interval with
-    the same start follows, unless it was silent for ``forget_s``: its state is
-    gone by then."""
-    e = (events.withColumn("_et", event_time(ts)).withColumn("t_us", epoch_us(ts))
-               .withColumnRenamed(key, "user_id").withWatermark("_et", watermark))
-    return e.groupBy("user_id").applyInPandasWithState(
-        silence_fn(limit_s * 1_000_000, forget_s * 1_000_000), GAP_OUT, GAP_STATE, "append",
-        GroupStateTimeout.EventTimeTimeout)
+    Events are summed up by cells of a ``cells``-th of the limit (a silence
+    never fits in one), then cells by source.  A timer reports a source that
+    stays silent past the limit, at most a cell later, as an open interval
+    (``to_us`` NULL).  When it speaks again the closed interval with the same
+    start follows.  Run it with ``STATE_STORE``."""
+    cell_us = max(1, limit_s * 1_000_000 // cells)
+    return closed_cells(events, key, ts, cell_us, watermark).groupBy("key").transformWithStateInPandas(
+        Silences(limit_s * 1_000_000, cell_us), GAP_OUT, "Append", "EventTime")
 
 
 # ---------------------------------------------------------------- R9 / R12 / R13

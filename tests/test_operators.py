@@ -640,34 +640,105 @@ class _State:
         self.value, self.exists = None, False
 
 
-def _feed(fn, batches):
-    """(watermark in seconds, event seconds; None: the timer) batches through ``fn``."""
-    st, out = _State(), []
-    for wm, secs in batches:
-        st.wm, st.hasTimedOut = wm * 1000, secs is None
-        pdfs = iter([] if secs is None else [pd.DataFrame({"t_us": [s * 1_000_000 for s in secs]})])
-        for rows in fn((7,), pdfs, st):
-            out += [tuple(None if pd.isna(v) else int(v) for v in r) for r in rows.itertuples(index=False)]
-    return out, st
-
-
-def test_silences_from_disordered_batches_and_open_notice():
-    from tablekit.streaming.streams import silence_fn
-    s = 1_000_000
-    out, st = _feed(silence_fn(10 * s, 100 * s), [
-        (0, [30, 5]), (0, [12, 31]), (20, [32]), (33, None), (50, None), (60, [70]), (72, None),
-        (300, None)])
-    assert out == [(7, 12 * s, 30 * s), (7, 32 * s, None), (7, 32 * s, 70 * s), (7, 70 * s, None)]
-    assert not st.exists
-
-
-def test_alert_state_takes_late_samples_within_the_watermark():
-    from tablekit.streaming.streams import alert_state_fn
-    s = 1_000_000
-    out, st = _feed(alert_state_fn(10 * s, 20 * s), [
-        (0, [30, 10]), (5, [20, 20]), (25, [40]), (45, None), (60, [100]), (200, None)])
-    assert out == [(7, 10 * s, 30 * s, 50 * s)]
-    assert not st.exists
+class _Handle:
+    """A key's state row and timers, as the stream processors see them."""
+
+    def __init__(self):
+        self.value, self.timers = None, set()
+
+    def getValueState(self, name, schema):
+        return self
+
+    exists = lambda self: self.value is not None
+    get = lambda self: self.value
+    update = lambda self, v: setattr(self, "value", tuple(v))
+    clear = lambda self: setattr(self, "value", None)
+    registerTimer = lambda self, ms: self.timers.add(ms)
+    deleteTimer = lambda self, ms: self.timers.remove(ms)
+
+
+class _Clock:
+    def __init__(self, ms):
+        self.ms = ms
+
+    def getCurrentWatermarkInMs(self):
+        return self.ms
+
+
+def _cell_feed(proc, times, cell, marks):
+    """Closed cells of ``times`` (microseconds) at each watermark, then due timers."""
+    h, out, done = _Handle(), [], -1
+    proc.init(h)
+    for ms in marks:
+        now = {}
+        for t in times:
+            if done < (t // cell + 1) * cell <= ms * 1000:
+                now.setdefault(t // cell, []).append(t)
+        frames = [pd.DataFrame([(min(x), max(x)) for x in now.values()], columns=["lo_us", "hi_us"])]
+        got = list(proc.handleInputRows((7,), iter(frames), _Clock(ms))) if now else []
+        for due in sorted(x for x in h.timers if x <= ms):
+            h.timers.remove(due)
+            got += list(proc.handleExpiredTimer((7,), _Clock(ms), due))
+        out += [tuple(None if pd.isna(v) else int(v) for v in r) for p in got for r in p.itertuples(index=False)]
+        assert len(h.timers) <= 1
+        done = ms * 1000
+    return out, h
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_silences_equal_the_plain_gaps(seed):
+    from tablekit.streaming.streams import Silences
+    rng = random.Random(seed)
+    limit, cell, s = 10_000_000, 2_500_000, 1_000_000
+    times = sorted({rng.randrange(400 * s) for _ in range(rng.choice([1, 15, 60]))})
+    rng.shuffle(times)
+    marks = sorted({rng.randrange(450_000) for _ in range(30)}) + [1_000_000]
+    out, h = _cell_feed(Silences(limit, cell), times, cell, marks)
+    times.sort()
+    closed = [(7, a, b) for a, b in zip(times, times[1:]) if b - a > limit]
+    assert [r for r in out if r[2] is not None] == closed
+    opened = [r[1] for r in out if r[2] is None]
+    assert len(set(opened)) == len(opened) and set(opened) <= {r[1] for r in closed} | {times[-1]}
+    assert opened[-1] == times[-1] and h.value[0] == times[-1]  # the row stays
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_alert_runs_equal_the_plain_runs(seed):
+    from tablekit.streaming.streams import AlertRuns
+    rng = random.Random(seed)
+    step, hold = 10_000_000, 20_000_000
+    times = [step * k for k in range(1, 60) if rng.random() < 0.8]
+    marks = sorted({rng.randrange(700_000) for _ in range(25)}) + [2_000_000]
+    out, h = _cell_feed(AlertRuns(step, hold), times, step, marks)
+    runs = []
+    for t in times:
+        if runs and t <= runs[-1][1] + step:
+            runs[-1][1] = t
+        else:
+            runs.append([t, t])
+    assert out == [(7, a, a + hold, b + step) for a, b in runs if b - a >= hold] and h.value is None
+
+
+def test_silence_stream_with_a_hot_source_and_null_ids(spark, tmp_dir):
+    from tablekit.streaming import streams as ST
+    t0, rng = dt.datetime(2024, 1, 1), random.Random(1)
+    rows_ = [(1, t0 + dt.timedelta(seconds=rng.randrange(50_000))) for _ in range(3000)]
+    rows_ += [(k, t0 + dt.timedelta(seconds=rng.randrange(50_000))) for k in (2, 3, None) for _ in range(8)]
+    rows_ += [(1, t0 + dt.timedelta(seconds=90_000)), (4, None)]
+    rng.shuffle(rows_)
+    schema = T.StructType([T.StructField("user_id", T.LongType()), T.StructField("ts", T.TimestampNTZType())])
+    dirs = {k: f"{tmp_dir}/{k}" for k in ("source", "sink", "checkpoint")}
+    ST.stage_files(spark.createDataFrame(rows_, schema), dirs["source"], 3)
+    ST.replay(spark, lambda src: ST.stream_no_data(src, "user_id", "ts", 3600, "2 days"), dirs, schema, "append",
+              "ts", "user_id", store=ST.STATE_STORE)
+    got = {(r["user_id"], r["from_us"], r["to_us"]) for r in ST.read_sink(spark, dirs["sink"]).collect()
+           if r["to_us"] is not None and r["to_us"] < ST.SENTINEL_US}
+    us = lambda t: (t - dt.datetime(1970, 1, 1)) // dt.timedelta(microseconds=1)
+    want = set()
+    for k in (1, 2, 3, None):
+        mine = sorted(us(t) for u, t in rows_ if u == k and t is not None)
+        want |= {(k, a, b) for a, b in zip(mine, mine[1:]) if b - a > 3600_000_000}
+    assert got == want and any(k is None for k, _, _ in want) and any(k == 1 for k, _, _ in want)
 
 
 def test_stream_inhibition_matches_all_pairs():
