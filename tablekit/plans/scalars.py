@@ -231,11 +231,45 @@ def q_batch_local_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                  .crossJoin(g.agg(F.count(F.lit(1)).alias("global_rows"))))
 
 
-@query("feature_udf")
+_HOG_SQL = """
+WITH p AS (  -- pixels with their neighbours; the border has no difference
+  SELECT vec_id, i // 8 AS y, i % 8 AS x, embedding AS e, i
+  FROM embeddings, (SELECT unnest(range(0, 64)) AS i) WHERE len(embedding) = 64),
+g AS (
+  SELECT vec_id, y // 2 AS cy, x // 2 AS cx,
+         CASE WHEN x BETWEEN 1 AND 6 THEN e[i + 2]::DOUBLE - e[i]::DOUBLE ELSE 0.0 END AS gx,
+         CASE WHEN y BETWEEN 1 AND 6 THEN e[i + 9]::DOUBLE - e[i - 7]::DOUBLE ELSE 0.0 END AS gy FROM p),
+d AS (SELECT *, degrees(atan2(gy, gx)) AS t FROM g),
+c AS (
+  SELECT vec_id, cy, cx, least(floor((CASE WHEN t < 0 THEN t + 180.0 WHEN t >= 180 THEN t - 180.0 ELSE t END) / 20.0), 8)::INT AS o,
+         sum(sqrt(gx * gx + gy * gy)) / 4 AS h FROM d GROUP BY ALL),
+b AS (  -- overlapping 2 x 2 blocks of cells
+  SELECT v.vec_id, by_, bx, dy, dx, o_ AS o, coalesce(c.h, 0.0) AS h
+  FROM (SELECT vec_id FROM embeddings WHERE len(embedding) = 64) v,
+       (SELECT unnest(range(0, 3)) AS by_), (SELECT unnest(range(0, 3)) AS bx),
+       (SELECT unnest(range(0, 2)) AS dy), (SELECT unnest(range(0, 2)) AS dx),
+       (SELECT unnest(range(0, 9)) AS o_) q
+  LEFT JOIN c ON c.vec_id = v.vec_id AND c.cy = by_ + dy AND c.cx = bx + dx AND c.o = o_),
+n AS (SELECT *, least(h / sqrt(sum(h * h) OVER w + 1e-10), 0.2) AS u FROM b WINDOW w AS (PARTITION BY vec_id, by_, bx)),
+f AS (SELECT *, round(u / sqrt(sum(u * u) OVER w + 1e-10), 6) AS z FROM n WINDOW w AS (PARTITION BY vec_id, by_, bx))
+SELECT vec_id, by_::INT AS block_row, bx::INT AS block_col, round(sum(z), 6) AS total, round(max(z), 6) AS highest,
+       round(sum(z * (18 * dy + 9 * dx + o)), 6) AS moment
+FROM f GROUP BY ALL"""
+
+
+@query("feature_udf", sql=_HOG_SQL)
 def q_feature_udf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """8 x 8 arrays to a 9-bin gradient-orientation histogram."""
-    hog = feature_udf(8, 9)
-    return table(spark, sf_dir, "embeddings").select("vec_id", hog("embedding").alias("features"))
+    """8 x 8 arrays to gradient histograms (cells of 2 x 2 pixels, blocks
+    of 2 x 2 cells, 9 bins); one row a block with three measures of its 36
+    values."""
+    v = table(spark, sf_dir, "embeddings").select("vec_id", feature_udf(8, 9)("embedding").alias("f"))
+    b = v.filter("f is not null").select("vec_id", F.explode(F.sequence(F.lit(0), F.lit(8))).alias("b"), "f")
+    b = b.select("vec_id", F.expr("cast(b div 3 as int)").alias("block_row"), (F.col("b") % 3).alias("block_col"),
+                 F.transform(F.slice("f", F.col("b") * 36 + 1, 36), lambda x: F.round(x, 6)).alias("z"))
+    add = lambda xs: F.aggregate(xs, F.lit(0.0), lambda a, x: a + x)
+    return b.select("vec_id", "block_row", "block_col", F.round(add(F.col("z")), 6).alias("total"),
+                    F.round(F.array_max("z"), 6).alias("highest"),
+                    F.round(add(F.transform("z", lambda x, i: x * i)), 6).alias("moment"))
 
 
 _ = X.iso_time

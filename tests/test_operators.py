@@ -385,11 +385,38 @@ def test_native_speed_equals_udf(spark):
     assert [r["n"] for r in got] == [r["u"] for r in got] == [5.0, None, None, None]
 
 
-def test_feature_udf_length_check(spark):
+def _plain_histograms(a, cell, block, bins):
+    side = len(a)
+    k = side // cell
+    cells = [[[0.0] * bins for _ in range(k)] for _ in range(k)]
+    for y in range(k * cell):
+        for x in range(k * cell):
+            gx = a[y][x + 1] - a[y][x - 1] if 0 < x < side - 1 else 0.0
+            gy = a[y + 1][x] - a[y - 1][x] if 0 < y < side - 1 else 0.0
+            o = min(int(math.degrees(math.atan2(gy, gx)) % 180 * bins / 180), bins - 1)
+            cells[y // cell][x // cell][o] += math.hypot(gx, gy) / cell ** 2
+    out = []
+    for i in range(k - block + 1):
+        for j in range(k - block + 1):
+            v = [h for y in range(i, i + block) for x in range(j, j + block) for h in cells[y][x]]
+            v = [min(h / math.sqrt(sum(q * q for q in v) + 1e-10), 0.2) for h in v]
+            out += [h / math.sqrt(sum(q * q for q in v) + 1e-10) for h in v]
+    return out
+
+
+def test_feature_udf_equals_plain_loops(spark):
     from tablekit.operators.udfs import feature_udf
-    df = spark.createDataFrame([([float(i) for i in range(64)],), ([1.0, 2.0],)], "a array<double>")
-    got = [r[0] for r in df.select(feature_udf(8, 9)("a")).collect()]
-    assert len(got[0]) == 9 and got[1] is None
+    rng = random.Random(3)
+    images = [[float(i) for i in range(64)], [rng.gauss(0, 1) for _ in range(64)], [7.0] * 64]
+    df = spark.createDataFrame([(x,) for x in [*images, [1.0, 2.0], None, [None] + [1.0] * 63]],
+                               "a array<double>").coalesce(1)
+    for cell, block in ((2, 2), (4, 1), (3, 2)):
+        got = [r[0] for r in df.select(feature_udf(8, 9, cell, block)("a")).collect()]
+        assert got[3:] == [None, None, None]
+        for x, g in zip(images, got):
+            want = _plain_histograms([x[8 * i:8 * i + 8] for i in range(8)], cell, block, 9)
+            assert len(g) == len(want) == (8 // cell - block + 1) ** 2 * block ** 2 * 9
+            assert max(abs(p - q) for p, q in zip(g, want)) < 1e-9
 
 
 def test_skip_bad_rows_marks_failures(spark):
