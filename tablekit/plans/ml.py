@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tablekit.operators import evaluation as EV
 from tablekit.operators import mlops as M
+from tablekit.operators import nets as N
 from tablekit.operators.aggs import attach_class_weights, error_rate_monitor
 from tablekit.operators.shape import align_features, drift_inject, drop_if_present
 from tablekit.operators.splits import exact_random_split, fraction_slice, stratified_split
@@ -95,13 +96,43 @@ def _emb_train_test(spark: SparkSession, sf_dir: str):
     return std.filter(F.col("split") == "train"), std.filter(F.col("split") == "test")
 
 
+def _kernel_svm(train: DataFrame, test: DataFrame) -> DataFrame:
+    """Test rows with the prediction of a balanced kernel machine."""
+    size = train.agg(F.max(F.size("std"))).first()[0]
+    gamma = N.scale_gamma(train, "std")
+
+    def lifted(df: DataFrame) -> DataFrame:
+        rows = N.rbf_features(df, "std", gamma, size)
+        return rows.withColumn("features", array_to_vector("rbf")).drop("rbf")
+    m = M.balanced_svm(weight="balanced_weight").fit(
+        M.training_frame(lifted(attach_class_weights(train, "label"))))
+    return m.transform(lifted(test))
+
+
 @query("balanced_svm")
 def q_balanced_svm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M5 + G23: one-vs-rest linear SVM with balanced class weights."""
+    """M5 + G23: one-vs-rest SVM with a Gaussian kernel (random Fourier
+    features before the linear solver) and balanced class weights."""
     train, test = _emb_train_test(spark, sf_dir)
-    train = attach_class_weights(train, "label")
-    m = M.balanced_svm(weight="balanced_weight").fit(train)
-    return m.transform(test).select("vec_id", "label", F.col("prediction").cast("int").alias("prediction"))
+    return _kernel_svm(train, test).select("vec_id", "label", F.col("prediction").cast("int").alias("prediction"))
+
+
+@query("rbf_kernel", sql="""
+SELECT a.vec_id, b.vec_id AS other, round(exp(-list_sum(list_transform(range(1, 65),
+         lambda i: (a.embedding[i]::DOUBLE - b.embedding[i]::DOUBLE) ** 2)) / 64), 6) AS kernel, true AS close
+FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id + 1""")
+def q_rbf_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M5's kernel: of each vector and the next the exact value, and whether
+    the features' dot product comes within 0.15 of it."""
+    e = N.rbf_features(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), "embedding",
+                       1 / 64, 64, features=2048)
+    b = e.select(F.col("vec_id").alias("other"), F.col("embedding").alias("x"), F.col("rbf").alias("z"))
+    add = lambda xs: F.aggregate(xs, F.lit(0.0), lambda s, v: s + v)
+    exact = F.exp(-add(F.zip_with("embedding", "x", lambda p, q: F.pow(p.cast("double") - q.cast("double"), F.lit(2.0))))
+                  / 64)
+    near = add(F.zip_with("rbf", "z", lambda p, q: p * q))
+    return e.join(b, F.col("other") == F.col("vec_id") + 1).select(
+        "vec_id", "other", F.round(exact, 6).alias("kernel"), (F.abs(near - exact) < 0.15).alias("close"))
 
 
 def _layers(train: DataFrame, hidden: int = 32) -> list[int]:
@@ -112,10 +143,11 @@ def _layers(train: DataFrame, hidden: int = 32) -> list[int]:
 
 @query("mlp_classifier")
 def q_mlp(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M6: multilayer perceptron with one sigmoid hidden layer of 32."""
+    """M6: one hidden layer of 32 with batch normalisation and dropout,
+    trained on mini-batches."""
     train, test = _emb_train_test(spark, sf_dir)
-    m = M.mlp(_layers(train), seed=42, max_iter=50).fit(train)
-    return m.transform(test).select("vec_id", "label", F.col("prediction").cast("int").alias("prediction"))
+    net, _ = N.train_net(train, _layers(train), "std", "label", "vec_id", epochs=15)
+    return N.score_net(test, net, "std").select("vec_id", "label", "prediction")
 
 
 @query("grid_runs")
@@ -138,12 +170,11 @@ def q_identification_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     train = sp.filter(F.col("split") == "train")
     std = M.training_frame(M.standardize(sp, "embedding", fit_on=train, out="std").withColumn(
         "features", array_to_vector("std")))
-    tr = attach_class_weights(std.filter(F.col("split") == "train"), "label")
+    tr = std.filter(F.col("split") == "train")
     te = std.filter(F.col("split") == "test")
-    svm = M.balanced_svm(weight="balanced_weight").fit(tr)
-    mlp = M.mlp(_layers(tr), seed=42, max_iter=50).fit(tr)
-    a = svm.transform(te).select("vec_id", "label", F.col("prediction").alias("svm"))
-    b = mlp.transform(te).select("vec_id", F.col("prediction").alias("mlp"))
+    net, _ = N.train_net(tr, _layers(tr), "std", "label", "vec_id", epochs=15)
+    a = _kernel_svm(tr, te).select("vec_id", "label", F.col("prediction").alias("svm"))
+    b = N.score_net(te, net, "std").select("vec_id", F.col("prediction").cast("double").alias("mlp"))
     both = a.join(b, "vec_id").withColumn("label", F.col("label").cast("double"))
     return EV.per_model_results(both, "label", {"svm": "svm", "mlp": "mlp"})
 

@@ -10,6 +10,7 @@ import random
 import re
 from html.parser import HTMLParser
 
+import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
@@ -419,6 +420,61 @@ def test_feature_udf_equals_plain_loops(spark):
             assert max(abs(p - q) for p, q in zip(g, want)) < 1e-9
 
 
+# ------------------------------------------------------------------ kernel features and the network
+def test_rbf_features_approach_the_kernel(spark):
+    from tablekit.operators import nets as N
+    rng = random.Random(8)
+    x = [[rng.gauss(0, 1) for _ in range(6)] for _ in range(40)]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(x)] + [(99, [1.0]), (98, None)], "i int, x array<double>")
+    flat = [v for r in x for v in r]
+    mean = sum(flat) / len(flat)
+    gamma = N.scale_gamma(df.filter("i < 90"), "x")
+    assert abs(gamma - 1 / (6 * (sum(v * v for v in flat) / len(flat) - mean ** 2))) < 1e-9
+    got = {r["i"]: r["rbf"] for r in N.rbf_features(df, "x", gamma, 6, features=4096).collect()}
+    assert got[99] is None and got[98] is None
+    for i in range(40):
+        for j in range(i + 1):
+            exact = math.exp(-gamma * sum((a - b) ** 2 for a, b in zip(x[i], x[j])))
+            assert abs(sum(a * b for a, b in zip(got[i], got[j])) - exact) < 0.09
+
+
+def test_net_gradients_equal_finite_differences():
+    from tablekit.operators import nets as N
+    rng = np.random.default_rng(1)
+    net = N.init_net([5, 7, 4, 3], 2)
+    net = {k: v + (0.1 * rng.normal(size=v.shape) if not k.startswith(("mean", "var")) else 0) for k, v in net.items()}
+    x, y, ids = rng.normal(size=(11, 5)), rng.integers(0, 3, 11), np.arange(11)
+    masks = [N.keep_mask(ids, b, i, 3, 9, 0.4) for i, b in enumerate((7, 4))]
+    assert {0.0} < set(masks[0].ravel().round(6)) <= {0.0, round(1 / 0.6, 6)}
+    _, g, _ = N.loss_and_gradients(net, x, y, masks)
+    for k in g:
+        for at in [tuple(rng.integers(0, s) for s in net[k].shape) for _ in range(4)]:
+            up, down = ({**net, k: net[k].copy()} for _ in range(2))
+            up[k][at] += 1e-5
+            down[k][at] -= 1e-5
+            slope = (N.loss_and_gradients(up, x, y, masks)[0] - N.loss_and_gradients(down, x, y, masks)[0]) / 2e-5
+            assert abs(slope - g[k][at]) < 1e-4 * max(1, abs(slope)), k
+    share = N.keep_mask(np.arange(2000), 50, 0, 0, 1, 0.4)
+    assert abs((share > 0).mean() - 0.6) < 0.01
+
+
+def test_net_is_the_same_at_any_partition_count(spark, tmp_dir):
+    from tablekit.operators import nets as N
+    rng = random.Random(2)
+    rows_ = [(i, i % 3, [rng.gauss((i % 3) * 2, 1), rng.gauss(-(i % 3), 1)]) for i in range(300)]
+    df = spark.createDataFrame(rows_, "i long, label int, x array<double>")
+    runs = [N.train_net(df.repartition(p), [2, 8, 3], "x", "label", "i", epochs=4, batch_rows=40, replicas=4,
+                        dropout=0.2, rate=0.05, path=f"{tmp_dir}/{p}") for p in (1, 7)]
+    (a, ha), (b, hb) = runs
+    assert all(np.array_equal(a[k], b[k]) for k in a) and ha == hb and ha[-1] < ha[0]
+    got = N.score_net(df, a, "x").collect()
+    want = N.forward(a, np.array([r[2] for r in rows_])).argmax(1)
+    assert {r["i"]: r["prediction"] for r in got} == dict(enumerate(want.tolist()))
+    odd = spark.createDataFrame([([1.0],), (None,)], "x array<double>")
+    assert [r["prediction"] for r in N.score_net(odd, a, "x").collect()] == [None, None]
+    assert N.train_net(df.limit(0), [2, 8, 3], "x", "label", "i")[1] == []
+
+
 def test_skip_bad_rows_marks_failures(spark):
     from tablekit.operators.udfs import skip_bad_rows
     df = spark.createDataFrame([("1",), ("x",)], "s string")
