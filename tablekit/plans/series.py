@@ -16,6 +16,7 @@ from tablekit.functions.scalars import iso_time
 from tablekit.operators import series as TS
 from tablekit.operators.aggs import LATENCY_BUCKETS, avg_by
 from tablekit.operators.joins import alert_enrich, inhibit, vector_arith
+from tablekit.operators.rules import AlertRule, RangeSum, range_sums, routed_alerts, rule_intervals
 from tablekit.operators.splits import group_rank
 from tablekit.registry import ORACLE, query, scratch_dir_for, table
 from tablekit.sources.sinks import append_rows, latest_model, sink_json
@@ -379,43 +380,118 @@ def q_stream_notify(spark: SparkSession, sf_dir: str) -> DataFrame:
     return n.select("alertname", "severity", "episode", "status", "at")
 
 
-@query("observability", sql=f"""WITH {_alerts_sql('HighErrorRate', '_h')},
-{_alerts_sql('SlowInference', '_w')},
-kept AS (SELECT * FROM a_w t WHERE NOT EXISTS (
-  SELECT 1 FROM a_h s WHERE s.user_id = t.user_id
-    AND t.firing_at < s.resolved_at AND t.resolved_at > s.firing_at)),
-al AS (SELECT x.*, r.severity FROM (SELECT * FROM a_h UNION ALL SELECT * FROM kept) x
-       JOIN {_RULES_SQL} USING (alertname)),
-o AS (SELECT alertname, severity, epoch_us(firing_at) AS s, epoch_us(resolved_at) AS e,
-             max(epoch_us(resolved_at)) OVER (PARTITION BY alertname, severity
-                 ORDER BY epoch_us(firing_at), epoch_us(resolved_at), user_id
-                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev_end,
-             user_id FROM al),
-p AS (SELECT *, CAST(sum(CASE WHEN prev_end IS NULL OR s > prev_end THEN 1 ELSE 0 END)
-                  OVER (PARTITION BY alertname, severity ORDER BY s, e, user_id
-                        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS episode FROM o),
-ep AS (SELECT alertname, severity, episode, min(s) AS f, max(e) AS t,
-              min(s) + CASE WHEN severity = 'critical' THEN 10 ELSE 30 END * 1000000 AS first
-       FROM p GROUP BY alertname, severity, episode),
-n AS (
-  SELECT alertname, severity, episode, 'firing' AS status, first + k * 3600000000 AS at_us
-  FROM (SELECT *, unnest(generate_series(0, CAST(greatest(0, ceil((t - first) / 3600000000.0) - 1) AS BIGINT))) AS k
-        FROM ep WHERE first < t)
-  UNION ALL SELECT alertname, severity, episode, 'resolved', t FROM ep)
-SELECT '[' || upper(status) || '] ' || alertname AS subject, severity, episode, status,
-       make_timestamp(at_us) AS at
-FROM n""")
+# ------------------------------------------------------------------ Z4
+HOUR = 3600
+#: Limits and kinds of condition as in the source; ranges and times stretched
+#: to the events' spacing.  An instance is a user; events of one type stand for
+#: errors, idle ticks, free memory and free disk.
+_RANGES = {"seen": 12, "errors": 6, "latency": 24, "active": 1, "cpu": 24, "memory": 48, "disk": 48}
+_BUCKETS = [f"c{i}" for i in range(len(LATENCY_BUCKETS))]
+ERROR_RATE = 0.00008
+
+
+def _rule_sums() -> dict[str, RangeSum]:
+    def hits(cond, metric):
+        return RangeSum(F.when(cond, 1).otherwise(0).cast("long"), _RANGES[metric] * HOUR)
+    any_ = F.lit(True)
+
+    def kind(name):
+        return F.col("event_type") == name
+    sums = {"seen": hits(any_, "seen"), "errors": hits(kind("error"), "errors"), "active": hits(any_, "active"),
+            "idle": hits(kind("click"), "cpu"), "ticks": hits(any_, "cpu"),
+            "free": hits(kind("view"), "memory"), "memory": hits(any_, "memory"),
+            "room": hits(kind("purchase"), "disk"), "cinf": hits(F.col("value").isNotNull(), "latency")}
+    for c, b in zip(_BUCKETS, LATENCY_BUCKETS):
+        sums[c] = hits(F.col("value") / 10 <= float(b), "latency")
+    return sums
+
+
+def _p(q: float):
+    return TS.histogram_quantile_expr(q, LATENCY_BUCKETS, [F.col(c) for c in _BUCKETS], F.col("cinf"))
+
+
+def _used(free: str, all_: str):
+    return F.lit(100.0) - F.try_divide(F.col(free), F.col(all_)) * 100
+
+
+def observability_rules() -> list[AlertRule]:
+    return [
+        AlertRule("AppDown", "critical", "no events", F.col("seen") == 0, 12 * HOUR),
+        AlertRule("HighErrorRate", "critical", "many errors a second",
+                  F.col("errors") / (_RANGES["errors"] * HOUR) > ERROR_RATE, HOUR),
+        AlertRule("SlowInference", "warning", "high 95th percentile", _p(0.95) > 10, 2 * HOUR),
+        AlertRule("TooManyActiveRequests", "warning", "many at once", F.col("active") > 1, 0),
+        AlertRule("HighCPUUsage", "warning", "little idle time", _used("idle", "ticks") > 80, 2 * HOUR),
+        AlertRule("HighMemoryUsage", "warning", "little free memory", _used("free", "memory") > 85, 2 * HOUR),
+        AlertRule("HighDiskUsage", "warning", "little free disk", _used("room", "memory") > 85, 5 * HOUR),
+    ]
+
+
+def rule_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = table(spark, sf_dir, "events").select("user_id", "ts", "event_type", "value")
+    return range_sums(ev, ["user_id"], "ts", STEP_S, _rule_sums())
+
+
+def _rule_frames_sql() -> str:
+    def hits(cond, metric, name):
+        return (f"count(x.us) FILTER (WHERE {cond} AND x.us > g.t - {_RANGES[metric] * HOUR * 1_000_000}) AS {name}")
+    parts = [hits("true", "seen", "seen"), hits("event_type = 'error'", "errors", "errors"),
+             hits("true", "active", "active"), hits("event_type = 'click'", "cpu", "idle"),
+             hits("true", "cpu", "ticks"), hits("event_type = 'view'", "memory", "free"),
+             hits("true", "memory", "memory"), hits("event_type = 'purchase'", "disk", "room"),
+             hits("value IS NOT NULL", "latency", "cinf"),
+             *(hits(f"value / 10 <= {float(b)}", "latency", c) for c, b in zip(_BUCKETS, LATENCY_BUCKETS))]
+    longest = max(_RANGES.values()) * HOUR * 1_000_000
+    return f"""
+x AS (SELECT user_id, epoch_us(ts) AS us, event_type, value FROM events),
+g AS (SELECT user_id, unnest(generate_series(CAST(ceil(lo / {S_US}) AS BIGINT),
+             CAST(floor((hi + {longest} - 1) / {S_US}) AS BIGINT))) * {S_US} AS t
+      FROM (SELECT user_id, min(us) AS lo, max(us) AS hi FROM x GROUP BY ALL)),
+f AS (SELECT g.user_id, g.t, {", ".join(parts)}
+      FROM g LEFT JOIN x ON x.user_id = g.user_id AND x.us > g.t - {longest} AND x.us <= g.t GROUP BY ALL)"""
+
+
+_P95, _P50 = _quantile_sql(0.95, LATENCY_BUCKETS), _quantile_sql(0.5, LATENCY_BUCKETS)
+_RULE_ROWS_SQL = [
+    ("AppDown", "critical", "no events", "seen = 0", 12),
+    ("HighErrorRate", "critical", "many errors a second", f"errors / {6 * HOUR} > {ERROR_RATE}", 1),
+    ("SlowInference", "warning", "high 95th percentile", f"({_P95}) > 10", 2),
+    ("TooManyActiveRequests", "warning", "many at once", "active > 1", 0),
+    ("HighCPUUsage", "warning", "little idle time", "100.0 - idle / nullif(ticks, 0) * 100 > 80", 2),
+    ("HighMemoryUsage", "warning", "little free memory", "100.0 - free / nullif(memory, 0) * 100 > 85", 2),
+    ("HighDiskUsage", "warning", "little free disk", "100.0 - room / nullif(memory, 0) * 100 > 85", 5),
+]
+
+
+@query("recorded_series", sql=f"""WITH {_rule_frames_sql()}
+SELECT user_id, make_timestamp(t) AS t, round({_P95}, 6) AS p95, round({_P50}, 6) AS p50,
+       round(100.0 - idle / nullif(ticks, 0) * 100, 6) AS cpu FROM f""")
+def q_recorded_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The recorded series (95th and 50th percentile, CPU average) per
+    instance on the hourly grid."""
+    return rule_frames(spark, sf_dir).select(
+        "user_id", "t", F.round(_p(0.95), 6).alias("p95"), F.round(_p(0.5), 6).alias("p50"),
+        F.round(_used("idle", "ticks"), 6).alias("cpu"))
+
+
+@query("observability", sql=f"""WITH {_rule_frames_sql()},
+c AS ({" UNION ALL ".join(
+    f"SELECT user_id, t, '{n}' AS alertname, '{s}' AS severity, '{m}' AS summary, "
+    f"{h * HOUR * 1_000_000} AS hold FROM f WHERE {w}" for n, s, m, w, h in _RULE_ROWS_SQL)}),
+i AS (SELECT *, t // {S_US} - row_number() OVER (PARTITION BY user_id, alertname ORDER BY t) AS run FROM c),
+r AS (SELECT user_id, alertname, severity, summary, min(t) AS s, min(t) + hold AS f, max(t) + {S_US} AS e
+      FROM i GROUP BY user_id, alertname, severity, summary, hold, run HAVING max(t) - min(t) >= hold),
+k AS (SELECT * FROM r a WHERE severity = 'critical' OR NOT EXISTS (
+        SELECT 1 FROM r b WHERE b.severity = 'critical' AND b.user_id = a.user_id AND a.f < b.e AND a.e > b.f))
+SELECT '[' || upper(severity) || '] ' || alertname AS subject, user_id, summary,
+       make_timestamp(s) AS pending_at, make_timestamp(f) AS firing_at, make_timestamp(e) AS resolved_at
+FROM k""")
 def q_observability(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Share alerts per instance (sliding 6 h frames, gaps and islands),
-    the warning alert inhibited while the critical one fires on the same
-    instance, rule severity attached, grouped notices with subjects."""
+    """Seven conditions (absence, rate, quantile, gauge, three shares) per
+    instance from one scan, their intervals, warnings inhibited while a
+    critical alert fires on the same instance."""
     from tablekit.functions.text import status_subject
-    rules = spark.createDataFrame(ALERT_RULES, "alertname string, severity string, summary string, "
-                                               "description string")
-    crit = share_alerts(spark, sf_dir, "HighErrorRate")
-    warn = inhibit(share_alerts(spark, sf_dir, "SlowInference"), crit, ["user_id"],
-                   start="firing_at", end="resolved_at")
-    alerts = alert_enrich(crit.unionByName(warn), rules)
-    n = TS.notify_schedule(alerts, ["alertname", "severity"], key="user_id")
-    return n.select(status_subject("status", "alertname").alias("subject"), "severity", "episode",
-                    "status", "at")
+    rules = observability_rules()
+    alerts = routed_alerts(rule_intervals(rule_frames(spark, sf_dir), ["user_id"], STEP_S, rules), ["user_id"], rules)
+    return alerts.select(status_subject("severity", "alertname").alias("subject"), "user_id", "summary",
+                         "pending_at", "firing_at", "resolved_at")

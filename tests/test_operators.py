@@ -475,6 +475,54 @@ def test_net_is_the_same_at_any_partition_count(spark, tmp_dir):
     assert N.train_net(df.limit(0), [2, 8, 3], "x", "label", "i")[1] == []
 
 
+# ------------------------------------------------------------------ rule tables
+def test_rules_of_several_ranges_come_from_one_scan(spark):
+    from tablekit.plans.series import rule_frames
+    plan = rule_frames(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1
+
+
+def test_rule_intervals_equal_a_plain_loop(spark):
+    from tablekit.operators.rules import AlertRule, RangeSum, range_sums, routed_alerts, rule_intervals
+    rng, t0, step = random.Random(4), dt.datetime(2024, 1, 1), 60
+    rows_ = [(k, t0 + dt.timedelta(seconds=rng.choice([rng.randrange(9000), 60 * rng.randrange(150)])),
+              rng.choice(["error", "ok"])) for k in "aab" for _ in range(30)]
+    rows_ += [("one", t0, "error"), ("none", None, "ok")]
+    df = spark.createDataFrame(rows_, "k string, ts timestamp_ntz, kind string").repartition(3)
+    bad = F.when(F.col("kind") == "error", 1).otherwise(0).cast("long")
+    sums = {"seen": RangeSum(F.lit(1).cast("long"), 300), "bad": RangeSum(bad, 900)}
+    rules = [AlertRule("Down", "critical", "x", F.col("seen") == 0, 240), AlertRule("Bad", "warning", "y", F.col("bad") > 1, 120)]
+    alerts = rule_intervals(range_sums(df, ["k"], "ts", step, sums), ["k"], step, rules)
+    got = {(r["k"], r["alertname"], r["pending_at"], r["firing_at"], r["resolved_at"]) for r in alerts.collect()}
+    want = set()
+    for k in ("a", "b", "one"):
+        mine = [(t, e) for x, t, e in rows_ if x == k]
+        first, last = min(t for t, _ in mine), max(t for t, _ in mine)
+        at, on = t0, {"Down": [], "Bad": []}
+        while at < last + dt.timedelta(seconds=900):
+            if at >= first:
+                inside = lambda s: [e for t, e in mine if at - dt.timedelta(seconds=s) < t <= at]
+                if not inside(300):
+                    on["Down"].append(at)
+                if inside(900).count("error") > 1:
+                    on["Bad"].append(at)
+            at += dt.timedelta(seconds=step)
+        for name, hold in (("Down", 240), ("Bad", 120)):
+            runs = []
+            for t in on[name]:
+                if runs and t - runs[-1][1] == dt.timedelta(seconds=step):
+                    runs[-1][1] = t
+                else:
+                    runs.append([t, t])
+            want |= {(k, name, a, a + dt.timedelta(seconds=hold), b + dt.timedelta(seconds=step)) for a, b in runs
+                     if (b - a).total_seconds() >= hold}
+    assert got == want and {n for _, n, *_ in want} == {"Down", "Bad"}
+    routed = {(r["k"], r["alertname"], r["firing_at"]) for r in routed_alerts(alerts, ["k"], rules).collect()}
+    down = [(k, f, e) for k, n, _, f, e in want if n == "Down"]
+    assert routed == {(k, n, f) for k, n, _, f, e in want if n == "Down" or not any(
+        k == x and f < ee and e > ff for x, ff, ee in down)}
+
+
 def test_skip_bad_rows_marks_failures(spark):
     from tablekit.operators.udfs import skip_bad_rows
     df = spark.createDataFrame([("1",), ("x",)], "s string")
