@@ -209,10 +209,11 @@ def threshold_rule(df: DataFrame, rules: DataFrame, metric: str = "metric",
                    value: str = "value") -> DataFrame:
     """Samples that break their metric's rule.
 
-    ``rules``: (metric, rule, op, limit) with op in > >= < <= == !=; it is a
-    small configuration table, broadcast to the samples.  NULL never fires.
+    ``rules``: (metric, rule, op, limit) with op in > >= < <= == !=; broadcast
+    to the samples while its checked size allows.  NULL never fires.
     """
-    j = df.join(F.broadcast(rules), on=metric, how="inner")
+    from tablekit.operators.joins import bounded_broadcast
+    j = df.join(bounded_broadcast(rules), on=metric, how="inner")
     v, lim, op = F.col(value), F.col("limit"), F.col("op")
     fires = (F.when(op == ">", v > lim).when(op == ">=", v >= lim)
              .when(op == "<", v < lim).when(op == "<=", v <= lim)

@@ -174,17 +174,18 @@ def q_histogram_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("dataset_fingerprint", sql="""
-WITH r AS (SELECT concat_ws(chr(1), coalesce(CAST(n_nationkey AS VARCHAR), chr(0)),
-                            coalesce(n_name, chr(0)), coalesce(CAST(n_regionkey AS VARCHAR), chr(0))) AS t
-           FROM nation)
-SELECT 'nation' AS dataset,
+WITH r AS (SELECT concat_ws(chr(1), coalesce(CAST(doc_id AS VARCHAR), chr(0)), coalesce(text, chr(0)),
+                            coalesce(lang, chr(0)), coalesce(source, chr(0)),
+                            coalesce(CAST(n_chars AS VARCHAR), chr(0))) AS t
+           FROM documents)
+SELECT 'documents' AS dataset,
        CAST(sum(('0x' || substr(md5(t), 1, 15))::HUGEINT) AS VARCHAR) AS content_hash,
-       count(*) AS rows, CAST(sum(length(t)) AS BIGINT) AS text_bytes, 3 AS columns
+       count(*) AS rows, CAST(sum(length(t)) AS BIGINT) AS text_bytes, 5 AS columns
 FROM r
 """)
 def q_dataset_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order-free content hash, rows and bytes of ``nation``."""
-    return G.dataset_fingerprint(table(spark, sf_dir, "nation"), "nation")
+    """Order-free content hash, rows and bytes of ``documents``."""
+    return G.dataset_fingerprint(table(spark, sf_dir, "documents"), "documents")
 
 
 @query("class_weights", sql="""

@@ -339,10 +339,11 @@ SELECT user_id, day, round((1 - (total - errors) / total) * 100, 6) AS value FRO
 def q_vector_arith(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(1 - ok / total) * 100 from two metrics matched on all labels."""
     ev = table(spark, sf_dir, "events").withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
-    g = ev.groupBy("user_id", "day")
-    long = (g.agg(F.count_if(F.col("event_type") == "error").alias("value"))
-             .withColumn("metric", F.lit("errors"))
-             .unionByName(g.agg(F.count(F.lit(1)).alias("value")).withColumn("metric", F.lit("total"))))
+    g = ev.groupBy("user_id", "day").agg(F.count_if(F.col("event_type") == "error").alias("errors"),
+                                         F.count(F.lit(1)).alias("total"))
+    # two metrics of one grouped pass; matching them needs no further exchange
+    long = g.select("user_id", "day", F.explode(F.create_map(
+        F.lit("errors"), "errors", F.lit("total"), "total")).alias("metric", "value"))
     v = vector_arith(long, ["user_id", "day"], "metric", "value", "errors", "total",
                      lambda a, b: (F.lit(1.0) - (b - a) / b) * 100)
     return v.withColumn("value", F.round("value", 6))

@@ -47,18 +47,48 @@ def q_scan_url_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     return SRC.scan_url_list(spark, path)
 
 
-@query("scan_labelled_tree", sql="SELECT DISTINCT source AS label, true AS has_files FROM documents")
+@query("scan_labelled_tree", sql="""
+SELECT source AS label, CAST(sum(coalesce(strlen(text), 0) + 1) AS BIGINT) AS bytes
+FROM documents GROUP BY source""")
 def q_scan_labelled_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents written as text files in one folder per source; listed
-    with labels from the folder names (paths only, no file bytes read).  The
-    number of files per folder depends on the write layout, so the checked
-    result is the set of labels found."""
+    """Documents written as text files in one folder per source and listed
+    with labels from the folder names (paths and lengths, no file bytes read).
+    A lost or doubled file shows in the bytes."""
     path = scratch_dir_for(spark, "doc_tree")
     docs = table(spark, sf_dir, "documents")
     docs.select("source", "text").write.partitionBy("source").text(path)
     tree = SRC.scan_labelled_tree(spark, path, suffix_regex=r"(?i)\.txt$")
-    labels = tree.select(F.regexp_replace("label", "^source=", "").alias("label"))
-    return labels.groupBy("label").agg((F.count(F.lit(1)) > 0).alias("has_files"))
+    return tree.groupBy(F.regexp_replace("label", "^source=", "").alias("label")).agg(
+        F.sum("length").alias("bytes"))
+
+
+@query("scan_json_metrics", sql="""
+SELECT s_suppkey AS key, s_name AS name, s_acctbal AS value FROM supplier""")
+def q_scan_json_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers written as JSON documents, each an array of at most 100
+    records in a file of its own, and read back one row a record."""
+    path = scratch_dir_for(spark, "json_documents")
+    s = table(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").alias("key"), F.col("s_name").alias("name"), F.col("s_acctbal").alias("value"))
+    schema = s.schema
+    docs = (s.groupBy(F.expr("key div 100").alias("part"))
+            .agg(F.to_json(F.collect_list(F.struct("key", "name", "value"))).alias("doc")))
+    docs.select("doc").write.option("maxRecordsPerFile", 1).text(path)
+    return SRC.scan_json_documents(spark, path, schema)
+
+
+@query("ensure_table", sql="SELECT n_nationkey, n_name, 2::BIGINT AS calls FROM nation")
+def q_ensure_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K8: the table is created by the first call and left as it is by the
+    second, which runs after rows were inserted."""
+    path = scratch_dir_for(spark, "ensured")
+    name = "ensured_" + path.rsplit("-", 1)[-1]
+    schema = "n_nationkey BIGINT, n_name STRING"
+    K.ensure_table(spark, name, schema, path)
+    (table(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("long").alias("n_nationkey"), "n_name")
+     .write.insertInto(name))
+    K.ensure_table(spark, name, schema, path)
+    return spark.table(name).withColumn("calls", F.lit(2).cast("long"))
 
 
 @query("scan_parquet_dir", sql="SELECT r_regionkey, r_name FROM region")

@@ -116,7 +116,7 @@ def scan_labelled_tree(spark: SparkSession, root: str, suffix_regex: str = IMAGE
 
     Uses the ``binaryFile`` source; ``content`` is only read when asked for,
     so a listing never pulls file bytes.  Plain files directly under ``root``
-    are skipped.  Columns: filepath, label, file_name (+ content).
+    are skipped.  Columns: filepath, label, file_name, length (+ content).
     """
     df = (spark.read.format("binaryFile")
           .option("recursiveFileLookup", True)
@@ -125,7 +125,8 @@ def scan_labelled_tree(spark: SparkSession, root: str, suffix_regex: str = IMAGE
     parts = F.split(rel, "/")
     cols = [F.col("path").alias("filepath"),
             F.element_at(parts, -2).alias("label"),
-            F.element_at(parts, -1).alias("file_name")]
+            F.element_at(parts, -1).alias("file_name"),
+            F.col("length")]
     if with_content:
         cols.append(F.col("content"))
     return (df.filter(F.size(F.split(rel, "/")) == 2)

@@ -60,8 +60,9 @@ def stream_dirs(spark: SparkSession, name: str) -> dict:
 
 
 def batch_writer(path: str, mode: str):
-    """foreachBatch function: append-like modes write each batch to its own
-    ``_batch=<id>`` folder (idempotent on replay); complete mode overwrites."""
+    """foreachBatch function: append and update mode write each batch to its
+    own ``_batch=<id>`` folder (idempotent on replay); complete mode, for
+    results of a few rows, overwrites."""
     def write(df: DataFrame, batch_id: int) -> None:
         if mode == "complete":
             df.write.mode("overwrite").parquet(path)
@@ -131,9 +132,20 @@ def replay(spark: SparkSession, build, dirs: dict, schema: T.StructType, mode: s
         run()
 
 
+def read_latest(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
+    """The last written row of each key of an update-mode sink.  A batch adds
+    a folder with the keys it changed, so a write costs what the batch touched
+    and a failed one leaves the rest as it was."""
+    df = spark.read.parquet(path)
+    rest = [c for c in df.columns if c not in (*keys, "_batch")]
+    last = df.groupBy(*keys).agg(*[F.max_by(c, "_batch").alias(c) for c in rest])
+    return last.select(*keys, *rest)
+
+
 # ---------------------------------------------------------------- R1
 def stream_counters(events: DataFrame, labels: list[str]) -> DataFrame:
-    """Running totals per label set (complete mode)."""
+    """Running totals per label set (update mode: the changed sets of each
+    batch; read them with ``read_latest``)."""
     return events.groupBy(*labels).agg(F.count(F.lit(1)).alias("total"))
 
 
