@@ -304,7 +304,8 @@ SELECT * FROM a_t t WHERE NOT EXISTS (
   SELECT 1 FROM a_s s WHERE s.user_id = t.user_id
     AND t.firing_at < s.resolved_at AND t.resolved_at > s.firing_at)""")
 def q_stream_inhibit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """J4 on live alerts (state per instance), equal to the batch J4."""
+    """J4 on live alerts (state rows per instance and time bucket), equal
+    to the batch J4."""
     cols = ["user_id", "pending_at", "firing_at", "resolved_at"]
     tgt = SER.share_alerts(spark, sf_dir, "SlowInference").select(*cols).withColumn("kind", F.lit("target"))
     src = SER.share_alerts(spark, sf_dir, "HighErrorRate").select(*cols).withColumn("kind", F.lit("source"))
@@ -316,7 +317,7 @@ def q_stream_inhibit(spark: SparkSession, sf_dir: str) -> DataFrame:
                                  .withColumn("resolved_at", F.coalesce("resolved_at", "firing_at"))
                                  .withColumn("pending_at", F.coalesce("pending_at", "firing_at"))
                                  .withColumn("kind", F.coalesce("kind", F.lit("source"))), "user_id")
-    ST.replay(spark, build, dirs, ALERTS, "append", "pending_at", "user_id")
+    ST.replay(spark, build, dirs, ALERTS, "append", "pending_at", "user_id", store=ST.STATE_STORE)
     out = ST.read_sink(spark, dirs["sink"]).filter(F.col("pending_us") < ST.SENTINEL_US)
     return out.select(F.col("instance").alias("user_id"), F.lit("SlowInference").alias("alertname"),
                       from_epoch_us(F.col("pending_us")).alias("pending_at"),

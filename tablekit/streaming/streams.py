@@ -15,16 +15,13 @@ all fire (Spark holds back windows still open at the watermark).
 
 from __future__ import annotations
 
-import bisect
 import datetime as dt
-from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tablekit.operators.series import epoch_us, from_epoch_us
 from tablekit.session import shared_dir
@@ -355,60 +352,76 @@ def threshold_notify_sink(notice_path: str, limit: int, once: bool = True):
 
 
 # ---------------------------------------------------------------- R8
-INHIBIT_OUT = T.StructType([
-    T.StructField("instance", T.LongType()), T.StructField("pending_us", T.LongType()),
-    T.StructField("firing_us", T.LongType()), T.StructField("resolved_us", T.LongType())])
-_IV = T.StructType([T.StructField("s", T.LongType()), T.StructField("e", T.LongType()),
-                    T.StructField("p", T.LongType())])
-INHIBIT_STATE = T.StructType([T.StructField("sources", T.ArrayType(_IV)),
-                              T.StructField("targets", T.ArrayType(_IV))])
-
-
-def inhibit_fn():
-    """Per instance: the source intervals still able to overlap something,
-    and the target intervals not yet decided.  A target is decided once the
-    watermark passes its end (every source starting before it has arrived);
-    it is emitted when no source overlaps it (s.start < t.end and s.end >
-    t.start).  Sources that can no longer overlap are pruned."""
-    def fn(key, pdfs, state: GroupState):
-        inst = int(key[0])
-        src, tgt = ([tuple(x) for x in state.get[0]], [tuple(x) for x in state.get[1]]) \
-            if state.exists else ([], [])
-        if not state.hasTimedOut:
-            for p in pdfs:
-                for kind, s, e, pend in zip(p["kind"], p["s_us"], p["e_us"], p["p_us"]):
-                    (src if kind == "source" else tgt).append((int(s), int(e), int(pend)))
-        wm = state.getCurrentWatermarkMs() * 1000
-        out, keep = [], []
-        src.sort()
-        starts = [s[0] for s in src]
-        ends = list(accumulate((s[1] for s in src), max))  # latest end so far
-        for t in tgt:
-            if t[1] <= wm:
-                before = bisect.bisect_left(starts, t[1])
-                if not before or ends[before - 1] <= t[0]:
-                    out.append((inst, t[2], t[0], t[1]))
-            else:
-                keep.append(t)
-        horizon = min([wm] + [t[0] for t in keep])
-        src = [s for s in src if s[1] > horizon]
-        if keep or src:
-            state.update((src, keep))
-            if keep:
-                state.setTimeoutTimestamp(min(t[1] for t in keep) // 1000)
-        elif state.exists:
-            state.remove()
-        yield pd.DataFrame(out, columns=["instance", "pending_us", "firing_us", "resolved_us"])
-    return fn
-
-
-def stream_inhibit(alerts: DataFrame, instance: str, watermark: str = "1 day") -> DataFrame:
+INHIBIT_OUT = ALERT_OUT
+
+
+class Inhibitor(StatefulProcessor):
+    """Targets that no source overlaps (s.start < t.end and s.end > t.start),
+    per instance.
+
+    Sources wait in the time bucket of their start and targets in that of
+    their end, one state row a bucket.  Once the watermark has passed a bucket
+    all sources that start in it or before it are known; its rows are sorted
+    once and merged with the latest end of all earlier sources, which is all
+    that is kept of them.  A batch touches the buckets it has rows for and
+    those that are due."""
+
+    columns = ("instance", "pending_us", "firing_us", "resolved_us")
+
+    def __init__(self, bucket_ms: int):
+        self.bucket = bucket_ms
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.latest = handle.getValueState("latest", "e long")
+        self.rows = handle.getMapState("rows", "b long", "sources array<struct<s:long,e:long>>, "
+                                                         "targets array<struct<s:long,e:long,p:long>>")
+
+    def handleInputRows(self, key, rows, timerValues):
+        new: dict[int, tuple[list, list]] = {}
+        for p in rows:
+            for kind, s, e, pending in zip(p["kind"], p["s_us"].tolist(), p["e_us"].tolist(), p["p_us"].tolist()):
+                at = (s if kind == "source" else e) // (self.bucket * 1000)
+                sources, targets = new.setdefault(at, ([], []))
+                sources.append((s, e)) if kind == "source" else targets.append((s, e, pending))
+        for at, (sources, targets) in new.items():
+            old = self.rows.getValue((at,)) if self.rows.containsKey((at,)) else ([], [])
+            self.rows.updateValue((at,), ([*map(tuple, old[0]), *sources], [*map(tuple, old[1]), *targets]))
+            self.handle.registerTimer((at + 1) * self.bucket)
+        yield self._frame([])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        done = timerValues.getCurrentWatermarkInMs() // self.bucket
+        latest = self.latest.get()[0] if self.latest.exists() else -(1 << 62)
+        out = []
+        for at in sorted(b for (b,) in self.rows.keys() if b < done):
+            sources, targets = (sorted(map(tuple, x)) for x in self.rows.getValue((at,)))
+            i = 0
+            for s, e, pending in sorted(targets, key=lambda t: t[1]):
+                while i < len(sources) and sources[i][0] < e:
+                    latest = max(latest, sources[i][1])
+                    i += 1
+                if latest <= s:
+                    out.append((None if pd.isna(key[0]) else int(key[0]), pending, s, e))
+            latest = max([latest, *(e for _, e in sources[i:])])
+            self.rows.removeKey((at,))
+        self.latest.update((latest,))
+        yield self._frame(out)
+
+    def _frame(self, out):
+        return pd.DataFrame(out, columns=list(self.columns)).astype("Int64")
+
+    def close(self) -> None:
+        pass
+
+
+def stream_inhibit(alerts: DataFrame, instance: str, watermark: str = "1 day", bucket_s: int = 3600) -> DataFrame:
     """Targets suppressed while an overlapping source alert fires on the
     same instance, on a stream of (instance, kind, pending_at, firing_at,
-    resolved_at) rows (kind 'source' or 'target'); event time = firing_at."""
-    a = (alerts.withColumn("_et", event_time("firing_at"))
-               .withColumn("s_us", epoch_us("firing_at")).withColumn("e_us", epoch_us("resolved_at"))
-               .withColumn("p_us", epoch_us("pending_at"))
-               .withColumnRenamed(instance, "instance").withWatermark("_et", watermark))
-    return a.groupBy("instance").applyInPandasWithState(
-        inhibit_fn(), INHIBIT_OUT, INHIBIT_STATE, "append", GroupStateTimeout.EventTimeTimeout)
+    resolved_at) rows (kind 'source' or 'target'); event time = firing_at.  A
+    target is decided at most a bucket after its end.  Run it with
+    ``STATE_STORE``."""
+    a = (alerts.withColumn("_et", event_time("firing_at")).withWatermark("_et", watermark)
+         .select(F.col(instance).cast("string").alias("key"), "kind", epoch_us("firing_at").alias("s_us"),
+                 epoch_us("resolved_at").alias("e_us"), epoch_us("pending_at").alias("p_us"), "_et"))
+    return a.groupBy("key").transformWithStateInPandas(Inhibitor(bucket_s * 1000), INHIBIT_OUT, "Append", "EventTime")

@@ -750,27 +750,6 @@ def test_windows_keep_rows_without_event_type(spark, tmp_dir):
     assert q_stream_tumbling(spark, f"{tmp_dir}/sf").agg(F.sum("n")).first()[0] == ev.count()
 
 
-class _State:
-    """A key's state and watermark, as the stream functions see them."""
-
-    def __init__(self):
-        self.value, self.exists, self.hasTimedOut, self.wm = None, False, False, 0
-
-    get = property(lambda self: self.value)
-
-    def getCurrentWatermarkMs(self):
-        return self.wm
-
-    def update(self, value):
-        self.value, self.exists = value, True
-
-    def setTimeoutTimestamp(self, ms):
-        assert ms >= self.wm
-
-    def remove(self):
-        self.value, self.exists = None, False
-
-
 class _Handle:
     """A key's state row and timers, as the stream processors see them."""
 
@@ -872,20 +851,44 @@ def test_silence_stream_with_a_hot_source_and_null_ids(spark, tmp_dir):
     assert got == want and any(k is None for k, _, _ in want) and any(k == 1 for k, _, _ in want)
 
 
-def test_stream_inhibition_matches_all_pairs():
-    from tablekit.streaming.streams import inhibit_fn
-    rng = random.Random(3)
-    rows = [(rng.choice(["source", "target"]), a, a + rng.randint(1, 9)) for a in
-            (rng.randint(1, 200) for _ in range(120))]
-    st = _State()
-    df = pd.DataFrame([(k, a, b, a) for k, a, b in rows], columns=["kind", "s_us", "e_us", "p_us"])
-    fn = inhibit_fn()
-    list(fn((1,), iter([df]), st))
-    st.wm, st.hasTimedOut = 10_000, True
-    got = [tuple(r)[2:] for p in fn((1,), iter([]), st) for r in p.itertuples(index=False)]
-    src = [(a, b) for k, a, b in rows if k == "source"]
-    want = [(a, b) for k, a, b in rows if k == "target" and not any(x < b and y > a for x, y in src)]
-    assert sorted(got) == sorted(want)
+class _Map(dict):
+    containsKey = dict.__contains__
+    getValue = dict.__getitem__
+    updateValue = dict.__setitem__
+    removeKey = dict.__delitem__
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_stream_inhibition_matches_all_pairs(seed):
+    from tablekit.streaming.streams import Inhibitor
+    rng, us = random.Random(seed), 1000
+    rows_ = [(rng.choice(["source", "target", "target", "target"]), a * us, (a + rng.choice([3, 9, 40])) * us)
+             for a in (rng.randint(1, 400) for _ in range(60))]
+    rows_ += [rows_[0], rows_[1]]
+    h, proc, out, fed = _Handle(), Inhibitor(16), [], []
+    h.getMapState = lambda *a: h.map
+    h.map = _Map()
+    proc.init(h)
+    wm = 0
+    while rows_ and wm < 600:
+        # a row comes before the watermark passes its start
+        now = [r for r in rows_ if r[1] <= (wm + 37) * us]
+        rng.shuffle(now)
+        feed = pd.DataFrame([(k, a, b, a) for k, a, b in now], columns=["kind", "s_us", "e_us", "p_us"])
+        if len(feed):
+            out += list(proc.handleInputRows(("1",), iter([feed]), _Clock(wm)))
+        for due in sorted(x for x in h.timers if x <= wm):
+            h.timers.remove(due)
+            out += list(proc.handleExpiredTimer(("1",), _Clock(wm), due))
+        fed += now
+        rows_ = [r for r in rows_ if r not in now]
+        wm += 37
+    for due in sorted(h.timers):
+        out += list(proc.handleExpiredTimer(("1",), _Clock(10_000), due))
+    got = sorted((int(r.firing_us), int(r.resolved_us)) for p in out for r in p.itertuples())
+    src = [(a, b) for k, a, b in fed if k == "source"]
+    want = sorted((a, b) for k, a, b in fed if k == "target" and not any(x < b and y > a for x, y in src))
+    assert got == want and want and not h.map
 
 
 def test_reshape_refuses_other_lengths_and_logits_use_every_value(spark):
