@@ -6,6 +6,7 @@ import re
 from collections import Counter
 
 import pytest
+import xxhash
 
 import corpus_pipeline
 from tablekit.llm.queries import QUERIES, oracles
@@ -63,3 +64,55 @@ def test_pipeline_decontamination_matches_brute_force(spark):
                     if not any(tuple(w[i:i + n]) in windows for n in sizes for i in range(len(w) - n + 1)))
     got = corpus_pipeline.decontamination(spark, docs, SF_SMALL).collect()
     assert 0 < len(got) < docs.count() and Counter((r["doc_id"], r["text"]) for r in got) == clean
+
+
+def _rows(docs):
+    return [(r["doc_id"], r["text"]) for r in docs.collect()]
+
+
+def test_pipeline_near_duplicates_match_brute_force(spark):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+
+    def fingerprint(text):
+        t = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+        w = re.findall(r"[^\x20\x09-\x0D]+", t)
+        grams = [" ".join(w[i:i + 3]) for i in range(max(1, len(w) - 2))] if w else []
+        h = [xxhash.xxh64_intdigest(g.encode(), 42) for g in grams]
+        return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+    rows = sorted(_rows(docs))
+    prints = [fingerprint(t) for _, t in rows]
+    group = list(range(len(rows)))
+
+    def root(i):
+        while group[i] != i:
+            i = group[i]
+        return i
+    for i in range(len(rows)):
+        for j in range(i):
+            if (prints[i] ^ prints[j]).bit_count() <= 2:
+                a, b = sorted((root(i), root(j)))
+                group[b] = a  # the smallest id leads
+    want = sorted(r for i, r in enumerate(rows) if root(i) == i)
+    got = sorted(_rows(corpus_pipeline.near_duplicates(spark, docs, SF_SMALL)))
+    assert got == want and len(want) < len(rows)
+
+
+def test_pipeline_substring_duplicates_match_brute_force(spark):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    rows = sorted(_rows(docs))
+    words = {i: re.findall(r"[^\x20\x09-\x0D]+", t or "") for i, t in rows}
+    first = {}
+    for i, w in words.items():
+        for k in range(len(w) - 12):
+            first.setdefault(tuple(w[k:k + 13]), i)
+    want = []
+    for i, text in rows:
+        w = words[i]
+        gone = {p for k in range(len(w) - 12) if first[tuple(w[k:k + 13])] < i for p in range(k, k + 13)}
+        kept = " ".join(x for p, x in enumerate(w) if p not in gone)
+        if not gone:
+            want.append((i, text))
+        elif kept:
+            want.append((i, kept))
+    got = _rows(corpus_pipeline.substring_duplicates(spark, docs, SF_SMALL))
+    assert sorted(got) == sorted(want) and got != rows
