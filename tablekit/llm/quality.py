@@ -19,8 +19,8 @@ SYMBOLS = "#*$%&|<>"
 STOP_WORDS = (
     "the of and to in a is that it for was on are as with be by this from or an have not he they "
     "de la le et les des en un une du que qui est pour dans par sur au plus ne se il elle "
-    "der die und das den von zu mit ist im ein eine nicht auch sich dem fur auf "
-    "el los las y del se por con no su para al lo como mas pero").split()
+    "der die und das den von zu mit ist im ein eine nicht auch sich dem für auf "
+    "el los las y del se por con no su para al lo como más pero").split()
 
 
 @dataclass(frozen=True)
