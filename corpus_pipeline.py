@@ -90,8 +90,9 @@ STAGES = [
     ("sentencepiece", tokens),
 ]
 
-#: Model fits and tokenisation have no SQL form; tests hold the operators, and
-#: the decontamination stage, against brute force instead.
+#: Model fits and tokenisation have no SQL form.  Tests hold the near-duplicate,
+#: substring and decontamination stages against brute force, and the ids of
+#: the last against their exact round trip.
 ORACLE_SQL = None
 
 
