@@ -15,7 +15,7 @@ from tablekit.operators.shape import align_features, drift_inject, drop_if_prese
 from tablekit.operators.splits import exact_random_split, fraction_slice, stratified_split
 from tablekit.operators.aggs import min_class_size
 from tablekit.registry import query, scratch_dir_for, table
-from tablekit.sources.sinks import append_rows, dataset_manifest
+from tablekit.sources.sinks import append_rows, dataset_manifest, sink_split_partitions
 
 _SPLIT = """sp AS (SELECT vec_id, embedding, label,
              row_number() OVER (ORDER BY md5('42|' || CAST(vec_id AS VARCHAR)), vec_id) AS r,
@@ -162,18 +162,23 @@ def q_grid_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("identification_report")
 def q_identification_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Z3: class filter, stratified split, standardise, two models, per-model
-    class F1 and macro F1 on the test split (one grouped pass)."""
+    """Z3: class filter, stratified split written one folder a split and read
+    again, standardise, whitened components for the kernel machine, network on
+    the standardised features, per-model class F1 and macro F1 on the test
+    split (one grouped pass)."""
     e = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
     kept, _ = min_class_size(e, ["label"], 3)
-    sp = stratified_split(kept, "label", "vec_id", 0.1, 0.2, 42)
+    path = scratch_dir_for(spark, "report_splits")
+    sink_split_partitions(stratified_split(kept, "label", "vec_id", 0.1, 0.2, 42), path)
+    sp = spark.read.parquet(path)
     train = sp.filter(F.col("split") == "train")
-    std = M.training_frame(M.standardize(sp, "embedding", fit_on=train, out="std").withColumn(
-        "features", array_to_vector("std")))
+    std = M.training_frame(M.standardize(sp, "embedding", fit_on=train, out="std"))
+    white = M.training_frame(M.pca_whiten(std.filter(F.col("split") == "train"), "std", 16, apply_to=std))
     tr = std.filter(F.col("split") == "train")
     te = std.filter(F.col("split") == "test")
     net, _ = N.train_net(tr, _layers(tr), "std", "label", "vec_id", epochs=15)
-    a = _kernel_svm(tr, te).select("vec_id", "label", F.col("prediction").alias("svm"))
+    a = _kernel_svm(*(white.filter(F.col("split") == s).drop("std").withColumnRenamed("pca", "std")
+                      for s in ("train", "test"))).select("vec_id", "label", F.col("prediction").alias("svm"))
     b = N.score_net(te, net, "std").select("vec_id", F.col("prediction").cast("double").alias("mlp"))
     both = a.join(b, "vec_id").withColumn("label", F.col("label").cast("double"))
     return EV.per_model_results(both, "label", {"svm": "svm", "mlp": "mlp"})

@@ -19,7 +19,8 @@ from tablekit.operators.joins import alert_enrich, inhibit, vector_arith
 from tablekit.operators.rules import AlertRule, RangeSum, range_sums, routed_alerts, rule_intervals
 from tablekit.operators.splits import group_rank
 from tablekit.registry import ORACLE, query, scratch_dir_for, table
-from tablekit.sources.sinks import append_rows, latest_model, sink_json
+from tablekit.sources.keyed import AppendLog
+from tablekit.sources.sinks import latest_model, sink_json
 
 RANGE_S = 6 * 3600
 STEP_S = 3600
@@ -314,14 +315,14 @@ def q_sink_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT arg_max(event_type, (t, event_type)) AS model, max(t) AS trained_at
 FROM (SELECT event_type, max(ts) AS t FROM events GROUP BY event_type)""")
 def q_registry_append(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K6: two appends to a registry, then its latest model."""
-    path = scratch_dir_for(spark, "registry")
+    """K6: two committed appends to a registry, then its latest model."""
+    log = AppendLog(spark, scratch_dir_for(spark, "registry"))
     runs = table(spark, sf_dir, "events").groupBy(F.col("event_type").alias("model")).agg(
         F.max("ts").alias("trained_at"), F.avg("value").alias("accuracy"))
     early = F.col("model") < "m"
-    append_rows(runs.filter(early), path)
-    append_rows(runs.filter(~early | F.col("model").isNull()), path)
-    return latest_model(spark.read.parquet(path))
+    log.append(runs.filter(early))
+    log.append(runs.filter(~early | F.col("model").isNull()))
+    return latest_model(log.read())
 
 
 @query("ingest_time", sql="""

@@ -1,4 +1,5 @@
-"""A table with a unique key that several writers may insert into.
+"""Tables that several writers may add to: append-only (K6), and with a
+unique key (K7, R9).
 
 Layout under ``path``::
 
@@ -56,16 +57,12 @@ def put_if_absent(spark: SparkSession, path: str, body: str) -> bool:
         fs.delete(temp, False)
 
 
-class UniqueTable:
-    """``key``: the unique column; ``order``: columns that say which row of a
-    batch comes first (and number new rows in ``id``)."""
+class CommittedTable:
+    """Rows in ``data/_commit=<token>``, visible once a commit names the token."""
 
-    def __init__(self, spark: SparkSession, path: str, key: str, order: list[str], buckets: int = 256,
-                 bloom_log2: int = 17):
-        self.spark, self.path, self.key, self.order = spark, path.rstrip("/"), key, order
-        self.buckets, self.bloom_log2 = buckets, bloom_log2
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
 
-    # ------------------------------------------------------------ commits
     def commits(self) -> list[dict]:
         """Commits in order: number, token, writer, batch, rows, last id."""
         jvm = self.spark._jvm
@@ -79,14 +76,44 @@ class UniqueTable:
         return [r.asDict() for r in rows]
 
     def read(self, commits: list[dict] | None = None) -> DataFrame | None:
-        """All committed rows, with ``_commit`` and ``_b``; None before the
-        first commit with rows."""
+        """All committed rows, with ``_commit``; None before the first commit
+        with rows."""
         tokens = [c["token"] for c in (self.commits() if commits is None else commits) if c["rows"]]
         if not tokens:
             return None
         paths = [f"{self.path}/data/_commit={t}" for t in tokens]
         return self.spark.read.option("basePath", f"{self.path}/data").parquet(*paths)
 
+    def _put(self, commit: dict) -> bool:
+        return put_if_absent(self.spark, f"{self.path}/commits/{commit['n']:012d}.json", json.dumps(commit))
+
+
+class AppendLog(CommittedTable):
+    """Append-only table (registry, deployments): an append is there whole or
+    not at all, and appends of several writers are put in one order."""
+
+    def append(self, df: DataFrame) -> dict:
+        token = uuid.uuid4().hex
+        df.write.parquet(f"{self.path}/data/_commit={token}")
+        n = self.spark.read.schema(df.schema).parquet(f"{self.path}/data/_commit={token}").count()
+        commits = self.commits()
+        commit = {"n": len(commits), "token": token, "rows": n}
+        while True:  # only the number is contended; the rows are written once
+            commit["n"] += 1
+            if self._put(commit):
+                return commit
+
+
+class UniqueTable(CommittedTable):
+    """``key``: the unique column; ``order``: columns that say which row of a
+    batch comes first (and number new rows in ``id``)."""
+
+    def __init__(self, spark: SparkSession, path: str, key: str, order: list[str], buckets: int = 256,
+                 bloom_log2: int = 17):
+        super().__init__(spark, path)
+        self.key, self.order = key, order
+        self.buckets, self.bloom_log2 = buckets, bloom_log2
+
     # ------------------------------------------------------------ lookups
     def _bucket(self, *spread: str) -> Column:
         """The key's bucket; null keys spread by other columns."""
@@ -151,7 +178,7 @@ class UniqueTable:
                  .write.parquet(f"{self.path}/bloom/_commit={token}"))
             commit = {"n": len(commits) + 1, "token": token, "writer": writer, "batch": number, "rows": n,
                       "last_id": base + n}
-            if put_if_absent(self.spark, f"{self.path}/commits/{commit['n']:012d}.json", json.dumps(commit)):
+            if self._put(commit):
                 return commit
 
     def _has_files(self, path: str) -> bool:

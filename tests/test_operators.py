@@ -719,6 +719,19 @@ def test_unique_table_reads_few_buckets(spark, tmp_dir):
     assert t.insert(one, "w", 7) == t.insert(one, "w", 7) and t.read().count() == 3004
 
 
+def test_append_log_of_several_writers(spark, tmp_dir):
+    from concurrent.futures import ThreadPoolExecutor
+    from tablekit.sources.keyed import AppendLog
+    assert AppendLog(spark, f"{tmp_dir}/log").read() is None
+    with ThreadPoolExecutor(4) as pool:
+        got = list(pool.map(lambda i: AppendLog(spark, f"{tmp_dir}/log").append(
+            spark.createDataFrame([(i, j) for j in range(i)], "w int, j int")), range(4)))
+    assert sorted(c["n"] for c in got) == [1, 2, 3, 4]
+    log = AppendLog(spark, f"{tmp_dir}/log")
+    spark.createDataFrame([(9, 9)], "w int, j int").write.parquet(f"{tmp_dir}/log/data/_commit=lost")  # never committed
+    assert sorted((r["w"], r["j"]) for r in log.read().collect()) == [(i, j) for i in range(4) for j in range(i)]
+
+
 def test_unique_table_with_two_writers(spark, tmp_dir):
     from concurrent.futures import ThreadPoolExecutor
     from tablekit.sources.keyed import UniqueTable, put_if_absent
