@@ -66,9 +66,10 @@ class CommittedTable:
     def commits(self) -> list[dict]:
         """Commits in order: number, token, writer, batch, rows, last id."""
         jvm = self.spark._jvm
-        folder = jvm.org.apache.hadoop.fs.Path(f"{self.path}/commits")
-        fs = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not fs.exists(folder):
+        files = jvm.org.apache.hadoop.fs.Path(f"{self.path}/commits/*.json")
+        fs = files.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        # the folder is there before the first commit of another writer is
+        if not fs.globStatus(files):
             return []
         rows = self.spark.read.schema(
             "n long, token string, writer string, batch long, rows long, last_id long").json(

@@ -6,6 +6,7 @@ from __future__ import annotations
 
 import datetime as dt
 import math
+import os
 import random
 import re
 from html.parser import HTMLParser
@@ -723,6 +724,8 @@ def test_append_log_of_several_writers(spark, tmp_dir):
     from concurrent.futures import ThreadPoolExecutor
     from tablekit.sources.keyed import AppendLog
     assert AppendLog(spark, f"{tmp_dir}/log").read() is None
+    os.makedirs(f"{tmp_dir}/log/commits")  # made by a writer that has not committed yet
+    assert AppendLog(spark, f"{tmp_dir}/log").read() is None
     with ThreadPoolExecutor(4) as pool:
         got = list(pool.map(lambda i: AppendLog(spark, f"{tmp_dir}/log").append(
             spark.createDataFrame([(i, j) for j in range(i)], "w int, j int")), range(4)))
