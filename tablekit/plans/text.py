@@ -60,7 +60,9 @@ def q_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Entities of every whole document as array<struct(text, label,
     start, end)>, exploded and counted by label."""
     d = table(spark, sf_dir, "documents")
-    e = d.select(F.explode(entities("text")).alias("e"))
+    # an outer explode: for an inner one the optimizer would find the entities
+    # once more to filter by their number
+    e = d.select(F.explode_outer(entities("text")).alias("e")).filter("e is not null")
     return value_counts(e.select(F.col("e.label").alias("label")), "label")
 
 
@@ -75,7 +77,8 @@ SELECT doc_id, text, {_LABEL_SQL} AS label, start::INTEGER AS start,
 def q_entity_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """X19 rows: (doc_id, text, label, start, end) per entity."""
     d = table(spark, sf_dir, "documents")
-    return d.select("doc_id", F.explode(entities("text")).alias("e")).select("doc_id", "e.*")
+    return (d.select("doc_id", F.explode_outer(entities("text")).alias("e")).filter("e is not null")
+            .select("doc_id", "e.*"))
 
 
 # ------------------------------------------------------------------ Z5 crawl
