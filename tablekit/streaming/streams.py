@@ -360,11 +360,13 @@ class Inhibitor(StatefulProcessor):
     per instance.
 
     Sources wait in the time bucket of their start and targets in that of
-    their end, one state row a bucket.  Once the watermark has passed a bucket
-    all sources that start in it or before it are known; its rows are sorted
-    once and merged with the latest end of all earlier sources, which is all
-    that is kept of them.  A batch touches the buckets it has rows for and
-    those that are due."""
+    their end, in one state row a bucket and batch, so that adding rows reads
+    none.  Once the watermark has passed a bucket all sources that start in it
+    or before it are known; its rows are sorted once and merged with the latest
+    end of all earlier sources, which is all that is kept of them.  An instance
+    has one timer, at the end of its earliest bucket, and a call settles every
+    bucket that is due: a watermark that leaps over a thousand buckets is one
+    call, not a thousand that each list what waits."""
 
     columns = ("instance", "pending_us", "firing_us", "resolved_us")
 
@@ -373,9 +375,12 @@ class Inhibitor(StatefulProcessor):
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.latest = handle.getValueState("latest", "e long")
-        self.rows = handle.getMapState("rows", "b long", "sources array<struct<s:long,e:long>>, "
-                                                         "targets array<struct<s:long,e:long,p:long>>")
+        self.latest = handle.getValueState("latest", "e long, batches long, timer long")
+        self.rows = handle.getMapState("rows", "b long, batch long", "sources array<struct<s:long,e:long>>, "
+                                                                     "targets array<struct<s:long,e:long,p:long>>")
+
+    def _kept(self):
+        return self.latest.get() if self.latest.exists() else (-(1 << 62), 0, None)
 
     def handleInputRows(self, key, rows, timerValues):
         new: dict[int, tuple[list, list]] = {}
@@ -384,18 +389,38 @@ class Inhibitor(StatefulProcessor):
                 at = (s if kind == "source" else e) // (self.bucket * 1000)
                 sources, targets = new.setdefault(at, ([], []))
                 sources.append((s, e)) if kind == "source" else targets.append((s, e, pending))
-        for at, (sources, targets) in new.items():
-            old = self.rows.getValue((at,)) if self.rows.containsKey((at,)) else ([], [])
-            self.rows.updateValue((at,), ([*map(tuple, old[0]), *sources], [*map(tuple, old[1]), *targets]))
-            self.handle.registerTimer((at + 1) * self.bucket)
-        yield self._frame([])
+        if new:
+            latest, batch, timer = self._kept()
+            for at, row in new.items():
+                self.rows.updateValue((at, batch), row)
+            due = (min(new) + 1) * self.bucket
+            if timer is None or due < timer:
+                if timer is not None:
+                    self.handle.deleteTimer(timer)
+                self.handle.registerTimer(due)
+                timer = due
+            self.latest.update((latest, batch + 1, timer))
+        return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         done = timerValues.getCurrentWatermarkInMs() // self.bucket
-        latest = self.latest.get()[0] if self.latest.exists() else -(1 << 62)
+        latest, batches, _ = self._kept()
+        waiting = [tuple(k) for k in self.rows.keys()]
+        due = [k for k in waiting if k[0] < done]
+        if len(due) == len(waiting):  # read and dropped as a whole
+            found = list(zip(waiting, map(tuple, self.rows.values())))
+            self.rows.clear()
+        else:
+            found = [(k, tuple(self.rows.getValue(k))) for k in due]
+            for k in due:
+                self.rows.removeKey(k)
+        buckets: dict[int, tuple[list, list]] = {}
+        for (at, _), row in found:
+            for kept, more in zip(buckets.setdefault(at, ([], [])), row):
+                kept.extend(map(tuple, more))
         out = []
-        for at in sorted(b for (b,) in self.rows.keys() if b < done):
-            sources, targets = (sorted(map(tuple, x)) for x in self.rows.getValue((at,)))
+        for at in sorted(buckets):
+            sources, targets = map(sorted, buckets[at])
             i = 0
             for s, e, pending in sorted(targets, key=lambda t: t[1]):
                 while i < len(sources) and sources[i][0] < e:
@@ -404,12 +429,12 @@ class Inhibitor(StatefulProcessor):
                 if latest <= s:
                     out.append((None if pd.isna(key[0]) else int(key[0]), pending, s, e))
             latest = max([latest, *(e for _, e in sources[i:])])
-            self.rows.removeKey((at,))
-        self.latest.update((latest,))
-        yield self._frame(out)
-
-    def _frame(self, out):
-        return pd.DataFrame(out, columns=list(self.columns)).astype("Int64")
+        timer = min(((at + 1) * self.bucket for at, _ in waiting if at >= done), default=None)
+        if timer is not None:
+            self.handle.registerTimer(timer)
+        self.latest.update((latest, batches, timer))
+        if out:
+            yield pd.DataFrame(out, columns=list(self.columns)).astype("Int64")
 
     def close(self) -> None:
         pass

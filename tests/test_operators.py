@@ -907,6 +907,32 @@ def test_stream_inhibition_matches_all_pairs(seed):
     assert got == want and want and not h.map
 
 
+def test_stream_inhibition_settles_all_due_buckets_in_one_call():
+    from tablekit.streaming.streams import Inhibitor
+    h, proc, listed = _Handle(), Inhibitor(16), []
+
+    class Map(_Map):
+        def keys(self):
+            listed.append(len(self))
+            return super().keys()
+    h.map = Map()
+    h.getMapState = lambda *a: h.map
+    proc.init(h)
+    rows_ = [("target", b * 16_000, b * 16_000 + 4_000, 0) for b in range(300)]
+    rows_ += [("source", b * 16_000, b * 16_000 + 1_000, 0) for b in range(0, 300, 3)]
+    for part in (rows_[150:], rows_[:150]):
+        feed = pd.DataFrame(part, columns=["kind", "s_us", "e_us", "p_us"])
+        assert not [len(p) for p in proc.handleInputRows(("5",), iter([feed]), _Clock(0)) if len(p)]
+        assert len(h.timers) == 1
+    out = []
+    for wm in (1600, 100_000):
+        (due,) = h.timers
+        h.timers.clear()
+        out += [int(r.firing_us) // 16_000 for p in proc.handleExpiredTimer(("5",), _Clock(wm), due)
+                for r in p.itertuples()]
+    assert sorted(out) == [b for b in range(300) if b % 3] and len(listed) == 2 and not h.map and not h.timers
+
+
 def test_reshape_refuses_other_lengths_and_logits_use_every_value(spark):
     df = spark.createDataFrame([([1.0, 2.0, 3.0],), ([1.0] * 5,), (None,)], "a array<double>")
     got = df.select(A.reshape_array("a", 2, 2).alias("m"), A.class_logits("a", 2).alias("l")).collect()
