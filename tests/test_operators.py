@@ -439,6 +439,21 @@ def test_rbf_features_approach_the_kernel(spark):
             assert abs(sum(a * b for a, b in zip(got[i], got[j])) - exact) < 0.09
 
 
+def test_kernel_features_are_made_a_few_rows_at_a_time_and_never_shuffled(spark, monkeypatch):
+    from tablekit.operators import nets as N
+    from tablekit.plans.ml import q_rbf_kernel
+    monkeypatch.setattr(N, "LIFT_VALUES", 64)  # four rows
+    x = [[float(i), -0.5 * i] if i % 5 else None for i in range(23)]
+    df = spark.createDataFrame(list(enumerate(x)), "i int, x array<double>").coalesce(1)
+    got = {r["i"]: r["rbf"] for r in N.rbf_features(df, "x", 0.3, 2, features=16).collect()}
+    rng = np.random.default_rng(42)
+    w, shift = rng.normal(0.0, math.sqrt(0.6), (2, 16)), rng.uniform(0.0, 2 * math.pi, 16)
+    for i, v in enumerate(x):
+        assert (got[i] is None) if v is None else np.allclose(got[i], np.cos(np.array(v) @ w + shift) * math.sqrt(1 / 8))
+    plan = q_rbf_kernel(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert 0 < plan.index("ArrowEvalPython") < plan.index("Join")
+
+
 def test_net_gradients_equal_finite_differences():
     from tablekit.operators import nets as N
     rng = np.random.default_rng(1)
