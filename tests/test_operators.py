@@ -491,6 +491,22 @@ def test_net_is_the_same_at_any_partition_count(spark, tmp_dir):
     assert N.train_net(df.limit(0), [2, 8, 3], "x", "label", "i")[1] == []
 
 
+def test_a_training_step_is_one_job_of_one_stage(spark):
+    from tablekit.operators import nets as N
+    sc, rng = spark.sparkContext, random.Random(5)
+    df = spark.createDataFrame([(i, i % 2, [rng.random(), rng.random()]) for i in range(200)],
+                               "i long, label int, x array<double>")
+    jobs = {}
+    for epochs in (1, 3):
+        sc.setJobGroup(f"net{epochs}", "training")
+        N.train_net(df, [2, 4, 2], "x", "label", "i", epochs=epochs, batch_rows=16, replicas=4)
+        jobs[epochs] = sc.statusTracker().getJobIdsForGroup(f"net{epochs}")
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    assert len(jobs[3]) - len(jobs[1]) == 2 * math.ceil(200 / 64)
+    last = sc.statusTracker().getJobInfo(max(jobs[3]))
+    assert len(last.stageIds) == 1
+
+
 # ------------------------------------------------------------------ rule tables
 def test_rules_of_several_ranges_come_from_one_scan(spark):
     from tablekit.plans.series import rule_frames
