@@ -555,6 +555,31 @@ def test_rule_intervals_equal_a_plain_loop(spark):
         k == x and f < ee and e > ff for x, ff, ee in down)}
 
 
+def test_range_sums_shuffle_a_cell_once_and_equal_a_plain_loop(spark):
+    from tablekit.operators.rules import RangeSum, range_segments, range_sums
+    rng, t0 = random.Random(6), dt.datetime(2024, 1, 1)
+    rows_ = [(k, t0 + dt.timedelta(seconds=60 * rng.randrange(400)), rng.choice([None, 0.1, 0.7, 1e12]))
+             for k in ("a", None) for _ in range(60)]
+    df = spark.createDataFrame(rows_, "k string, ts timestamp_ntz, v double")
+    one = F.lit(1).cast("long")
+    sums = {"n": RangeSum(one, 300), "far": RangeSum(one, 1800), "v": RangeSum(F.col("v"), 600)}
+    got = range_sums(df, ["k"], "ts", 60, sums).collect()
+    at = {(r["k"], r["t"]): (r["n"], r["far"], r["v"]) for r in got}
+    assert len(at) == len(got)
+    for k in ("a", None):
+        mine = [(t, v) for x, t, v in rows_ if x == k]
+        first, last = min(t for t, _ in mine), max(t for t, _ in mine)
+        times = sorted(t for x, t in at if x == k)
+        assert times == [first + dt.timedelta(minutes=i) for i in range(int((last - first).total_seconds()) // 60 + 30)]
+        for t in times:
+            near = lambda s: [v for u, v in mine if t - dt.timedelta(seconds=s) < u <= t]
+            n, far, v = at[k, t]
+            assert (n, far) == (len(near(300)), len(near(1800)))
+            assert v == pytest.approx(math.fsum(x or 0 for x in near(600)), rel=1e-12)
+    seg = range_segments(df, ["k"], "ts", 60, sums)
+    assert seg.count() < len(got) and seg._jdf.queryExecution().executedPlan().toString().count("Exchange hash") == 2
+
+
 def test_skip_bad_rows_marks_failures(spark):
     from tablekit.operators.udfs import skip_bad_rows
     df = spark.createDataFrame([("1",), ("x",)], "s string")
