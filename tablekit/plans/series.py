@@ -16,7 +16,7 @@ from tablekit.functions.scalars import iso_time
 from tablekit.operators import series as TS
 from tablekit.operators.aggs import LATENCY_BUCKETS, avg_by
 from tablekit.operators.joins import alert_enrich, inhibit, vector_arith
-from tablekit.operators.rules import AlertRule, RangeSum, range_sums, routed_alerts, rule_intervals
+from tablekit.operators.rules import AlertRule, RangeSum, range_segments, range_sums, routed_alerts, rule_intervals
 from tablekit.operators.splits import group_rank
 from tablekit.registry import ORACLE, query, scratch_dir_for, table
 from tablekit.sources.keyed import AppendLog
@@ -429,9 +429,9 @@ def observability_rules() -> list[AlertRule]:
     ]
 
 
-def rule_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+def rule_frames(spark: SparkSession, sf_dir: str, sums=range_sums) -> DataFrame:
     ev = table(spark, sf_dir, "events").select("user_id", "ts", "event_type", "value")
-    return range_sums(ev, ["user_id"], "ts", STEP_S, _rule_sums())
+    return sums(ev, ["user_id"], "ts", STEP_S, _rule_sums())
 
 
 def _rule_frames_sql() -> str:
@@ -494,6 +494,7 @@ def q_observability(spark: SparkSession, sf_dir: str) -> DataFrame:
     critical alert fires on the same instance."""
     from tablekit.functions.text import status_subject
     rules = observability_rules()
-    alerts = routed_alerts(rule_intervals(rule_frames(spark, sf_dir), ["user_id"], STEP_S, rules), ["user_id"], rules)
+    frames = rule_frames(spark, sf_dir, range_segments)
+    alerts = routed_alerts(rule_intervals(frames, ["user_id"], STEP_S, rules), ["user_id"], rules)
     return alerts.select(status_subject("severity", "alertname").alias("subject"), "user_id", "summary",
                          "pending_at", "firing_at", "resolved_at")
