@@ -95,11 +95,12 @@ def rule_intervals(frames: DataFrame, series: list[str], step_s: int, rules: lis
     """(series..., alertname, pending_at, firing_at, resolved_at) of all rules:
     runs of grid times at which a rule's condition holds, for at least its
     time; resolved one step after the last.  ``frames`` are grid times or
-    segments of them."""
+    segments of them.  A series without a name (null) has no alerts."""
     size = step_s * 1_000_000
     last = F.col("_last") if "_last" in frames.columns else F.col("_k")
     true = F.array_compact(F.array(*[F.when(r.condition, F.lit(r.name)) for r in rules]))
-    rows = frames.select(*series, "_k", last.alias("_last"), F.explode(true).alias("alertname"))
+    named = frames.dropna(subset=series)
+    rows = named.select(*series, "_k", last.alias("_last"), F.explode(true).alias("alertname"))
     order = Window.partitionBy(*series, "alertname").orderBy("_k")
     opens = F.coalesce(F.col("_k") > F.lag("_last").over(order) + 1, F.lit(True))
     runs = (rows.withColumn("_opens", opens.cast("int"))
