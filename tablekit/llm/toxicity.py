@@ -20,6 +20,7 @@ curve fitted on labelled documents turns the sum into a probability.
 from __future__ import annotations
 
 import math
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -48,6 +49,9 @@ def tokens(text: str | None) -> list[bytes]:
 def nodes(word: bytes) -> list[bytes]:
     """Trie path of a word from the shortest prefix to the word itself; a
     prefix node ends in ``*`` and is cut between characters."""
+    if word.isascii():
+        n = len(word)
+        return [word[:k] + b"*" for k in PREFIXES if n > k] + [word]
     plain = word.decode("utf-8", "replace")
     return [utf8(plain[:k]) + b"*" for k in PREFIXES if len(plain) > k] + [word]
 
@@ -90,43 +94,66 @@ class NodeScores:
     def __len__(self) -> int:
         return len(self.hashes)
 
-    def get(self, node: bytes) -> float | None:
-        h = np.uint64(xxhash.xxh64_intdigest(node))
-        i = int(self.hashes.searchsorted(h))
-        return float(self.scores[i]) if i < len(self.hashes) and self.hashes[i] == h else None
+    def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of these hashes are nodes (their places), and their scores."""
+        if not len(self.hashes):
+            return np.empty(0, np.int64), np.empty(0)
+        i = np.minimum(self.hashes.searchsorted(h), len(self.hashes) - 1)
+        at = np.flatnonzero(self.hashes[i] == h)
+        return at, self.scores[i[at]]
+
+
+class WordScores(dict):
+    """Scores of words seen, ``room`` at most; new ones are looked up together."""
+
+    def __init__(self, model: ToxicityModel, room: int):
+        super().__init__()
+        self.model, self.room = model, room
+
+    def of(self, words: list[bytes]) -> np.ndarray:
+        found = list(map(self.get, words))
+        if None in found:
+            new = list({w for w, v in zip(words, found) if v is None})
+            scores = dict(zip(new, self.model.token_scores(new).tolist()))
+            found = [scores[w] if v is None else v for w, v in zip(words, found)]
+            if len(self) + len(scores) > self.room:
+                self.clear()
+            self.update(islice(scores.items(), self.room))
+        return np.array(found, np.float64)
 
 
 class ToxicityModel:
     """Scores of all significant nodes plus the calibration constants."""
 
-    def __init__(self, scores: dict[bytes, float] | NodeScores, lam: float = 1.0, log_k: float = 0.0,
+    def __init__(self, scores: NodeScores, lam: float = 1.0, log_k: float = 0.0,
                  slope: float = 1.0, bias: float = -3.0):
         self.scores, self.lam, self.log_k, self.slope, self.bias = scores, lam, log_k, slope, bias
 
+    def token_scores(self, words: list[bytes]) -> np.ndarray:
+        """Each word's score: its deepest node's, or 0."""
+        paths = [nodes(w) for w in words]
+        owner = np.repeat(np.arange(len(words)), [len(p) for p in paths])
+        h = np.fromiter((xxhash.xxh64_intdigest(n) for p in paths for n in p), np.uint64, len(owner))
+        at, scores = self.scores.find(h)
+        # paths go downwards: a word's last hit is its deepest node
+        owner = owner[at]
+        last = np.append(owner[1:] != owner[:-1], True)[:len(owner)]
+        out = np.zeros(len(words))
+        out[owner[last]] = scores[last]
+        return out
+
     def token_score(self, word: bytes) -> float:
-        for node in reversed(nodes(word)):
-            s = self.scores.get(node)
-            if s is not None:
-                return s
-        return 0.0
-
-    def cached(self, room: int = 100_000):
-        model = self
-
-        class Cache(dict):
-            def __missing__(self, word):
-                if len(self) >= room:
-                    self.clear()
-                v = self[word] = model.token_score(word)
-                return v
-        return Cache()
+        return float(self.token_scores([word])[0])
+
+    def cached(self, room: int = 100_000) -> WordScores:
+        return WordScores(self, room)
 
     def evidence(self, text: str | None, cache) -> tuple[float, list[tuple[int, int, float]]]:
         """Sum of normalised segment scores, and the segments in words."""
         words = tokens(text)
         if not words:
             return 0.0, []
-        s = np.fromiter(map(cache.__getitem__, words), np.float64, len(words)) - DRIFT
+        s = cache.of(words) - DRIFT
         total, found = 0.0, []
         cost = self.log_k + math.log(len(words))
         for a, b, x in maximal_segments(s):
@@ -214,7 +241,7 @@ def fit_toxicity(train: DataFrame) -> ToxicityModel:
     n = {r["y"]: r["n"] for r in train.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     n_toxic, n_clean = n.get(1, 0), n.get(0, 0)
     if not n_toxic or not n_clean:
-        return ToxicityModel({})
+        return ToxicityModel(NodeScores(np.empty(0, np.uint64), np.empty(0)))
     pi = n_toxic / (n_toxic + n_clean)
 
     def xlogx(obs, exp):
@@ -244,7 +271,7 @@ def fit_toxicity(train: DataFrame) -> ToxicityModel:
             for t in b.column("text").to_pylist():
                 ws = tokens(t)
                 if ws:
-                    s = np.fromiter(map(cache.__getitem__, ws), np.float64, len(ws)) - DRIFT
+                    s = cache.of(ws) - DRIFT
                     v, c = np.unique(np.round(s * 10).astype(np.int64), return_counts=True)
                     for x, k in zip(v.tolist(), c.tolist()):
                         hist[x] = hist.get(x, 0) + k

@@ -158,6 +158,34 @@ def test_toxicity_keeps_every_significant_word(spark, monkeypatch):
     assert 150 <= sizes[0] <= 200
 
 
+def test_new_words_of_a_text_are_looked_up_together():
+    calls = []
+
+    class Hashes(np.ndarray):
+        def searchsorted(self, *args, **kw):
+            calls.append(1)
+            return np.asarray(self).searchsorted(*args, **kw)
+    score = {b"qzv*": 1.5, b"qzvile": -2.0, b"ab": 3.0, "éàü*".encode(): 0.5}
+    hashes = np.array([toxicity.xxhash.xxh64_intdigest(k) for k in score], np.uint64).view(Hashes)
+    model = toxicity.ToxicityModel(toxicity.NodeScores(hashes, np.array(list(score.values()))))
+    rng = random.Random(2)
+    ws = [w.encode() for w in ("qzvile", "qzvil", "qzv", "ab", "abc", "éàüx", "éàü", "日本")]
+    ws += [words(rng, 1).encode() + str(i).encode() for i in range(500)] + ws
+    deepest = [next((score[n] for n in reversed(toxicity.nodes(w)) if n in score), 0.0) for w in ws]
+    for room in (3, 1000):
+        cache, want = model.cached(room), []
+        total = model.evidence(b" ".join(ws).decode(), cache)[0]
+        assert len(calls) == 1 and len(cache) <= room
+        s = np.array(deepest) - toxicity.DRIFT
+        for a, b, x in toxicity.maximal_segments(s):
+            want.append(max(0.0, model.lam * x - model.log_k - toxicity.math.log(len(ws))))
+        assert total == pytest.approx(sum(want))
+        assert [model.token_score(w) for w in ws[:8]] == deepest[:8]
+        calls.clear()
+    empty = toxicity.ToxicityModel(toxicity.NodeScores(np.empty(0, np.uint64), np.empty(0)))
+    assert empty.evidence("some words", empty.cached()) == (0.0, [])
+
+
 # ------------------------------------------------------------ simhash
 def brute_fingerprint(text):
     w = [x for x in "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "").replace("\t", " ")
