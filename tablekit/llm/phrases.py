@@ -32,6 +32,7 @@ from __future__ import annotations
 
 from array import array
 from collections import Counter
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -102,7 +103,10 @@ class HatTrie:
         if len(node) > self.burst and depth < len(_DIGITS):
             below = _Node()
             for k, n in node.items():
-                below.setdefault(k >> _DIGITS[depth], Counter())[k] = n
+                part = below.get(k >> _DIGITS[depth])
+                if part is None:
+                    part = below[k >> _DIGITS[depth]] = Counter()
+                part[k] = n
             return below
         return node
 
@@ -120,9 +124,9 @@ class HatTrie:
         for size, home, k in units:
             if self.held <= down_to:
                 break
-            for part in _containers(home.pop(k)):
-                yield (np.fromiter(part, np.int64, len(part)),
-                       np.fromiter(part.values(), np.int64, len(part)))
+            parts = list(_containers(home.pop(k)))
+            yield (np.fromiter(chain.from_iterable(parts), np.int64, size),
+                   np.fromiter(chain.from_iterable(p.values() for p in parts), np.int64, size))
             self.held -= size
         if isinstance(self.root, Counter) and not top:
             self.root = Counter()
@@ -146,10 +150,14 @@ class _Ids(dict):
     def __missing__(self, word):
         self[word] = n = len(self.words)
         self.words.append(word)
-        self.hashes.append(xxhash.xxh64_intdigest(word))
-        self.bytes += len(word)
         return n
 
+    def hashed(self) -> None:
+        """Bring hashes and bytes up to the words."""
+        new = self.words[len(self.hashes):]
+        self.hashes.extend(map(xxhash.xxh64_intdigest, new))
+        self.bytes += sum(map(len, new))
+
 
 def _windows(text: str):
     """Word lists of a text, about ``_WINDOW`` bytes each, with ``_END``
@@ -191,7 +199,8 @@ class _Task:
         self.ids, self.tries = _Ids(), {}
 
     def hashes(self, lang: str, x: np.ndarray) -> np.ndarray:
-        return np.array(self.ids.hashes, np.uint64)[x] ^ _salt(lang)
+        self.ids.hashed()
+        return np.frombuffer(self.ids.hashes, np.uint64)[x] ^ _salt(lang)
 
     def trie(self, lang: str) -> HatTrie:
         if lang not in self.tries:
@@ -208,16 +217,17 @@ class _Task:
 
     def _rows(self, lang, keys, counts):
         ids = np.stack([keys >> 2 * _ID_BITS, keys >> _ID_BITS & _ID, keys & _ID])
-        used = np.unique(ids)
-        used = used[used > 0]
+        rank = np.zeros(len(self.ids.words), np.int64)
+        rank[ids] = 1
+        rank[0] = 0
+        used = np.flatnonzero(rank)
         words = [self.ids.words[i] for i in used.tolist()]
-        order = sorted(range(len(words)), key=words.__getitem__)
-        rank = np.zeros(used[-1] + 1, np.int64)
+        order = pc.array_sort_indices(pa.array(words, pa.binary())).to_numpy()
         rank[used[order]] = np.arange(1, len(used) + 1)
         ids = rank[ids]
         at = np.argsort(ids[0] << 2 * _ID_BITS | ids[1] << _ID_BITS | ids[2])
         ids, counts = ids[:, at], counts[at]
-        words = [None, *(words[i] for i in order)]
+        words = [None, *(words[i] for i in order.tolist())]
         size = np.array([0, *map(len, words[1:])])[ids].sum(axis=0)
         words = pa.array(words, pa.binary())
         part = np.cumsum(size) // _BYTES * len(at) + np.arange(len(at)) // _ROWS
@@ -234,11 +244,12 @@ class _Task:
         ids of all texts; ``tail`` ids at the end of a part start the next."""
         for batch in batches:
             for b in slices(batch, 256):
-                waiting: dict[str, list[int]] = {}
+                waiting: dict[str, array] = {}
                 for lang, text in zip(b.column("lang").to_pylist(), b.column("text").to_pylist()):
                     for words in _windows(text):
-                        ids = waiting.setdefault(lang, [])
+                        ids = waiting.setdefault(lang, array("q"))
                         ids.extend(map(self.ids.__getitem__, words))
+                        self.ids.hashed()
                         if len(ids) >= _FLUSH:
                             yield from self.count(lang, np.array(ids, np.int64))
                             waiting[lang] = ids[len(ids) - tail:]
@@ -249,7 +260,7 @@ class _Task:
                             tails = {a: [self.ids.words[i] for i in x[max(0, len(x) - tail):]]
                                      for a, x in waiting.items()}
                             self.new()
-                            waiting = {a: [self.ids[w] for w in x] for a, x in tails.items()}
+                            waiting = {a: array("q", map(self.ids.__getitem__, x)) for a, x in tails.items()}
                 for lang, ids in waiting.items():
                     yield from self.count(lang, np.array(ids, np.int64))
         yield from self.spill()

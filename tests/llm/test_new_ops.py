@@ -130,6 +130,21 @@ def test_trie_bursts_into_nodes_and_spills_sorted_subtrees():
     assert b.column("phrase").to_pylist() == ["\x01z", "a b \x01z", "b", "b a"]
 
 
+def test_a_burst_makes_a_container_a_digit_not_a_phrase(monkeypatch):
+    made = []
+
+    class Counted(Counter):
+        def __init__(self, *args):
+            made.append(1)
+            super().__init__(*args)
+    monkeypatch.setattr(phrases, "Counter", Counted)
+    t = phrases.HatTrie(burst=100)
+    t.add(np.arange(1, 401, dtype=np.int64) << 42)
+    assert t.held == 400 and len(made) == 2  # the root, and the one high digit
+    (run,) = t.spill(0)
+    assert sorted(run[0].tolist()) == [i << 42 for i in range(1, 401)] and set(run[1].tolist()) == {1}
+
+
 def test_phrases_of_hostile_rows(spark):
     assert as_rows(phrases.collocations(frame(spark, HOSTILE), 3, 10, 5)) == brute_phrases(HOSTILE, 3, 10, 5)
     assert phrases.collocations(frame(spark, HOSTILE).limit(0)).count() == 0
