@@ -507,6 +507,39 @@ def test_a_training_step_is_one_job_of_one_stage(spark):
     assert len(last.stageIds) == 1
 
 
+def test_small_batches_of_a_step_share_a_task_and_give_the_same_net(spark, monkeypatch):
+    from tablekit.operators import nets as N
+    sc, rng = spark.sparkContext, random.Random(6)
+    df = spark.createDataFrame([(i, i % 2, [rng.random(), rng.random()]) for i in range(200)],
+                               "i long, label int, x array<double>")
+    nets, tasks = [], []
+    for products in (1 << 20, 1, 600):  # one task a step, one a batch, three batches a task
+        monkeypatch.setattr(N, "TASK_PRODUCTS", products)
+        sc.setJobGroup(f"share{products}", "training")
+        nets.append(N.train_net(df, [2, 4, 2], "x", "label", "i", epochs=2, batch_rows=12, replicas=5))
+        last = sc.statusTracker().getJobInfo(max(sc.statusTracker().getJobIdsForGroup(f"share{products}")))
+        tasks.append(sc.statusTracker().getStageInfo(last.stageIds[0]).numTasks)
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    assert tasks == [1, 5, 2]
+    for net, history in nets[1:]:
+        assert history == nets[0][1] and all(np.array_equal(net[k], nets[0][0][k]) for k in net)
+
+
+def test_a_fit_takes_partitions_and_copies_by_its_rows(spark, monkeypatch):
+    from tablekit.operators import mlops as M
+    monkeypatch.setattr(M, "TASK_ROWS", 10)
+    monkeypatch.setattr(M, "FIT_ROWS", 40)
+    cores = spark.sparkContext.defaultParallelism
+    df = spark.range(0, 400, 1, 1)
+    spread = M.spread_rows(df, 400)
+    assert spread.rdd.getNumPartitions() == max(min(cores, 40), 10) and spread.count() == 400
+    assert M.spread_rows(df, 9).rdd.getNumPartitions() == 1
+    gathered = M.gather_rows(df.repartition(30), 400, 8)
+    assert gathered.rdd.getNumPartitions() == max(2, -(-cores // 8), 10) and gathered.count() == 400
+    monkeypatch.setattr(M, "FIT_VALUES", 1000)
+    assert [M.fits_at_once(n, 10) for n in (0, 1, 30, 5000)] == [8, 8, 3, 1]
+
+
 # ------------------------------------------------------------------ rule tables
 def test_rules_of_several_ranges_come_from_one_scan(spark):
     from tablekit.plans.series import rule_frames
