@@ -194,9 +194,12 @@ def maximal_segments(s: np.ndarray) -> list[tuple[int, int, float]]:
 
 
 def _share_scores(rows, n_toxic: int, n_clean: int) -> dict[bytes, float]:
-    root = (n_toxic + 0.5) / (n_toxic + n_clean + 1.0)
-    base = math.log(root / (1 - root))
-    share: dict[bytes, float] = {}
+    # shares of toxic and of clean documents apart: of a common word that no
+    # clean document has, one less the toxic share is 0 in floating point
+    n = n_toxic + n_clean + 1.0
+    root = (n_toxic + 0.5) / n, (n_clean + 0.5) / n
+    base = math.log(root[0] / root[1])
+    share: dict[bytes, tuple[float, float]] = {}
     by_depth = sorted(rows, key=lambda r: (not r[0].endswith(b"*"), len(r[0]), r[0]))
     for node, toxic, clean in by_depth:
         above = root
@@ -204,8 +207,9 @@ def _share_scores(rows, n_toxic: int, n_clean: int) -> dict[bytes, float]:
         for p in path:
             if p != node and len(p) < len(node) + (not node.endswith(b"*")):
                 above = share.get(p, above)
-        share[node] = (toxic + PRIOR * above) / (toxic + clean + PRIOR)
-    return {k: math.log(v / (1 - v)) - base for k, v in share.items()}
+        n = toxic + clean + PRIOR
+        share[node] = (toxic + PRIOR * above[0]) / n, (clean + PRIOR * above[1]) / n
+    return {k: math.log(a / b) - base for k, (a, b) in share.items()}
 
 
 def _lambda(scores: np.ndarray, weights: np.ndarray) -> float:

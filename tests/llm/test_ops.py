@@ -7,6 +7,7 @@ import itertools
 import random
 import zlib
 from collections import Counter
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -138,6 +139,19 @@ def test_toxicity_held_out(spark):
     assert [(r["doc_id"], r["y"]) for r in toxicity.labelled(df, labels).collect()] == [(1, 1)]
 
 
+def test_toxicity_of_a_common_word_that_no_clean_text_has():
+    for toxic, clean in ((5, 0), (0, 5), (4000, 0), (0, 4000), (40_000_000, 0), (3900, 100)):
+        rows = [(n, toxic, clean) for n in toxicity.nodes(b"disgusting")]
+        got = toxicity._share_scores(rows, 40_100_000, 360_000_000)
+        a, b = Fraction(401_000_005, 4_001_000_010), Fraction(3_600_000_005, 4_001_000_010)
+        base = a / b
+        for node, _, _ in rows:
+            a, b = (toxic + 2 * a) / (toxic + clean + 2), (clean + 2 * b) / (toxic + clean + 2)
+            odds = a / b / base
+            want = toxicity.math.log(odds.numerator) - toxicity.math.log(odds.denominator)
+            assert got[node] == pytest.approx(want, rel=1e-9), (toxic, clean, node)
+
+
 def test_toxicity_keeps_every_significant_word(spark, monkeypatch):
     monkeypatch.setattr(toxicity, "MAX_NODES", 5, raising=False)
     monkeypatch.setattr(toxicity, "CALIBRATION_ROWS", 200)
