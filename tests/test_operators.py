@@ -1044,3 +1044,67 @@ def test_report_reads_its_rows_once(spark):
     rows = {r["row"]: r for r in rep.collect()}
     assert set(rows) == {"a", "b", "c", "accuracy", "macro avg", "weighted avg"}
     assert math.isclose(rows["accuracy"]["f1"], 2 / 3) and rows["b"]["support"] == 0
+
+
+def test_net_stops_early_and_keeps_the_net_of_the_least_validation_loss(spark, monkeypatch):
+    from tablekit.operators import nets as N
+    rng = random.Random(4)
+    rows_ = [(i, rng.randrange(3), [rng.gauss(0, 1) for _ in range(4)]) for i in range(160)]  # nothing to learn
+    df = spark.createDataFrame(rows_, "i long, label int, x array<double>")
+    tr, va = df.filter("i < 80"), df.filter("i >= 80")
+    args = ([4, 16, 8, 3], "x", "label", "i")
+    kw = dict(batch_rows=20, replicas=2, dropout=0.2, rate=0.05)
+    monkeypatch.setattr(N, "VAL_ROWS", 30)
+    net, history = N.train_net(tr, *args, epochs=40, val=va, patience=3, **kw)
+    losses = [loss for _, loss, _ in history]
+    at = losses.index(min(losses))
+    assert len(history) == at + 4 < 40  # three epochs without a lesser loss
+    x, y = np.array([r[2] for r in rows_[80:]]), np.array([r[1] for r in rows_[80:]])
+    z = N.forward(net, x)
+    loss = (np.log(np.exp(z).sum(1)) - z[np.arange(80), y]).mean()
+    f1 = []
+    for c in set(y) | set(z.argmax(1)):
+        said, true = z.argmax(1) == c, y == c
+        f1.append(2 * (said & true).sum() / (said.sum() + true.sum()))
+    assert abs(loss - losses[at]) < 1e-9 and abs(np.mean(f1) - history[at][2]) < 1e-9
+    plain, means = N.train_net(tr, *args, epochs=at + 1, **kw)
+    assert all(np.array_equal(net[k], plain[k]) for k in net) and means == [m for m, *_ in history[:at + 1]]
+    monkeypatch.setattr(N, "TASK_BYTES", 0)  # a large net: broadcast for each job
+    again, other = N.train_net(tr, *args, epochs=40, val=va, patience=3, **kw)
+    assert other == history and all(np.array_equal(net[k], again[k]) for k in net)
+    assert len(N.train_net(tr, *args, epochs=2, val=va.limit(0), **kw)[1]) == 2
+
+
+def test_identification_report_has_every_step(spark, tmp_dir, monkeypatch):
+    from tablekit.operators import nets as N
+    from tablekit.plans import ml
+    rng = random.Random(8)
+    sizes = {-5: 30, 40: 50, 1000: 20, 7: 2}  # the last class is too small
+    rows_ = [(label, [rng.gauss(3 * ((k + j) % 3 == 0), 1) for j in range(18)])
+             for k, (label, n) in enumerate(sizes.items()) for _ in range(n)]
+    spark.createDataFrame([(i, x, label) for i, (label, x) in enumerate(rows_)],
+                          "vec_id long, embedding array<float>, label int").write.parquet(f"{tmp_dir}/embeddings.parquet")
+    trained, train_net = [], N.train_net
+
+    def seen(train, layers, *a, **kw):
+        trained.append((layers, kw["epochs"], kw["patience"], {r["split"] for r in kw["val"].select("split").collect()},
+                        train_net(train, layers, *a, **{**kw, "epochs": 12})))
+        return trained[-1][-1]
+    monkeypatch.setattr(N, "train_net", seen)
+    got = ml.q_identification_report(spark, tmp_dir).collect()
+    (layers, epochs, patience, split, (_, history)), = trained
+    assert (layers, epochs, patience, split) == ([18, 512, 256, 128, 3], 50, 10, {"val"})
+    assert sorted((r["model"], r["class"], r["support"]) for r in got) == [
+        (m, c, n) for m in ("mlp", "svm") for c, n in ((-5.0, 3), (40.0, 5), (1000.0, 2))]
+    macro = {m: sum(r["f1"] for r in got if r["model"] == m) / 3 for m in ("svm", "mlp")}
+    best = "svm" if macro["svm"] >= macro["mlp"] else "mlp"
+    for r in got:
+        assert abs(r["macro_f1"] - macro[r["model"]]) < 1e-9 and r["best_model"] == best
+        assert [s["row"] for s in r["report"]] == ["accuracy", "macro avg", "weighted avg"]
+        assert abs(r["report"][1]["f1"] - r["macro_f1"]) < 1e-9 and r["report"][0]["support"] == 10
+        hits = sum(x["recall"] * x["support"] for x in got if x["model"] == r["model"])
+        assert abs(r["report"][0]["f1"] - hits / 10) < 1e-9
+        p, q = r["precision"], r["recall"]
+        assert abs(r["f1"] - (2 * p * q / (p + q) if p + q else 0)) < 1e-9
+    assert {r["val_macro_f1"] for r in got if r["model"] == "mlp"} == {max(f1 for *_, f1 in history)}
+    assert macro["svm"] > 0.7
