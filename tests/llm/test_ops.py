@@ -152,6 +152,18 @@ def test_toxicity_of_a_common_word_that_no_clean_text_has():
             assert got[node] == pytest.approx(want, rel=1e-9), (toxic, clean, node)
 
 
+def test_toxicity_is_fitted_where_a_word_is_in_thousands_of_toxic_texts(spark):
+    df = spark.range(8000).selectExpr(
+        "id AS doc_id", "cast(id % 2 AS int) AS y",
+        "concat('plain words of text ', id % 50, if(id % 2 = 1, ' disgusting', '')) AS text")
+    model = toxicity.fit_toxicity(df)
+    low, high = model.token_score(b"disgus"), model.token_score(b"disgusting")
+    assert 20 < low < 30 < high < 50 and model.token_score(b"words") == 0
+    got = toxicity.score_toxicity(df.filter("doc_id < 40"), model).collect()
+    assert [r["predicted"] for r in got if r["doc_id"] % 2] == [1] * 20
+    assert [r["predicted"] for r in got if not r["doc_id"] % 2] == [0] * 20
+
+
 def test_toxicity_keeps_every_significant_word(spark, monkeypatch):
     monkeypatch.setattr(toxicity, "MAX_NODES", 5, raising=False)
     monkeypatch.setattr(toxicity, "CALIBRATION_ROWS", 200)
